@@ -111,3 +111,8 @@ def polygons_to_arrow(polys, srid: int, dim: int = 2):
          pa.array(np.array(n_part) > 1), a],
         fields=list(ARROW_GEOM),
     )
+
+
+def lines_to_arrow(lines, srid: int, dim: int = 1):
+    """List of (n, 2) vertex arrays -> geometry array of single lines or points."""
+    return polygons_to_arrow([[[xy]] for xy in lines], srid, dim)

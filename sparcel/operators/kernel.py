@@ -368,6 +368,29 @@ def split_region(f, e, size):
     return tuple(np.concatenate([o[i] for o in out]) for i in range(4))
 
 
+def strips(e, r, style="round", quarter=8):
+    """Edges of the convex ring around every segment: (segment index, edges)."""
+    n = len(e)
+    d = e[:, 2:] - e[:, :2]
+    ln = _length(e)
+    u = np.where(ln[:, None] > 0, d / np.where(ln > 0, ln, 1.0)[:, None], [1.0, 0.0])
+    side = np.column_stack([-u[:, 1], u[:, 0]])
+    if style == "square":
+        corner = [(0, -1, -1), (2, 1, -1), (2, 1, 1), (0, -1, 1)]
+        pts = [e[:, k:k + 2] + r[:, None] * (a * u + b * side) for k, a, b in corner]
+    else:
+        turn = np.pi * np.arange(2 * quarter + 1) / (2 * quarter)
+        pts = []
+        for k, sign in ((2, 1.0), (0, -1.0)):
+            for t in turn:
+                # half a turn, from the right side of the end point to its left side
+                pts.append(e[:, k:k + 2] + r[:, None] * sign * (np.sin(t) * u - np.cos(t) * side))
+    p = snap(np.stack(pts, axis=1))
+    out = np.concatenate([p, np.roll(p, -1, axis=1)], axis=2)
+    m = (out[:, :, :2] != out[:, :, 2:]).any(axis=2)
+    return np.repeat(np.arange(n), m.sum(axis=1)), out[m]
+
+
 # ---------------------------------------------------------------------------- point and line in region
 
 

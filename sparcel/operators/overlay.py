@@ -35,16 +35,38 @@ def _prefixed(df: DataFrame, side: str, fields: Sequence[str], key: Sequence[str
 
 def candidates(a: DataFrame, b: DataFrame, plan: TilePlan, keep_a, keep_b) -> DataFrame:
     """Pairs of pieces in the same tile with overlapping boxes (columns of b suffixed ``_b``)."""
-    pa_ = split_to_tiles(a, plan, keep_a)
-    pb = split_to_tiles(b, plan, keep_b)
-    pb = pb.select(*keep_b, "tile", *[F.col(c).alias(f"{c}_b") for c in _PIECE])
+    return pair_pieces(split_to_tiles(a, plan, keep_a), split_to_tiles(b, plan, keep_b), keep_a, keep_b)
+
+
+def pair_pieces(pieces_a: DataFrame, pieces_b: DataFrame, keep_a, keep_b) -> DataFrame:
+    """``candidates`` for layers that are cut already."""
+    pb = pieces_b.select(*keep_b, "tile", *[F.col(c).alias(f"{c}_b") for c in _PIECE])
     # two grid steps: cut points are rounded to the grid
     slack = 2.0**-19
     near = (
         (F.col("bx0") <= F.col("bx1_b") + slack) & (F.col("bx0_b") <= F.col("bx1") + slack)
         & (F.col("by0") <= F.col("by1_b") + slack) & (F.col("by0_b") <= F.col("by1") + slack)
     )
-    return pa_.join(pb, "tile").where(near).select(*keep_a, *keep_b, "tile", "dim", "edges", F.col("dim_b"), F.col("edges_b"))
+    return pieces_a.join(pb, "tile").where(near).select(*keep_a, *keep_b, "tile", "dim", "edges", F.col("dim_b"), F.col("edges_b"))
+
+
+def region_pieces(reg: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Rows of a region in the form of cut features, with the tile as bounding box."""
+    box = [F.lit(v).alias(c) for c, v in (("bx0", -1e300), ("by0", -1e300), ("bx1", 1e300), ("by1", 1e300))]
+    return reg.select(*keep, "tile", F.lit(2).cast("tinyint").alias("dim"), "edges", *box)
+
+
+def lines_in_region(
+    reg: DataFrame, lines: DataFrame, plan: TilePlan, fields_reg: Sequence[str], key: Sequence[str], fields: Sequence[str] = (),
+    srid: int = G.TARGET_SRID,
+) -> DataFrame:
+    """Pieces of lines inside each group of a region, whole across tile borders."""
+    keep_b = [f"b_{c}" for c in dict.fromkeys([*fields, *key])]
+    ids = [*fields_reg, *[f"b_{c}" for c in key]]
+    c = pair_pieces(region_pieces(reg, fields_reg), split_to_tiles(_prefixed(lines, "b", fields, key), plan, keep_b), fields_reg, keep_b)
+    keep = [*fields_reg, *keep_b]
+    out = _join_runs(_line_runs(c, keep), keep, ids, srid)
+    return out.select(*fields_reg, *[F.col(f"b_{f}").alias(f) for f in fields], "part", "geom")
 
 
 def _sides(s: pa.RecordBatch):
@@ -155,11 +177,11 @@ def _runs(row, parent, sub, p0, p1, ox, oy):
     ln = np.bincount(run, K._length(sub), minlength=len(first)) if len(first) else np.zeros(0)
     last = np.append(first[1:], len(row)) - 1
     g = to_global(sub, row, ox, oy)
-    count = np.diff(np.append(first, len(row))) + 1
-    verts = np.empty((len(row) + len(first), 3))
-    start = np.arange(len(row)) + run
-    verts[start] = np.column_stack([p0, g[:, 0], g[:, 1]])
-    verts[last + np.arange(len(first)) + 1] = np.column_stack([p1[last], g[last, 2], g[last, 3]])
+    # vertices of a run as p x y, then a separator
+    count = np.diff(np.append(first, len(row))) + 2
+    verts = np.full((count.sum(), 3), np.nan)
+    verts[np.arange(len(row)) + 2 * run] = np.column_stack([p0, g[:, 0], g[:, 1]])
+    verts[last + 2 * np.arange(len(first)) + 1] = np.column_stack([p1[last], g[last, 2], g[last, 3]])
     off = np.concatenate([[0], np.cumsum(count * 3)]).astype(np.int32)
     lists = pa.ListArray.from_arrays(pa.array(off), pa.array(verts.ravel()))
     return row[first], p0[first], p1[last], ln, lists
@@ -198,39 +220,65 @@ def _line_runs(c: DataFrame, keep) -> DataFrame:
 
 
 def _join_runs(runs: DataFrame, keep, ids, srid: int) -> DataFrame:
-    """Put together the runs of a line that meet at tile borders: one row per piece."""
-    ids_sql = ", ".join(f"`{c}`" for c in ids)
-    before = F.expr(
-        f"max(p1) over (partition by {ids_sql} order by p0, p1 rows between unbounded preceding and 1 preceding)"
-    )
-    gap = F.when(before.isNull() | (F.col("p0") > before + 1e-9) | (F.col("dim_b") == 0), 1).otherwise(0)
-    step = runs.withColumn("_new", gap)
-    step = step.withColumn(
-        "part",
-        F.expr(f"CAST(sum(_new) over (partition by {ids_sql} order by p0, p1 rows between unbounded preceding and current row) AS INT) - 1"),
-    )
+    """Put together the runs of a line that meet at tile borders: one row per piece.
+
+    The group is one feature, so it is no larger than that feature.
+    """
+    keep = list(keep)
     rest = [c for c in keep if c not in ids]
-    out = step.groupBy(*ids, "part").agg(
+    whole = runs.groupBy(*ids).agg(
         *[F.any_value(c).alias(c) for c in rest], F.any_value("dim_b").alias("dim_b"),
-        F.flatten(F.collect_list("verts")).alias("_v"),
-    )
-    triples = F.transform(
-        F.sequence(F.lit(0), F.floor(F.size("_v") / 3).cast("int") - 1),
-        lambda i: F.struct(
-            F.get("_v", (i * 3).cast("int")).alias("p"), F.get("_v", (i * 3 + 1).cast("int")).alias("x"),
-            F.get("_v", (i * 3 + 2).cast("int")).alias("y"),
-        ),
+        F.flatten(F.collect_list("verts")).alias("verts"),
     )
-    out = out.withColumn("_t", F.array_sort(F.array_distinct(triples)))
-    lo, hi = F.get("_t", F.lit(0))["p"], F.element_at("_t", -1)["p"]
-    # positions that are not vertices of the line are cuts inside the piece
-    verts = F.filter("_t", lambda v: (v.p == F.floor(v.p)) | (v.p == lo) | (v.p == hi))
-    line = F.transform(verts, lambda v: G.vertex(v.x, v.y))
-    single = F.when(F.col("dim_b") == 0, F.slice(line, 1, 1)).otherwise(line)
-    geom = F.struct(
-        F.lit(srid).alias("srid"), F.col("dim_b").alias("dim"), F.lit(False).alias("multi"), F.array(F.array(single)).alias("parts")
-    )
-    return out.select(*keep, "part", geom.alias("geom"))
+    schema = T.StructType([whole.schema[c] for c in keep] + [T.StructField("part", T.IntegerType()), T.StructField("geom", G.GEOM)])
+
+    def run(batches):
+        for b in batches:
+            dims = B.one(b.column("dim_b")).to_numpy()
+            for dim in np.unique(dims):
+                s = b.filter(pa.array(dims == dim))
+                row, v = B.read_edges(s.column("verts"), 3)
+                owner, sizes, xy = _pieces(row, v, dim == 0)
+                count = np.bincount(owner, minlength=s.num_rows)
+                lines = np.split(xy, np.cumsum(sizes)[:-1])
+                cols = [s.column(c).take(pa.array(owner)) for c in keep]
+                cols += [pa.array(K.ranges(count).astype(np.int32)), B.lines_to_arrow(lines, srid, int(dim))]
+                yield pa.RecordBatch.from_arrays(cols, names=schema.names)
+
+    return whole.select(*keep, "dim_b", "verts").mapInArrow(run, schema)
+
+
+def _pieces(row, v, points: bool):
+    """Runs (separated by NaN rows) -> maximal pieces: (row, vertex count, vertices)."""
+    sep = np.isnan(v[:, 0])
+    run = (np.cumsum(sep) - sep)[~sep]
+    row, v = row[~sep], v[~sep]
+    first = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+    last = np.append(first[1:], len(run)) - 1
+    rows, p0, p1 = row[first], v[first, 0], v[last, 0]
+    order = np.lexsort((p1, p0, rows))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    new = np.ones(len(order), dtype=bool)
+    if not points:
+        o = order
+        new[1:] = (rows[o][1:] != rows[o][:-1]) | (p0[o][1:] > p1[o][:-1] + 1e-9)
+    piece_of_run = (np.cumsum(new) - 1)[rank]
+    piece = np.repeat(piece_of_run, last - first + 1)
+    o = np.lexsort((v[:, 0], piece))
+    piece, v, row = piece[o], v[o], row[o]
+    start = np.append(True, piece[1:] != piece[:-1])
+    end = np.append(start[1:], True)
+    again = np.append(False, v[1:, 0] == v[:-1, 0]) & ~start
+    if points:
+        keep = start
+    else:
+        # positions that are not vertices of the line are cuts inside the piece
+        keep = ~again & (start | end | (v[:, 0] == np.floor(v[:, 0])))
+        keep |= end & ~keep & ~again
+    owner = row[start]
+    sizes = np.bincount(piece, keep, minlength=start.sum()).astype(np.int64)
+    return owner, sizes, v[keep, 1:]
 
 
 def overlay_intersection(

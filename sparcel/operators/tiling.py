@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,7 +61,7 @@ def tile_key(level, x, y):
 def plan_tiles(
     layers: Iterable[DataFrame], target: int = TARGET_VERTICES, weights: Sequence[float] | None = None
 ) -> TilePlan:
-    """Choose tile sizes from one pass over the layers' centres.
+    """Choose tile sizes from one pass over the layers (a feature counts where it starts).
 
     ``weights`` scale a layer's vertex count (a layer that will be buffered grows).
     """
@@ -69,10 +69,10 @@ def plan_tiles(
     weights = list(weights or [1.0] * len(layers))
     parts = []
     for df, w in zip(layers, weights):
-        x0, y0, x1, y1 = G.bounds("geom")
+        at = F.get(F.get(F.get("geom.parts", F.lit(0)), F.lit(0)), F.lit(0))
         v = df.where(F.size("geom.parts") > 0).select(
-            ((x0 + x1) / 2).alias("cx"), ((y0 + y1) / 2).alias("cy"), (G.vertex_count("geom") * F.lit(float(w))).alias("n")
-        )
+            at["x"].alias("cx"), at["y"].alias("cy"), (G.vertex_count("geom") * F.lit(float(w))).alias("n")
+        ).where("cx IS NOT NULL")
         parts.append(v.groupBy(tile_key(F.lit(MIN_LEVEL), F.col("cx"), F.col("cy")).alias("fine")).agg(F.sum("n").alias("n")))
     cells = parts[0]
     for p in parts[1:]:
@@ -162,12 +162,18 @@ def _split(row, dim_of_edge, e, p, level):
     return tuple(np.concatenate([o[i] for o in out]) for i in range(4))
 
 
-def split_to_tiles(df: DataFrame, plan: TilePlan, keep: Sequence[str], geom: str = "geom") -> DataFrame:
+def split_to_tiles(
+    df: DataFrame, plan: TilePlan, keep: Sequence[str], geom: str = "geom", radius: Column | str | None = None, style: str = "round"
+) -> DataFrame:
     """Cut features at tile borders: one row per feature and tile.
 
     Output: the ``keep`` columns, ``tile``, ``dim``, ``edges`` (flat doubles: ``x0 y0 x1 y1`` for
     polygons, plus the vertex positions ``p0 p1`` along the feature for lines and points) and the
     bounding box of the piece.
+
+    With ``radius``, the features are buffered first (see ``functions.geometry.buffer``); the many
+    vertices of the buffers then exist only inside the batch that cuts them. Rows with a NULL
+    radius give nothing.
     """
     ship(df.sparkSession)
     keep = list(keep)
@@ -178,12 +184,29 @@ def split_to_tiles(df: DataFrame, plan: TilePlan, keep: Sequence[str], geom: str
         for b in batches:
             row, dims, e, p = B.decode(b.column(len(keep)))
             d = dims[row] if len(row) else np.zeros(0)
+            if radius is not None:
+                r = B.one(b.column(len(keep) + 1)).to_numpy(zero_copy_only=False)
+                k, ring = K.strips(e, r[row], style)
+                solid = d == 2
+                row, e = np.concatenate([row[solid], row[k]]), np.concatenate([e[solid], ring])
+                d, p = np.full(len(row), 2), np.zeros(len(row))
             step = np.where(d == 0, 0.0, 1.0)
             r = _split(row, d, e, np.column_stack([p, p + step]), level)
             cols = _tile_batch([b.column(i) for i in range(len(keep))], *r)
             yield pa.RecordBatch.from_arrays(cols, names=keep + [f.name for f in TILE_FIELDS])
 
-    out = df.where(F.size(F.col(geom)["parts"]) > 0).select(*keep, geom).mapInArrow(first, T.StructType(fields + TILE_FIELDS))
+    source = df.where(F.size(F.col(geom)["parts"]) > 0)
+    if radius is not None:
+        if style not in ("round", "square"):
+            raise ValueError(f"unknown buffer style: {style}")
+        r = F.expr(radius) if isinstance(radius, str) else radius
+        r = F.when(r < 0, F.raise_error(F.lit("negative buffer radius")).cast("double")).otherwise(r.cast("double"))
+        solid = F.when(r == 0, F.col(geom)["dim"] == 2).otherwise(True)
+        source = source.select(*keep, geom, r.alias("_radius")).where(F.col("_radius").isNotNull() & solid)
+        source = source.select(*keep, geom, "_radius")
+    else:
+        source = source.select(*keep, geom)
+    out = source.mapInArrow(first, T.StructType(fields + TILE_FIELDS))
     if plan.hot is None or plan.finest is None:
         return out
     for lv in range(plan.level, plan.finest, -1):

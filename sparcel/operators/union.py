@@ -121,15 +121,14 @@ def union_where_like(df, column: str, pattern: str, plan=None, geom="geom") -> D
 
 
 def union_buffer(df, radius: Column | str, plan=None, style="round", by=(), geom="geom") -> DataFrame:
-    """Union of the buffers of all rows; ``radius`` may be any expression of the row."""
-    buffered = buffers(df, radius, by, style, geom)
-    return region(buffered, plan, by)
+    """Union of the buffers of all rows; ``radius`` may be any expression of the row.
 
-
-def buffers(df: DataFrame, radius: Column | str, by: Sequence[str] = (), style="round", geom="geom") -> DataFrame:
-    r = F.expr(radius) if isinstance(radius, str) else radius
-    out = df.select(*by, G.buffer(F.col(geom), r, style).alias("geom"))
-    return out.where(F.col("geom").isNotNull())
+    The buffer of a line is the union of the strips around its segments, so the strips go
+    straight into the union.
+    """
+    plan = plan or plan_tiles([df.withColumnRenamed(geom, "geom")], weights=[10.0])
+    pieces = split_to_tiles(df, plan, by, geom, radius, style).select(*by, "tile", "edges")
+    return merge_pieces(pieces, plan, by)
 
 
 # ---------------------------------------------------------------------------- whole polygons

@@ -17,7 +17,7 @@ def local_session(cores: str = "8", memory: str = "12g") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]").appName("sparcel")
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.driver.memory", memory)
-        .config("spark.ui.enabled", "false")
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()
