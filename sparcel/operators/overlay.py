@@ -293,8 +293,8 @@ def overlay_intersection(
 ) -> DataFrame:
     """Intersection of every pair of intersecting features, one row per piece.
 
-    Pieces have b's dimension; anything lower (touching borders) is dropped. Output: ``id``,
-    the chosen fields of a and b (a's and b's own names), ``geom``. ``key_*`` identify the rows of
+    Pieces have b's dimension; anything lower (touching borders) is dropped. Output: a surrogate
+    ``id`` (unless a chosen field has that name), the chosen fields of a and b (a's and b's own names), ``geom``. ``key_*`` identify the rows of
     a layer (default: its fields, or else all its attributes). ``check=False`` skips the one-pass
     checks of type and SRID, for layers already known to be uniform.
     """
@@ -327,7 +327,9 @@ def overlay_intersection(
         outs.append(_join_runs(_line_runs(c, keep), keep, ids, srid))
     out = outs[0] if len(outs) == 1 else outs[0].unionByName(outs[1])
     names = [F.col(f"a_{f}").alias(f) for f in fields_a] + [F.col(f"b_{f}").alias(f) for f in fields_b]
-    return out.select(F.monotonically_increasing_id().alias("id"), *names, "geom")
+    if "id" not in (*fields_a, *fields_b):
+        names.insert(0, F.monotonically_increasing_id().alias("id"))
+    return out.select(*names, "geom")
 
 
 def overlay_measures(

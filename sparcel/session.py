@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +42,22 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Let adaptive execution keep small partitions apart.
+
+    The kernels use far more time per byte than a plain SQL stage, so the default floor of 1 MB
+    would leave most cores idle. Results do not depend on it.
+    """
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+    return ship(spark)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder for files of this run: shared storage on a cluster, else a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sparcel-files-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage with a reliable checkpoint.
 
