@@ -329,8 +329,11 @@ def _net(key, xa, xb, w):
     return k[ok], x[ok], x[ok + 1], total[ok]
 
 
-def split_region(f, e, size):
-    """Split polygon edges (feature index ``f``) into tiles: (feature, column, row, edges)."""
+def split_region(f, e, size, floor=None):
+    """Split polygon edges (feature index ``f``) into tiles: (feature, column, row, edges).
+
+    Pieces of tiles are open at the bottom: for them ``floor`` gives the lowest row per feature.
+    """
     p, col, row, s, _, _ = cut_to_tiles(e, size)
     f = f[p]
     seam = is_seam(s)
@@ -350,7 +353,8 @@ def split_region(f, e, size):
         order = np.argsort(depth, kind="stable")
         depth, group, xa, xb, w = depth[order], group[order], xa[order], xb[order], w[order]
         carry = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0), np.zeros(0, np.int64))
-        for d in range(int(depth[-1]) + 1):
+        last = int(depth[-1]) if floor is None else int((top - floor[cells[:, 0]]).max())
+        for d in range(last + 1):
             a, b = np.searchsorted(depth, [d, d + 1])
             carry = _net(
                 np.concatenate([carry[0], group[a:b]]), np.concatenate([carry[1], xa[a:b]]),
@@ -360,6 +364,9 @@ def split_region(f, e, size):
             if not len(k):
                 continue
             r = top[k] - d
+            if floor is not None:
+                m = r > floor[cells[k, 0]]
+                k, ca, cb, v, r = k[m], ca[m], cb[m], v[m], r[m]
             y = r * size + OFFSET
             n = np.abs(v).astype(np.int64)
             left = v > 0

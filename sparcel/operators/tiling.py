@@ -142,13 +142,13 @@ def _tile_batch(keep, owner, tile, dim, values):
     return cols
 
 
-def _split(row, dim_of_edge, e, p, level):
+def _split(row, dim_of_edge, e, p, level, floor=None):
     """Cut decoded edges at the tiles of one level: (row, tile, dim, values of 6 columns)."""
     size = float(2.0**level)
     out = []
     m = dim_of_edge == 2
     if m.any():
-        f, c, r, s = K.split_region(row[m], e[m], size)
+        f, c, r, s = K.split_region(row[m], e[m], size, floor)
         out.append((f, B.pack(level, c, r), np.full(len(f), 2), np.column_stack([s, np.zeros((len(s), 2))])))
     m = ~m
     if m.any():
@@ -236,7 +236,9 @@ def _refine(pieces: DataFrame, hot: DataFrame, level: int, keep, fields) -> Data
                 row, v = B.read_edges(s.column("edges"), width)
                 d = s.column("dim").to_numpy()[row]
                 p = v[:, 4:6] if width == 6 else np.zeros((len(v), 2))
-                r = _split(row, d, v[:, :4], p, level)
+                size, _, oy = B.unpack(s.column("tile").to_numpy())
+                floor = np.round(oy / size).astype(np.int64) * 2
+                r = _split(row, d, v[:, :4], p, level, floor)
                 cols = _tile_batch([s.column(i) for i in range(len(keep))], *r)
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
