@@ -24,8 +24,8 @@ from . import batches as B
 from . import kernel as K
 
 MIN_LEVEL, MAX_LEVEL = 2, 20  # tiles of 4 m to 1049 km
-TARGET_VERTICES = 1000
-HOT_FACTOR = 8
+TARGET_VERTICES = 600
+HOT_FACTOR = 16
 
 TILE_FIELDS = [
     T.StructField("tile", T.LongType()), T.StructField("dim", T.ByteType()),
@@ -92,8 +92,9 @@ def plan_tiles(
     }
     if not stats:
         return TilePlan(MAX_LEVEL)
-    fit = [lv for lv, r in stats.items() if r["mean"] <= target]
-    level = max(fit) if fit else MIN_LEVEL
+    # where features sit on top of each other, smaller tiles stop helping: allow twice what is left
+    target = max(target, 2 * stats[MIN_LEVEL]["mean"])
+    level = max(lv for lv, r in stats.items() if r["mean"] <= target)
     limit = target * HOT_FACTOR
     if stats[level]["top"] <= limit:
         return TilePlan(level)

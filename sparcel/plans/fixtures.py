@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from ..session import spread
 
 # The same text runs on DuckDB, where the result is used as a common table expression.
 SQL = {
@@ -55,7 +56,7 @@ def raw(spark: SparkSession, sf_dir: str, layer: str) -> DataFrame:
     """Layer as attributes and corner coordinates."""
     table = TABLES[layer]
     src = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    return spark.sql(SQL[layer].replace(f"FROM {table}", "FROM {src}"), src=src)
+    return spread(spark.sql(SQL[layer].replace(f"FROM {table}", "FROM {src}"), src=src))
 
 
 def with_geom(df: DataFrame, layer: str) -> DataFrame:

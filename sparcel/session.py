@@ -52,6 +52,16 @@ def tune(spark: SparkSession) -> SparkSession:
     return ship(spark)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Use all cores for a scan that has fewer splits than the cluster has cores.
+
+    Only for plain scans (looking at the partitions of a plan with shuffles would run them). A
+    table large enough to fill the cluster is left as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder for files of this run: shared storage on a cluster, else a temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sparcel-files-")
