@@ -70,48 +70,113 @@ def _spanning_links(group, n_groups, a, b):
     return nodes[m, 0], nodes[root[m], 1], nodes[m, 1]
 
 
-def touching_links(df: DataFrame, plan: TilePlan, node: str, geom: str = "geom") -> DataFrame:
-    """Links between features that touch or overlap, thinned to what connects each tile."""
-    ship(df.sparkSession)
-    pieces = split_to_tiles(df, plan, [node], geom).select("tile", F.struct(F.col(node).alias("n"), "dim", "edges").alias("f"))
-    rows = pieces.groupBy("tile").agg(F.collect_set("f").alias("f"))
-    schema = T.StructType([T.StructField("u", T.StringType()), T.StructField("v", T.StringType())])
+LINKS = T.StructType([
+    T.StructField("u", T.StringType()), T.StructField("v", T.StringType()), T.StructField("tile", T.LongType()),
+    T.StructField("dim", T.ByteType()), T.StructField("edges", T.ArrayType(T.DoubleType())),
+])
+
+
+def _tile_links(rows: DataFrame, compress: bool) -> DataFrame:
+    """Rows (tile, f = array of features) -> links u, v that span the touching features of a row.
+
+    With ``compress``, also one row (v NULL) per polygon cluster with the boundary of its union,
+    and every line and point as it is: what the cluster still needs to find other neighbours.
+    """
 
     def run(batches):
         for b in batches:
             for i in range(b.num_rows):
                 f = B.one(b.column("f")).slice(i, 1).flatten()
-                if len(f) < 2:
-                    continue
                 names, dims = f.field("n"), f.field("dim").to_numpy(zero_copy_only=False)
-                _, ox, oy = B.unpack(b.column("tile").to_numpy()[i: i + 1])
-                lists = f.field("edges")
-                off = B.offsets(lists)
-                vals = lists.values.to_numpy(zero_copy_only=False)
-                lab, e = [], []
-                for width, mask in ((4, dims == 2), (6, dims != 2)):
-                    which = np.flatnonzero(mask)
-                    n = (off[which + 1] - off[which]) // width
-                    lab.append(np.repeat(which, n))
-                    idx = np.repeat(off[which], n) + K.ranges(n) * width
-                    e.append(vals[idx[:, None] + np.arange(4)] if len(idx) else np.zeros((0, 4)))
-                lab, e = np.concatenate(lab), np.concatenate(e)
+                tile = b.column("tile").to_numpy()[i: i + 1]
+                _, ox, oy = B.unpack(tile)
+                lab, e = _edges_of(f.field("edges"), dims)
                 e[:, 0::2] -= ox[0]
                 e[:, 1::2] -= oy[0]
-                _, _, touch = K.node(np.zeros(len(e), np.int64), 1, e, lab)
-                pairs = [touch[:, 1:]]
-                poly = dims[lab] == 2
-                first = np.unique(lab, return_index=True)[1]
-                q, owner = K.covering(e[poly], lab[poly], e[first, 0], e[first, 1])
-                pairs.append(np.column_stack([lab[first][q], owner]))
-                pairs = np.concatenate(pairs)
-                pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-                if not len(pairs):
+                u, v = _touching(lab, e, dims)
+                n = len(u)
+                if n:
+                    none = pa.nulls(n)
+                    yield pa.RecordBatch.from_arrays(
+                        [names.take(pa.array(u)), names.take(pa.array(v)), none.cast(pa.int64()), none.cast(pa.int8()), none.cast(B.EDGES)],
+                        names=LINKS.names,
+                    )
+                if not compress:
                     continue
-                _, u, v = _spanning_links(np.zeros(len(pairs), np.int64), 1, pairs[:, 0], pairs[:, 1])
-                yield pa.RecordBatch.from_arrays([names.take(pa.array(u)), names.take(pa.array(v))], names=["u", "v"])
+                root = np.arange(len(f))
+                root[v] = u
+                poly = dims[lab] == 2
+                who, group = np.unique(root[lab[poly]], return_inverse=True)
+                arr = K.Arrangement(group.ravel(), len(who), e[poly], np.zeros(int(poly.sum()), np.int64), 1)
+                g, out = arr.boundary(lambda c: c[:, 0] > 0)
+                order = np.argsort(g, kind="stable")
+                out = out[order] + np.tile([ox[0], oy[0]], 2)
+                lists = B.edge_lists(g[order], len(who), out)
+                yield _piece_rows(names.take(pa.array(who)), tile[0], np.full(len(who), 2), lists)
+                rest = np.flatnonzero(dims != 2)
+                if len(rest):
+                    yield _piece_rows(names.take(pa.array(root[rest])), tile[0], dims[rest], f.field("edges").take(pa.array(rest)))
+
+    return rows.select("tile", "f").mapInArrow(run, LINKS)
+
+
+def _piece_rows(names, tile, dims, lists):
+    n = len(names)
+    return pa.RecordBatch.from_arrays(
+        [names, pa.nulls(n, pa.string()), pa.array(np.full(n, tile, np.int64)), pa.array(np.asarray(dims).astype(np.int8)), lists], names=LINKS.names
+    )
+
+
+def _edges_of(lists, dims):
+    """Edges of the features of one tile, polygons first: (feature, edges)."""
+    off = B.offsets(lists)
+    vals = lists.values.to_numpy(zero_copy_only=False)
+    lab, e = [], []
+    for width, mask in ((4, dims == 2), (6, dims != 2)):
+        which = np.flatnonzero(mask)
+        n = (off[which + 1] - off[which]) // width
+        lab.append(np.repeat(which, n))
+        idx = np.repeat(off[which], n) + K.ranges(n) * width
+        e.append(vals[idx[:, None] + np.arange(4)] if len(idx) else np.zeros((0, 4)))
+    return np.concatenate(lab), np.concatenate(e)
+
+
+def _touching(lab, e, dims):
+    """Spanning links (root, feature) of the features of one tile that touch or overlap."""
+    none = np.zeros(0, np.int64)
+    if not len(lab):
+        return none, none
+    _, _, touch = K.node(np.zeros(len(e), np.int64), 1, e, lab)
+    first = np.unique(lab, return_index=True)[1]
+    poly = dims[lab] == 2
+    q, owner = K.covering(e[poly], lab[poly], e[first, 0], e[first, 1])
+    pairs = np.concatenate([touch[:, 1:], np.column_stack([lab[first][q], owner])])
+    pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+    if not len(pairs):
+        return none, none
+    _, u, v = _spanning_links(np.zeros(len(pairs), np.int64), 1, pairs[:, 0], pairs[:, 1])
+    return u, v
 
-    return rows.mapInArrow(run, schema)
+
+def touching_links(df: DataFrame, plan: TilePlan, node: str, geom: str = "geom") -> DataFrame:
+    """Links between features that touch or overlap, thinned to what connects each tile.
+
+    Tiles that cannot be cut further are taken in chunks: each chunk links its own features and
+    passes on the outlines of its clusters, which then meet those of the other chunks.
+    """
+    ship(df.sparkSession)
+    pieces = split_to_tiles(df, plan, [node], geom).select("tile", F.col(node).alias("n"), "dim", "edges")
+    feature = F.collect_set(F.struct("n", "dim", "edges")).alias("f")
+    if plan.crowded is None:
+        return _tile_links(pieces.groupBy("tile").agg(feature), False).select("u", "v")
+    marked = pieces.join(plan.crowded, "tile", "left")
+    calm = _tile_links(marked.where("chunks IS NULL").groupBy("tile").agg(feature), False).select("u", "v")
+    chunk = F.pmod(F.xxhash64("n"), F.col("chunks")).alias("chunk")
+    first = marked.where("chunks IS NOT NULL").groupBy("tile", chunk).agg(feature)
+    first = checkpoint(_tile_links(first, True))
+    again = first.where("v IS NULL").select("tile", F.col("u").alias("n"), "dim", "edges")
+    second = _tile_links(again.groupBy("tile").agg(feature), False).select("u", "v")
+    return calm.unionByName(first.where("v IS NOT NULL").select("u", "v")).unionByName(second)
 
 
 def cluster_touching(df: DataFrame, key: str, plan: TilePlan | None = None, geom: str = "geom") -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import geometry as G
-from ..session import ship
+from ..session import checkpoint, ship
 from . import batches as B
 from . import kernel as K
 from .components import connected_components
@@ -134,18 +134,42 @@ def union_buffer(df, radius: Column | str, plan=None, style="round", by=(), geom
 # ---------------------------------------------------------------------------- whole polygons
 
 
-def assemble(reg: DataFrame, by: Sequence[str] = (), srid: int = G.TARGET_SRID) -> DataFrame:
-    """Chain the boundary of each ``by`` group into its polygons: one row per polygon.
+WHOLE_EDGES = 2_000_000
 
-    A group here becomes geometry values of that size, so use it for groups that are features
-    (a zone, a dissolved part), not for a whole country's road network.
+
+def assemble(reg: DataFrame, by: Sequence[str] = (), srid: int = G.TARGET_SRID, max_edges: int = WHOLE_EDGES) -> DataFrame:
+    """Chain the boundary of each ``by`` group into polygons: one row per polygon.
+
+    A polygon is one value in one row, so only groups of up to ``max_edges`` boundary edges are
+    put together. Larger ones come back complete but cut at the tile borders, with ``whole`` =
+    false. Output: the keys, ``part``, ``geom``, ``whole``.
     """
     keys = list(by)
-    group = reg if keys else reg.withColumn("_all", F.lit(0))
-    keys = keys or ["_all"]
-    edges = group.groupBy(*keys).agg(F.flatten(F.collect_list("edges")).alias("edges"))
-    out = chain_rows(edges, keys, srid)
-    return out.drop("_all")
+    reg = checkpoint(reg.select(*keys, "tile", "edges"))
+    size = reg.groupBy(*keys).agg(F.sum(F.size("edges") / 4).alias("_n"))
+    big = size.where(F.col("_n") > max_edges)
+    if big.isEmpty():
+        return _whole(reg, keys, srid).withColumn("whole", F.lit(True))
+    if not keys:
+        return tile_polygons(reg, keys, srid).withColumn("whole", F.lit(False))
+    marked = reg.join(big, keys, "left")
+    small = _whole(marked.where("_n IS NULL"), keys, srid).withColumn("whole", F.lit(True))
+    large = tile_polygons(marked.where("_n IS NOT NULL"), keys, srid).withColumn("whole", F.lit(False))
+    return small.unionByName(large)
+
+
+def _whole(reg: DataFrame, keys: Sequence[str], srid: int) -> DataFrame:
+    edges = reg.where(F.size("edges") > 0).groupBy(*keys).agg(F.flatten(F.collect_list("edges")).alias("edges"))
+    return chain_rows(edges, keys, srid)
+
+
+def tile_polygons(reg: DataFrame, by: Sequence[str] = (), srid: int = G.TARGET_SRID) -> DataFrame:
+    """The polygons of a region inside each tile (columns ``by``, ``part``, ``geom``).
+
+    They tile the region without overlap; tile borders show up in their outlines.
+    """
+    out = _tile_parts(reg, srid, by)
+    return out.select(*by, F.element_at(F.split("node", ":"), -1).cast("int").alias("part"), "geom")
 
 
 def chain_rows(rows: DataFrame, keep: Sequence[str], srid: int = G.TARGET_SRID) -> DataFrame:
@@ -177,9 +201,11 @@ SEAM = T.StructType([
 ])
 
 
-def _tile_parts(reg: DataFrame, srid: int) -> DataFrame:
+def _tile_parts(reg: DataFrame, srid: int, keep: Sequence[str] = ()) -> DataFrame:
     """Polygons inside each tile, with the stretches where they reach the tile's border."""
+    keep = list(keep)
     schema = T.StructType([
+        *[reg.schema[c] for c in keep],
         T.StructField("node", T.StringType()), T.StructField("edges", T.ArrayType(T.DoubleType())), *MEASURES,
         T.StructField("geom", G.GEOM), T.StructField("seams", T.ArrayType(SEAM)),
     ])
@@ -214,12 +240,12 @@ def _tile_parts(reg: DataFrame, srid: int) -> DataFrame:
                         border.append((1, q[0], int(q[0] > x0[r]), min(q[1], q[3]), max(q[1], q[3])))
                     seams.append([dict(zip(("axis", "at", "side", "lo", "hi"), z)) for z in border])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes, pa.string()), pa.array([x.tolist() for x in edges], B.EDGES), pa.array(areas, pa.float64()),
+                    [s.column(c).take(pa.array(owner)) for c in keep] + [pa.array(nodes, pa.string()), pa.array([x.tolist() for x in edges], B.EDGES), pa.array(areas, pa.float64()),
                      pa.array(lengths, pa.float64()), B.polygons_to_arrow([[p[1]] for p in polys], srid), pa.array(seams, seam_type)],
                     names=schema.names,
                 )
 
-    return reg.select("tile", "edges").mapInArrow(run, schema)
+    return reg.select(*keep, "tile", "edges").mapInArrow(run, schema)
 
 
 def dissolved_parts(reg: DataFrame, plan: TilePlan, srid: int = G.TARGET_SRID) -> DataFrame:
@@ -238,7 +264,8 @@ def dissolved_parts(reg: DataFrame, plan: TilePlan, srid: int = G.TARGET_SRID) -
     links = a.join(b, ["axis", "at", "bucket"]).where((F.least("hi", "ahi") > F.greatest("lo", "alo"))).select("u", "v").distinct()
     label = connected_components(links)
     out = parts.join(label, parts["node"] == label["id"], "left")
-    return out.select(F.coalesce("component", "node").alias("part"), "edges", "area", "perimeter", "geom")
+    tile = F.element_at(F.split("node", ":"), 1).cast("long").alias("tile")
+    return out.select(F.coalesce("component", "node").alias("part"), tile, "edges", "area", "perimeter", "geom")
 
 
 def dissolve(a: DataFrame, b: DataFrame, plan: TilePlan | None = None, srid: int = G.TARGET_SRID) -> DataFrame:
@@ -251,6 +278,19 @@ def dissolve(a: DataFrame, b: DataFrame, plan: TilePlan | None = None, srid: int
 
 
 def dissolve_polygons(a: DataFrame, b: DataFrame, plan: TilePlan | None = None, srid: int = G.TARGET_SRID) -> DataFrame:
-    """``dissolve`` with every part assembled into one polygon row."""
-    parts = dissolve(a, b, plan, srid).where(F.size("edges") > 0)
-    return assemble(parts.withColumnRenamed("part", "component"), ["component"], srid)
+    """``dissolve`` with every part assembled into one polygon row.
+
+    Parts too large for one row keep their tile rows (``whole`` = false).
+    """
+    parts = checkpoint(dissolve(a, b, plan, srid))
+    n = parts.groupBy("part").agg(F.sum(F.size("edges") / 4).alias("_n")).where(F.col("_n") > WHOLE_EDGES)
+    small, large = parts, None
+    if not n.isEmpty():
+        small, large = parts.join(n, "part", "left_anti"), parts.join(n, "part", "left_semi")
+    edges = small.where(F.size("edges") > 0).withColumnRenamed("part", "component")
+    edges = edges.groupBy("component").agg(F.flatten(F.collect_list("edges")).alias("edges"))
+    out = chain_rows(edges, ["component"], srid).withColumn("whole", F.lit(True))
+    if large is not None:
+        rest = large.select(F.col("part").alias("component"), F.lit(0).alias("part"), "geom", F.lit(False).alias("whole"))
+        out = out.unionByName(rest)
+    return out

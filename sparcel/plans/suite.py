@@ -17,7 +17,7 @@ from ..operators import attributes as A
 from ..operators import checks as C
 from ..operators import relations as R
 from ..operators.components import cluster_touching
-from ..operators.overlay import overlay_intersection, overlay_measures, spatial_join
+from ..operators.overlay import lines_in_region, overlay_intersection, overlay_measures, spatial_join
 from ..operators.tiling import plan_tiles
 from ..operators.union import assemble, dissolve, dissolve_polygons, measure, region, union_buffer, union_where_equals, union_where_like
 from ..session import scratch, tune
@@ -398,8 +398,8 @@ def overlay_crop(spark, d):
     """Crop the road layer to one département and let the result replace the layer."""
     zones, roads = X.zones(spark, d), X.roads(spark, d)
     plan = plan_tiles([zones, roads])
-    dep = assemble(union_where_equals(zones, "insee_dep", "03", plan))
-    o = overlay_intersection(dep.select("part", "geom"), roads, [], ["cleabs", "nature"], key_a=["part"], plan=plan)
+    dep = union_where_equals(zones, "insee_dep", "03", plan)
+    o = lines_in_region(dep, roads, plan, [], ["cleabs"], ["cleabs", "nature"])
     return R.replace_relation(o, "road_layer").select("cleabs", "nature", _r(G.length()).alias("length"))
 
 
@@ -472,6 +472,14 @@ def union_where_equals_dep(spark, d):
     return _measured(union_where_equals(X.zones(spark, d), "insee_dep", "02"))
 
 
+@query(f"WITH {cte('zone')}, q AS (SELECT insee_dep, x0, y0, x1, y1 FROM zone), {cells('q', extra='insee_dep')} SELECT insee_dep, CAST(count(*) AS DOUBLE) AS area, 'ST_Polygon' AS type FROM cells GROUP BY insee_dep")
+def union_by_dep_polygons(spark, d):
+    """Départements as whole polygons, from the union of their zones."""
+    zones = X.zones(spark, d)
+    out = assemble(region(zones, by=["insee_dep"]), ["insee_dep"])
+    return out.select("insee_dep", _r(G.area()).alias("area"), G.type_name().alias("type"))
+
+
 @query(f"WITH {cte('landcover')}, q AS (SELECT * FROM landcover WHERE classe LIKE '%U%D%'), {cells('q')} {TOTAL}")
 def union_where_like_class(spark, d):
     return _measured(union_where_like(X.landcover(spark, d), "classe", "%U%D%"))

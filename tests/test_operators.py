@@ -321,3 +321,14 @@ def test_report_from_source_layers(spark):
     assert a["LeTroUrb"] == pytest.approx(0.3)
     with pytest.raises(ValueError):
         P.car_space_report(*args, "971")
+
+
+def test_assemble_leaves_too_large_groups_in_tiles(discs):
+    reg = region(discs.withColumn("half", F.col("id") % 2), TilePlan(5), by=["half"])
+    whole = assemble(reg, ["half"])
+    cut = assemble(reg, ["half"], max_edges=10)
+    assert whole.where("NOT whole").count() == 0 and cut.where("whole").count() == 0
+    a = {r["half"]: r["a"] for r in whole.groupBy("half").agg(F.sum(G.area()).alias("a")).collect()}
+    b = {r["half"]: r["a"] for r in cut.groupBy("half").agg(F.sum(G.area()).alias("a")).collect()}
+    assert a == pytest.approx(b, rel=1e-7)
+    assert assemble(region(discs, TilePlan(5)), max_edges=10).where("whole").count() == 0
