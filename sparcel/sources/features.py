@@ -187,11 +187,20 @@ def read_features(
     srid: int = G.TARGET_SRID, columns: Sequence[str] | None = None, box: Sequence[float] | None = None,
     fmt: str = "parquet", geom: str = "geom", **options,
 ) -> DataFrame:
-    """Read a layer whose geometry is a WKB or WKT column.
+    """Read a layer: a WKB or WKT column of any Spark format, or ``shapefile`` / ``gpkg`` files.
 
     ``layer`` names a sub-folder of ``path`` holding several layers. ``box`` (xmin, ymin, xmax,
     ymax) prunes on the stored bounding boxes inside the scan; ``columns`` limits the attributes.
     """
+    if fmt in ("shapefile", "gpkg"):
+        from .files import SOURCES
+
+        ship(spark)
+        spark.dataSource.register(SOURCES[fmt])
+        extra = {"layer": layer} if layer is not None else {}
+        out = spark.read.format(SOURCES[fmt].name()).options(srid=srid, **extra, **options).load(path)
+        attrs = [c for c in out.columns if c != "geom"] if columns is None else list(columns)
+        return out.select(*attrs, F.col("geom").alias(geom))
     where = path if layer is None else f"{path.rstrip('/')}/{layer}"
     df = spark.read.format(fmt).options(**options).load(where)
     if box is not None:
