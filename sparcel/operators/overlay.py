@@ -47,7 +47,9 @@ def pair_pieces(pieces_a: DataFrame, pieces_b: DataFrame, keep_a, keep_b) -> Dat
         (F.col("bx0") <= F.col("bx1_b") + slack) & (F.col("bx0_b") <= F.col("bx1") + slack)
         & (F.col("by0") <= F.col("by1_b") + slack) & (F.col("by0_b") <= F.col("by1") + slack)
     )
-    return pieces_a.join(pb, "tile").where(near).select(*keep_a, *keep_b, "tile", "dim", "edges", F.col("dim_b"), F.col("edges_b"))
+    # The size of cut pieces cannot be known beforehand, so no side is broadcast on an estimate:
+    # both are shuffled by tile, and a hot partition is split by adaptive execution.
+    return pieces_a.join(pb.hint("merge"), "tile").where(near).select(*keep_a, *keep_b, "tile", "dim", "edges", F.col("dim_b"), F.col("edges_b"))
 
 
 def region_pieces(reg: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -332,6 +334,25 @@ def overlay_intersection(
     return out.select(*names, "geom")
 
 
+def overlay_pairs(
+    a: DataFrame, b: DataFrame, key_a: Sequence[str], key_b: Sequence[str], plan: TilePlan | None = None, check: bool = True
+) -> DataFrame:
+    """One row per intersecting pair, its pieces kept together as one multi geometry.
+
+    Columns ``a_*`` and ``b_*`` for the keys. Pairs that do not meet in b's dimension are left out.
+    """
+    names_a, names_b = [f"a_{k}" for k in key_a], [f"b_{k}" for k in key_b]
+    ra = a.select(*[F.col(k).alias(n) for k, n in zip(key_a, names_a)], "geom")
+    rb = b.select(*[F.col(k).alias(n) for k, n in zip(key_b, names_b)], "geom")
+    pieces = overlay_intersection(ra, rb, names_a, names_b, plan=plan, check=check)
+    g = F.col("geom")
+    out = pieces.groupBy(*names_a, *names_b).agg(
+        F.first(g["srid"]).alias("srid"), F.first(g["dim"]).alias("dim"), F.flatten(F.collect_list(g["parts"])).alias("parts")
+    )
+    geom = F.struct("srid", "dim", F.lit(True).alias("multi"), "parts")
+    return out.select(*names_a, *names_b, geom.alias("geom"))
+
+
 def overlay_measures(
     a: DataFrame, b: DataFrame, by: Sequence[str], plan: TilePlan | None = None, key_b: Sequence[str] = ()
 ) -> DataFrame:

@@ -17,7 +17,7 @@ from ..operators import attributes as A
 from ..operators import checks as C
 from ..operators import relations as R
 from ..operators.components import cluster_touching
-from ..operators.overlay import lines_in_region, overlay_intersection, overlay_measures, spatial_join
+from ..operators.overlay import lines_in_region, overlay_intersection, overlay_measures, overlay_pairs, spatial_join
 from ..operators.tiling import plan_tiles
 from ..operators.union import assemble, dissolve, dissolve_polygons, measure, region, union_buffer, union_where_equals, union_where_like
 from ..session import scratch, tune
@@ -376,6 +376,13 @@ def overlay_polygon_dense(spark, d):
     return o.select("cleabs", "id", _r(G.area()).alias("area"), _r(G.perimeter()).alias("perimeter"))
 
 
+@query(f"""WITH {cte('zone', 'landcover')}, q AS (SELECT insee_com, id, {_BOX} FROM zone a, landcover b WHERE a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1)
+SELECT insee_com AS a_insee_com, id AS b_id, CAST(w*h AS DOUBLE) AS area, 'ST_MultiPolygon' AS type FROM q""")
+def overlay_pairs_multi(spark, d):
+    o = overlay_pairs(X.zones(spark, d), X.landcover(spark, d), ["insee_com"], ["id"])
+    return o.select("a_insee_com", "b_id", _r(G.area()).alias("area"), G.type_name().alias("type"))
+
+
 @query(f"""WITH {cte('zone', 'road')}, q AS (SELECT insee_com, cleabs, {_BOX} FROM zone a JOIN road b ON b.x0 <= a.x1 AND b.x1 >= a.x0 AND b.y0 <= a.y1 AND b.y1 >= a.y0)
 SELECT insee_com, cleabs, CAST(w+h AS DOUBLE) AS length, 2 AS vertices FROM q WHERE w + h > 0""")
 def overlay_line(spark, d):
