@@ -501,6 +501,35 @@ def _holds(ring, x, y):
     return int(np.count_nonzero(a[:, 0] + (y - a[:, 1]) / (b[:, 1] - a[:, 1]) * (b[:, 0] - a[:, 0]) > x)) % 2 == 1
 
 
+def _close_gaps(pts, vid, n):
+    """Let an edge that ends a grid step or two beside the start of the next one end there.
+
+    Nearly coincident edges may be cut a grid step apart; only vertices with more edges coming in
+    than going out (or the reverse) are moved.
+    """
+    size = int(vid.max()) + 1
+    surplus = np.bincount(vid[n:], minlength=size) - np.bincount(vid[:n], minlength=size)
+    if not surplus.any():
+        return vid
+    where = np.zeros((size, 3))
+    where[vid] = pts
+    reach = 4 * TOL
+    starts: dict = {}
+    for k in np.flatnonzero(surplus < 0):
+        grp, x, y = where[k]
+        starts.setdefault((grp, int(x // reach), int(y // reach)), []).append(k)
+    move = np.arange(size)
+    for k in np.flatnonzero(surplus > 0):
+        grp, x, y = where[k]
+        cx, cy = int(x // reach), int(y // reach)
+        near = [s for i in (-1, 0, 1) for j in (-1, 0, 1) for s in starts.get((grp, cx + i, cy + j), []) if surplus[s] < 0]
+        if near:
+            s = min(near, key=lambda s: np.hypot(*(where[s, 1:] - where[k, 1:])))
+            move[k] = s
+            surplus[s] += surplus[k]
+    return move[vid]
+
+
 def chain(g, e, drop_lattice=True):
     """Directed edges -> list of (group, [shell, hole, ...]); rings are closed (k, 2) arrays."""
     n = len(e)
@@ -509,6 +538,7 @@ def chain(g, e, drop_lattice=True):
     pts = np.column_stack([np.concatenate([g, g]), np.concatenate([e[:, :2], e[:, 2:]])])
     _, vid = np.unique(pts, axis=0, return_inverse=True)
     vid = vid.ravel()
+    vid = _close_gaps(pts, vid, n)
     start, end = vid[:n], vid[n:]
     angle = np.arctan2(e[:, 3] - e[:, 1], e[:, 2] - e[:, 0])
     order = np.argsort(start, kind="stable")
@@ -533,7 +563,10 @@ def chain(g, e, drop_lattice=True):
             if len(ring) < 3:
                 return
             ring = np.concatenate([ring, ring[:1]])
-        rings.append((int(g[path[0]]), ring, _ring_area(ring)))
+        a = _ring_area(ring)
+        # thinner than the tolerance: two edges that should have been one
+        if abs(a) > TOL * np.abs(np.diff(ring, axis=0)).sum():
+            rings.append((int(g[path[0]]), ring, a))
 
     for s in range(n):
         if seen[s]:

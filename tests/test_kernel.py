@@ -141,3 +141,38 @@ def test_round_strip_has_the_closed_form_area(ax, ay, bx, by, r):
     area, perimeter, _ = union([ring.tolist()], 16.0)
     assert area == pytest.approx(2 * r * length + 16 * r * r * np.sin(np.pi / 16), rel=1e-5, abs=1e-3)
     assert perimeter == pytest.approx(2 * length + 64 * r * np.sin(np.pi / 32), rel=1e-5, abs=1e-3)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_road_network_with_nearly_coincident_strips(seed):
+    """Straight roads cut in pieces with the same width: sides that only just miss each other."""
+    rng = np.random.default_rng(seed)
+    base = np.array([700000.0, 6600000.0]) if seed % 2 else np.zeros(2)
+    segs, rad = [], []
+    for _ in range(40):
+        a = rng.uniform(0, 400, 2)
+        b, n = a + rng.uniform(-200, 200, 2), rng.integers(1, 9)
+        p = K.snap(a + np.outer(np.linspace(0, 1, n + 1), b - a) + base)
+        r = rng.integers(3, 10) / (1.0 if seed % 3 else 3.0)
+        segs += [[*p[i], *p[i + 1]] for i in range(n)]
+        c = p[rng.integers(0, n + 1)]
+        segs.append([*c, *K.snap(c + rng.uniform(-80, 80, 2))])
+        rad += [r] * (n + 1)
+    k, ring = K.strips(np.array(segs), np.array(rad))
+    seen = []
+    for size in (1024.0, 64.0, 16.0):
+        _, key, g, _, loc = tiles(k, ring, size)
+        arr = K.Arrangement(g, len(key), loc, np.zeros(len(g), int), 1)
+        assert arr.left.min() >= 0 and arr.right.min() >= 0
+        bg, be = arr.boundary(lambda c: c[:, 0] > 0)
+        glob = be + np.tile(key[bg] * size, 2)
+        real = ~K.is_seam(be)
+        polys = K.chain(np.zeros(real.sum(), int), glob[real])
+        total = K.area(bg, len(key), be).sum()
+        x0, y0 = key[:, 0] * size + K.OFFSET, key[:, 1] * size + K.OFFSET
+        cg, ce = K.close_tiles(bg, glob, x0, y0, x0 + size)
+        closed = sum(K._ring_area(r) for _, part in K.chain(cg, ce, drop_lattice=False) for r in part)
+        assert closed == pytest.approx(total, rel=1e-6)
+        assert sum(K._ring_area(r) for _, part in polys for r in part) == pytest.approx(total, rel=1e-6)
+        seen.append((len(polys), total, K.perimeter(bg, len(key), be).sum()))
+    assert seen[0] == pytest.approx(seen[1], rel=1e-6) and seen[0] == pytest.approx(seen[2], rel=1e-6)
