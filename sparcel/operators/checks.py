@@ -21,45 +21,70 @@ def srids(df: DataFrame, geom: str = "geom") -> DataFrame:
     return df.where(F.col(geom).isNotNull()).select(F.col(geom)["srid"].alias("srid")).distinct()
 
 
-def _facts(df: DataFrame, geom: str):
+def layer_facts(*layers: DataFrame, geom: str = "geom") -> list[dict]:
+    """First and last type name and SRID of every layer, from one job over four nested fields.
+
+    Values are None for an empty layer.
+    """
     g = F.col(geom)
     kind = G.type_name(F.struct(g["dim"].alias("dim"), g["multi"].alias("multi")))
-    return df.where(g.isNotNull()).agg(
-        F.min(kind).alias("low"), F.max(kind).alias("high"), F.min(g["srid"]).alias("s0"), F.max(g["srid"]).alias("s1")
-    ).first()
+    rows = None
+    for k, df in enumerate(layers):
+        r = df.where(g.isNotNull()).select(F.lit(k).alias("layer"), kind.alias("kind"), g["srid"].alias("srid"))
+        rows = r if rows is None else rows.unionByName(r)
+    found = {
+        r["layer"]: r.asDict()
+        for r in rows.groupBy("layer").agg(
+            F.min("kind").alias("low"), F.max("kind").alias("high"), F.min("srid").alias("srid_low"), F.max("srid").alias("srid_high")
+        ).collect()
+    }
+    empty = {"low": None, "high": None, "srid_low": None, "srid_high": None}
+    return [found.get(k, empty) for k in range(len(layers))]
+
+
+def one_type(facts: dict, allow_multi: bool = True) -> str | None:
+    if facts["low"] is None:
+        return None
+    if facts["low"] != facts["high"]:
+        raise ValueError("layer has more than one geometry type")
+    name = facts["low"][3:]
+    return name if allow_multi else name.removeprefix("Multi")
+
+
+def one_srid(*facts: dict) -> int | None:
+    """The SRID that all layers share; ValueError if they do not."""
+    found = set()
+    for f in facts:
+        if f["srid_low"] != f["srid_high"]:
+            raise ValueError("layer mixes reference systems")
+        if f["srid_low"] is not None:
+            found.add(f["srid_low"])
+    if len(found) > 1:
+        raise ValueError("layers do not share the same SRID")
+    return found.pop() if found else None
 
 
 def single_type(df: DataFrame, geom: str = "geom", allow_multi: bool = True) -> str | None:
     """Plain name of the layer's only geometry type; None for an empty layer.
 
-    ValueError if there are several. One aggregate over two nested fields.
+    ValueError if there are several.
     """
-    f = _facts(df, geom)
-    if f["low"] is None:
-        return None
-    if f["low"] != f["high"]:
-        raise ValueError("layer has more than one geometry type")
-    name = f["low"][3:]
-    return name if allow_multi else name.removeprefix("Multi")
+    return one_type(layer_facts(df, geom=geom)[0], allow_multi)
 
 
 def layer_srid(df: DataFrame, geom: str = "geom") -> int | None:
     """The layer's only SRID; None for an empty layer, ValueError if mixed."""
-    f = _facts(df, geom)
-    if f["s0"] != f["s1"]:
-        raise ValueError("layer mixes reference systems")
-    return f["s0"]
+    return one_srid(layer_facts(df, geom=geom)[0])
 
 
 def same_srid(a: DataFrame, b: DataFrame, geom: str = "geom") -> bool:
-    x, y = layer_srid(a, geom), layer_srid(b, geom)
+    x, y = (one_srid(f) for f in layer_facts(a, b, geom=geom))
     return x is None or y is None or x == y
 
 
 def assert_same_srid(a: DataFrame, b: DataFrame, geom: str = "geom") -> DataFrame:
     """Stack the geometry of two layers (keeping duplicates); ValueError if their SRIDs differ."""
-    if not same_srid(a, b, geom):
-        raise ValueError("layers do not share the same SRID")
+    one_srid(*layer_facts(a, b, geom=geom))
     return union_all(a, b, geom)
 
 

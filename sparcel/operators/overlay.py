@@ -20,7 +20,7 @@ from ..functions import geometry as G
 from ..session import ship
 from . import batches as B
 from . import kernel as K
-from .checks import same_srid, single_type
+from .checks import layer_facts, one_srid, one_type
 from .tiling import TilePlan, plan_tiles, split_to_tiles
 from .union import chain_rows, slices, to_global, to_local
 
@@ -303,13 +303,10 @@ def overlay_intersection(
     srid = G.TARGET_SRID
     dim = None
     if check:
-        if not same_srid(a, b):
-            raise ValueError("layers do not share the same SRID")
-        kind = single_type(b, allow_multi=False)
+        facts = layer_facts(a, b)
+        srid = one_srid(*facts) or srid
+        kind = one_type(facts[1], allow_multi=False)
         dim = DIMENSION[kind] if kind else None
-        from .checks import layer_srid
-
-        srid = layer_srid(b) or srid
     attrs = lambda df: [c for c in df.columns if c != "geom"]
     key_a, key_b = list(key_a or fields_a or attrs(a)), list(key_b or fields_b or attrs(b))
     plan = plan or plan_tiles([a, b])

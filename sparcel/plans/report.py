@@ -164,6 +164,14 @@ def _by(*cols):
     return Window.partitionBy(*cols)
 
 
+def within_box(df: DataFrame, box: Sequence[float], geom: str = "geom") -> DataFrame:
+    """Rows whose bounding box meets ``box``; uses stored boxes (pruned in the scan) if there are any."""
+    if not {"xmin", "ymin", "xmax", "ymax"} <= set(df.columns):
+        x0, y0, x1, y1 = G.bounds(geom)
+        return df.where((x1 >= box[0]) & (y1 >= box[1]) & (x0 <= box[2]) & (y0 <= box[3]))
+    return df.where((F.col("xmax") >= box[0]) & (F.col("ymax") >= box[1]) & (F.col("xmin") <= box[2]) & (F.col("ymin") <= box[3]))
+
+
 def report_plan(zones, equipment, roads, urban) -> TilePlan:
     """Tile plan of the analysis; a road weighs as much as its buffer."""
     layers = [df.select("geom") for df in (zones, equipment, roads, urban)]
@@ -183,8 +191,11 @@ def car_space_report(
     if departement is not None:
         code = str(departement).rjust(2, "0")
         zones = zones.where(F.col("insee_dep") == code)
-        if zones.isEmpty():
+        box = zones.select(*G.bounds()).agg(F.min("xmin"), F.min("ymin"), F.max("xmax"), F.max("ymax")).first()
+        if box[0] is None:
             raise ValueError(f"no zones for département {departement}")
+        # what does not reach the département cannot count: drop it before anything is cut
+        equipment, roads, urban = (within_box(df, box) for df in (equipment, roads, urban))
     stray = F.raise_error(F.concat(F.lit("zone outside its département: "), F.col("insee_com"))).cast("string")
     zones = zones.withColumn("insee_com", F.when(F.startswith("insee_com", "insee_dep"), F.col("insee_com")).otherwise(stray))
     sums = zone_sums(zones, equipment, roads, urban, radius, style, plan, road_key)

@@ -184,13 +184,14 @@ def save_layer(df: DataFrame, name: str, geom: str = "geom") -> None:
 
 def read_features(
     spark: SparkSession, path: str, layer: str | None = None, column: str = "wkb", encoding: str = "wkb",
-    srid: int = G.TARGET_SRID, columns: Sequence[str] | None = None, box: Sequence[float] | None = None,
+    srid: int = G.TARGET_SRID, columns: Sequence[str] | None = None, box: Sequence[float] | None = None, keep_bounds: bool = False,
     fmt: str = "parquet", geom: str = "geom", **options,
 ) -> DataFrame:
     """Read a layer: a WKB or WKT column of any Spark format, or ``shapefile`` / ``gpkg`` files.
 
     ``layer`` names a sub-folder of ``path`` holding several layers. ``box`` (xmin, ymin, xmax,
-    ymax) prunes on the stored bounding boxes inside the scan; ``columns`` limits the attributes.
+    ymax) prunes on the stored bounding boxes inside the scan; ``columns`` limits the attributes;
+    ``keep_bounds`` keeps the stored boxes as columns, for later pruning.
     """
     if fmt in ("shapefile", "gpkg"):
         from .files import SOURCES
@@ -205,7 +206,8 @@ def read_features(
     df = spark.read.format(fmt).options(**options).load(where)
     if box is not None:
         df = df.where((F.col("xmax") >= box[0]) & (F.col("ymax") >= box[1]) & (F.col("xmin") <= box[2]) & (F.col("ymin") <= box[3]))
-    attrs = [c for c in df.columns if c not in (column, *BOX)] if columns is None else list(columns)
+    drop = (column,) if keep_bounds else (column, *BOX)
+    attrs = [c for c in df.columns if c not in drop] if columns is None else list(columns)
     df = df.select(*attrs, column)
     if encoding == "wkt":
         return df.select(*attrs, from_wkt(column, srid).alias(geom))
