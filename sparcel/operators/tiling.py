@@ -26,6 +26,7 @@ from . import kernel as K
 MIN_LEVEL, MAX_LEVEL = 2, 20  # tiles of 4 m to 1049 km
 TARGET_VERTICES = 600
 HOT_FACTOR = 16
+COMBINE_PIECES = 64
 
 TILE_FIELDS = [
     T.StructField("tile", T.LongType()), T.StructField("dim", T.ByteType()),
@@ -164,7 +165,8 @@ def _split(row, dim_of_edge, e, p, level, floor=None):
 
 
 def split_to_tiles(
-    df: DataFrame, plan: TilePlan, keep: Sequence[str], geom: str = "geom", radius: Column | str | None = None, style: str = "round"
+    df: DataFrame, plan: TilePlan, keep: Sequence[str], geom: str = "geom", radius: Column | str | None = None, style: str = "round",
+    combine: bool = False,
 ) -> DataFrame:
     """Cut features at tile borders: one row per feature and tile.
 
@@ -175,6 +177,9 @@ def split_to_tiles(
     With ``radius``, the features are buffered first (see ``functions.geometry.buffer``); the many
     vertices of the buffers then exist only inside the batch that cuts them. Rows with a NULL
     radius give nothing.
+
+    ``combine`` is for unions: pieces of one batch that pile up on a tile (with equal ``keep``
+    values) are united before they are shuffled. Their bounding boxes are not kept.
     """
     ship(df.sparkSession)
     keep = list(keep)
@@ -194,7 +199,8 @@ def split_to_tiles(
             step = np.where(d == 0, 0.0, 1.0)
             r = _split(row, d, e, np.column_stack([p, p + step]), level)
             cols = _tile_batch([b.column(i) for i in range(len(keep))], *r)
-            yield pa.RecordBatch.from_arrays(cols, names=keep + [f.name for f in TILE_FIELDS])
+            out = pa.RecordBatch.from_arrays(cols, names=keep + [f.name for f in TILE_FIELDS])
+            yield combine_pieces(out, keep) if combine else out
 
     source = df.where(F.size(F.col(geom)["parts"]) > 0)
     if radius is not None:
@@ -215,6 +221,42 @@ def split_to_tiles(
     return out
 
 
+def combine_pieces(batch: pa.RecordBatch, keep: Sequence[str]) -> pa.RecordBatch:
+    """Unite the pieces of a batch that share tile and ``keep``, a bounded number at a time."""
+    while batch.num_rows >= COMBINE_PIECES:
+        codes = [B.one(batch.column("tile")).to_numpy()]
+        codes += [B.one(batch.column(c)).dictionary_encode().indices.fill_null(-1).to_numpy() for c in keep]
+        _, group, count = np.unique(np.column_stack(codes), axis=0, return_inverse=True, return_counts=True)
+        group = group.ravel()
+        pile = count[group] >= COMBINE_PIECES
+        if not pile.any():
+            break
+        order = np.argsort(group, kind="stable")
+        rank = np.empty(len(group), np.int64)
+        rank[order] = K.ranges(count)
+        # chunks of a pile
+        _, first, chunk = np.unique(
+            np.column_stack([group[pile], rank[pile] // COMBINE_PIECES]), axis=0, return_index=True, return_inverse=True
+        )
+        chunk = chunk.ravel()
+        piled = batch.filter(pa.array(pile))
+        head = piled.take(pa.array(first))
+        row, e = B.read_edges(piled.column("edges"), 4)
+        size, ox, oy = B.unpack(head.column("tile").to_numpy())
+        g, n = chunk[row], head.num_rows
+        origin = np.tile(np.column_stack([ox, oy]), 2)
+        a = K.Arrangement(g, n, e - origin[g], np.zeros(len(g), np.int64), 1)
+        bg, be = a.boundary(lambda c: c[:, 0] > 0)
+        o = np.argsort(bg, kind="stable")
+        lists = B.edge_lists(bg[o], n, be[o] + origin[bg[o]])
+        box = [ox + K.OFFSET, oy + K.OFFSET, ox + size + K.OFFSET, oy + size + K.OFFSET]
+        cols = [head.column(c) for c in (*keep, "tile", "dim")] + [lists] + [pa.array(v) for v in box]
+        united = pa.RecordBatch.from_arrays(cols, names=batch.schema.names)
+        rest = batch.filter(pa.array(~pile))
+        batch = pa.Table.from_batches([rest, united.cast(rest.schema)]).combine_chunks().to_batches()[0]
+    return batch
+
+
 def _refine(pieces: DataFrame, hot: DataFrame, level: int, keep, fields) -> DataFrame:
     """Cut the pieces in hot tiles at the next level; the others pass unchanged."""
     names = keep + [f.name for f in TILE_FIELDS]

@@ -91,7 +91,7 @@ def region(df: DataFrame, plan: TilePlan | None = None, by: Sequence[str] = (),
     plan = plan or plan_tiles([df.withColumnRenamed(geom, "geom")])
     ship(df.sparkSession)
     polygons = df.where(F.col(geom)["dim"] == 2)
-    pieces = split_to_tiles(polygons, plan, by, geom).select(*by, "tile", "edges")
+    pieces = split_to_tiles(polygons, plan, by, geom, combine=True).select(*by, "tile", "edges")
     return merge_pieces(pieces, plan, by)
 
 
@@ -127,7 +127,7 @@ def union_buffer(df, radius: Column | str, plan=None, style="round", by=(), geom
     straight into the union.
     """
     plan = plan or plan_tiles([df.withColumnRenamed(geom, "geom")], weights=[10.0])
-    pieces = split_to_tiles(df, plan, by, geom, radius, style).select(*by, "tile", "edges")
+    pieces = split_to_tiles(df, plan, by, geom, radius, style, combine=True).select(*by, "tile", "edges")
     return merge_pieces(pieces, plan, by)
 
 

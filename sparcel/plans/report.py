@@ -130,8 +130,8 @@ def zone_sums(
     wide = A.median_fill(pieces, "largeur", [dep, "nature"])
     # car space: buffered roads of a département, and equipment in every département of the tile.
     # Cutting equipment at the département changes nothing, as zones lie inside theirs.
-    strips = split_to_tiles(wide, plan, [dep], radius=radius, style=style).select(dep, "tile", "edges")
-    plots = split_to_tiles(equipment.select("geom"), plan, []).select("tile", "edges")
+    strips = split_to_tiles(wide, plan, [dep], radius=radius, style=style, combine=True).select(dep, "tile", "edges")
+    plots = split_to_tiles(equipment.select("geom"), plan, [], combine=True).select("tile", "edges")
     plots = plots.join(deps.select(dep, "tile").hint("merge"), "tile").select(dep, "tile", "edges")
     car = merge_pieces(strips.unionByName(plots), plan, [dep]).select(dep, "tile", F.col("edges").alias("car"))
     town = region(urban.select("geom"), plan).select("tile", F.col("edges").alias("urban"))

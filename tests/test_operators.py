@@ -332,3 +332,18 @@ def test_assemble_leaves_too_large_groups_in_tiles(discs):
     b = {r["half"]: r["a"] for r in cut.groupBy("half").agg(F.sum(G.area()).alias("a")).collect()}
     assert a == pytest.approx(b, rel=1e-7)
     assert assemble(region(discs, TilePlan(5)), max_edges=10).where("whole").count() == 0
+
+
+def test_pieces_are_combined_before_the_shuffle(spark):
+    rnd = random.Random(11)
+    rows = [(k, disc(20 + rnd.uniform(-3, 3), 20 + rnd.uniform(-3, 3), rnd.uniform(1, 4), 10)) for k in range(500)]
+    df = layer(spark, rows, 2).withColumn("half", F.col("id") % 2).coalesce(1)
+    plain = tiling.split_to_tiles(df, TilePlan(6), ["half"])
+    packed = tiling.split_to_tiles(df, TilePlan(6), ["half"], combine=True)
+    # two piles of 250 pieces, at most 64 of which are united at a time
+    assert plain.count() == 500 and packed.count() == 8
+    whole = {r["half"]: (r["area"], r["perimeter"]) for r in measure(region(df, TilePlan(3), ["half"]), ["half"]).collect()}
+    one = {r["half"]: (r["area"], r["perimeter"]) for r in measure(region(df, TilePlan(6), ["half"]), ["half"]).collect()}
+    assert whole.keys() == one.keys() == {0, 1}
+    for k in whole:
+        assert one[k] == pytest.approx(whole[k], rel=1e-6)
