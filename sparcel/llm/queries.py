@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sparcel import session
-from sparcel.llm import line_dedup, ngram_join, sharding
+from sparcel.llm import decontaminate, line_dedup, ngram_join, sharding
 from sparcel.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op2_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op3_edit_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ FROM summed JOIN best USING (doc_id)
 
 _QUERIES = {
     "op2_line_windows": op2_line_windows,
+    "op3_edit_decontamination": op3_edit_decontamination,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op9_rendezvous_shards": op9_rendezvous_shards,
 }
