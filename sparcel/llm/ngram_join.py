@@ -6,8 +6,9 @@
 2. Each class sends out the prefix of its ordered set: two sets that reach the threshold share an
    n-gram of their prefixes. Prefix n-grams that only one class has go no further.
 3. Rounds: within the classes of a prefix n-gram, in bands of sizes that can link, every class is
-   paired with a leader of another component only. Linear in the rows, and it joins large groups
-   of near copies without looking at all their pairs.
+   paired with a leader only, later with one of another component. This is linear in the rows, and
+   it joins large groups of near copies without looking at all their pairs. N-grams whose classes
+   are all in one component are done and go no further.
 4. What can still link two components is then paired completely: per prefix n-gram, the classes
    outside its largest component with all classes of other components, under the length, positional
    and suffix filters, each pair once.
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -137,14 +138,19 @@ def _batch(out: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (g, n, c): drop copies, and n-grams that only one class has. Keeps one row between batches."""
-    last = None  # (g, n, c, pos) not given out yet
+def _shared(batches: Iterator[pa.RecordBatch], threshold) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (g, n, c): drop copies and n-grams that only one class has, and name the first leader.
+
+    ``lead`` is the smallest class of the row's band: a new band begins where its first class is too
+    small to link with the row. One row and one leader are kept between batches.
+    """
+    p, q = threshold
+    last = None  # (g, c, n, pos, lead) not given out yet
     last_paired = False
     for batch in batches:
         g, c, n, pos = (batch.column(i).to_numpy() for i in range(4))
         if last is not None:
-            g, n, c, pos = (np.concatenate([[a], b]) for a, b in zip(last, (g, n, c, pos), strict=True))
+            g, c, n, pos = (np.concatenate([[a], b]) for a, b in zip(last[:4], (g, c, n, pos), strict=True))
         if not len(g):
             continue
         new = np.ones(len(g), bool)
@@ -154,15 +160,38 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paired = np.zeros(len(g), bool)
         paired[1:] |= same
         paired[:-1] |= same
+        lead = c.copy()
+        starts = np.flatnonzero(np.concatenate([[True], ~same]))
+        ends = np.append(starts[1:], len(g))
+        several = ends - starts > 1
+        several[0] |= last is not None
+        for a, b in zip(starts[several], ends[several], strict=True):
+            own, size = (last[4], last[5]) if a == 0 and last is not None else (c[a], n[a])
+            while a < b:
+                stop = a + int(np.searchsorted(n[a:b], size * q // p, "right"))
+                if stop > a:
+                    lead[a:stop] = own
+                    a = stop
+                else:
+                    own, size = c[a], n[a]
         if last is not None:
             paired[0] |= last_paired
-        last, last_paired = (g[-1], n[-1], c[-1], pos[-1]), bool(paired[-1])
+        size = n[-1]
+        if len(g) == 1 or same[-1]:
+            size = int(n[np.flatnonzero((c == lead[-1]) & (g == g[-1]))[0]]) if ((c == lead[-1]) & (g == g[-1])).any() else last[5]
+        last, last_paired = (g[-1], c[-1], n[-1], pos[-1], lead[-1], size), bool(paired[-1])
         keep = paired[:-1]
         if keep.any():
-            yield _batch([(g[:-1][keep], c[:-1][keep], n[:-1][keep].astype(np.int32), pos[:-1][keep].astype(np.int32))])
+            yield _token_batch(*(x[:-1][keep] for x in (g, c, n, pos, lead)))
     if last is not None and last_paired:
-        g, n, c, pos = last
-        yield _batch([(np.array([g]), np.array([c]), np.array([n], np.int32), np.array([pos], np.int32))])
+        yield _token_batch(*(np.array([x]) for x in last[:5]))
+
+
+def _token_batch(g, c, n, pos, lead) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(g), pa.array(c), pa.array(n.astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(lead)],
+        names=["g", "c", "n", "pos", "lead"],
+    )
 
 
 def _members(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -268,12 +297,21 @@ def _open_tokens(tokens: DataFrame) -> DataFrame:
     return tokens.join(mains, "g")
 
 
+def _first_pairs(tokens: DataFrame) -> DataFrame:
+    """Each class with the leader that it shares most prefix n-grams with."""
+    met = tokens.where("lead != c").groupBy("c", "lead").agg(F.count(F.lit(1)).alias("shared"))
+    return _ordered(met.groupBy("c").agg(F.max_by("lead", F.struct("shared", "lead")).alias("other")))
+
+
+def _ordered(met: DataFrame) -> DataFrame:
+    return met.select(F.least("c", "other").alias("a"), F.greatest("c", "other").alias("b")).distinct()
+
+
 def _leader_pairs(tokens: DataFrame, threshold) -> DataFrame:
     """For each class the leader of another component that it shares most prefix n-grams with.
 
-    Leaders stand at the size bands of a prefix n-gram: the smallest class of the band, and the
-    smallest in the largest component. Bands are as wide as the threshold, so a class looks for
-    leaders in its own band and the two next to it.
+    Leaders are the smallest classes of the components that have most rows of a prefix n-gram in a
+    band of sizes. Bands are as wide as the threshold, so a class looks in its own and the two next to it.
     """
     p, q = threshold
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(q / p))).cast("int") if p < q else F.col("n")
@@ -283,11 +321,15 @@ def _leader_pairs(tokens: DataFrame, threshold) -> DataFrame:
     near = leaders.select("g", F.explode(F.array(*[F.col("band") + F.lit(d) for d in ((-1, 0, 1) if p < q else (0,))])).alias("band"), "lead")
     met = (
         rows.join(near, ["g", "band"]).where("lead.comp != comp")
-        .where((F.least("n", "lead.low.n") * q >= F.greatest("n", "lead.low.n") * p))
+        .where(F.least("n", "lead.low.n") * q >= F.greatest("n", "lead.low.n") * p)
         .groupBy("c", F.col("lead.low.c").alias("other")).agg(F.count(F.lit(1)).alias("shared"))
-        .groupBy("c").agg(F.max_by("other", F.struct("shared", "other")).alias("other"))
     )
-    return met.select(F.least("c", "other").alias("a"), F.greatest("c", "other").alias("b")).distinct()
+    return _ordered(met.groupBy("c").agg(F.max_by("other", F.struct("shared", "other")).alias("other")))
+
+
+def _plain(key: Column) -> Column:
+    """A form of an id that is never null. Null and empty ids meet, but are used with a hash of the text only."""
+    return F.coalesce(key.cast("string"), F.lit(""))
 
 
 def ngram_components(
@@ -321,7 +363,7 @@ def ngram_components(
     tokens = (
         base.select("text").mapInArrow(lambda it: _prefixes(it, counts, width, threshold), "g long, c long, n int, pos int")
         .repartition("g").sortWithinPartitions("g", "n", "c")
-        .mapInArrow(_shared, "g long, c long, n int, pos int")
+        .mapInArrow(lambda it: _shared(it, threshold), "g long, c long, n int, pos int, lead long")
     )
     tokens = stored(tokens, "tokens")
     classes = rows.where("n > 0").groupBy("c", "k", "n").agg(
@@ -329,26 +371,28 @@ def ngram_components(
     )
     wanted = (
         classes.join(tokens.select("c").distinct(), "c", "left_semi")
-        .select(F.col("rep.id").alias("rep_id"), F.col("rep.t").alias("rep_t"), "c")
+        .select(_plain(F.col("rep.id")).alias("own"), F.col("rep.t").alias("t"), "c")
     )
     texts = (
-        base.join(wanted, F.col("id").eqNullSafe(F.col("rep_id")) & (F.col("t") == F.col("rep_t")))
-        .dropDuplicates(["rep_id", "rep_t"]).select("c", "text")
+        base.select(_plain(F.col("id")).alias("own"), "t", "text").join(wanted, ["own", "t"])
+        .dropDuplicates(["own", "t"]).select("c", "text")
     )
     sets = stored(texts.mapInArrow(lambda it: _members(it, width), _SETS), "sets")
 
-    comps = links = None
-    for number in range(ROUNDS):
-        found = _links(_leader_pairs(_open_tokens(_labelled(tokens, comps)), threshold), sets, threshold, f"links{number}")
-        if found.isEmpty():
-            break
-        links = found if links is None else links.unionByName(found)
-        comps = stored(connected_components(links), f"comps{number}")
-    left = stored(_open_tokens(_labelled(tokens, comps)), "open")
-    found = _links(_pairs(left.where("comp != main"), left, threshold), sets, threshold, "links")
-    links = found if links is None else links.unionByName(found)
-    if not found.isEmpty():
-        comps = stored(connected_components(links), "comps")
+    links, comps, left = None, None, tokens.drop("lead")
+    for number in range(ROUNDS + 1):
+        if number == 0:
+            pairs = _first_pairs(tokens)
+        elif number < ROUNDS:
+            pairs = _leader_pairs(left, threshold)
+        else:
+            pairs = _pairs(left.where("comp != main"), left, threshold)
+        found = _links(pairs, sets, threshold, f"links{number}")
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            comps = stored(connected_components(links), f"comps{number}")
+        if number < ROUNDS:
+            left = stored(_open_tokens(_labelled(left.select("g", "c", "n", "pos"), comps)), f"open{number}")
     labelled = classes.join(comps, classes.c == comps.id, "left") if comps is not None else classes.withColumn("component", F.lit(None).cast("long"))
     labelled = labelled.select("c", "k", "n", "low", F.coalesce("component", "c").alias("comp"))
     lows = labelled.groupBy("comp").agg(F.min("low").alias("component_id"))
