@@ -21,6 +21,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def checked_broadcast(df: DataFrame, most: int) -> DataFrame:
+    """Broadcast a stored table of narrow rows if it has at most ``most`` of them; else leave the join to Spark."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and hand it to ``body``, however often that refers to it."""
     return F.transform(F.array(value), body)[0]

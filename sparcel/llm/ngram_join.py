@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from sparcel.llm import hashing
-from sparcel.llm.common import stored
+from sparcel.llm.common import checked_broadcast, stored
 from sparcel.operators.components import connected_components
 
 WIDTH = 5
@@ -42,6 +42,8 @@ SKETCH, PART = 1 << 20, 1 << 12
 RANGES = 64
 #: Rounds with leaders before what is left is paired completely.
 ROUNDS = 3
+#: Most narrow rows that are broadcast to pick what a large table has to send; beyond it both sides are shuffled.
+NARROW = 200_000
 
 _SETS = "c long, n int, hist binary, members binary"
 
@@ -270,7 +272,9 @@ def _links(pairs: DataFrame, sets: DataFrame, threshold, name: str) -> DataFrame
         .select("a", "b", "n_a", "n_b", "hist_a", "hist_b")
         .mapInArrow(lambda it: _passing(it, threshold), "a long, b long")
     )
-    whole = sets.select("c", "members")
+    near = stored(near, f"near-{name}")
+    asked = stored(near.select(F.explode(F.array("a", "b")).alias("c")).distinct(), f"asked-{name}")
+    whole = sets.select("c", "members").join(checked_broadcast(asked, NARROW), "c", "left_semi")
     both = (
         near.join(whole.select(F.col("c").alias("a"), F.col("members").alias("m_a")), "a")
         .join(whole.select(F.col("c").alias("b"), F.col("members").alias("m_b")), "b")
@@ -373,6 +377,7 @@ def ngram_components(
         classes.join(tokens.select("c").distinct(), "c", "left_semi")
         .select(_plain(F.col("rep.id")).alias("own"), F.col("rep.t").alias("t"), "c")
     )
+    wanted = checked_broadcast(stored(wanted, "wanted"), NARROW)
     texts = (
         base.select(_plain(F.col("id")).alias("own"), "t", "text").join(wanted, ["own", "t"])
         .dropDuplicates(["own", "t"]).select("c", "text")
