@@ -46,40 +46,36 @@ class DoubleArray:
                     value.append(-1)
                 node = children[node][byte]
             value[node] = number
+        # the widest nodes find room first; a node with one child takes the next free place
         room = len(children) * 2 + 1024
-        base, check = np.zeros(room, np.int32), np.full(room, -1, np.int32)
-        final = np.full(room, -1, np.int32)
-        used = np.zeros(room, bool)
-        used[0] = True
-        place, free = {0: 0}, 1
-        todo = [0]
-        for node in todo:
+        used = bytearray(room)
+        used[0] = 1
+        base, place, free = [0] * len(children), [0] * len(children), 1
+        for node in sorted(range(len(children)), key=lambda x: -len(children[x])):
             kids = sorted(children[node])
             if not kids:
-                continue
-            codes = np.array(kids)
-            while used[free]:
-                free += 1
-            at = max(1, free - kids[0])
+                break
+            free = used.find(0, free)
+            at = free
             while True:
+                start = at - kids[0]
                 if at + 512 > len(used):
-                    grow = len(used)
-                    base, check, final = (np.concatenate([x, np.full(grow, f, np.int32)]) for x, f in ((base, 0), (check, -1), (final, -1)))
-                    used = np.concatenate([used, np.zeros(grow, bool)])
-                if not used[at + codes].any():
+                    used.extend(bytes(len(used)))
+                if start > 0 and not any(used[start + c] for c in kids):
                     break
-                at += 1
+                at = used.find(0, at + 1)
+            base[node] = start
+            for c in kids:
+                used[start + c] = 1
+                place[children[node][c]] = start + c
+        end = max(place) + 257
+        self.base, self.check, self.final = np.zeros(end, np.int32), np.full(end, -1, np.int32), np.full(end, -1, np.int32)
+        for node, kids in enumerate(children):
             own = place[node]
-            base[own] = at
-            used[at + codes] = True
-            check[at + codes] = own
-            for code in kids:
-                child = children[node][code]
-                place[child] = at + code
-                final[at + code] = value[child]
-                todo.append(child)
-        end = int(np.flatnonzero(used)[-1]) + 257
-        self.base, self.check, self.final = base[:end].copy(), check[:end].copy(), final[:end].copy()
+            self.base[own] = base[node]
+            self.final[own] = value[node]
+            for child in kids.values():
+                self.check[place[child]] = own
 
     def matches(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
         """(index into ``start``, end, value) of every key that begins at ``data[start]`` and ends by ``end``; by length."""
@@ -173,8 +169,8 @@ class Vocabulary:
         few = np.flatnonzero(~long_unit)
         few = few[np.lexsort((length[few], local[few]))]
         key = local[few] * 64 + np.minimum(length[few], 63)
-        cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(few) else np.zeros(0, np.int64)
-        for a, b in zip(cuts, np.append(cuts[1:], len(few)), strict=True):
+        cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(few)]])
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             e = few[a:b]
             got = best[source[e]] + cost[e]
             better = got > best[target[e]]
@@ -247,7 +243,8 @@ class Vocabulary:
         end = np.append(start[1:], len(data))
         h = hashing.hash_spans(data, start, end)
         _, one, unit = np.unique(h, return_index=True, return_inverse=True)
-        if (hashing.mix(hashing.hash_spans(data[::-1], len(data) - end, len(data) - start))[one][unit] != hashing.mix(hashing.hash_spans(data[::-1], len(data) - end, len(data) - start))).any():
+        back = hashing.hash_spans(data[::-1], len(data) - end, len(data) - start)
+        if (back[one][unit] != back).any():
             one = unit = np.arange(len(start))  # two units share a hash: solve every unit by itself
         ids, n, score = self.solve(data, start[one], end[one])
         begin = np.cumsum(n) - n

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sparcel import session
-from sparcel.llm import decontaminate, line_dedup, ngram_join, sharding
+from sparcel.llm import decontaminate, line_dedup, ngram_join, pieces, sharding
 from sparcel.llm.common import table
 
+#: Folder of the public vocabulary files.
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+
 
 def op2_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
@@ -24,6 +29,15 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
 
 
+def op8_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = pieces.Vocabulary.read(f"{TOKENIZERS}/piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    return decoded.select(
+        "doc_id", "token_ids", "n_tokens", "n_byte_tokens", "score", F.expr("decoded <=> text").alias("round_trip"),
+    )
+
+
 def op9_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(spark, table(spark, sf_dir, "documents"), shards=24)
 
@@ -77,6 +91,7 @@ _QUERIES = {
     "op2_line_windows": op2_line_windows,
     "op3_edit_decontamination": op3_edit_decontamination,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op8_unigram_pieces": op8_unigram_pieces,
     "op9_rendezvous_shards": op9_rendezvous_shards,
 }
 
