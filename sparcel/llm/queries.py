@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparcel import session
-from sparcel.llm import decontaminate, line_dedup, ngram_join, pieces, sharding
+from sparcel.llm import decontaminate, langid, line_dedup, ngram_join, pieces, sharding
 from sparcel.llm.common import table
 
 #: Folder of the public vocabulary files.
@@ -29,6 +29,12 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
 
 
+def op6_recurrent_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op8_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = pieces.Vocabulary.read(f"{TOKENIZERS}/piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -91,6 +97,7 @@ _QUERIES = {
     "op2_line_windows": op2_line_windows,
     "op3_edit_decontamination": op3_edit_decontamination,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_recurrent_language": op6_recurrent_language,
     "op8_unigram_pieces": op8_unigram_pieces,
     "op9_rendezvous_shards": op9_rendezvous_shards,
 }
