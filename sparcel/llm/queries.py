@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparcel import session
-from sparcel.llm import decontaminate, langid, line_dedup, ngram_join, pieces, sharding
+from sparcel.llm import decontaminate, langid, line_dedup, ngram_join, pieces, sharding, topk
 from sparcel.llm.common import table
 
 #: Folder of the public vocabulary files.
@@ -35,6 +35,11 @@ def op6_recurrent_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(topk.build_index(vectors), vectors.where("vec_id % 20 = 0"), k=20)
+
+
 def op8_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = pieces.Vocabulary.read(f"{TOKENIZERS}/piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -69,6 +74,21 @@ left_over AS (
 
 _OP2 = "WITH " + _LINE_WINDOWS.format(docs="documents") + "SELECT doc_id, n_lines, n_removed, text FROM left_over"
 
+_OP7 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+         CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 20 = 0),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
 _OP9 = """
 WITH crc AS (  -- the byte table of CRC-32 follows from its polynomial
   WITH RECURSIVE r(k, step, v) AS (
@@ -98,11 +118,12 @@ _QUERIES = {
     "op3_edit_decontamination": op3_edit_decontamination,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_recurrent_language": op6_recurrent_language,
+    "op7_bit_sliced_top_k": op7_bit_sliced_top_k,
     "op8_unigram_pieces": op8_unigram_pieces,
     "op9_rendezvous_shards": op9_rendezvous_shards,
 }
 
-ORACLES: dict[str, str] = {"op2_line_windows": _OP2, "op9_rendezvous_shards": _OP9}
+ORACLES: dict[str, str] = {"op2_line_windows": _OP2, "op7_bit_sliced_top_k": _OP7, "op9_rendezvous_shards": _OP9}
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
