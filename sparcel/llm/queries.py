@@ -9,13 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparcel import session
-from sparcel.llm import decontaminate, langid, line_dedup, ngram_join, pieces, sharding, topk
+from sparcel.llm import decontaminate, langid, line_dedup, ngram_join, pieces, sharding, token_counts, topk
 from sparcel.llm.common import table
 
 #: Folder of the public vocabulary files.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 
+#: Split pattern of the byte-level vocabularies (a fixed value that belongs to the files).
+BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def op1_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = token_counts.read_ranks(f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.section_tokens(docs, ranks, BYTE_PATTERN).drop("name")
+
+
 def op2_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return docs.select("doc_id", "n_lines", "n_removed", "text")
@@ -114,6 +124,7 @@ FROM summed JOIN best USING (doc_id)
 """
 
 _QUERIES = {
+    "op1_section_tokens": op1_section_tokens,
     "op2_line_windows": op2_line_windows,
     "op3_edit_decontamination": op3_edit_decontamination,
     "op5_ngram_jaccard": op5_ngram_jaccard,
