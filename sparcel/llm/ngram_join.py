@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -36,14 +36,16 @@ from sparcel.operators.components import connected_components
 
 WIDTH = 5
 THRESHOLD = (80, 100)
-#: Counters of the sketch and of one of its parts; what the driver sums up and broadcasts is 8 bytes times the first.
-SKETCH, PART = 1 << 20, 1 << 12
+#: Counters of the sketch and of one of its parts; what the driver sums up and broadcasts is 4 bytes times the first.
+SKETCH, PART = 1 << 22, 1 << 12
 #: Ranges of the hash space by which the suffix filter compares two sets.
 RANGES = 64
 #: Rounds with leaders before what is left is paired completely.
 ROUNDS = 3
+#: Leaders that a class tries in a round.
+TRIED = 3
 #: Most narrow rows that are broadcast to pick what a large table has to send; beyond it both sides are shuffled.
-NARROW = 200_000
+NARROW = 100_000
 
 _SETS = "c long, n int, hist binary, members binary"
 
@@ -81,7 +83,7 @@ def _keys_and_counts(batches: Iterator[pa.RecordBatch], schema: pa.Schema, width
     if seen:
         counts += np.bincount(np.concatenate(seen), minlength=SKETCH)
     parts = [(p, counts[p * PART:(p + 1) * PART]) for p in range(SKETCH // PART)]
-    parts = [(p, x.astype(np.uint32 if x.max() < 1 << 32 else np.int64)) for p, x in parts if x.any()]
+    parts = [(p, x.astype(np.min_scalar_type(x.max()))) for p, x in parts if x.any()]
     if parts:
         m = len(parts)
         columns = [pa.nulls(m).cast(f.type) for f in schema][:5]
@@ -93,7 +95,7 @@ def _sum_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for p, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            x = np.frombuffer(raw, np.uint32 if len(raw) == 4 * PART else np.int64).astype(np.int64)
+            x = np.frombuffer(raw, f"<u{len(raw) // PART}").astype(np.int64)
             total[p] = total[p] + x if p in total else x
     if total:
         yield pa.RecordBatch.from_arrays(
@@ -107,7 +109,7 @@ def _sketch(first: DataFrame) -> np.ndarray:
     counts = np.zeros(SKETCH, np.int64)
     for row in parts.mapInArrow(_sum_parts, "part int, counts binary").toLocalIterator():
         counts[row["part"] * PART:(row["part"] + 1) * PART] = np.frombuffer(row["counts"], np.int64)
-    return counts
+    return np.minimum(counts, 0xFFFFFFFF).astype(np.uint32)  # an order is all that is asked for
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], counts, width: int, threshold) -> Iterator[pa.RecordBatch]:
@@ -141,14 +143,15 @@ def _batch(out: list[tuple]) -> pa.RecordBatch:
 
 
 def _shared(batches: Iterator[pa.RecordBatch], threshold) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (g, n, c): drop copies and n-grams that only one class has, and name the first leader.
+    """Rows sorted by (g, c): drop copies and n-grams that only one class has, and name first leaders.
 
-    ``lead`` is the smallest class of the row's band: a new band begins where its first class is too
-    small to link with the row. One row and one leader are kept between batches.
+    ``lead`` is the first class of the n-gram whose size can link with the row's. Class keys are
+    hashes, so this is a random one, and the same for most n-grams of a group of copies. One row
+    and the leaders of its n-gram (their sizes lie apart by the threshold) are kept between batches.
     """
     p, q = threshold
-    last = None  # (g, c, n, pos, lead) not given out yet
-    last_paired = False
+    last, last_paired = None, False  # (g, c, n, pos, lead) not given out yet
+    leaders: list[tuple[int, int]] = []
     for batch in batches:
         g, c, n, pos = (batch.column(i).to_numpy() for i in range(4))
         if last is not None:
@@ -167,26 +170,29 @@ def _shared(batches: Iterator[pa.RecordBatch], threshold) -> Iterator[pa.RecordB
         ends = np.append(starts[1:], len(g))
         several = ends - starts > 1
         several[0] |= last is not None
+        several[-1] = True
         for a, b in zip(starts[several], ends[several], strict=True):
-            own, size = (last[4], last[5]) if a == 0 and last is not None else (c[a], n[a])
-            while a < b:
-                stop = a + int(np.searchsorted(n[a:b], size * q // p, "right"))
-                if stop > a:
-                    lead[a:stop] = own
-                    a = stop
-                else:
-                    own, size = c[a], n[a]
+            known = leaders if a == 0 and last is not None else []
+            left = np.arange(a, b)
+            for own, size in known:
+                ok = np.minimum(n[left], size) * q >= np.maximum(n[left], size) * p
+                lead[left[ok]] = own
+                left = left[~ok]
+            while len(left):
+                own, size = int(c[left[0]]), int(n[left[0]])
+                known.append((own, size))
+                ok = np.minimum(n[left], size) * q >= np.maximum(n[left], size) * p
+                lead[left[ok]] = own
+                left = left[~ok]
+        leaders = known
         if last is not None:
             paired[0] |= last_paired
-        size = n[-1]
-        if len(g) == 1 or same[-1]:
-            size = int(n[np.flatnonzero((c == lead[-1]) & (g == g[-1]))[0]]) if ((c == lead[-1]) & (g == g[-1])).any() else last[5]
-        last, last_paired = (g[-1], c[-1], n[-1], pos[-1], lead[-1], size), bool(paired[-1])
+        last, last_paired = (g[-1], c[-1], n[-1], pos[-1], lead[-1]), bool(paired[-1])
         keep = paired[:-1]
         if keep.any():
             yield _token_batch(*(x[:-1][keep] for x in (g, c, n, pos, lead)))
     if last is not None and last_paired:
-        yield _token_batch(*(np.array([x]) for x in last[:5]))
+        yield _token_batch(*(np.array([x]) for x in last))
 
 
 def _token_batch(g, c, n, pos, lead) -> pa.RecordBatch:
@@ -252,8 +258,9 @@ def _pairs(x: DataFrame, y: DataFrame, threshold) -> DataFrame:
     """Pairs (a, b) of classes of other components that meet in a prefix n-gram, each once."""
     p, q = threshold
     low, high = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-    # positional filter: after the shared n-gram, only what stands behind it can be shared too
-    ahead = F.least("x.pos", "y.pos") + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    # positional filter, for the first n-gram that both have: the overlap starts there, so all of it has
+    # to fit behind; every pair that links has such a row, and later ones need not bring it again
+    ahead = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
     return (
         x.alias("x").join(y.alias("y"), "g")
         .where(F.col("x.comp") != F.col("y.comp"))
@@ -302,33 +309,37 @@ def _open_tokens(tokens: DataFrame) -> DataFrame:
 
 
 def _first_pairs(tokens: DataFrame) -> DataFrame:
-    """Each class with the leader that it shares most prefix n-grams with."""
-    met = tokens.where("lead != c").groupBy("c", "lead").agg(F.count(F.lit(1)).alias("shared"))
-    return _ordered(met.groupBy("c").agg(F.max_by("lead", F.struct("shared", "lead")).alias("other")))
+    """Each class with the first leaders that it shares most prefix n-grams with."""
+    return _best(tokens.where("lead != c").select("c", F.col("lead").alias("other")))
 
 
-def _ordered(met: DataFrame) -> DataFrame:
-    return met.select(F.least("c", "other").alias("a"), F.greatest("c", "other").alias("b")).distinct()
+def _best(met: DataFrame) -> DataFrame:
+    """(c, other), a row for each n-gram -> the pairs to try, each once."""
+    shared = met.groupBy("c", "other").agg(F.count(F.lit(1)).alias("shared"))
+    order = Window.partitionBy("c").orderBy(F.desc("shared"), "other")
+    tried = shared.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= TRIED)
+    return tried.select(F.least("c", "other").alias("a"), F.greatest("c", "other").alias("b")).distinct()
 
 
-def _leader_pairs(tokens: DataFrame, threshold) -> DataFrame:
-    """For each class the leader of another component that it shares most prefix n-grams with.
+def _leader_pairs(tokens: DataFrame, threshold, number: int) -> DataFrame:
+    """For each class the leaders of other components that it shares most prefix n-grams with.
 
-    Leaders are the smallest classes of the components that have most rows of a prefix n-gram in a
-    band of sizes. Bands are as wide as the threshold, so a class looks in its own and the two next to it.
+    A leader is drawn, by a hash that is new in each round, from the component that has most rows of
+    a prefix n-gram in a band of sizes. Bands are as wide as the threshold, so a class looks in its
+    own and the two next to it.
     """
     p, q = threshold
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(q / p))).cast("int") if p < q else F.col("n")
     rows = tokens.withColumn("band", band)
-    per = rows.groupBy("g", "band", "comp").agg(F.count(F.lit(1)).alias("rows"), F.min(F.struct("n", "c")).alias("low"))
-    leaders = per.groupBy("g", "band").agg(F.max_by(F.struct("low", "comp"), F.struct("rows", "comp")).alias("lead"))
+    draw = F.struct(F.xxhash64("c", F.lit(number)).alias("h"), "n", "c")
+    per = rows.groupBy("g", "band", "comp").agg(F.count(F.lit(1)).alias("rows"), F.min(draw).alias("one"))
+    leaders = per.groupBy("g", "band").agg(F.max_by(F.struct("one.n", "one.c", "comp"), F.struct("rows", "comp")).alias("lead"))
     near = leaders.select("g", F.explode(F.array(*[F.col("band") + F.lit(d) for d in ((-1, 0, 1) if p < q else (0,))])).alias("band"), "lead")
     met = (
         rows.join(near, ["g", "band"]).where("lead.comp != comp")
-        .where(F.least("n", "lead.low.n") * q >= F.greatest("n", "lead.low.n") * p)
-        .groupBy("c", F.col("lead.low.c").alias("other")).agg(F.count(F.lit(1)).alias("shared"))
+        .where(F.least("n", "lead.n") * q >= F.greatest("n", "lead.n") * p)
     )
-    return _ordered(met.groupBy("c").agg(F.max_by("other", F.struct("shared", "other")).alias("other")))
+    return _best(met.select("c", F.col("lead.c").alias("other")))
 
 
 def _plain(key: Column) -> Column:
@@ -366,7 +377,7 @@ def ngram_components(
     counts = spark.sparkContext.broadcast(_sketch(first))
     tokens = (
         base.select("text").mapInArrow(lambda it: _prefixes(it, counts, width, threshold), "g long, c long, n int, pos int")
-        .repartition("g").sortWithinPartitions("g", "n", "c")
+        .repartition("g").sortWithinPartitions("g", "c")
         .mapInArrow(lambda it: _shared(it, threshold), "g long, c long, n int, pos int, lead long")
     )
     tokens = stored(tokens, "tokens")
@@ -384,20 +395,23 @@ def ngram_components(
     )
     sets = stored(texts.mapInArrow(lambda it: _members(it, width), _SETS), "sets")
 
-    links, comps, left = None, None, tokens.drop("lead")
-    for number in range(ROUNDS + 1):
-        if number == 0:
-            pairs = _first_pairs(tokens)
-        elif number < ROUNDS:
-            pairs = _leader_pairs(left, threshold)
-        else:
+    links, comps, left, number, complete = None, None, tokens.drop("lead"), 0, False
+    while not complete:
+        complete = number == ROUNDS
+        if complete:
             pairs = _pairs(left.where("comp != main"), left, threshold)
+        else:
+            pairs = _leader_pairs(left, threshold, number) if number else _first_pairs(tokens)
         found = _links(pairs, sets, threshold, f"links{number}")
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            comps = stored(connected_components(links), f"comps{number}")
-        if number < ROUNDS:
+        if found.isEmpty():  # leaders have no more to give
+            number = ROUNDS if number else 1
+            left = left if "main" in left.columns else stored(_open_tokens(_labelled(left, comps)), "open")
+            continue
+        links = found if links is None else links.unionByName(found)
+        comps = stored(connected_components(links), f"comps{number}")
+        if not complete:
             left = stored(_open_tokens(_labelled(left.select("g", "c", "n", "pos"), comps)), f"open{number}")
+        number += 1
     labelled = classes.join(comps, classes.c == comps.id, "left") if comps is not None else classes.withColumn("component", F.lit(None).cast("long"))
     labelled = labelled.select("c", "k", "n", "low", F.coalesce("component", "c").alias("comp"))
     lows = labelled.groupBy("comp").agg(F.min("low").alias("component_id"))
