@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparcel import session
-from sparcel.llm import decontaminate, langid, line_dedup, ngram_join, pieces, sharding, token_counts, topk
+from sparcel.llm import decontaminate, langid, line_dedup, ngram_join, pieces, sharding, token_counts, topk, warc
 from sparcel.llm.common import table
 
 #: Folder of the public vocabulary files.
@@ -35,6 +35,13 @@ def op3_edit_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = session.scratch(spark, "warc")
+    warc.write_archives(warc.archive_records(table(spark, sf_dir, "pages")), path)
+    records = warc.read_archives(spark, path, keep_payload=False)
+    return warc.page_captures(warc.assemble(records))
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
 
@@ -84,6 +91,17 @@ left_over AS (
 
 _OP2 = "WITH " + _LINE_WINDOWS.format(docs="documents") + "SELECT doc_id, n_lines, n_removed, text FROM left_over"
 
+_OP4 = """
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+g AS (SELECT payload_digest, max(page_id) AS top FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN top IS NOT NULL AND top <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN top <> page_id THEN top END AS refers_to
+FROM p LEFT JOIN g USING (payload_digest)
+"""
+
 _OP7 = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
@@ -127,6 +145,7 @@ _QUERIES = {
     "op1_section_tokens": op1_section_tokens,
     "op2_line_windows": op2_line_windows,
     "op3_edit_decontamination": op3_edit_decontamination,
+    "op4_warc_transactions": op4_warc_transactions,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_recurrent_language": op6_recurrent_language,
     "op7_bit_sliced_top_k": op7_bit_sliced_top_k,
@@ -134,7 +153,7 @@ _QUERIES = {
     "op9_rendezvous_shards": op9_rendezvous_shards,
 }
 
-ORACLES: dict[str, str] = {"op2_line_windows": _OP2, "op7_bit_sliced_top_k": _OP7, "op9_rendezvous_shards": _OP9}
+ORACLES: dict[str, str] = {"op2_line_windows": _OP2, "op4_warc_transactions": _OP4, "op7_bit_sliced_top_k": _OP7, "op9_rendezvous_shards": _OP9}
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
