@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparcel import session
-from sparcel.llm import decontaminate, langid, line_dedup, ngram_join, pieces, sharding, token_counts, topk, warc
+from sparcel.llm import decontaminate, html_text, langid, line_dedup, ngram_join, pieces, sharding, token_counts, topk, warc
 from sparcel.llm.common import table
 
 #: Folder of the public vocabulary files.
@@ -70,6 +70,10 @@ def op9_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(spark, table(spark, sf_dir, "documents"), shards=24)
 
 
+def op10_nearest_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 _LINE_WINDOWS = """
 lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
@@ -151,6 +155,7 @@ _QUERIES = {
     "op7_bit_sliced_top_k": op7_bit_sliced_top_k,
     "op8_unigram_pieces": op8_unigram_pieces,
     "op9_rendezvous_shards": op9_rendezvous_shards,
+    "op10_nearest_page_text": op10_nearest_page_text,
 }
 
 ORACLES: dict[str, str] = {"op2_line_windows": _OP2, "op4_warc_transactions": _OP4, "op7_bit_sliced_top_k": _OP7, "op9_rendezvous_shards": _OP9}
