@@ -41,13 +41,13 @@ SKETCH, PART = 1 << 22, 1 << 12
 #: Ranges of the hash space by which the suffix filter compares two sets.
 RANGES = 64
 #: Rounds with leaders before what is left is paired completely.
-ROUNDS = 3
+ROUNDS = 1
 #: Leaders that a class tries in a round.
-TRIED = 3
+TRIED = 6
 #: Most narrow rows that are broadcast to pick what a large table has to send; beyond it both sides are shuffled.
 NARROW = 100_000
 
-_SETS = "c long, n int, hist binary, members binary"
+_SETS = "c long, n int, hist binary, ranges array<short>, members binary"
 
 
 def _need(n, threshold) -> int:
@@ -143,14 +143,16 @@ def _batch(out: list[tuple]) -> pa.RecordBatch:
 
 
 def _shared(batches: Iterator[pa.RecordBatch], threshold) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (g, c): drop copies and n-grams that only one class has, and name first leaders.
+    """Rows sorted by (g, c): drop copies and n-grams that only one class has, and name first partners.
 
-    ``lead`` is the first class of the n-gram whose size can link with the row's. Class keys are
-    hashes, so this is a random one, and the same for most n-grams of a group of copies. One row
-    and the leaders of its n-gram (their sizes lie apart by the threshold) are kept between batches.
+    ``lead`` is the first class of the n-gram whose size can link with the row's, ``prev`` the class
+    before the row. Class keys are hashes, so both are random ones, and the same for most n-grams of
+    a group of copies: a star and a chain through each group. Where there is no such class, the
+    row's own stands. One row and the leaders of its n-gram (their sizes lie apart by the
+    threshold) are kept between batches.
     """
     p, q = threshold
-    last, last_paired = None, False  # (g, c, n, pos, lead) not given out yet
+    last, last_paired = None, False  # (g, c, n, pos, lead, prev) not given out yet
     leaders: list[tuple[int, int]] = []
     for batch in batches:
         g, c, n, pos = (batch.column(i).to_numpy() for i in range(4))
@@ -185,20 +187,24 @@ def _shared(batches: Iterator[pa.RecordBatch], threshold) -> Iterator[pa.RecordB
                 lead[left[ok]] = own
                 left = left[~ok]
         leaders = known
+        prev = c.copy()
+        near = same & (np.minimum(n[1:], n[:-1]) * q >= np.maximum(n[1:], n[:-1]) * p)
+        prev[1:][near] = c[:-1][near]
         if last is not None:
             paired[0] |= last_paired
-        last, last_paired = (g[-1], c[-1], n[-1], pos[-1], lead[-1]), bool(paired[-1])
+            prev[0] = last[5]
+        last, last_paired = (g[-1], c[-1], n[-1], pos[-1], lead[-1], prev[-1]), bool(paired[-1])
         keep = paired[:-1]
         if keep.any():
-            yield _token_batch(*(x[:-1][keep] for x in (g, c, n, pos, lead)))
+            yield _token_batch(*(x[:-1][keep] for x in (g, c, n, pos, lead, prev)))
     if last is not None and last_paired:
         yield _token_batch(*(np.array([x]) for x in last))
 
 
-def _token_batch(g, c, n, pos, lead) -> pa.RecordBatch:
+def _token_batch(g, c, n, pos, lead, prev) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(g), pa.array(c), pa.array(n.astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(lead)],
-        names=["g", "c", "n", "pos", "lead"],
+        [pa.array(g), pa.array(c), pa.array(n.astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(lead), pa.array(prev)],
+        names=["g", "c", "n", "pos", "lead", "prev"],
     )
 
 
@@ -209,7 +215,7 @@ def _members(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
         for row, words in hashing.word_hashes(batch.column(1)):
             m = hashing.shingles(words, width)
             hist = np.bincount((m >> np.uint64(58)).astype(np.int64), minlength=RANGES).astype(np.uint32)
-            out.append((batch.column(0)[row].as_py(), len(m), hist.tobytes(), m.tobytes()))
+            out.append((batch.column(0)[row].as_py(), len(m), hist.tobytes(), _short(hist), m.tobytes()))
             size += m.nbytes
             if size > 1 << 24:
                 yield _set_batch(out)
@@ -219,13 +225,24 @@ def _members(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
 
 
 def _set_batch(out: list[tuple]) -> pa.RecordBatch:
-    c, n, hist, m = zip(*out, strict=True)
+    c, n, hist, short, m = zip(*out, strict=True)
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, pa.int64()), pa.array(n, pa.int32()), pa.array(hist, pa.binary()), pa.array(m, pa.binary())],
-        names=["c", "n", "hist", "members"],
+        [pa.array(c, pa.int64()), pa.array(n, pa.int32()), pa.array(hist, pa.binary()), pa.array(short, pa.list_(pa.int16())), pa.array(m, pa.binary())],
+        names=["c", "n", "hist", "ranges", "members"],
     )
 
 
+def _short(hist: np.ndarray) -> list[int] | None:
+    """Counts by range for rows that are paired; null if one is too large for a short."""
+    return hist.tolist() if hist.max() < 1 << 15 else None
+
+
+def _most_shared(x: str, y: str) -> Column:
+    """Upper bound of the overlap of two sets: the sum of the lesser counts."""
+    both = F.zip_with(x, y, lambda a, b: F.least(a, b).cast("int"))
+    return F.aggregate(both, F.lit(0), lambda total, n: total + n)
+
+
 def _passing(batches: Iterator[pa.RecordBatch], threshold) -> Iterator[pa.RecordBatch]:
     """(a, b, n_a, n_b, hist_a, hist_b): suffix filter, the overlap can be no more than that of the counts by range."""
     p, q = threshold
@@ -265,6 +282,8 @@ def _pairs(x: DataFrame, y: DataFrame, threshold) -> DataFrame:
         x.alias("x").join(y.alias("y"), "g")
         .where(F.col("x.comp") != F.col("y.comp"))
         .where((low * q >= high * p) & (ahead * (p + q) >= (low + high) * p))
+        # suffix filter; sets whose counts are too large for it here meet it before they move
+        .where(F.coalesce(_most_shared("x.ranges", "y.ranges") * (p + q) >= (low + high) * p, F.lit(True)))
         .select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b"))
         .distinct()
     )
@@ -293,7 +312,7 @@ def _links(pairs: DataFrame, sets: DataFrame, threshold, name: str) -> DataFrame
 def _labelled(tokens: DataFrame, comps: DataFrame | None) -> DataFrame:
     if comps is None:
         return tokens.withColumn("comp", F.col("c"))
-    return tokens.join(comps, tokens.c == comps.id, "left").select(
+    return tokens.join(checked_broadcast(comps, NARROW), tokens.c == comps.id, "left").select(
         *tokens.columns, F.coalesce("component", "c").alias("comp")
     )
 
@@ -309,8 +328,9 @@ def _open_tokens(tokens: DataFrame) -> DataFrame:
 
 
 def _first_pairs(tokens: DataFrame) -> DataFrame:
-    """Each class with the first leaders that it shares most prefix n-grams with."""
-    return _best(tokens.where("lead != c").select("c", F.col("lead").alias("other")))
+    """Each class with the first partners that it shares most prefix n-grams with."""
+    both = tokens.select("c", F.explode(F.array_distinct(F.array("lead", "prev"))).alias("other"))
+    return _best(both.where("other != c"))
 
 
 def _best(met: DataFrame) -> DataFrame:
@@ -378,7 +398,7 @@ def ngram_components(
     tokens = (
         base.select("text").mapInArrow(lambda it: _prefixes(it, counts, width, threshold), "g long, c long, n int, pos int")
         .repartition("g").sortWithinPartitions("g", "c")
-        .mapInArrow(lambda it: _shared(it, threshold), "g long, c long, n int, pos int, lead long")
+        .mapInArrow(lambda it: _shared(it, threshold), "g long, c long, n int, pos int, lead long, prev long")
     )
     tokens = stored(tokens, "tokens")
     classes = rows.where("n > 0").groupBy("c", "k", "n").agg(
@@ -395,11 +415,12 @@ def ngram_components(
     )
     sets = stored(texts.mapInArrow(lambda it: _members(it, width), _SETS), "sets")
 
-    links, comps, left, number, complete = None, None, tokens.drop("lead"), 0, False
+    links, comps, left, number, complete = None, None, tokens.drop("lead", "prev"), 0, False
     while not complete:
         complete = number == ROUNDS
         if complete:
-            pairs = _pairs(left.where("comp != main"), left, threshold)
+            full = left.join(sets.select("c", "ranges"), "c")
+            pairs = _pairs(full.where("comp != main"), full, threshold)
         else:
             pairs = _leader_pairs(left, threshold, number) if number else _first_pairs(tokens)
         found = _links(pairs, sets, threshold, f"links{number}")
