@@ -14,6 +14,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Ship the package to the workers, and bound what a batch of long texts may hold."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    return session.ship(spark)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a result to the shared checkpoint folder and read it back: later steps start from files."""
     path = f"{session.scratch(df.sparkSession, 'llm')}/{name}-{uuid.uuid4().hex[:8]}"

@@ -26,7 +26,7 @@ from sparcel.llm import hashing
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Bytes of text encoded at once, and the size from which a unit is solved by itself.
-RUN, LONG_UNIT = 1 << 22, 400
+RUN, LONG_UNIT = 1 << 20, 400
 #: Most bytes in the pieces of a vocabulary.
 MAX_VOCABULARY = 1 << 26
 

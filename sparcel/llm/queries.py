@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sparcel import session
 from sparcel.llm import decontaminate, html_text, langid, line_dedup, ngram_join, pieces, sharding, token_counts, topk, warc
-from sparcel.llm.common import table
+from sparcel.llm.common import prepare, table
 
 #: Folder of the public vocabulary files.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -163,7 +163,7 @@ ORACLES: dict[str, str] = {"op2_line_windows": _OP2, "op4_warc_transactions": _O
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        session.ship(spark)
+        prepare(spark)
         return query(spark, sf_dir)
     return run
 
