@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparcel import session
 from sparcel.llm import decontaminate, langid, line_dedup, ngram_join, pieces
-from sparcel.llm.common import stored, table
+from sparcel.llm.common import prepare, stored, table
 from sparcel.llm.queries import TOKENIZERS
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -18,7 +17,7 @@ LEAST_SHARE = 0.35
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without letters and those that no language fits; ``lang`` becomes the predicted one."""
-    session.ship(spark)
+    prepare(spark)
     found = langid.identify(docs, langid.fit(docs), predicted="__lang", score="__score")
     kept = found.where((F.col("__lang") != langid.UNDETERMINED) & (F.col("__score") >= LEAST_SHARE))
     return kept.select("doc_id", "text", F.col("__lang").alias("lang"), "source", "n_chars")
@@ -34,19 +33,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group that n-gram Jaccard links connect."""
-    session.ship(spark)
+    prepare(spark)
     return ngram_join.one_of_each(docs).select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold an item of the benchmark, up to edits."""
-    session.ship(spark)
+    prepare(spark)
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, checked by decoding."""
-    session.ship(spark)
+    prepare(spark)
     vocabulary = pieces.Vocabulary.read(f"{TOKENIZERS}/piece_bpe_32k.model")
     decoded = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
     return decoded.select("doc_id", "lang", "source", "n_chars", "token_ids", "n_tokens", F.expr("decoded <=> text").alias("round_trip"))
