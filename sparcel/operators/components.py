@@ -24,16 +24,17 @@ def _point_to_min(links: DataFrame, keep_larger: bool) -> DataFrame:
     return out.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(own)
 
 
-def connected_components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
+def connected_components(links: DataFrame) -> DataFrame:
     """(id, component = smallest id) for all ids in the links ``u, v``.
 
     Alternating large-star and small-star (Kiveris et al., SoCC 2014). Every round is written to
-    the reliable checkpoint folder, so a lost executor costs one round at most.
+    the reliable checkpoint folder, so a lost executor costs one round at most. Rounds go on until
+    one changes nothing; their number grows with the logarithm of the largest component.
     """
     edges = links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     edges = checkpoint(edges)
     seen = None
-    for _ in range(max_rounds):
+    while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _point_to_min(both, True)
         large = large.where("u != v").distinct()
@@ -43,8 +44,6 @@ def connected_components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
         if tuple(mark) == seen:
             break
         seen = tuple(mark)
-    else:
-        raise RuntimeError("connected components did not settle")
     roots = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
 

@@ -599,8 +599,9 @@ def chain(g, e, drop_lattice=True):
             if s[2] >= -a and s[1][:, 0].min() <= mx <= s[1][:, 0].max()
             and s[1][:, 1].min() <= my <= s[1][:, 1].max() and _holds(s[1], mx, my)
         ]
-        if home:
-            min(home, key=lambda s: s[2])[3].append(ring)
+        if not home:
+            raise ValueError("a hole lies in no shell: the boundary is not closed")
+        min(home, key=lambda s: s[2])[3].append(ring)
     return [(grp, [ring, *holes]) for grp, ring, _, holes in shells]
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import geometry as G
-from ..session import ship
+from ..session import checkpoint, ship
 from . import batches as B
 from . import kernel as K
 from .checks import layer_facts, one_srid, one_type
@@ -25,9 +25,26 @@ from .tiling import TilePlan, plan_tiles, split_to_tiles
 from .union import chain_rows, slices, to_global, to_local
 
 DIMENSION = {"Point": 0, "LineString": 1, "Polygon": 2}
+ROW = "_row"
 _PIECE = ("dim", "edges", "bx0", "by0", "bx1", "by1")
 
 
+def identified(df: DataFrame, key: Sequence[str] | None, check: bool = True) -> tuple[DataFrame, list[str]]:
+    """The layer with columns that tell its rows apart, and their names.
+
+    A named key serves if no value of it repeats (one pass over the key alone; ``check=False`` takes
+    the caller's word). Otherwise rows get ids of their own, on a checkpoint, so that a task that
+    runs again gives the same ids.
+    """
+    if key and not (check and key_repeats(df, key)):
+        return df, list(key)
+    return checkpoint(df.withColumn(ROW, F.monotonically_increasing_id())), [ROW]
+
+
+def key_repeats(df: DataFrame, key: Sequence[str]) -> bool:
+    return not df.groupBy(*key).agg(F.count("*").alias("_n")).where("_n > 1").limit(1).isEmpty()
+
+
 def _prefixed(df: DataFrame, side: str, fields: Sequence[str], key: Sequence[str]) -> DataFrame:
     cols = [F.col(f).alias(f"{side}_{f}") for f in dict.fromkeys([*fields, *key])]
     return df.select(*cols, F.col("geom"))
@@ -62,7 +79,11 @@ def lines_in_region(
     reg: DataFrame, lines: DataFrame, plan: TilePlan, fields_reg: Sequence[str], key: Sequence[str], fields: Sequence[str] = (),
     srid: int = G.TARGET_SRID,
 ) -> DataFrame:
-    """Pieces of lines inside each group of a region, whole across tile borders."""
+    """Pieces of lines inside each group of a region, whole across tile borders.
+
+    ``key`` tells lines apart if it does not repeat; see ``identified``.
+    """
+    lines, key = identified(lines, key)
     keep_b = [f"b_{c}" for c in dict.fromkeys([*fields, *key])]
     ids = [*fields_reg, *[f"b_{c}" for c in key]]
     c = pair_pieces(region_pieces(reg, fields_reg), split_to_tiles(_prefixed(lines, "b", fields, key), plan, keep_b), fields_reg, keep_b)
@@ -296,19 +317,30 @@ def overlay_intersection(
     """Intersection of every pair of intersecting features, one row per piece.
 
     Pieces have b's dimension; anything lower (touching borders) is dropped. Output: a surrogate
-    ``id`` (unless a chosen field has that name), the chosen fields of a and b (a's and b's own names), ``geom``. ``key_*`` identify the rows of
-    a layer (default: its fields, or else all its attributes). ``check=False`` skips the one-pass
-    checks of type and SRID, for layers already known to be uniform.
+    ``id`` (unless a chosen field has that name), the chosen fields of a and b (a's and b's own names), ``geom``. ``key_*`` name columns that tell the rows of a layer apart; without
+    them, or where they repeat, rows get ids of their own (see ``identified``), so features that are
+    alike in the chosen fields stay apart. ``check=False`` skips the checks of type, SRID and keys,
+    for layers already known.
     """
-    srid = G.TARGET_SRID
-    dim = None
-    if check:
-        facts = layer_facts(a, b)
-        srid = one_srid(*facts) or srid
-        kind = one_type(facts[1], allow_multi=False)
-        dim = DIMENSION[kind] if kind else None
-    attrs = lambda df: [c for c in df.columns if c != "geom"]
-    key_a, key_b = list(key_a or fields_a or attrs(a)), list(key_b or fields_b or attrs(b))
+    srid, dim = _checked(a, b) if check else (G.TARGET_SRID, None)
+    a, key_a = identified(a.select(*dict.fromkeys([*fields_a, *(key_a or ()), "geom"])), key_a, check)
+    b, key_b = identified(b.select(*dict.fromkeys([*fields_b, *(key_b or ()), "geom"])), key_b, check)
+    out = _pair_pieces(a, b, fields_a, fields_b, key_a, key_b, plan, srid, dim)
+    names = [F.col(f"a_{f}").alias(f) for f in fields_a] + [F.col(f"b_{f}").alias(f) for f in fields_b]
+    if "id" not in (*fields_a, *fields_b):
+        names.insert(0, F.monotonically_increasing_id().alias("id"))
+    return out.select(*names, "geom")
+
+
+def _checked(a: DataFrame, b: DataFrame) -> tuple[int, int | None]:
+    """SRID that both layers share, and the dimension of b's features if it has any."""
+    facts = layer_facts(a, b)
+    kind = one_type(facts[1], allow_multi=False)
+    return one_srid(*facts) or G.TARGET_SRID, DIMENSION[kind] if kind else None
+
+
+def _pair_pieces(a, b, fields_a, fields_b, key_a, key_b, plan, srid: int, dim: int | None) -> DataFrame:
+    """Pieces of each pair of features, with ``a_*`` and ``b_*`` for fields and keys; keys do not repeat."""
     plan = plan or plan_tiles([a, b])
     keep_a = [f"a_{c}" for c in dict.fromkeys([*fields_a, *key_a])]
     keep_b = [f"b_{c}" for c in dict.fromkeys([*fields_b, *key_b])]
@@ -324,11 +356,7 @@ def overlay_intersection(
         outs.append(chain_rows(whole, keep, srid))
     if dim in (None, 0, 1):
         outs.append(_join_runs(_line_runs(c, keep), keep, ids, srid))
-    out = outs[0] if len(outs) == 1 else outs[0].unionByName(outs[1])
-    names = [F.col(f"a_{f}").alias(f) for f in fields_a] + [F.col(f"b_{f}").alias(f) for f in fields_b]
-    if "id" not in (*fields_a, *fields_b):
-        names.insert(0, F.monotonically_increasing_id().alias("id"))
-    return out.select(*names, "geom")
+    return outs[0] if len(outs) == 1 else outs[0].unionByName(outs[1])
 
 
 def overlay_pairs(
@@ -336,14 +364,16 @@ def overlay_pairs(
 ) -> DataFrame:
     """One row per intersecting pair, its pieces kept together as one multi geometry.
 
-    Columns ``a_*`` and ``b_*`` for the keys. Pairs that do not meet in b's dimension are left out.
+    Columns ``a_*`` and ``b_*`` for the keys, which may repeat. Pairs that do not meet in b's dimension are left out.
     """
-    names_a, names_b = [f"a_{k}" for k in key_a], [f"b_{k}" for k in key_b]
-    ra = a.select(*[F.col(k).alias(n) for k, n in zip(key_a, names_a)], "geom")
-    rb = b.select(*[F.col(k).alias(n) for k, n in zip(key_b, names_b)], "geom")
-    pieces = overlay_intersection(ra, rb, names_a, names_b, plan=plan, check=check)
+    srid, dim = _checked(a, b) if check else (G.TARGET_SRID, None)
+    a, id_a = identified(a.select(*key_a, "geom"), key_a)
+    b, id_b = identified(b.select(*key_b, "geom"), key_b)
+    pieces = _pair_pieces(a, b, key_a, key_b, id_a, id_b, plan, srid, dim)
     g = F.col("geom")
-    out = pieces.groupBy(*names_a, *names_b).agg(
+    names_a, names_b = [f"a_{k}" for k in key_a], [f"b_{k}" for k in key_b]
+    ids = dict.fromkeys([*names_a, *names_b, *[f"a_{k}" for k in id_a], *[f"b_{k}" for k in id_b]])
+    out = pieces.groupBy(*ids).agg(
         F.first(g["srid"]).alias("srid"), F.first(g["dim"]).alias("dim"), F.flatten(F.collect_list(g["parts"])).alias("parts")
     )
     geom = F.struct("srid", "dim", F.lit(True).alias("multi"), "parts")

@@ -267,7 +267,7 @@ def _refine(pieces: DataFrame, hot: DataFrame, level: int, keep, fields) -> Data
             hot_mask = B.one(b.column(len(names)))
             rest = b.filter(pc.invert(hot_mask)).select(names)
             if rest.num_rows:
-                yield rest
+                yield pa.RecordBatch.from_arrays(rest.columns, names=names)
             h = b.filter(hot_mask)
             if not h.num_rows:
                 continue

@@ -134,33 +134,24 @@ def union_buffer(df, radius: Column | str, plan=None, style="round", by=(), geom
 # ---------------------------------------------------------------------------- whole polygons
 
 
-WHOLE_EDGES = 2_000_000
-
-
-def assemble(reg: DataFrame, by: Sequence[str] = (), srid: int = G.TARGET_SRID, max_edges: int = WHOLE_EDGES) -> DataFrame:
+def assemble(reg: DataFrame, by: Sequence[str] = (), srid: int = G.TARGET_SRID) -> DataFrame:
     """Chain the boundary of each ``by`` group into polygons: one row per polygon.
 
-    A polygon is one value in one row, so only groups of up to ``max_edges`` boundary edges are
-    put together. Larger ones come back complete but cut at the tile borders, with ``whole`` =
-    false. Output: the keys, ``part``, ``geom``, ``whole``.
+    The connected parts of a group are found first, and each is put together by itself, so no task
+    ever sees more than one polygon's boundary, whatever the size of the group. A polygon that is too
+    large for one row is what ``tile_polygons`` is for. Output: the keys, ``part`` (a name of the
+    polygon within its group), ``geom``.
     """
     keys = list(by)
     reg = checkpoint(reg.select(*keys, "tile", "edges"))
-    size = reg.groupBy(*keys).agg(F.sum(F.size("edges") / 4).alias("_n"))
-    big = size.where(F.col("_n") > max_edges)
-    if big.isEmpty():
-        return _whole(reg, keys, srid).withColumn("whole", F.lit(True))
-    if not keys:
-        return tile_polygons(reg, keys, srid).withColumn("whole", F.lit(False))
-    marked = reg.join(big, keys, "left")
-    small = _whole(marked.where("_n IS NULL"), keys, srid).withColumn("whole", F.lit(True))
-    large = tile_polygons(marked.where("_n IS NOT NULL"), keys, srid).withColumn("whole", F.lit(False))
-    return small.unionByName(large)
+    return _assembled(labelled_parts(reg, srid, keys), keys, srid)
 
 
-def _whole(reg: DataFrame, keys: Sequence[str], srid: int) -> DataFrame:
-    edges = reg.where(F.size("edges") > 0).groupBy(*keys).agg(F.flatten(F.collect_list("edges")).alias("edges"))
-    return chain_rows(edges, keys, srid)
+def _assembled(parts: DataFrame, keys: Sequence[str], srid: int) -> DataFrame:
+    """Parts in tiles -> one row per polygon: ``keys``, ``part``, ``geom``."""
+    edges = parts.where(F.size("edges") > 0).groupBy(*keys, F.col("part").alias("_label")).agg(F.flatten(F.collect_list("edges")).alias("edges"))
+    out = chain_rows(edges, [*keys, "_label"], srid)
+    return out.select(*keys, F.concat_ws("/", "_label", "part").alias("part"), "geom")
 
 
 def tile_polygons(reg: DataFrame, by: Sequence[str] = (), srid: int = G.TARGET_SRID) -> DataFrame:
@@ -248,24 +239,38 @@ def _tile_parts(reg: DataFrame, srid: int, keep: Sequence[str] = ()) -> DataFram
     return reg.select(*keep, "tile", "edges").mapInArrow(run, schema)
 
 
-def dissolved_parts(reg: DataFrame, plan: TilePlan, srid: int = G.TARGET_SRID) -> DataFrame:
-    """Label the connected parts of a region.
+def labelled_parts(reg: DataFrame, srid: int = G.TARGET_SRID, by: Sequence[str] = ()) -> DataFrame:
+    """Label the connected parts of each ``by`` group of a region.
 
-    One row per tile and part: ``part`` (the same for all rows of one dissolved polygon), the
-    row's boundary ``edges``, ``area``, ``perimeter`` and its ``geom`` inside the tile.
+    One row per tile and part: the keys, ``part`` (the same for all rows of one connected part),
+    the row's boundary ``edges``, ``area``, ``perimeter`` and its ``geom`` inside the tile.
     """
-    parts = _tile_parts(reg, srid)
-    seams = parts.select("node", F.explode("seams").alias("s")).select("node", "s.*")
-    # stretches on both sides of one border that overlap join two parts
-    bucket = F.floor((F.col("lo") - K.OFFSET) / F.lit(2.0**plan.level))
+    keys = list(by)
+    parts = _tile_parts(reg, srid, keys)
+    if keys:  # the same tile may hold parts of several groups
+        parts = parts.withColumn("node", F.concat_ws("|", "node", F.to_json(F.struct(*keys))))
+    parts = checkpoint(parts)
+    # stretches on both sides of one border that overlap join two parts; they are looked up by the
+    # cells of the largest tile, in one of which each of them lies
+    level = F.shiftright("tile", B.LEVEL_SHIFT) - B.LEVEL_ZERO
+    top = reg.agg(F.max(level)).first()[0]
+    seams = parts.select(*keys, "node", F.explode("seams").alias("s")).select(*keys, "node", "s.*")
+    bucket = F.floor((F.col("lo") - K.OFFSET) / F.lit(2.0 ** (top or 0)))
     seams = seams.withColumn("bucket", bucket)
-    a = seams.where("side = 0").select("axis", "at", "bucket", F.col("node").alias("u"), F.col("lo").alias("alo"), F.col("hi").alias("ahi"))
-    b = seams.where("side = 1").select("axis", "at", "bucket", F.col("node").alias("v"), "lo", "hi")
-    links = a.join(b, ["axis", "at", "bucket"]).where((F.least("hi", "ahi") > F.greatest("lo", "alo"))).select("u", "v").distinct()
-    label = connected_components(links)
+    a = seams.where("side = 0").select(*keys, "axis", "at", "bucket", F.col("node").alias("u"), F.col("lo").alias("alo"), F.col("hi").alias("ahi"))
+    b = seams.where("side = 1").select(*[F.col(k).alias(f"_{k}") for k in keys], "axis", "at", "bucket", F.col("node").alias("v"), "lo", "hi")
+    met = a.join(b, ["axis", "at", "bucket"]).where(F.least("hi", "ahi") > F.greatest("lo", "alo"))
+    for k in keys:
+        met = met.where(F.col(k).eqNullSafe(F.col(f"_{k}")))
+    label = connected_components(met.select("u", "v").distinct())
     out = parts.join(label, parts["node"] == label["id"], "left")
-    tile = F.element_at(F.split("node", ":"), 1).cast("long").alias("tile")
-    return out.select(F.coalesce("component", "node").alias("part"), tile, "edges", "area", "perimeter", "geom")
+    tile = F.regexp_extract("node", r"^(-?\d+):", 1).cast("long").alias("tile")
+    return out.select(*keys, F.coalesce("component", "node").alias("part"), tile, "edges", "area", "perimeter", "geom")
+
+
+def dissolved_parts(reg: DataFrame, plan: TilePlan | None = None, srid: int = G.TARGET_SRID) -> DataFrame:
+    """The connected parts of a region, in tiles (see ``labelled_parts``)."""
+    return labelled_parts(reg, srid)
 
 
 def dissolve(a: DataFrame, b: DataFrame, plan: TilePlan | None = None, srid: int = G.TARGET_SRID) -> DataFrame:
@@ -278,19 +283,6 @@ def dissolve(a: DataFrame, b: DataFrame, plan: TilePlan | None = None, srid: int
 
 
 def dissolve_polygons(a: DataFrame, b: DataFrame, plan: TilePlan | None = None, srid: int = G.TARGET_SRID) -> DataFrame:
-    """``dissolve`` with every part assembled into one polygon row.
-
-    Parts too large for one row keep their tile rows (``whole`` = false).
-    """
+    """``dissolve`` with every part assembled: one row per polygon, ``component``, ``geom``."""
     parts = checkpoint(dissolve(a, b, plan, srid))
-    n = parts.groupBy("part").agg(F.sum(F.size("edges") / 4).alias("_n")).where(F.col("_n") > WHOLE_EDGES)
-    small, large = parts, None
-    if not n.isEmpty():
-        small, large = parts.join(n, "part", "left_anti"), parts.join(n, "part", "left_semi")
-    edges = small.where(F.size("edges") > 0).withColumnRenamed("part", "component")
-    edges = edges.groupBy("component").agg(F.flatten(F.collect_list("edges")).alias("edges"))
-    out = chain_rows(edges, ["component"], srid).withColumn("whole", F.lit(True))
-    if large is not None:
-        rest = large.select(F.col("part").alias("component"), F.lit(0).alias("part"), "geom", F.lit(False).alias("whole"))
-        out = out.unionByName(rest)
-    return out
+    return _assembled(parts, [], srid).withColumnRenamed("part", "component")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -50,6 +51,10 @@ def tune(spark: SparkSession) -> SparkSession:
     would leave most cores idle. Results do not depend on it.
     """
     spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+    # a row may hold all edges of a tile, so batches are bounded by bytes as well
+    # a row may hold all edges of a tile: few rows a batch, and no more bytes than this
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
     return ship(spark)
 
 
@@ -63,20 +68,34 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Only a local session, where they are one process, may go without and gets a temporary folder;
+    on a cluster a missing setting is an error, as files on local disks could not be read again.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="sparcel-")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder for files of this run: shared storage on a cluster, else a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sparcel-files-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder name for files of this run, removed when the application ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
 
 def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage with a reliable checkpoint.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is
-    unset (tests, local runs) a temporary one is used.
+    The folder is that of ``shared_folder``.
     """
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="sparcel-checkpoint-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager)

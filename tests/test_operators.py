@@ -13,7 +13,7 @@ from sparcel.operators import checks as C
 from sparcel.operators import relations as R
 from sparcel.operators import tiling
 from sparcel.operators.components import cluster_touching, connected_components
-from sparcel.operators.overlay import overlay_intersection, overlay_measures, spatial_join
+from sparcel.operators.overlay import lines_in_region, overlay_intersection, overlay_measures, overlay_pairs, spatial_join
 from sparcel.operators.tiling import TilePlan, plan_tiles
 from sparcel.operators.union import assemble, dissolve, dissolve_polygons, measure, region, union_buffer
 from sparcel.plans import report as P
@@ -323,15 +323,38 @@ def test_report_from_source_layers(spark):
         P.car_space_report(*args, "971")
 
 
-def test_assemble_leaves_too_large_groups_in_tiles(discs):
-    reg = region(discs.withColumn("half", F.col("id") % 2), TilePlan(5), by=["half"])
-    whole = assemble(reg, ["half"])
-    cut = assemble(reg, ["half"], max_edges=10)
-    assert whole.where("NOT whole").count() == 0 and cut.where("whole").count() == 0
-    a = {r["half"]: r["a"] for r in whole.groupBy("half").agg(F.sum(G.area()).alias("a")).collect()}
-    b = {r["half"]: r["a"] for r in cut.groupBy("half").agg(F.sum(G.area()).alias("a")).collect()}
-    assert a == pytest.approx(b, rel=1e-7)
-    assert assemble(region(discs, TilePlan(5)), max_edges=10).where("whole").count() == 0
+def test_assembled_form_does_not_depend_on_tiles(spark, discs):
+    halves = discs.withColumn("half", F.when(F.col("id") % 3 > 0, F.col("id") % 3))  # null is a group as well
+    sums = []
+    for level in (4, 6, 12):
+        whole = assemble(region(halves, TilePlan(level), by=["half"]), ["half"])
+        rows = whole.groupBy("half").agg(F.count("*"), F.sum(G.area()), F.sum(G.perimeter())).collect()
+        sums.append({r[0]: tuple(r[1:]) for r in rows})
+    assert sums[0].keys() == {None, 1, 2}
+    for other in sums[1:]:
+        for k, v in sums[0].items():
+            assert other[k] == pytest.approx(v, rel=1e-6)
+    strip = spark.createDataFrame([(i, f"POLYGON(({i} 0,{i + 1} 0,{i + 1} 5,{i} 5,{i} 0))") for i in range(200)], "id int, wkt string")
+    one = assemble(region(strip.select("id", S.from_wkt("wkt").alias("geom")), TilePlan(3))).select(G.area(), G.perimeter()).collect()
+    assert [tuple(r) for r in one] == [(1000.0, 410.0)]
+
+
+def test_named_keys_may_repeat(spark):
+    rows = [(i, "same", None, f"LINESTRING(0 {i},{10 * (i + 1)} {i})") for i in range(4)] + [(0, "same", None, "LINESTRING(0 0,10 0)")]
+    geom = S.from_wkt("wkt").alias("geom")
+    road = spark.createDataFrame(rows, "id int, grp string, none string, wkt string").select("id", "grp", "none", geom)
+    box = spark.createDataFrame([(7, "POLYGON((-1 -1,100 -1,100 9,-1 9,-1 -1))")], "zone int, wkt string").select("zone", geom)
+    for kw in ({}, {"key_b": ["id"]}, {"key_b": ["grp"]}, {"key_b": ["none"]}):
+        o = overlay_intersection(box, road, ["zone"], ["grp"], **kw)
+        assert sorted(r[0] for r in o.select(G.length()).collect()) == [10.0, 10.0, 20.0, 30.0, 40.0]
+    o = overlay_intersection(box, road)
+    assert o.count() == 5 and o.columns == ["id", "geom"]
+    pairs = overlay_pairs(box, road, ["zone"], ["grp"])
+    assert sorted(r[0] for r in pairs.select(G.length()).collect()) == [10.0, 10.0, 20.0, 30.0, 40.0]
+    plan = TilePlan(4)
+    inside = lines_in_region(region(box, plan, ["zone"]), road, plan, ["zone"], ["none"], ["grp"])
+    assert sorted(r[0] for r in inside.select(G.length()).collect()) == [10.0, 10.0, 20.0, 30.0, 40.0]
+
 
 
 def test_pieces_are_combined_before_the_shuffle(spark):
