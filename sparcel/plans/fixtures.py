@@ -72,21 +72,25 @@ def features(spark: SparkSession, sf_dir: str, layer: str) -> DataFrame:
     return with_geom(raw(spark, sf_dir, layer), layer)
 
 
-def zones(spark, sf_dir, keep_overseas=False) -> DataFrame:
+def zones(spark, sf_dir, chosen=False) -> DataFrame:
+    """All zones, or those that the analysis is about."""
     df = features(spark, sf_dir, "zone")
-    return df if keep_overseas else df.where(~F.col("insee_com").like(OVERSEAS))
+    return df.where(~F.col("insee_com").like(OVERSEAS)) if chosen else df
 
 
-def equipment(spark, sf_dir) -> DataFrame:
-    return features(spark, sf_dir, "equip").where(F.col("nature").isin(EQUIP_NATURES))
+def equipment(spark, sf_dir, chosen=False) -> DataFrame:
+    df = features(spark, sf_dir, "equip")
+    return df.where(F.col("nature").isin(EQUIP_NATURES)) if chosen else df
 
 
-def landcover(spark, sf_dir) -> DataFrame:
-    return features(spark, sf_dir, "landcover").where(F.col("classe").isin(LAND_CLASSES))
+def landcover(spark, sf_dir, chosen=False) -> DataFrame:
+    df = features(spark, sf_dir, "landcover")
+    return df.where(F.col("classe").isin(LAND_CLASSES)) if chosen else df
 
 
-def roads(spark, sf_dir) -> DataFrame:
-    return features(spark, sf_dir, "road").where(F.col("nature") != "5-LOW")
+def roads(spark, sf_dir, chosen=False) -> DataFrame:
+    df = features(spark, sf_dir, "road")
+    return df.where(F.col("nature") != "5-LOW") if chosen else df
 
 
 def points(spark, sf_dir) -> DataFrame:

@@ -1,12 +1,13 @@
 """One query per operator over the derived layers, with the SQL that checks it.
 
-``QUERIES`` and ``ORACLES`` share their keys. Every query reads whole tables; a query without an
-oracle entry is covered by closed forms and properties in the tests.
+``QUERIES`` and ``ORACLES`` share their keys. Every query reads whole tables; only the analysis
+itself keeps some categories of its layers, which is part of it. A query without an oracle entry is covered by closed forms and properties in the tests.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from ..sources import tables as TB
 from . import fixtures as X
 from . import report as P
 from . import zonal as Z
+from .catalog import LayerCatalog
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -45,9 +47,9 @@ def query(oracle: str | None = None):
     return register
 
 
-def cte(*layers: str) -> str:
-    """Layers as common table expressions, filtered as in ``fixtures``."""
-    where = {
+def cte(*layers: str, chosen: bool = False) -> str:
+    """Layers as common table expressions; ``chosen`` keeps the categories of the analysis, as in ``fixtures``."""
+    where = {n: "" for n in X.SQL} if not chosen else {
         "zone": "WHERE insee_com NOT LIKE '97%'",
         "equip": "WHERE nature IN ('ECONOMY','LARGE','MEDIUM')",
         "landcover": "WHERE classe IN ('BUILDING','FURNITURE','HOUSEHOLD')",
@@ -209,7 +211,7 @@ def relabel_positional(spark, d):
 
 def _frames(spark, d):
     """Equipment as frames: rectangles with a rectangular hole two metres inside."""
-    q = X.raw(spark, d, "equip").where(F.col("nature").isin(X.EQUIP_NATURES))
+    q = X.raw(spark, d, "equip")
     ring = lambda e: F.array(
         G.vertex(F.col("x0") + e, F.col("y0") + e), G.vertex(F.col("x1") - e, F.col("y0") + e), G.vertex(F.col("x1") - e, F.col("y1") - e),
         G.vertex(F.col("x0") + e, F.col("y1") - e), G.vertex(F.col("x0") + e, F.col("y0") + e),
@@ -390,6 +392,38 @@ def overlay_line(spark, d):
     return o.select("insee_com", "cleabs", _r(G.length()).alias("length"), G.vertex_count().alias("vertices"))
 
 
+@query(f"""WITH {cte('zone', 'road')}, q AS (SELECT a.insee_com, b.nature, {_BOX} FROM zone a JOIN road b ON b.x0 <= a.x1 AND b.x1 >= a.x0 AND b.y0 <= a.y1 AND b.y1 >= a.y0)
+SELECT insee_com, nature, CAST(w+h AS DOUBLE) AS length FROM q WHERE w + h > 0""")
+def overlay_line_shared_field(spark, d):
+    """Roads that share the only field asked for stay rows of their own."""
+    o = overlay_intersection(X.zones(spark, d), X.roads(spark, d), ["insee_com"], ["nature"])
+    return o.select("insee_com", "nature", _r(G.length()).alias("length"))
+
+
+@query(f"""WITH {cte('zone', 'equip')}, q AS (SELECT a.insee_dep, b.nature, {_BOX} FROM zone a, equip b WHERE a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1)
+SELECT insee_dep, nature, CAST(w*h AS DOUBLE) AS area FROM q""")
+def overlay_polygon_shared_field(spark, d):
+    """The same for polygons, with a field that repeats on either side."""
+    o = overlay_intersection(X.zones(spark, d), X.equipment(spark, d), ["insee_dep"], ["nature"])
+    return o.select("insee_dep", "nature", _r(G.area()).alias("area"))
+
+
+@query(f"""WITH {cte('zone', 'road', 'landcover')},
+ p AS (SELECT a.insee_com, greatest(a.x0,b.x0) AS x0, least(a.x1,b.x1) AS x1, greatest(a.y0,b.y0) AS y0, least(a.y1,b.y1) AS y1
+   FROM zone a JOIN road b ON b.x0 <= a.x1 AND b.x1 >= a.x0 AND b.y0 <= a.y1 AND b.y1 >= a.y0),
+ q AS (SELECT b.insee_com, {_BOX} FROM landcover a JOIN p b ON b.x0 <= a.x1 AND b.x1 >= a.x0 AND b.y0 <= a.y1 AND b.y1 >= a.y0 WHERE b.x1-b.x0+b.y1-b.y0 > 0)
+SELECT insee_com, CAST(sum(w+h) AS DOUBLE) AS length FROM q WHERE w + h > 0 GROUP BY insee_com""")
+def overlay_chain(spark, d):
+    """Zones with roads keeping the zone's code, then landcover with those pieces: length by zone."""
+    catalog = LayerCatalog(spark)
+    for name, layer in (("chain_zone", X.zones), ("chain_road", X.roads), ("chain_cover", X.landcover)):
+        R.create_relation(layer(spark, d), name, as_view=True)
+    catalog.intersect_geometries("chain_zone", "chain_road", ["insee_com"], out_name="chain_piece", as_view=True)
+    catalog.intersect_geometries("chain_cover", "chain_piece", fields_b=["insee_com"], out_name="chain_end", as_view=True)
+    out = catalog.table("chain_end").groupBy("insee_com").agg(_r(F.sum(G.length())).alias("length"))
+    return out.select("insee_com", "length")
+
+
 @query(f"WITH {cte('zone', 'pt')} SELECT insee_com, id, x, y FROM zone JOIN pt ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1")
 def overlay_point(spark, d):
     pts = X.points(spark, d).withColumnRenamed("id", "event")
@@ -487,6 +521,14 @@ def union_by_dep_polygons(spark, d):
     return out.select("insee_dep", _r(G.area()).alias("area"), G.type_name().alias("type"))
 
 
+@query(f"WITH {cte('equip')}, {cells('equip')} {TOTAL}")
+def create_union_whole(spark, d):
+    """The union of a layer through the catalog, as whole polygons."""
+    R.create_relation(X.equipment(spark, d), "union_layer", as_view=True)
+    out = LayerCatalog(spark).create_union("union_layer", "union_whole", as_view=True)
+    return out.agg(_r(F.sum(G.area())).alias("area"), _r(F.sum(G.perimeter())).alias("perimeter"))
+
+
 @query(f"WITH {cte('landcover')}, q AS (SELECT * FROM landcover WHERE classe LIKE '%U%D%'), {cells('q')} {TOTAL}")
 def union_where_like_class(spark, d):
     return _measured(union_where_like(X.landcover(spark, d), "classe", "%U%D%"))
@@ -572,6 +614,14 @@ def ctas_view_vs_table(spark, d):
     return one(table, "TABLE").unionByName(one(view, "VIEW"))
 
 
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey % 2 = 0")
+def ctas_replace_self(spark, d):
+    """A table that is replaced by a selection of its own rows."""
+    name = f"own_{uuid.uuid4().hex[:8]}"
+    R.create_relation(_read(spark, d, "customer").select("c_custkey", "c_name"), name)
+    return R.create_relation(spark.table(name).where("c_custkey % 2 = 0"), name)
+
+
 @query("SELECT count(*) AS n, false AS still_there FROM customer")
 def drop_relations(spark, d):
     R.create_relation(_read(spark, d, "customer"), "to_drop", as_view=True)
@@ -591,7 +641,7 @@ def sql_template(spark, d):
 
 def _report_sql(where: str, style: str = "square") -> str:
     """The analysis on rectangles: cells of half a metre, because medians may be halves."""
-    return f"""WITH {cte('zone', 'equip', 'landcover', 'road')},
+    return f"""WITH {cte('zone', 'equip', 'landcover', 'road', chosen=True)},
  dep AS (SELECT insee_dep, min(x0) AS x0, max(x1) AS x1, min(y0) AS y0, max(y1) AS y1 FROM zone {where} GROUP BY insee_dep),
  piece AS (SELECT insee_dep, nature, largeur, greatest(a.x0,b.x0) AS x0, least(a.x1,b.x1) AS x1, greatest(a.y0,b.y0) AS y0, least(a.y1,b.y1) AS y1
    FROM dep a JOIN road b ON b.x0 <= a.x1 AND b.x1 >= a.x0 AND b.y0 <= a.y1 AND b.y1 >= a.y0
@@ -634,7 +684,7 @@ SELECT num_insee, round(ArCom,6) AS ArCom, round(ArVoiCom,6) AS ArVoiCom, round(
 
 def _report(spark, d, departement=None, style="square"):
     out = P.car_space_report(
-        X.zones(spark, d), X.equipment(spark, d), X.roads(spark, d), X.landcover(spark, d), departement, style=style
+        *(f(spark, d, chosen=True) for f in (X.zones, X.equipment, X.roads, X.landcover)), departement, style=style
     )
     return out.select("num_insee", *[_r(F.col(c)).alias(c) for c in Z.RESULT_COLUMNS[1:]])
 
