@@ -10,8 +10,8 @@ asides, forms, adverts, notices and comments go in any case, and if the page mar
 main part), the text is what stands in it, and its lines are not deleted. Two pages that share more
 than half of their other text are copies of each other, not of a template; they delete nothing.
 
-Pages are parsed where they stand. Ordering and aligning work on line hashes; a page moves once, to
-meet the numbers of its own deleted lines.
+Pages are parsed where they stand. Ordering and aligning work on line hashes; the numbers of deleted
+lines go to the pages while there are few of them, else both are shuffled.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from sparcel.llm.common import stored
+from sparcel.llm.common import checked_broadcast, stored
 
 #: Elements that begin a line, that hold no text, and that hold no main text.
 BLOCKS = frozenset(
@@ -56,6 +56,8 @@ _MARK = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^
 _WORD = re.compile(r"[a-z]+")
 
 ARTICLE, PLAIN, APART_LINE = 2, 1, 0
+#: Most pages with deleted lines that are sent to where the pages are; beyond it the pages are shuffled.
+NARROW = 100_000
 
 
 def _apart(name: str, attributes: str, inside_article: bool) -> bool:
@@ -158,13 +160,19 @@ def _lcs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def deleted_lines(own, size, kind, other, other_size, other_kind) -> list[int]:
-    """Numbers of the lines that a page shares with its nearest page, if those are template."""
+    """Numbers of the lines that a page shares with its nearest page, if those are template.
+
+    Lines that the markup sets apart go in any case, and where an article is marked so do all others
+    but its own: those are not listed.
+    """
+    if (kind == ARTICLE).any():
+        return []
     shared = common_lines(own, other)
     share = np.isin(np.arange(len(own)), shared) & (kind == PLAIN)
     there = np.isin(other, own[shared]) & (other_kind == PLAIN)
     if 2 * size[share].sum() > max(1, size[kind == PLAIN].sum()) or 2 * other_size[there].sum() > max(1, other_size[other_kind == PLAIN].sum()):
-        shared = shared[kind[shared] == APART_LINE]
-    return [int(i) for i in shared if kind[i] != ARTICLE]
+        return []
+    return [int(i) for i in shared if kind[i] == PLAIN]
 
 
 def main_text(page: str | None, deleted: list[int] | None) -> str:
@@ -303,7 +311,8 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
         .join(units.select(F.col("unit").alias("near"), F.col("lines").alias("other")), "near").select("unit", "own", "other")
     )
     deleted = both.mapInArrow(_deletions, "unit string, deleted array<int>")
-    by_page = parsed.select("key", "unit").distinct().join(deleted, "unit").select(F.col("key").alias("page_key"), "deleted")
+    by_page = stored(parsed.select("key", "unit").distinct().join(deleted, "unit").select(F.col("key").alias("page_key"), "deleted"), "deleted")
+    by_page = checked_broadcast(by_page, NARROW)
     met = rows.select("page_id", "url", "html", "key").join(by_page, F.col("key") == F.col("page_key"), "left")
     schema = T.StructType([rows.schema["page_id"], rows.schema["url"], *T.StructType.fromDDL("text string, n_chars long").fields])
     arrow = to_arrow_schema(schema)
