@@ -120,15 +120,35 @@ def src_feature_layer(spark, d):
 def src_wkt_layer(spark, d):
     path = scratch(spark, "wkt")
     X.roads(spark, d).select("cleabs", S.to_wkt().alias("wkt")).write.parquet(path)
-    return S.read_features(spark, path, column="wkt", encoding="wkt").select("cleabs", G.length().alias("length"))
+    return S.read_features(spark, path, column="wkt", encoding="wkt", srid=G.TARGET_SRID).select("cleabs", G.length().alias("length"))
 
 
-@query(f"WITH {cte('road')} SELECT cleabs, nature, largeur, 'ST_LineString' AS type, CAST((x1-x0)+(y1-y0) AS DOUBLE) AS length FROM road")
+_SYSTEM = "CASE cleabs % 3 WHEN 0 THEN 2154 WHEN 1 THEN 4326 ELSE 3857 END"
+
+
+def _systems(spark, d):
+    """Roads in three reference systems (the numbers stay, only the system differs)."""
+    return X.roads(spark, d).withColumn("geom", F.col("geom").withField("srid", F.expr(_SYSTEM)))
+
+
+@query(f"WITH {cte('road')} SELECT cleabs, nature, largeur, 'ST_LineString' AS type, {_SYSTEM} AS srid, CAST((x1-x0)+(y1-y0) AS DOUBLE) AS length FROM road")
 def sink_layer_roundtrip(spark, d):
     path = scratch(spark, "roads")
     S.write_layer(X.roads(spark, d), path)
-    S.write_layer(X.roads(spark, d), path)
-    return S.read_features(spark, path).select("cleabs", "nature", "largeur", G.type_name().alias("type"), G.length().alias("length"))
+    S.write_layer(_systems(spark, d), path)
+    out = S.read_features(spark, path)
+    return out.select("cleabs", "nature", "largeur", G.type_name().alias("type"), F.col("geom.srid").alias("srid"), G.length().alias("length"))
+
+
+@query(f"WITH {cte('road')} SELECT cleabs, {_SYSTEM} AS srid, CAST((x1-x0)+(y1-y0) AS DOUBLE) AS length FROM road UNION ALL SELECT cleabs, 3857, CAST((x1-x0)+(y1-y0) AS DOUBLE) FROM road")
+def src_srid_from_data(spark, d):
+    """The reference system comes with the values, as EWKB and as EWKT."""
+    path = scratch(spark, "systems")
+    S.encode_wkb(_systems(spark, d).select("cleabs", "geom")).write.parquet(f"{path}/wkb")
+    text = F.concat(F.lit("SRID=3857;"), S.to_wkt()).alias("wkt")
+    X.roads(spark, d).select("cleabs", text).write.parquet(f"{path}/wkt")
+    both = S.read_features(spark, path, "wkb").unionByName(S.read_features(spark, path, "wkt", encoding="wkt"))
+    return both.select("cleabs", F.col("geom.srid").alias("srid"), G.length().alias("length"))
 
 
 @query("SELECT lpad(CAST(c_nationkey AS VARCHAR), CAST(greatest(length(CAST(c_nationkey AS VARCHAR)), 2) AS INTEGER), '0') AS dep, c_name AS num_insee, c_acctbal AS total FROM customer")

@@ -1,4 +1,8 @@
-"""Feature layers: reading and writing geometry as WKB or WKT next to plain attributes."""
+"""Feature layers: the geometry struct in Parquet, or WKB and WKT next to plain attributes.
+
+A layer keeps its reference system: the struct holds it, WKB carries it as EWKB and WKT as EWKT.
+Values that carry none need the ``srid`` argument; without it reading them is an error.
+"""
 
 from __future__ import annotations
 
@@ -13,8 +17,10 @@ from pyspark.sql import types as T
 
 from ..functions import geometry as G
 from ..operators import batches as B
+from ..operators.relations import create_relation
 from ..session import ship
 
+GEOM_COLUMN = "geom"
 BOX = ("xmin", "ymin", "xmax", "ymax")
 
 
@@ -65,6 +71,13 @@ def to_wkt(geom="geom") -> Column:
 # ------------------------------------------------------------------ WKB, in Arrow batches
 
 
+def wkb_srid(buf: bytes) -> int | None:
+    """The reference system that an EWKB value carries."""
+    order = "<" if buf[0] == 1 else ">"
+    code = struct.unpack_from(order + "I", buf, 1)[0]
+    return struct.unpack_from(order + "I", buf, 5)[0] or None if code & 0x20000000 else None
+
+
 def _parse_wkb(buf: bytes, at: int = 0):
     """One WKB value -> (dimension, multi, parts, next offset); z and m are dropped."""
     order = "<" if buf[at] == 1 else ">"
@@ -108,7 +121,7 @@ def _parse_wkb(buf: bytes, at: int = 0):
     raise ValueError(f"WKB geometry type {base} is not supported")
 
 
-def _write_wkb(dim: int, multi: bool, parts) -> bytes:
+def _write_wkb(dim: int, multi: bool, parts, srid: int | None = None) -> bytes:
     def single(part):
         head = struct.pack("<BI", 1, dim + 1)
         if dim == 0:
@@ -118,12 +131,17 @@ def _write_wkb(dim: int, multi: bool, parts) -> bytes:
         return head + struct.pack("<I", len(part)) + b"".join(struct.pack("<I", len(r)) + r.tobytes() for r in part)
 
     if multi or len(parts) != 1:
-        return struct.pack("<BII", 1, dim + 4, len(parts)) + b"".join(single(p) for p in parts)
-    return single(parts[0])
+        out = struct.pack("<BII", 1, dim + 4, len(parts)) + b"".join(single(p) for p in parts)
+    else:
+        out = single(parts[0])
+    if not srid:
+        return out
+    code = struct.unpack_from("<I", out, 1)[0]
+    return struct.pack("<BII", 1, code | 0x20000000, srid) + out[5:]
 
 
-def decode_wkb(df: DataFrame, column: str, srid: int = G.TARGET_SRID, geom: str = "geom") -> DataFrame:
-    """Replace a WKB column by a geometry column."""
+def decode_wkb(df: DataFrame, column: str, srid: int | None = None, geom: str = "geom") -> DataFrame:
+    """Replace a WKB column by a geometry column; ``srid`` is for values that carry none."""
     ship(df.sparkSession)
     keep = [c for c in df.columns if c != column]
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(geom, G.GEOM)])
@@ -137,10 +155,13 @@ def decode_wkb(df: DataFrame, column: str, srid: int = G.TARGET_SRID, geom: str
                 dims.append(d)
                 multis.append(m)
                 parts.append(p)
-            g = B.polygons_to_arrow(parts, srid)
+            g = B.polygons_to_arrow(parts, srid or 0)
             null = pa.array([v is None for v in raw], pa.bool_())
+            own = [srid if v is None else wkb_srid(v) or srid for v in raw]
+            if any(s is None for s, v in zip(own, raw) if v is not None):
+                raise ValueError("a WKB value carries no reference system: name it with srid")
             g = pa.StructArray.from_arrays(
-                [g.field(0), pa.array(dims, pa.int8()), pa.array(multis, pa.bool_()), g.field(3)], fields=list(B.ARROW_GEOM), mask=null
+                [pa.array(own, g.field(0).type), pa.array(dims, pa.int8()), pa.array(multis, pa.bool_()), g.field(3)], fields=list(B.ARROW_GEOM), mask=null
             )
             yield pa.RecordBatch.from_arrays([b.column(i) for i in range(len(keep))] + [g], names=schema.names)
 
@@ -148,7 +169,7 @@ def decode_wkb(df: DataFrame, column: str, srid: int = G.TARGET_SRID, geom: str
 
 
 def encode_wkb(df: DataFrame, column: str = "wkb", geom: str = "geom") -> DataFrame:
-    """Replace the geometry column by a WKB column."""
+    """Replace the geometry column by an EWKB column, which carries the reference system."""
     ship(df.sparkSession)
     keep = [c for c in df.columns if c != geom]
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(column, T.BinaryType())])
@@ -161,7 +182,7 @@ def encode_wkb(df: DataFrame, column: str = "wkb", geom: str = "geom") -> DataFr
                     out.append(None)
                     continue
                 parts = [[np.array([[q["x"], q["y"]] for q in r], dtype="<f8").reshape(-1, 2) for r in p] for p in v["parts"]]
-                out.append(_write_wkb(v["dim"], v["multi"], parts))
+                out.append(_write_wkb(v["dim"], v["multi"], parts, v["srid"]))
             yield pa.RecordBatch.from_arrays([b.column(i) for i in range(len(keep))] + [pa.array(out, pa.binary())], names=schema.names)
 
     return df.select(*keep, geom).mapInArrow(run, schema)
@@ -171,23 +192,29 @@ def encode_wkb(df: DataFrame, column: str = "wkb", geom: str = "geom") -> DataFr
 
 
 def write_layer(df: DataFrame, path: str, bounds: bool = True, geom: str = "geom") -> None:
-    """Store a layer as Parquet with WKB and, for scan pruning, its bounding boxes."""
+    """Store a layer as Parquet with its geometry struct and, for scan pruning, its bounding boxes.
+
+    Nothing is encoded, so scans read the nested fields they need and no more. Other programs take
+    ``encode_wkb``.
+    """
     out = G.with_bounds(df, geom) if bounds else df
-    encode_wkb(out, "wkb", geom).write.mode("overwrite").parquet(path)
+    out.withColumnRenamed(geom, GEOM_COLUMN).write.mode("overwrite").parquet(path)
 
 
 def save_layer(df: DataFrame, name: str, geom: str = "geom") -> None:
-    """Store a layer as a table, replacing an older one."""
-    df.sparkSession.sql("DROP TABLE IF EXISTS IDENTIFIER(:n)", args={"n": name})
-    encode_wkb(G.with_bounds(df, geom), "wkb", geom).write.mode("overwrite").saveAsTable(name)
+    """Store a layer as a table, replacing an older one once it is written."""
+    create_relation(G.with_bounds(df, geom).withColumnRenamed(geom, GEOM_COLUMN), name)
 
 
 def read_features(
-    spark: SparkSession, path: str, layer: str | None = None, column: str = "wkb", encoding: str = "wkb",
-    srid: int = G.TARGET_SRID, columns: Sequence[str] | None = None, box: Sequence[float] | None = None, keep_bounds: bool = False,
+    spark: SparkSession, path: str, layer: str | None = None, column: str | None = None, encoding: str | None = None,
+    srid: int | None = None, columns: Sequence[str] | None = None, box: Sequence[float] | None = None, keep_bounds: bool = False,
     fmt: str = "parquet", geom: str = "geom", **options,
 ) -> DataFrame:
-    """Read a layer: a WKB or WKT column of any Spark format, or ``shapefile`` / ``gpkg`` files.
+    """Read a layer: a geometry, WKB or WKT column of any Spark format, or ``shapefile`` / ``gpkg`` files.
+
+    Without ``encoding`` and ``column`` the layer is one that ``write_layer`` stored, or has a column
+    ``wkb``. The reference system is that of the data; ``srid`` stands in where values carry none.
 
     ``layer`` names a sub-folder of ``path`` holding several layers. ``box`` (xmin, ymin, xmax,
     ymax) prunes on the stored bounding boxes inside the scan; ``columns`` limits the attributes;
@@ -199,18 +226,27 @@ def read_features(
         ship(spark)
         spark.dataSource.register(SOURCES[fmt])
         extra = {"layer": layer} if layer is not None else {}
-        out = spark.read.format(SOURCES[fmt].name()).options(srid=srid, **extra, **options).load(path)
+        out = spark.read.format(SOURCES[fmt].name()).options(**({"srid": srid} if srid is not None else {}), **extra, **options).load(path)
         attrs = [c for c in out.columns if c != "geom"] if columns is None else list(columns)
         return out.select(*attrs, F.col("geom").alias(geom))
     where = path if layer is None else f"{path.rstrip('/')}/{layer}"
     df = spark.read.format(fmt).options(**options).load(where)
     if box is not None:
         df = df.where((F.col("xmax") >= box[0]) & (F.col("ymax") >= box[1]) & (F.col("xmin") <= box[2]) & (F.col("ymin") <= box[3]))
+    if encoding is None:
+        encoding = "native" if column is None and GEOM_COLUMN in df.columns else "wkb"
+    column = column or (GEOM_COLUMN if encoding == "native" else encoding)
     drop = (column,) if keep_bounds else (column, *BOX)
     attrs = [c for c in df.columns if c not in drop] if columns is None else list(columns)
     df = df.select(*attrs, column)
+    if encoding == "native":
+        return df.select(*attrs, F.col(column).alias(geom))
     if encoding == "wkt":
-        return df.select(*attrs, from_wkt(column, srid).alias(geom))
+        own = F.nullif(F.regexp_extract(column, r"(?i)^\s*SRID\s*=\s*(\d+)\s*;", 1), F.lit("")).cast("int")
+        missing = F.raise_error(F.lit("a WKT value carries no reference system: name it with srid")).cast("int")
+        system = F.coalesce(own, F.lit(srid).cast("int") if srid is not None else missing)
+        shape = from_wkt(F.regexp_replace(column, r"(?i)^\s*SRID\s*=\s*\d+\s*;\s*", ""), srid or 0)
+        return df.select(*attrs, F.when(F.col(column).isNotNull(), shape.withField("srid", system)).alias(geom))
     if encoding != "wkb":
         raise ValueError(f"unknown geometry encoding: {encoding}")
     return decode_wkb(df, column, srid, geom)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import glob
 import os
+import re
 import sqlite3
 import struct
 
@@ -55,7 +56,8 @@ class _Layer(DataSource):
         return _files(self.options["path"], self.ending)
 
     def _srid(self):
-        return int(self.options.get("srid", G.TARGET_SRID))
+        """The system named by the caller; else files have to name theirs."""
+        return int(self.options["srid"]) if "srid" in self.options else None
 
 
 class _Reader(DataSourceReader):
@@ -71,15 +73,28 @@ class _Reader(DataSourceReader):
             out += [Range(p, s, min(s + self.step, hi)) for s in range(lo, hi, self.step)]
         return out or [Range(self.paths[0], 0, 0)]
 
-    def _batch(self, columns, shapes):
+    def _batch(self, columns, shapes, names, srid):
+        """``columns`` by ``names``: those of the file, which may stand in another order than the schema's."""
         fields = [f for f in self.schema.fields if f.name != "geom"]
-        cols = [pa.array(c, ARROW[f.dataType]) for c, f in zip(columns, fields)]
-        return pa.RecordBatch.from_arrays(cols + [_geometry(shapes, self.srid)], names=[f.name for f in fields] + ["geom"])
+        by_name = dict(zip(names, columns))
+        if set(by_name) != {f.name for f in fields}:
+            raise ValueError(f"files of one layer have other columns: {sorted(by_name)} and {sorted(f.name for f in fields)}")
+        if srid is None:
+            raise ValueError("the file names no known reference system: name it with srid")
+        cols = [pa.array(by_name[f.name], ARROW[f.dataType]) for f in fields]
+        return pa.RecordBatch.from_arrays(cols + [_geometry(shapes, srid)], names=[f.name for f in fields] + ["geom"])
 
 
 # ------------------------------------------------------------------ shapefile
 
 
+# Names of reference systems in .prj files.
+PRJ_NAMES = {
+    "RGF_1993_Lambert_93": 2154, "RGF93_Lambert_93": 2154, "RGF93 / Lambert-93": 2154, "RGF93 v1 / Lambert-93": 2154,
+    "GCS_WGS_1984": 4326, "WGS 84": 4326, "WGS_1984_Web_Mercator_Auxiliary_Sphere": 3857, "WGS 84 / Pseudo-Mercator": 3857,
+}
+
+
 def _dbf_fields(path: str):
     """(header size, record size, [(name, type, offset, width, decimals)])."""
     with open(path[:-4] + ".dbf", "rb") as f:
@@ -181,7 +196,21 @@ class _ShapefileReader(_Reader):
                 recs = [raw[k * width:(k + 1) * width] for k in range(len(rows))]
                 cols = [[_dbf_value(r[o:o + w], k, d, encoding) for r in recs] for _, k, o, w, d in fields]
                 live = [k for k, r in enumerate(recs) if r[:1] != b"*"]
-                yield self._batch([[c[k] for k in live] for c in cols], [shapes[k] for k in live])
+                names, srid = [f[0] for f in fields], self.srid or _prj_srid(part.path)
+                yield self._batch([[c[k] for k in live] for c in cols], [shapes[k] for k in live], names, srid)
+
+
+def _prj_srid(path: str) -> int | None:
+    """The system that a shapefile's ``.prj`` names, by code or as one of those known here."""
+    prj = path[:-4] + ".prj"
+    if not os.path.exists(prj):
+        return None
+    with open(prj, encoding="latin-1") as f:
+        text = f.read()
+    if codes := re.findall(r'AUTHORITY\["EPSG",\s*"?(\d+)"?\]\s*\]\s*$', text):
+        return int(codes[-1])
+    name = re.match(r'\s*(\w+)\["([^"]*)"', text)
+    return PRJ_NAMES.get(name[2]) if name else None
 
 
 # ------------------------------------------------------------------ GeoPackage
@@ -217,6 +246,12 @@ def _gpkg_type(declared: str):
 ENVELOPE = {0: 0, 1: 32, 2: 48, 3: 48, 4: 64}
 
 
+def _gpkg_srid(blob) -> int | None:
+    """The reference system in the header of a geometry."""
+    value = struct.unpack_from("<i" if blob[3] & 1 else ">i", blob, 4)[0]
+    return value if value > 0 else None
+
+
 def _gpkg_shape(blob):
     if blob is None or blob[3] & 0x10:
         return None
@@ -257,7 +292,10 @@ class _GeoPackageReader(_Reader):
                 for k in range(len(attrs)):
                     v = [r[k] for r in rows]
                     columns.append([None if x is None else bool(x) for x in v] if kinds[k] == T.BooleanType() else v)
-                yield self._batch(columns, [_gpkg_shape(r[-1]) for r in rows])
+                systems = {_gpkg_srid(r[-1]) for r in rows if r[-1] is not None} or {G.TARGET_SRID}
+                if self.srid is None and len(systems) > 1:
+                    raise ValueError("a layer mixes reference systems")
+                yield self._batch(columns, [_gpkg_shape(r[-1]) for r in rows], [a for a, _ in attrs], self.srid or systems.pop())
 
 
 SOURCES = {"shapefile": ShapefileSource, "gpkg": GeoPackageSource}

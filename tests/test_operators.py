@@ -245,6 +245,8 @@ def test_layers_roundtrip(spark, tmp_path):
     S.write_layer(shapes, str(tmp_path / "wkb"))
     got = {r["id"]: r["geom"] for r in S.read_features(spark, str(tmp_path / "wkb")).collect()}
     assert got == want
+    got = {r["id"]: r["geom"] for r in S.decode_wkb(S.encode_wkb(shapes), "wkb").collect()}
+    assert got == want
     text = shapes.select("id", S.to_wkt().alias("t"))
     got = {r["id"]: r["geom"] for r in text.select("id", S.from_wkt("t").alias("geom")).collect()}
     assert got == want

@@ -47,7 +47,9 @@ def test_shapefiles(spark, tmp_path):
     for k in range(3):
         recs = [(5, [cw(0, 0, 10, 10), cw(2, 2, 4, 4)[::-1]]), (5, [cw(0, 0, 1, 1), cw(5, 5, 7, 7)]), (5, [cw(k, 0, k + 1, 1)])]
         write_shapefile(tmp_path / f"f{k}", recs, fields, [("Évry", 1, 1.5), ("b", None, None), (f"c{k}", 3, 2.25)])
-    df = S.read_features(spark, str(tmp_path), fmt="shapefile", rowsPerPartition=2)
+    with pytest.raises(Exception, match="no known reference system"):
+        S.read_features(spark, str(tmp_path), fmt="shapefile").count()
+    df = S.read_features(spark, str(tmp_path), fmt="shapefile", srid=2154, rowsPerPartition=2)
     assert df.schema["N"].dataType.simpleString() == "bigint" and df.schema["W"].dataType.simpleString() == "double"
     assert df.rdd.getNumPartitions() == 6
     got = df.select("INSEE_COM", "N", "W", G.area().alias("a"), G.type_name().alias("t")).collect()
@@ -58,6 +60,30 @@ def test_shapefiles(spark, tmp_path):
         S.read_features(spark, str(tmp_path / "none"), fmt="shapefile").count()
 
 
+def test_shapefile_columns_go_by_name(spark, tmp_path):
+    ring = [(0, 0), (0, 1), (1, 1), (1, 0), (0, 0)]
+    name, code = ("NAME", "C", 8, 0), ("CODE", "C", 8, 0)
+    write_shapefile(tmp_path / "a", [(5, [ring])], [code, name], [("c1", "n1")])
+    write_shapefile(tmp_path / "b", [(5, [ring])], [name, code], [("n2", "c2")])
+    (tmp_path / "a.prj").write_text('GEOGCS["GCS_WGS_1984",DATUM["D_WGS_1984"]]')
+    (tmp_path / "b.prj").write_text('PROJCS["x",GEOGCS["y",AUTHORITY["EPSG","4171"]],AUTHORITY["EPSG","2154"]]')
+    rows = S.read_features(spark, str(tmp_path), fmt="shapefile").select("CODE", "NAME", "geom.srid").collect()
+    assert sorted(map(tuple, rows)) == [("c1", "n1", 4326), ("c2", "n2", 2154)]
+    write_shapefile(tmp_path / "c", [(5, [ring])], [name, code, ("MORE", "C", 8, 0)], [("n3", "c3", "m")])
+    with pytest.raises(Exception, match="other columns"):
+        S.read_features(spark, str(tmp_path), fmt="shapefile", srid=2154).count()
+
+
+def test_reference_system_of_values(spark):
+    wkb = spark.createDataFrame([(1, struct.pack("<BI2d", 1, 1, 3, 4))], "id int, wkb binary")
+    with pytest.raises(Exception, match="no reference system"):
+        S.decode_wkb(wkb, "wkb").collect()
+    point = S.decode_wkb(wkb, "wkb", 4326)
+    assert point.select("geom.srid").first()[0] == 4326
+    assert S.decode_wkb(S.encode_wkb(point), "wkb").select("geom.srid").first()[0] == 4326
+    assert S.decode_wkb(S.encode_wkb(point), "wkb", 2154).select("geom.srid").first()[0] == 4326
+
+
 def test_geopackage_layers(spark, tmp_path):
     path = tmp_path / "D001.gpkg"
     con = sqlite3.connect(path)
@@ -73,7 +99,7 @@ def test_geopackage_layers(spark, tmp_path):
     con.close()
     df = S.read_features(spark, str(path), "troncon_de_route", fmt="gpkg", rowsPerPartition=10)
     assert df.rdd.getNumPartitions() == 3 and df.count() == 26
-    assert df.agg(F.sum(G.length())).first()[0] == 75.0
+    assert df.agg(F.sum(G.length()), F.max("geom.srid")).first() == (75.0, 2154)
     assert df.where("geom IS NULL").count() == 1 and df.where("largeur IS NULL").count() == 12
     assert S.read_features(spark, str(path), "equipement_de_transport", fmt="gpkg").count() == 0
     with pytest.raises(Exception, match="not found"):
