@@ -64,9 +64,10 @@ def pair_pieces(pieces_a: DataFrame, pieces_b: DataFrame, keep_a, keep_b) -> Dat
         (F.col("bx0") <= F.col("bx1_b") + slack) & (F.col("bx0_b") <= F.col("bx1") + slack)
         & (F.col("by0") <= F.col("by1_b") + slack) & (F.col("by0_b") <= F.col("by1") + slack)
     )
-    # The size of cut pieces cannot be known beforehand, so no side is broadcast on an estimate:
-    # both are shuffled by tile, and a hot partition is split by adaptive execution.
-    return pieces_a.join(pb.hint("merge"), "tile").where(near).select(*keep_a, *keep_b, "tile", "dim", "edges", F.col("dim_b"), F.col("edges_b"))
+    # The size of cut pieces cannot be known beforehand, so no side is broadcast on an estimate (see
+    # ``tune``): both are shuffled by tile, a side measured as small is then broadcast, and a hot
+    # partition is split, by adaptive execution.
+    return pieces_a.join(pb, "tile").where(near).select(*keep_a, *keep_b, "tile", "dim", "edges", F.col("dim_b"), F.col("edges_b"))
 
 
 def region_pieces(reg: DataFrame, keep: Sequence[str]) -> DataFrame:

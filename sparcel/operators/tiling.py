@@ -59,6 +59,10 @@ def tile_key(level, x, y):
     return lv.bitwiseOR(F.shiftleft(ix + B.HALF_RANGE, B.IX_SHIFT)).bitwiseOR(iy + B.HALF_RANGE)
 
 
+# Reference systems in degrees that layers may come in.
+GEOGRAPHIC = frozenset([4171, 4258, 4326])
+
+
 def plan_tiles(
     layers: Iterable[DataFrame], target: int = TARGET_VERTICES, weights: Sequence[float] | None = None
 ) -> TilePlan:
@@ -164,6 +168,13 @@ def _split(row, dim_of_edge, e, p, level, floor=None):
     return tuple(np.concatenate([o[i] for o in out]) for i in range(4))
 
 
+def refuse_degrees(geometry: pa.StructArray) -> None:
+    """Tiles and the grid are in metres; a layer in degrees has to be projected first."""
+    systems = pc.unique(geometry.field("srid")).to_pylist()
+    if any(s in GEOGRAPHIC for s in systems if s is not None):
+        raise ValueError(f"layers in degrees cannot be tiled, project them first: {sorted(s for s in systems if s is not None)}")
+
+
 def split_to_tiles(
     df: DataFrame, plan: TilePlan, keep: Sequence[str], geom: str = "geom", radius: Column | str | None = None, style: str = "round",
     combine: bool = False,
@@ -188,6 +199,7 @@ def split_to_tiles(
 
     def first(batches):
         for b in batches:
+            refuse_degrees(B.one(b.column(len(keep))))
             row, dims, e, p = B.decode(b.column(len(keep)))
             d = dims[row] if len(row) else np.zeros(0)
             if radius is not None:

@@ -132,7 +132,7 @@ def zone_sums(
     # Cutting equipment at the département changes nothing, as zones lie inside theirs.
     strips = split_to_tiles(wide, plan, [dep], radius=radius, style=style, combine=True).select(dep, "tile", "edges")
     plots = split_to_tiles(equipment.select("geom"), plan, [], combine=True).select("tile", "edges")
-    plots = plots.join(deps.select(dep, "tile").hint("merge"), "tile").select(dep, "tile", "edges")
+    plots = plots.join(deps.select(dep, "tile"), "tile").select(dep, "tile", "edges")
     car = merge_pieces(strips.unionByName(plots), plan, [dep]).select(dep, "tile", F.col("edges").alias("car"))
     town = region(urban.select("geom"), plan).select("tile", F.col("edges").alias("urban"))
     lines = split_to_tiles(pieces.select(dep, "geom"), plan, [dep]).select(dep, "tile", "edges")
@@ -143,8 +143,8 @@ def zone_sums(
     lines = lines.groupBy(dep, "tile", chunk.alias("chunk")).agg(F.flatten(F.collect_list("edges")).alias("lines"))
     parts = split_to_tiles(zones, plan, ["insee_com", dep]).select("insee_com", dep, "tile", "edges")
     # the light sides meet first: car space and lines are partitioned by (dep, tile) already
-    rows = parts.join(town.hint("merge"), "tile", "left").join(car.hint("merge"), [dep, "tile"], "left")
-    rows = rows.join(lines.hint("merge"), [dep, "tile"], "left")
+    rows = parts.join(town, "tile", "left").join(car, [dep, "tile"], "left")
+    rows = rows.join(lines, [dep, "tile"], "left")
     none = F.array().cast("array<double>")
     rows = rows.select(
         "insee_com", "tile", "edges", *[F.coalesce(c, none).alias(c) for c in ("car", "urban", "lines")],

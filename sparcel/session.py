@@ -52,6 +52,9 @@ def tune(spark: SparkSession) -> SparkSession:
     """
     spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     # a row may hold all edges of a tile, so batches are bounded by bytes as well
+    # cut features outgrow any estimate: a side is broadcast only once it has been measured
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10m")
     # a row may hold all edges of a tile: few rows a batch, and no more bytes than this
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))

@@ -372,3 +372,11 @@ def test_pieces_are_combined_before_the_shuffle(spark):
     assert whole.keys() == one.keys() == {0, 1}
     for k in whole:
         assert one[k] == pytest.approx(whole[k], rel=1e-6)
+
+
+def test_layers_in_degrees_are_refused(spark, discs):
+    degrees = discs.withColumn("geom", F.col("geom").withField("srid", F.lit(4326)))
+    with pytest.raises(Exception, match="project them first"):
+        overlay_intersection(degrees, degrees, ["id"], [], plan=TilePlan(5)).count()
+    with pytest.raises(Exception, match="project them first"):
+        region(degrees, TilePlan(5)).count()
