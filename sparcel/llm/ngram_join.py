@@ -43,7 +43,7 @@ RANGES = 64
 #: Rounds with leaders before what is left is paired completely.
 ROUNDS = 1
 #: Leaders that a class tries in a round.
-TRIED = 6
+TRIED = 3
 #: Most narrow rows that are broadcast to pick what a large table has to send; beyond it both sides are shuffled.
 NARROW = 100_000
 
@@ -292,13 +292,14 @@ def _pairs(x: DataFrame, y: DataFrame, threshold) -> DataFrame:
 def _links(pairs: DataFrame, sets: DataFrame, threshold, name: str) -> DataFrame:
     """Verified pairs; the whole sets move only for pairs that pass the suffix filter."""
     facts = sets.select("c", "n", "hist")
+    pairs = checked_broadcast(stored(pairs, f"pairs-{name}"), NARROW)
     near = (
         pairs.join(facts.select(F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("hist").alias("hist_a")), "a")
         .join(facts.select(F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("hist").alias("hist_b")), "b")
         .select("a", "b", "n_a", "n_b", "hist_a", "hist_b")
         .mapInArrow(lambda it: _passing(it, threshold), "a long, b long")
     )
-    near = stored(near, f"near-{name}")
+    near = checked_broadcast(stored(near, f"near-{name}"), NARROW)
     asked = stored(near.select(F.explode(F.array("a", "b")).alias("c")).distinct(), f"asked-{name}")
     whole = sets.select("c", "members").join(checked_broadcast(asked, NARROW), "c", "left_semi")
     both = (
@@ -408,11 +409,14 @@ def ngram_components(
         classes.join(tokens.select("c").distinct(), "c", "left_semi")
         .select(_plain(F.col("rep.id")).alias("own"), F.col("rep.t").alias("t"), "c")
     )
-    wanted = checked_broadcast(stored(wanted, "wanted"), NARROW)
-    texts = (
-        base.select(_plain(F.col("id")).alias("own"), "t", "text").join(wanted, ["own", "t"])
-        .dropDuplicates(["own", "t"]).select("c", "text")
-    )
+    # a row that repeats id and text would bring its text more than once
+    often = rows.groupBy(_plain(F.col("id")).alias("own"), "t").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    wanted = stored(wanted.join(often, ["own", "t"], "left"), "wanted")
+    named = base.select(_plain(F.col("id")).alias("own"), "t", "text")
+    texts = named.join(checked_broadcast(wanted.where("rows IS NULL"), NARROW), ["own", "t"]).select("c", "text")
+    again = wanted.where("rows > 1")
+    if not again.isEmpty():
+        texts = texts.unionByName(named.join(checked_broadcast(again, NARROW), ["own", "t"]).dropDuplicates(["own", "t"]).select("c", "text"))
     sets = stored(texts.mapInArrow(lambda it: _members(it, width), _SETS), "sets")
 
     links, comps, left, number, complete = None, None, tokens.drop("lead", "prev"), 0, False
