@@ -7,6 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -72,15 +74,25 @@ def median_by(df: DataFrame, value: str, group: Sequence[str] | str) -> DataFram
     return df.select(*keys).distinct().join(med, keys, "left") if keys else med
 
 
+#: Most medians that are broadcast, and the parts into which a group is cut beyond it.
+BROADCAST_MEDIANS, SALTS = 100_000, 32
+
+
 def median_fill(df: DataFrame, value: str, group: Sequence[str] | str) -> DataFrame:
     """Replace NULL and zero by the median of the rows with the same ``group`` (before the update).
 
-    A group without any value, or a NULL group, stays as it is (NULL becomes NULL).
+    A group without any value, or a NULL group, stays as it is (NULL becomes NULL). The medians are
+    written first and counted: few of them are broadcast, so the rows, with whatever they carry, are
+    not shuffled on a handful of groups; many of them are joined on a salted key.
     """
     keys = [group] if isinstance(group, str) else list(group)
     counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    med = counted.groupBy(*keys).agg(F.percentile(F.col(value).cast("double"), F.lit(0.5), F.col("_n")).alias("_median"))
-    joined = df.join(med, keys, "left")
+    med = checkpoint(counted.groupBy(*keys).agg(F.percentile(F.col(value).cast("double"), F.lit(0.5), F.col("_n")).alias("_median")))
+    if med.count() <= BROADCAST_MEDIANS:
+        joined = df.join(F.broadcast(med), keys, "left")
+    else:
+        salts = med.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")).join(salts, [*keys, "_salt"], "left")
     filled = F.when(null_or_zero(value), F.col("_median")).otherwise(F.col(value))
     return joined.select(*[filled.alias(c) if c == value else F.col(c) for c in df.columns])
 

@@ -380,3 +380,12 @@ def test_layers_in_degrees_are_refused(spark, discs):
         overlay_intersection(degrees, degrees, ["id"], [], plan=TilePlan(5)).count()
     with pytest.raises(Exception, match="project them first"):
         region(degrees, TilePlan(5)).count()
+
+
+def test_median_fill_by_broadcast_or_salt(spark, monkeypatch):
+    rows = [(i, "ab"[i % 2] if i % 7 else None, None if i % 3 == 0 else float(i % 5)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, grp string, v double")
+    one = sorted(map(tuple, A.median_fill(df, "v", "grp").collect()))
+    monkeypatch.setattr(A, "BROADCAST_MEDIANS", 0)
+    assert sorted(map(tuple, A.median_fill(df, "v", "grp").collect())) == one
+    assert all(v is None for _, g, v in one if g is None and v == 0) and len(one) == 60
