@@ -44,6 +44,8 @@ RANGES = 64
 ROUNDS = 1
 #: Leaders that a class tries in a round.
 TRIED = 3
+#: First n-grams of a class that its rows know when they are paired.
+FIRSTS = 16
 #: Most narrow rows that are broadcast to pick what a large table has to send; beyond it both sides are shuffled.
 NARROW = 100_000
 
@@ -271,6 +273,18 @@ def _verified(batches: Iterator[pa.RecordBatch], threshold) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(ok)) for i in (0, 1)], names=["u", "v"])
 
 
+def _with_before(tokens: DataFrame) -> DataFrame:
+    """Add ``before``: those of the first FIRSTS n-grams of the class that stand before the row's.
+
+    Two rows that share one of these also meet there, with more room ahead, so their pair need not
+    be built again. A class's n-grams are gathered in one row, as its set is.
+    """
+    placed = F.array_sort(F.collect_list(F.struct("pos", "g")))
+    firsts = tokens.groupBy("c").agg(F.slice(placed, 1, FIRSTS).alias("firsts"))
+    earlier = F.filter("firsts", lambda f: f["pos"] < F.col("pos"))
+    return tokens.join(firsts, "c").withColumn("before", F.transform(earlier, lambda f: f["g"])).drop("firsts")
+
+
 def _pairs(x: DataFrame, y: DataFrame, threshold) -> DataFrame:
     """Pairs (a, b) of classes of other components that meet in a prefix n-gram, each once."""
     p, q = threshold
@@ -282,6 +296,8 @@ def _pairs(x: DataFrame, y: DataFrame, threshold) -> DataFrame:
         x.alias("x").join(y.alias("y"), "g")
         .where(F.col("x.comp") != F.col("y.comp"))
         .where((low * q >= high * p) & (ahead * (p + q) >= (low + high) * p))
+        # a pair that meets in several n-grams is built at the first, as far as the rows know it
+        .where(~F.arrays_overlap("x.before", "y.before"))
         # suffix filter; sets whose counts are too large for it here meet it before they move
         .where(F.coalesce(_most_shared("x.ranges", "y.ranges") * (p + q) >= (low + high) * p, F.lit(True)))
         .select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b"))
@@ -423,7 +439,7 @@ def ngram_components(
     while not complete:
         complete = number == ROUNDS
         if complete:
-            full = left.join(sets.select("c", "ranges"), "c")
+            full = _with_before(left).join(sets.select("c", "ranges"), "c")
             pairs = _pairs(full.where("comp != main"), full, threshold)
         else:
             pairs = _leader_pairs(left, threshold, number) if number else _first_pairs(tokens)
