@@ -1,13 +1,13 @@
 """Main text of web pages: differences to the nearest page of the site, and what the markup says.
 
-A page is cut into lines, one per block element. Pages of a host are ordered by URL path; the nearest
-page of a page is the neighbour whose path shares the longer prefix with its own. The lines of both
-are aligned by longest common subsequence, and lines that they share are template and are deleted.
-
-Differencing cannot see menus, adverts or comments that differ from page to page, and would delete
-what two articles quote alike. So markup is heard as well: lines inside navigation, headers, footers,
-asides, forms, adverts, notices and comments go in any case, and if the page marks its article (or
-main part), the text is what stands in it, and its lines are not deleted. Two pages that share more
+A page is cut into lines, one per block element. Pages of a host are ordered by URL path; the nearer
+of two pages is the one whose path shares the longer prefix with that of the page. The lines of a page
+and of those nearest to it are aligned by longest common subsequence; what recurs is template and is deleted.
+
+Differencing cannot see menus, adverts or comments that differ from page to page. So markup is heard
+as well: lines inside navigation, headers, footers, asides, forms, adverts, notices and comments go in
+any case, and if the page marks its article (or main part), the text is what stands in it. There, a
+line has to recur on several of the pages, as two articles may quote alike. Two pages that share more
 than half of their other text are copies of each other, not of a template; they delete nothing.
 
 Pages are parsed where they stand. Ordering and aligning work on line hashes; the numbers of deleted
@@ -18,12 +18,14 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby, islice
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -56,6 +58,10 @@ _MARK = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^
 _WORD = re.compile(r"[a-z]+")
 
 ARTICLE, PLAIN, APART_LINE = 2, 1, 0
+#: Pages that a page is compared with, and how many of them must have a line for it to be template.
+PAGES, AGREE = 3, 2
+#: Pages of a host at either side, in the order of paths, that may be tried; pages of a block.
+REACH, BLOCK = 32, 256
 #: Most pages with deleted lines that are sent to where the pages are; beyond it the pages are shuffled.
 NARROW = 100_000
 
@@ -159,20 +165,30 @@ def _lcs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.concatenate([_lcs(a[:half], b[:cut]), half + _lcs(a[half:], b[cut:])])
 
 
-def deleted_lines(own, size, kind, other, other_size, other_kind) -> list[int]:
-    """Numbers of the lines that a page shares with its nearest page, if those are template.
+def deleted_lines(own: np.ndarray, near: Iterable[np.ndarray]) -> list[int]:
+    """Numbers of the text lines of a page that are template, from the pages next to it, nearest first.
 
-    Lines that the markup sets apart go in any case, and where an article is marked so do all others
-    but its own: those are not listed.
+    A line goes if it is aligned with a line of at least AGREE of the pages; where no article is
+    marked, also if the nearest page alone has it. Lines that the markup leaves out are not listed.
     """
-    if (kind == ARTICLE).any():
-        return []
-    shared = common_lines(own, other)
-    share = np.isin(np.arange(len(own)), shared) & (kind == PLAIN)
-    there = np.isin(other, own[shared]) & (other_kind == PLAIN)
-    if 2 * size[share].sum() > max(1, size[kind == PLAIN].sum()) or 2 * other_size[there].sum() > max(1, other_size[other_kind == PLAIN].sum()):
-        return []
-    return [int(i) for i in shared if kind[i] == PLAIN]
+    text = _text(own)
+    agree, plain = np.zeros(len(own), np.int64), not (own["kind"] == ARTICLE).any()
+    gone = np.zeros(len(own), bool)
+    for nth, other in enumerate(islice(near, PAGES)):
+        shared = common_lines(own["hash"], other["hash"])
+        share = text & np.isin(np.arange(len(own)), shared)
+        there = _text(other) & np.isin(other["hash"], own["hash"][shared])
+        if 2 * own["size"][share].sum() > max(1, own["size"][text].sum()) or 2 * other["size"][there].sum() > max(1, other["size"][_text(other)].sum()):
+            continue
+        agree[share] += 1
+        if plain and nth == 0:
+            gone |= share
+    return np.flatnonzero(gone | (agree >= AGREE)).tolist()
+
+
+def _text(page: np.ndarray) -> np.ndarray:
+    """Which lines are text, as the markup has it."""
+    return page["kind"] == (ARTICLE if (page["kind"] == ARTICLE).any() else PLAIN)
 
 
 def main_text(page: str | None, deleted: list[int] | None) -> str:
@@ -200,86 +216,93 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a range partition in order -> each with the rows before and behind it; ends are marked."""
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add the number of the partition and of the row in it."""
     from pyspark import TaskContext
 
-    part = TaskContext.get().partitionId()
-    before = row = None
-
-    def out(rows):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x) if i != 7 else pa.array(x, pa.int32()) for i, x in enumerate(zip(*rows, strict=True))],
-            names=["unit", "host", "path", "before", "before_path", "behind", "behind_path", "part", "first", "last"],
-        )
-
+    part, n = TaskContext.get().partitionId(), 0
     for batch in batches:
-        rows = []
-        for behind in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            if row is not None:
-                rows.append(_between(before, row, behind, part))
-            before, row = row, behind
-        if rows:
-            yield out(rows)
-    if row is not None:
-        yield out([_between(before, row, None, part)])
-
+        numbers = [pa.array(np.full(batch.num_rows, part, np.int32)), pa.array(np.arange(n, n + batch.num_rows))]
+        n += batch.num_rows
+        yield pa.RecordBatch.from_arrays([*batch.columns, *numbers], names=[*batch.schema.names, "part", "nth"])
 
-def _between(before, row, behind, part):
-    unit, host, path = row
-    a = before if before and before[1] == host else None
-    b = behind if behind and behind[1] == host else None
-    return (unit, host, path, a[0] if a else "", a[2] if a else "", b[0] if b else "", b[2] if b else "", part, before is None, behind is None)
 
+def blocks(units: DataFrame) -> DataFrame:
+    """(block, place, unit, host, path, lines): the units in the order of host and path, in blocks.
 
-def nearest(units: DataFrame) -> DataFrame:
-    """(unit, near) for the units (unit, host, path): the neighbour in the order of paths that shares more of its path.
-
-    Ties go to the one before; a unit alone on its host has none. Units are ordered by ranges, so a
-    host may be spread over many tasks; only the two ends of each range (a few rows for a task)
-    meet in one place.
+    Units are ordered by ranges and numbered through, so a host may be spread over many tasks. A block
+    has BLOCK units, and REACH more at either side that belong to the blocks beside it.
     """
     parts = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = stored(
-        units.select("unit", "host", "path").repartitionByRange(parts, "host", "path", "unit").sortWithinPartitions("host", "path", "unit")
-        .mapInArrow(_neighbours, "unit string, host string, path string, before string, before_path string, behind string, behind_path string, part int, first boolean, last boolean"),
-        "neighbours",
-    )
-    order = Window.orderBy("part", "host", "path", "unit")
-    ends = placed.where("first OR last").select(
-        "unit", "host", "first", "last",
-        *[f(c).over(order).alias(f"{n}_{c}") for n, f in (("lag", F.lag), ("lead", F.lead)) for c in ("unit", "host", "path")],
-    )
-    filled = ends.select(
-        F.col("unit").alias("end"),
-        *[
-            F.when(F.col(mark) & F.col(f"{f}_host").eqNullSafe(F.col("host")), F.col(f"{f}_{c}")).alias(f"{to}{'' if c == 'unit' else '_path'}_end")
-            for mark, f, to in (("first", "lag", "before"), ("last", "lead", "behind")) for c in ("unit", "path")
-        ],
+    ordered = stored(
+        units.select("unit", "host", "path", "lines").repartitionByRange(parts, "host", "path", "unit").sortWithinPartitions("host", "path", "unit")
+        .mapInArrow(_numbered, "unit string, host string, path string, lines binary, part int, nth long"),
+        "ordered",
     )
-    met = placed.join(filled, placed.unit == filled.end, "left")
+    starts, total = {}, 0
+    for part, n in sorted(ordered.groupBy("part").count().collect()):
+        starts[part] = total
+        total += n
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.column(5).to_numpy() + np.array([starts[p] for p in batch.column(4).to_pylist()], np.int64)
+            for shift in (0, -REACH, REACH):
+                block = (place + shift) // BLOCK
+                to = np.flatnonzero((block >= 0) & (block * BLOCK < total) & ((block != place // BLOCK) | (shift == 0)))
+                if len(to):
+                    rows = batch.take(pa.array(to))
+                    yield pa.RecordBatch.from_arrays([pa.array(block[to]), pa.array(place[to]), *rows.columns[:4]], names=["block", "place", "unit", "host", "path", "lines"])
+
+    dealt = ordered.mapInArrow(deal, "block long, place long, unit string, host string, path string, lines binary")
+    return dealt.repartition("block").sortWithinPartitions("block", "place")
 
-    def side(name: str):
-        inner, outer = F.when(F.col(name) != "", F.col(name)), F.col(f"{name}_end")
-        path = F.when(F.col(name) != "", F.col(f"{name}_path")).otherwise(F.col(f"{name}_path_end"))
-        # the length of the prefix that two paths share: the first place at which they differ
-        width = F.least(F.length("path"), F.length(path))
-        differ = F.filter(F.sequence(F.lit(1), F.greatest(width, F.lit(1))), lambda i: F.substring(F.col("path"), i, F.lit(1)) != F.substring(path, i, F.lit(1)))
-        return F.coalesce(inner, outer), F.coalesce(F.get(differ, F.lit(0)) - 1, width, F.lit(-1))
 
-    (a, a_shared), (b, b_shared) = side("before"), side("behind")
-    return met.select("unit", F.when(b.isNotNull() & (a.isNull() | (b_shared > a_shared)), b).otherwise(a).alias("near")).where("near IS NOT NULL")
+def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], list[int]]]:
+    """For each block its rows in order, and the places in them of those that belong to it."""
+    one_by_one = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+    for block, rows in groupby(one_by_one, key=lambda row: row[0]):
+        rows = list(rows)
+        yield rows, [i for i, row in enumerate(rows) if row[1] // BLOCK == block]
+
+
+def _outward(rows: list[tuple], i: int) -> Iterator[int]:
+    """Rows of the host of row ``i``, up to REACH at either side, nearest first: the longer the path they share, the nearer; ties go to those before."""
+
+    def shared(j: int) -> int:
+        if not 0 <= j < len(rows) or abs(i - j) > REACH or rows[j][3] != rows[i][3]:
+            return -1
+        return len(commonprefix([rows[i][4], rows[j][4]]))
+
+    before, behind = i - 1, i + 1
+    a, b = shared(before), shared(behind)
+    while max(a, b) >= 0:
+        if a >= b:
+            yield before
+            before, a = before - 1, shared(before - 1)
+        else:
+            yield behind
+            behind, b = behind + 1, shared(behind + 1)
+
+
+def nearest(units: DataFrame) -> DataFrame:
+    """(unit, near) for the units (unit, host, path): the first of the pages that are tried; a unit alone on its host has none."""
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, own in _around(batches):
+            pairs = [(rows[i][2], rows[j][2]) for i in own for j in islice(_outward(rows, i), 1)]
+            if pairs:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*pairs, strict=True)], names=["unit", "near"])
+
+    return blocks(units.withColumn("lines", F.lit(None).cast("binary"))).mapInArrow(first, "unit string, near string")
 
 
 def _deletions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(unit, own, other) -> (unit, deleted) where there is something to delete."""
-    for batch in batches:
-        out = []
-        for i in range(batch.num_rows):
-            own, other = (np.frombuffer(batch.column(c)[i].as_buffer(), _LINE) for c in (1, 2))
-            gone = deleted_lines(own["hash"], own["size"].astype(np.int64), own["kind"], other["hash"], other["size"].astype(np.int64), other["kind"])
-            if gone:
-                out.append((batch.column(0)[i].as_py(), gone))
+    """Rows of blocks -> (unit, deleted) where there is something to delete."""
+    for rows, own in _around(batches):
+        pages = [np.frombuffer(row[5], _LINE) for row in rows]
+        found = [(rows[i][2], deleted_lines(pages[i], (pages[j] for j in _outward(rows, i)))) for i in own]
+        out = [(unit, gone) for unit, gone in found if gone]
         if out:
             u, d = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(d, pa.list_(pa.int32()))], names=["unit", "deleted"])
@@ -305,12 +328,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     parsed = stored(rows.where("url IS NOT NULL AND html <> ''").select("key", "host", "path", "html").mapInArrow(
         _line_rows, "key string, unit string, host string, path string, lines binary"), "lines")
     units = stored(parsed.groupBy("unit").agg(F.first("host").alias("host"), F.min("path").alias("path"), F.first("lines").alias("lines")), "units")
-    pairs = nearest(units)
-    both = (
-        units.select("unit", F.col("lines").alias("own")).join(pairs, "unit")
-        .join(units.select(F.col("unit").alias("near"), F.col("lines").alias("other")), "near").select("unit", "own", "other")
-    )
-    deleted = both.mapInArrow(_deletions, "unit string, deleted array<int>")
+    deleted = blocks(units).mapInArrow(_deletions, "unit string, deleted array<int>")
     by_page = stored(parsed.select("key", "unit").distinct().join(deleted, "unit").select(F.col("key").alias("page_key"), "deleted"), "deleted")
     by_page = checked_broadcast(by_page, NARROW)
     met = rows.select("page_id", "url", "html", "key").join(by_page, F.col("key") == F.col("page_key"), "left")

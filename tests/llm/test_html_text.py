@@ -81,3 +81,16 @@ def test_template_lines_go(spark):
     assert "Story number 7" in got[104, "http://t.example/1"].text and "Story number 7" in got[105, "http://t.example/2"].text
     assert got[200, "http://r.example/0"].text == "Quoted by both. Own 0"
     assert html_text.extract(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_template_inside_articles_goes(spark):
+    def page(i):
+        quote = "<p>Quoted by two neighbours.</p>" if i in (4, 5) else ""
+        return f"<article><p>Share this story</p><p>Story number {i} is told here at some length, so it is text.</p>{quote}<p>Leave a note</p></article>"
+
+    rows = [(i, f"http://s.example/a/{i:03d}", page(i), "") for i in range(700)]
+    rows += [(1000 + i, f"http://t.example/{i}", page(4 + i), "") for i in range(2)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i in range(700):
+        assert got[i] == f"Story number {i} is told here at some length, so it is text." + (" Quoted by two neighbours." if i in (4, 5) else "")
+    assert got[1000].startswith("Share this story") and "Quoted" in got[1001]
