@@ -7,8 +7,9 @@ and of those nearest to it are aligned by longest common subsequence; what recur
 Differencing cannot see menus, adverts or comments that differ from page to page. So markup is heard
 as well: lines inside navigation, headers, footers, asides, forms, adverts, notices and comments go in
 any case, and if the page marks its article (or main part), the text is what stands in it. There, a
-line has to recur on several of the pages, as two articles may quote alike. Two pages that share more
-than half of their other text are copies of each other, not of a template; they delete nothing.
+line has to recur on several of the pages, as two articles may quote alike. A template may be longer
+than the text, so pages that share more than half of it count if several do. Pages with next to
+nothing of their own are copies of each other; the search goes on past them.
 
 Pages are parsed where they stand. Ordering and aligning work on line hashes; the numbers of deleted
 lines go to the pages while there are few of them, else both are shuffled.
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator, Sequence
 from itertools import groupby, islice
 from os.path import commonprefix
 
@@ -60,6 +61,8 @@ _WORD = re.compile(r"[a-z]+")
 ARTICLE, PLAIN, APART_LINE = 2, 1, 0
 #: Pages that a page is compared with, and how many of them must have a line for it to be template.
 PAGES, AGREE = 3, 2
+#: The same for pages that share more than half of the text; what copies have at most to themselves (one part in OWN); pages around that outweigh copies.
+ALIKE, MANY, OWN, ENOUGH = 4, 3, 10, 16
 #: Pages of a host at either side, in the order of paths, that may be tried; pages of a block.
 REACH, BLOCK = 32, 256
 #: Most pages with deleted lines that are sent to where the pages are; beyond it the pages are shuffled.
@@ -165,25 +168,56 @@ def _lcs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.concatenate([_lcs(a[:half], b[:cut]), half + _lcs(a[half:], b[cut:])])
 
 
-def deleted_lines(own: np.ndarray, near: Iterable[np.ndarray]) -> list[int]:
-    """Numbers of the text lines of a page that are template, from the pages next to it, nearest first.
+def deleted_lines(own: np.ndarray, near: Sequence[np.ndarray]) -> list[int]:
+    """Numbers of the text lines of a page that are template, from the pages around it, nearest first.
 
-    A line goes if it is aligned with a line of at least AGREE of the pages; where no article is
-    marked, also if the nearest page alone has it. Lines that the markup leaves out are not listed.
+    Pages are tried until PAGES of them share at most half of the text, or ALIKE share more; copies of
+    the page, or of a page that was tried, are passed over. A line goes if it is aligned with a line
+    of AGREE of the first kind, or of MANY of both kinds; where no article is marked, also if the
+    first of the first kind alone has it. If copies were met, what at least half of ENOUGH or more
+    pages around have is template as well, unless nothing would be left. Lines that the markup leaves
+    out are not listed.
     """
-    text = _text(own)
-    agree, plain = np.zeros(len(own), np.int64), not (own["kind"] == ARTICLE).any()
-    gone = np.zeros(len(own), bool)
-    for nth, other in enumerate(islice(near, PAGES)):
+    text, plain = _text(own), not (own["kind"] == ARTICLE).any()
+    agree, alike, gone = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64), np.zeros(len(own), bool)
+    tried, n_apart, n_alike, met_copy = [], 0, 0, False
+    for other in near:
+        if n_apart == PAGES or n_alike == ALIKE:
+            break
+        if not (text & np.isin(own["hash"], other["hash"])).any():
+            n_apart += 1
+            continue
+        if _copies(own, other):
+            met_copy = True
+            continue
+        if any(_copies(x, other) for x in tried):
+            continue
+        tried.append(other)
         shared = common_lines(own["hash"], other["hash"])
         share = text & np.isin(np.arange(len(own)), shared)
         there = _text(other) & np.isin(other["hash"], own["hash"][shared])
-        if 2 * own["size"][share].sum() > max(1, own["size"][text].sum()) or 2 * other["size"][there].sum() > max(1, other["size"][_text(other)].sum()):
+        if 2 * own["size"][share].sum() > own["size"][text].sum() or 2 * other["size"][there].sum() > other["size"][_text(other)].sum():
+            n_alike += 1
+            alike[share] += 1
             continue
+        n_apart += 1
         agree[share] += 1
-        if plain and nth == 0:
+        if plain and n_apart == 1:
             gone |= share
-    return np.flatnonzero(gone | (agree >= AGREE)).tolist()
+    gone |= (agree >= AGREE) | (agree + alike >= MANY)
+    if met_copy and len(near) >= ENOUGH:
+        common = gone | (text & (2 * sum(np.isin(own["hash"], x["hash"]).astype(np.int64) for x in near) >= len(near)))
+        gone = common if (text & ~common).any() else gone
+    return np.flatnonzero(gone).tolist()
+
+
+def _copies(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether each of two pages has less than one part in OWN of its text to itself."""
+
+    def own(x, y):
+        return OWN * int(x["size"][_text(x) & ~np.isin(x["hash"], y["hash"])].sum()) < int(x["size"][_text(x)].sum())
+
+    return own(a, b) and own(b, a)
 
 
 def _text(page: np.ndarray) -> np.ndarray:
@@ -301,7 +335,7 @@ def _deletions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of blocks -> (unit, deleted) where there is something to delete."""
     for rows, own in _around(batches):
         pages = [np.frombuffer(row[5], _LINE) for row in rows]
-        found = [(rows[i][2], deleted_lines(pages[i], (pages[j] for j in _outward(rows, i)))) for i in own]
+        found = [(rows[i][2], deleted_lines(pages[i], [pages[j] for j in _outward(rows, i)])) for i in own]
         out = [(unit, gone) for unit, gone in found if gone]
         if out:
             u, d = zip(*out, strict=True)

@@ -94,3 +94,26 @@ def test_template_inside_articles_goes(spark):
     for i in range(700):
         assert got[i] == f"Story number {i} is told here at some length, so it is text." + (" Quoted by two neighbours." if i in (4, 5) else "")
     assert got[1000].startswith("Share this story") and "Quoted" in got[1001]
+
+
+def test_template_longer_than_the_text_goes(spark):
+    menu = "".join(f"<div>Entry {k} of the menu that all pages have</div>" for k in range(8))
+    notice = "".join(f"<div>Paragraph {k} of a notice that is longer than anything else on the pages of this host</div>" for k in range(40))
+
+    def story(i):
+        return f"Story number {i} is told here at some length, and much shorter than the menu."
+
+    def flood(k):
+        return f"A text that stands here many times. Part {k}."
+
+    rows = [(i, f"http://s.example/a/{i:02d}", f"{menu}<p>{story(i)}</p>", "") for i in range(6)]
+    # the nearest page is a copy, the next has the same menu
+    rows += [(100 + i, f"http://c.example/{'aab'[i]}/{i}", f"<div>Menu</div><p>{story(i // 2) * 3}</p>{'<p>x</p>' if i == 1 else ''}", "") for i in range(3)]
+    rows += [(200 + i, f"http://n.example/{i:02d}", f"{notice}<p>{story(i)}</p>", "") for i in range(20)]
+    # copies alone on their host stay whole
+    rows += [(300 + i, f"http://d.example/{i}", "".join(f"<p>{flood(k)}</p>" for k in range(9)) + f"<p>{i}</p>", "") for i in range(5)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(got[i] == story(i) for i in range(6))
+    assert got[100] == story(0) * 3 and got[101] == story(0) * 3 + " x" and got[102] == story(1) * 3
+    assert all(got[200 + i] == story(i) for i in range(20))
+    assert all(got[300 + i] == " ".join([*(flood(k) for k in range(9)), str(i)]) for i in range(5))
