@@ -6,7 +6,8 @@ and of those nearest to it are aligned by longest common subsequence; what recur
 
 Differencing cannot see menus, adverts or comments that differ from page to page. So markup is heard
 as well: lines inside navigation, headers, footers, asides, forms, adverts, notices and comments go in
-any case, and if the page marks its article (or main part), the text is what stands in it. There, a
+any case (but an element that its class sets apart stays if it holds the article or most of the text),
+and if the page marks its article (or main part), the text is what stands in it. There, a
 line has to recur on several of the pages, as two articles may quote alike. A template may be longer
 than the text, so pages that share more than half of it count if several do. Pages with next to
 nothing of their own are copies of each other; the search goes on past them.
@@ -39,7 +40,7 @@ BLOCKS = frozenset(
     "head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
 RAW = "script style noscript template svg math iframe object canvas textarea select button audio video title"
-APART = frozenset("nav footer aside form head dialog menu fieldset".split())
+APART = frozenset("nav footer aside head dialog menu fieldset".split())
 #: Words of class, id and role that mark what is no main text.
 WORDS = frozenset(
     "ad ads adbox adsense advert adverts advertisement advertising sponsor sponsored sponsors promo promos promotion promoted banner banners "
@@ -47,6 +48,12 @@ WORDS = frozenset(
     "cookie cookies consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe subscription signup login search share sharing "
     "social related recommended recommendations widget widgets toolbar pagination pager skip copyright contentinfo complementary dialog".split()
 )
+#: Words that may stand beside them in a class, and those of them that are of readers.
+FRAME = frozenset(
+    "list lists item items box boxes area block blocks bar wrap wrapper container section group panel region slot unit inner outer content body title header form "
+    "google posts articles stories news button buttons link links icon icons text top bottom left right main primary secondary global site page post article entry thread".split()
+)
+TALK = frozenset("comment comments disqus reply replies respond".split())
 #: Elements that never close, and elements that take part in nesting here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NESTED = frozenset(
@@ -59,6 +66,7 @@ _MARK = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^
 _WORD = re.compile(r"[a-z]+")
 
 ARTICLE, PLAIN, APART_LINE = 2, 1, 0
+KEPT, GOES, GUESSED, SAID = range(4)
 #: Pages that a page is compared with, and how many of them must have a line for it to be template.
 PAGES, AGREE = 3, 2
 #: The same for pages that share more than half of the text; what copies have at most to themselves (one part in OWN); pages around that outweigh copies.
@@ -69,37 +77,54 @@ REACH, BLOCK = 32, 256
 NARROW = 100_000
 
 
-def _apart(name: str, attributes: str, inside_article: bool) -> bool:
-    """Whether an element holds no main text."""
+def _marked(key: str, value: str) -> set[str]:
+    """Words of WORDS that a class, id or role is made of; FRAME words beside them do not matter, others do."""
+    found = set()
+    for token in value.split():
+        parts = set(_WORD.findall(token))
+        if parts <= WORDS | FRAME:
+            found |= parts & WORDS
+    return found
+
+
+def _apart(name: str, attributes: str, inside_article: bool) -> int:
+    """Whether an element holds no main text: KEPT, GOES, or by its class or as a form GUESSED, as readers' words SAID."""
     if name in APART or (name == "header" and not inside_article):
-        return True
+        return GOES
+    found = GUESSED if name == "form" else KEPT
     if not attributes or name in ("html", "body", "main"):
-        return False
+        return found
     for key, value in _MARK.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
-        if key in ("class", "id", "role") and not WORDS.isdisjoint(_WORD.findall(value)):
-            return True
-        if key == "class" and "header" in value.split() and not inside_article:
-            return True
-    return False
+            return GOES
+        words = _marked(key, value) if key in ("class", "id", "role") else set()
+        if words or (key == "class" and "header" in value.split() and not inside_article):
+            found = SAID if found == SAID or words & TALK else GUESSED
+    return found
 
 
 def lines(page: str) -> list[tuple[str, int]]:
-    """(text, ARTICLE, PLAIN or APART_LINE) of the blocks of a page, in order; blank ones are left out."""
+    """(text, ARTICLE, PLAIN or APART_LINE) of the blocks of a page, in order; blank ones are left out.
+
+    An element that its class sets apart, or a form, stays if it holds most of the text, or the article
+    where none is marked outside of such elements (not teasers shorter than the text beside them).
+    What readers say is set apart unless it is all of the text.
+    """
     page = _GONE.sub(lambda m: " " if m[0].startswith(("<!", "<?")) and not m[0].startswith("<!--") else "", page)
-    out: list[tuple[str, int]] = []
-    stack: list[tuple[str, bool, bool]] = []  # (element, apart, in an article)
+    out: list[tuple[str, bool, tuple[int, ...], tuple[tuple[int, ...], ...]]] = []
+    top = ("", False, (), ())
+    stack = [top]  # (element, goes, guesses around, guesses around each article around)
+    guesses: list[int] = []  # kinds of the guessed elements
     held: list[str] = []
-    apart = article = False
+    now = top
     at = 0
 
     def end_line() -> None:
         if held:
             text = " ".join(entities.unescape("".join(held)).split())
             if text:
-                out.append((text, APART_LINE if apart else ARTICLE if article else PLAIN))
+                out.append((text, *now[1:]))
             held.clear()
 
     for m in _TAG.finditer(page):
@@ -114,25 +139,66 @@ def lines(page: str) -> list[tuple[str, int]]:
         if name not in NESTED or name in VOID:
             continue
         if m[1]:
-            for depth in range(len(stack) - 1, -1, -1):
+            for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth][0] == name:
-                    end_line() if stack[depth][1] != (stack[depth - 1][1] if depth else False) else None
+                    end_line() if now[1:3] != stack[depth - 1][1:3] else None
                     del stack[depth:]
-                    apart, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+                    now = stack[-1]
                     break
         elif not m[3].endswith("/"):
             if name == "p":  # a paragraph ends where the next begins
-                while stack and stack[-1][0] in ("p", "span", "a"):
+                while stack[-1][0] in ("p", "span", "a"):
                     stack.pop()
-                apart, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            now = apart or _apart(name, m[3], article)
-            if now != apart:
+                now = stack[-1]
+            kind = _apart(name, m[3], bool(now[3]))
+            if kind != KEPT and not now[1]:
                 end_line()
-            apart, article = now, article or (name in ("article", "main") and not now)
-            stack.append((name, apart, article))
+            goes, around, articles = now[1] or kind == GOES, now[2], now[3]
+            if kind in (GUESSED, SAID) and not goes:
+                around = (*around, len(guesses))
+                guesses.append(kind)
+            if name in ("article", "main") and not goes:
+                articles = (*articles, around)
+            now = (name, goes, around, articles)
+            stack.append(now)
     if at < len(page):
         held.append(page[at:])
     end_line()
+    return _settled(out, guesses)
+
+
+def _settled(found: list[tuple], guesses: list[int]) -> list[tuple[str, int]]:
+    """Lines with their kinds, once it is known which of the guessed elements hold the text of the page."""
+    stays: set[int] = set()
+    if guesses:
+        total = outside = whole = 0
+        sizes, in_articles, inner = [0] * len(guesses), [0] * len(guesses), set()
+        open_article = False  # an article outside of all guessed elements
+        for t, goes, around, articles in found:
+            if goes:
+                continue
+            total += len(t)
+            outside += 0 if around else len(t)
+            if () in articles:
+                open_article = True
+                inner.update(around)
+            for g in around:
+                sizes[g] += len(t)
+            if articles and not any(guesses[g] == SAID for g in around):
+                whole += len(t)
+                for g in around:
+                    in_articles[g] += len(t)
+        stays = {g for g, kind in enumerate(guesses) if total and (sizes[g] == total or (kind == GUESSED and 2 * sizes[g] > total))}
+        if open_article:
+            stays &= inner
+        elif whole and whole >= outside:
+            stays |= {g for g, kind in enumerate(guesses) if kind == GUESSED and 2 * in_articles[g] > whole}
+    out = []
+    for t, goes, around, articles in found:
+        if goes or not stays.issuperset(around):
+            out.append((t, APART_LINE))
+        else:
+            out.append((t, ARTICLE if any(stays.issuperset(x) for x in articles) else PLAIN))
     return out
 
 

@@ -117,3 +117,20 @@ def test_template_longer_than_the_text_goes(spark):
     assert got[100] == story(0) * 3 and got[101] == story(0) * 3 + " x" and got[102] == story(1) * 3
     assert all(got[200 + i] == story(i) for i in range(20))
     assert all(got[300 + i] == " ".join([*(flood(k) for k in range(9)), str(i)]) for i in range(5))
+
+
+def test_classes_of_wrappers_keep_the_text():
+    story = "<h1>Head</h1><p>The story is told here.</p>"
+    told = "Head The story is told here."
+    wrappers = ["<div class='layout has-sidebar'>", "<div id=page class='no-sidebar'>", "<div class='social-sciences'>", "<div class='sidebar-left'>", "<form id=f>", "<div class='widget'><div class='overlay wrapper'>"]
+    for wrapper in wrappers:
+        close = "</div>" * wrapper.count("<div") + "</form>" * wrapper.count("<form")
+        aside = "<div class='sidebar'>side</div><div class='comments'><article>reader</article></div>"
+        assert html_text.main_text(f"<body>{wrapper}{story}{aside}{close}", None) == told, wrapper
+        assert html_text.main_text(f"<body><p>Site</p>{wrapper}<article>{story}</article>{aside}{close}<nav>x</nav>", None) == told, wrapper
+        assert html_text.main_text(f"<body><article>{wrapper}{story}{aside}{close}</article>", None) == told, wrapper
+    assert html_text.main_text(f"<article class='post comments-open'>{story}</article><p>more</p>", None) == told
+    # what readers say may be longer than the text, and teasers may be articles
+    assert html_text.main_text(f"{story}<div class='comment-list'><article>{'reader ' * 50}</article></div>", None) == told
+    assert html_text.main_text(f"{story}<div class='related-posts'><article>teaser</article></div>", None) == told
+    assert html_text.main_text(f"<article>{story}</article><div class='related'><article>{'teaser ' * 50}</article></div>", None) == told
