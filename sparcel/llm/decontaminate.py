@@ -9,9 +9,10 @@ the item. Documents stay where they are; the items go to them in blocks of bound
 2. Windows and items are embedded by the random walk of Chakraborty, Goldenberg and Koucky (STOC
    2016): output the current word at each step, and step on if a random bit of (step, word) says
    so. A few edits become a few Hamming differences.
-3. Bit-sampling LSH: each table hashes a few sampled positions of an embedding. Walks and samples are
-   repeated until the recall for items at the very limit of edits is as wanted (see ``TABLES``).
-4. Pairs that meet in a table are verified by the exact edit distance of the item to the best run of
+3. Bit-sampling LSH: each table hashes a few sampled positions of an embedding. The number of tables
+   (``TABLES``) is fixed and was measured on items of up to ``LONG`` words. The many edits of longer
+   ones would be lost, so their windows skip 2 and 3.
+4. Pairs that meet in a table, and the windows of longer items, are verified by the exact edit distance of the item to the best run of
    words around the window.
 
 Words are runs of characters other than white space and ASCII punctuation, in lower case.
@@ -40,6 +41,8 @@ BLOCK_ITEMS, BLOCK_WORDS = 20_000, 2_000_000
 #: Words that are searched at once.
 RUN = 300_000
 EDIT = 1 << 32
+#: Items of more words are verified at every window that a seed chooses, at most so many cells of distances at once.
+LONG, CELLS = 60, 1 << 20
 
 _PUNCTUATION = bytes(range(33, 48)) + bytes(range(58, 65)) + bytes(range(91, 97)) + bytes(range(123, 127))
 _BLANK = np.arange(256, dtype=np.uint8)
@@ -99,10 +102,11 @@ class Items:
             seen = np.zeros(1 << 20, bool)
             seen[(h >> np.uint64(44)).astype(np.int64)] = True
             self.seeds[size] = (h[order], item[order], offset[order], seen)
-        keys = embed_keys(self.words, self.start[:-1], self.size, self.start[:-1], self.start[1:])
+        short = np.flatnonzero(self.size <= LONG)
+        keys = embed_keys(self.words, self.start[short], self.size[short], self.start[short], self.start[short + 1])
         self.keys = keys.ravel()
         order = np.argsort(self.keys, kind="stable")
-        self.keys, self.key_item = self.keys[order], order // max(1, TABLES)
+        self.keys, self.key_item = self.keys[order], short[order // max(1, TABLES)]
 
     def windows(self, w: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start, item) where a piece of the item stands; ``text`` numbers the text of each word."""
@@ -131,14 +135,21 @@ class Items:
         """(text, item, distance, first word, end word) of matches in the texts ``w[bounds[i]:bounds[i + 1]]``."""
         text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
         start, seed_item = self.windows(w, text)
-        out = []
+        long = np.flatnonzero(self.size[seed_item] > LONG)
+        long = long[np.argsort(self.size[seed_item[long]], kind="stable")]
+        out, i = [], 0
+        while i < len(long):  # few at once where they are long
+            n = max(1, CELLS // int(2 * self.size[seed_item[long[min(i + 4096, len(long)) - 1]]]))
+            s, item = start[long[i:i + min(n, 4096)]], seed_item[long[i:i + min(n, 4096)]]
+            lo, hi, inside = self._bounds(s, self.size[item], text, bounds)
+            out.append(self._verify(w, s, item, lo, hi, inside))
+            i += len(s)
+        short = self.size[seed_item] <= LONG
+        start, seed_item = start[short], seed_item[short]
         for i in range(0, len(start), 4096):
             s, item = start[i:i + 4096], seed_item[i:i + 4096]
-            m, k = self.size[item], self.edits[item]
-            # a start may lie before its text by some words, but its window holds a seed of the text
-            own = text[np.clip(s + m // 2, 0, len(w) - 1)]
-            inside = self._own_text(s, m, own, bounds)
-            lo, hi = bounds[inside], bounds[inside + 1]
+            m = self.size[item]
+            lo, hi, inside = self._bounds(s, m, text, bounds)
             keys = embed_keys(w, s, m, lo, hi)
             flat = keys.ravel()
             low, high = np.searchsorted(self.keys, flat, "left"), np.searchsorted(self.keys, flat, "right")
@@ -152,6 +163,12 @@ class Items:
             return tuple(np.zeros(0, np.int64) for _ in range(5))
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
+    def _bounds(self, s, m, text, bounds):
+        """(first word, end word, number) of the texts of windows."""
+        # a start may lie before its text by some words, but its window holds a seed of the text
+        inside = self._own_text(s, m, text[np.clip(s + m // 2, 0, len(text) - 1)], bounds)
+        return bounds[inside], bounds[inside + 1], inside
+
     @staticmethod
     def _own_text(s, m, guess, bounds):
         """The text that holds most of the window [s, s + m)."""

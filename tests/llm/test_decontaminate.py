@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from sparcel.llm import decontaminate
 
@@ -121,3 +122,17 @@ def test_blocks_and_empty(spark, monkeypatch):
     assert decontaminate.find_items(df.limit(0), bench).count() == 0
     assert decontaminate.find_items(df, bench.limit(0)).count() == 0
     assert decontaminate.drop_contaminated(df, bench.limit(0)).count() == len(docs)
+
+
+def test_long_items_at_the_limit():
+    rng = random.Random(11)
+    for m in (100, 400):
+        items = [[f"w{rng.randrange(3000)}" for _ in range(m)] for _ in range(12)]
+        texts = []
+        for item in items:  # deletions only, as many as are allowed
+            gone = set(rng.sample(range(m), m // 5))
+            filler = [[f"f{rng.randrange(500)}" for _ in range(40)] for _ in range(2)]
+            texts.append(" ".join(filler[0] + [x for i, x in enumerate(item) if i not in gone] + filler[1]))
+        held = decontaminate.Items(list(range(12)), [" ".join(x) for x in items])
+        found = {(row, item) for row, item, *_ in decontaminate._best(held, pa.array(texts))}
+        assert found == {(i, i) for i in range(12)}
