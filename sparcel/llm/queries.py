@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparcel import session
-from sparcel.llm import decontaminate, html_text, langid, line_dedup, ngram_join, pieces, sharding, token_counts, topk, warc
+from sparcel.llm import decontaminate, html_text, langid, line_dedup, ngram_join, pieces, sharding, token_counts, topk, treap_index, warc
 from sparcel.llm.common import prepare, table
 
 #: Folder of the public vocabulary files.
@@ -74,6 +74,11 @@ def op10_nearest_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = treap_index.build_index(table(spark, sf_dir, "documents"))
+    return treap_index.search(index, table(spark, sf_dir, "benchmark"), k=50)
+
+
 _LINE_WINDOWS = """
 lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
@@ -145,6 +150,33 @@ SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INT) AS shard,
 FROM summed JOIN best USING (doc_id)
 """
 
+_OP11 = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+doc AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS len FROM doc),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf, total GROUP BY term),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * docs) // len))))) AS BIGINT) AS score
+  FROM asked JOIN weight USING (term) JOIN tf USING (term) JOIN doc USING (doc_id), total GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
 _QUERIES = {
     "op1_section_tokens": op1_section_tokens,
     "op2_line_windows": op2_line_windows,
@@ -156,9 +188,13 @@ _QUERIES = {
     "op8_unigram_pieces": op8_unigram_pieces,
     "op9_rendezvous_shards": op9_rendezvous_shards,
     "op10_nearest_page_text": op10_nearest_page_text,
+    "op11_treap_search": op11_treap_search,
 }
 
-ORACLES: dict[str, str] = {"op2_line_windows": _OP2, "op4_warc_transactions": _OP4, "op7_bit_sliced_top_k": _OP7, "op9_rendezvous_shards": _OP9}
+ORACLES: dict[str, str] = {
+    "op2_line_windows": _OP2, "op4_warc_transactions": _OP4, "op7_bit_sliced_top_k": _OP7, "op9_rendezvous_shards": _OP9,
+    "op11_treap_search": _OP11,
+}
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
