@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparcel import session
-from sparcel.llm import decontaminate, html_text, langid, line_dedup, ngram_join, pieces, sharding, token_counts, topk, treap_index, warc
+from sparcel.llm import decontaminate, html_text, langid, line_dedup, ngram_join, pieces, sharding, token_counts, topk, treap_index, turn_repair, warc
 from sparcel.llm.common import prepare, table
 
 #: Folder of the public vocabulary files.
@@ -79,6 +79,11 @@ def op11_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return treap_index.search(index, table(spark, sf_dir, "benchmark"), k=50)
 
 
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = turn_repair.repair(turn_repair.damaged(table(spark, sf_dir, "conversations")))
+    return found.withColumnRenamed("conv", "conv_id")
+
+
 _LINE_WINDOWS = """
 lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
@@ -189,6 +194,7 @@ _QUERIES = {
     "op9_rendezvous_shards": op9_rendezvous_shards,
     "op10_nearest_page_text": op10_nearest_page_text,
     "op11_treap_search": op11_treap_search,
+    "op12_turn_repair": op12_turn_repair,
 }
 
 ORACLES: dict[str, str] = {
