@@ -116,7 +116,7 @@ def pieces(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
                     if len(blank):
                         stop = at + blank[-1] + 1
                     else:  # no white space: up to the next one
-                        while stop < end[i] and not (more := np.flatnonzero(_SPACE[raw[stop:stop + PIECE]])).size:
+                        while stop < end[i] and not (more := np.flatnonzero(_SPACE[raw[stop:min(stop + PIECE, end[i])]])).size:
                             stop = min(stop + PIECE, end[i])
                         if stop < end[i]:
                             stop += more[0] + 1

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparcel import session
-from sparcel.llm import decontaminate, html_text, langid, line_dedup, ngram_join, pieces, sharding, token_counts, topk, treap_index, turn_repair, warc
+from sparcel.llm import decontaminate, html_text, langid, line_dedup, ngram_join, pieces, sharding, token_counts, topk, treap_index, turn_repair, warc, weak_rules
 from sparcel.llm.common import prepare, table
 
 #: Folder of the public vocabulary files.
@@ -84,6 +84,12 @@ def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("conv", "conv_id")
 
 
+def op13_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    graded = weak_rules.grade(table(spark, sf_dir, "documents"))
+    base = ["word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return graded.select("doc_id", "n_words", *base, "base_failed", "kept")
+
+
 _LINE_WINDOWS = """
 lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
@@ -195,6 +201,7 @@ _QUERIES = {
     "op10_nearest_page_text": op10_nearest_page_text,
     "op11_treap_search": op11_treap_search,
     "op12_turn_repair": op12_turn_repair,
+    "op13_weak_rules": op13_weak_rules,
 }
 
 ORACLES: dict[str, str] = {
