@@ -5,18 +5,19 @@
    order gives the same result, this one keeps frequent n-grams out of the prefixes.
 2. Each class sends out the prefix of its ordered set: two sets that reach the threshold share an
    n-gram of their prefixes. Prefix n-grams that only one class has go no further.
-3. Rounds: within the classes of a prefix n-gram, in bands of sizes that can link, every class is
-   paired with a leader only, later with one of another component. This is linear in the rows, and
-   it joins large groups of near copies without looking at all their pairs. N-grams whose classes
-   are all in one component are done and go no further.
+3. Rounds: every class is paired with one leader only, a class of another component that it shares prefix
+   n-grams with, in bands of sizes that can link. This is linear in the rows, and joins large groups of
+   near copies without looking at all their pairs. Each round draws other leaders; n-grams whose
+   classes are all in one component are done. Rounds go on while they join a fair share of what they try.
 4. What can still link two components is then paired completely: per prefix n-gram, the classes
    outside its largest component with all classes of other components, under the length, positional
    and suffix filters, each pair once.
 5. Pairs are verified on their whole sets. Pairs inside one component are never built: they cannot
-   change the result.
+   change the result. Links become pairs of components before components are joined.
 
-The sets are stored once, for classes that share a prefix n-gram, and move only for pairs that pass
-all filters. Joins on n-grams are plain equi-joins, so adaptive execution can split hot ones.
+Texts of classes that share a prefix n-gram are found in the scan by a Bloom filter of fixed size, stored
+once, and move only for pairs that pass all filters (a text is shorter than its set). Joins on n-grams
+are plain equi-joins, so adaptive execution can split hot ones.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from sparcel.llm import hashing
-from sparcel.llm.common import checked_broadcast, stored
+from sparcel.llm.common import stored
 from sparcel.operators.components import connected_components
 
 WIDTH = 5
@@ -40,16 +41,14 @@ THRESHOLD = (80, 100)
 SKETCH, PART = 1 << 22, 1 << 12
 #: Ranges of the hash space by which the suffix filter compares two sets.
 RANGES = 64
-#: Rounds with leaders before what is left is paired completely.
-ROUNDS = 1
-#: Leaders that a class tries in a round.
-TRIED = 3
+#: Rounds with leaders go on while one of this many pairs links; then what is left is paired completely.
+FAIR = 8
+#: Bits of the Bloom filter, 64-bit words of one of its parts, and bits set for a key.
+BLOOM, BLOOM_PART, PROBES = 1 << 27, 1 << 12, 5
 #: First n-grams of a class that its rows know when they are paired.
 FIRSTS = 16
-#: Most narrow rows that are broadcast to pick what a large table has to send; beyond it both sides are shuffled.
-NARROW = 100_000
 
-_SETS = "c long, n int, hist binary, ranges array<short>, members binary"
+_SETS = "c long, n int, hist binary, ranges array<short>, text string"
 
 
 def _need(n, threshold) -> int:
@@ -62,9 +61,14 @@ def _bucket(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(np.int64)
 
 
+def _add(counts: np.ndarray, seen: list[np.ndarray]) -> None:
+    at, n = np.unique(np.concatenate(seen), return_counts=True)
+    counts[at] = np.minimum(counts[at].astype(np.int64) + n, 0xFFFFFFFF)
+
+
 def _keys_and_counts(batches: Iterator[pa.RecordBatch], schema: pa.Schema, width: int) -> Iterator[pa.RecordBatch]:
     """(id, t, text) -> a row for each document, and the sketch of the task in parts."""
-    counts, seen, held = np.zeros(SKETCH, np.int64), [], 0
+    counts, seen, held = np.zeros(SKETCH, np.uint32), [], 0
     for batch in batches:
         n, c, k = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
         for row, words in hashing.word_hashes(batch.column(2)):
@@ -74,8 +78,8 @@ def _keys_and_counts(batches: Iterator[pa.RecordBatch], schema: pa.Schema, width
                 c[row], k[row] = hashing.set_keys(members)
                 seen.append(_bucket(members))
                 held += len(members)
-                if held >= SKETCH:
-                    counts += np.bincount(np.concatenate(seen), minlength=SKETCH)
+                if held >= SKETCH // 4:
+                    _add(counts, seen)
                     seen, held = [], 0
         none = pa.nulls(batch.num_rows)
         yield pa.RecordBatch.from_arrays(
@@ -83,7 +87,7 @@ def _keys_and_counts(batches: Iterator[pa.RecordBatch], schema: pa.Schema, width
             schema=schema,
         )
     if seen:
-        counts += np.bincount(np.concatenate(seen), minlength=SKETCH)
+        _add(counts, seen)
     parts = [(p, counts[p * PART:(p + 1) * PART]) for p in range(SKETCH // PART)]
     parts = [(p, x.astype(np.min_scalar_type(x.max()))) for p, x in parts if x.any()]
     if parts:
@@ -210,28 +214,67 @@ def _token_batch(g, c, n, pos, lead, prev) -> pa.RecordBatch:
     )
 
 
-def _members(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """(c, text) -> the set of the class, and its counts by range."""
+def _bloom_bits(keys: np.ndarray) -> np.ndarray:
+    """(PROBES x keys) bit numbers."""
+    h = hashing.mix(keys.view(np.uint64))
+    step = hashing.mix(h) | np.uint64(1)
+    return np.stack([(h + np.uint64(i) * step) >> np.uint64(64 - BLOOM.bit_length() + 1) for i in range(PROBES)]).astype(np.int64)
+
+
+def _bloom_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key) -> the Bloom filter of the task, in the parts that are not empty."""
+    words = np.zeros(BLOOM // 64, np.uint64)
     for batch in batches:
-        out, size = [], 0
-        for row, words in hashing.word_hashes(batch.column(1)):
-            m = hashing.shingles(words, width)
-            hist = np.bincount((m >> np.uint64(58)).astype(np.int64), minlength=RANGES).astype(np.uint32)
-            out.append((batch.column(0)[row].as_py(), len(m), hist.tobytes(), _short(hist), m.tobytes()))
-            size += m.nbytes
-            if size > 1 << 24:
-                yield _set_batch(out)
-                out, size = [], 0
-        if out:
-            yield _set_batch(out)
+        bits = _bloom_bits(batch.column(0).to_numpy()).ravel()
+        np.bitwise_or.at(words, bits >> 6, np.uint64(1) << (bits & 63).astype(np.uint64))
+    parts = words.reshape(-1, BLOOM_PART)
+    held = np.flatnonzero(parts.any(1))
+    yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array([parts[p].tobytes() for p in held], pa.binary())], names=["part", "words"])
 
 
-def _set_batch(out: list[tuple]) -> pa.RecordBatch:
-    c, n, hist, short, m = zip(*out, strict=True)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, pa.int64()), pa.array(n, pa.int32()), pa.array(hist, pa.binary()), pa.array(short, pa.list_(pa.int16())), pa.array(m, pa.binary())],
-        names=["c", "n", "hist", "ranges", "members"],
-    )
+def _united_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for p, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            x = np.frombuffer(raw, np.uint64)
+            total[p] = total[p] | x if p in total else x
+    if total:
+        yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["part", "words"])
+
+
+def _bloom(keys: DataFrame) -> np.ndarray:
+    """Bloom filter of a column of longs, of fixed size on the driver."""
+    parts = keys.mapInArrow(_bloom_parts, "part int, words binary").repartition("part").mapInArrow(_united_parts, "part int, words binary")
+    words = np.zeros((BLOOM // 64 // BLOOM_PART, BLOOM_PART), np.uint64)
+    for row in parts.toLocalIterator():
+        words[row["part"]] = np.frombuffer(row["words"], np.uint64)
+    return words.ravel()
+
+
+def _passes(batches: Iterator[pa.RecordBatch], bloom) -> Iterator[pa.RecordBatch]:
+    """(key, text) -> rows whose key the filter may hold."""
+    words = bloom.value
+    for batch in batches:
+        bits = _bloom_bits(batch.column(0).to_numpy())
+        yield batch.filter(pa.array(((words[bits >> 6] >> (bits & 63).astype(np.uint64)) & np.uint64(1)).all(0)))
+
+
+def _texts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """(key, text) -> the class of each text that has words, and the counts of its set by range."""
+    for batch in batches:
+        rows, c, n, hists = [], [], [], []
+        for row, words in hashing.word_hashes(batch.column(1)):
+            m = hashing.shingles(words, width)
+            if len(m):
+                rows.append(row)
+                c.append(hashing.set_keys(m)[0])
+                n.append(len(m))
+                hists.append(np.bincount((m >> np.uint64(58)).astype(np.int64), minlength=RANGES).astype(np.uint32))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, pa.int64()), pa.array(n, pa.int32()), pa.array([h.tobytes() for h in hists], pa.binary()),
+             pa.array([_short(h) for h in hists], pa.list_(pa.int16())), batch.column(1).take(pa.array(rows, pa.int64()))],
+            names=["c", "n", "hist", "ranges", "text"],
+        )
 
 
 def _short(hist: np.ndarray) -> list[int] | None:
@@ -258,15 +301,18 @@ def _passing(batches: Iterator[pa.RecordBatch], threshold) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(ok)) for i in (0, 1)], names=["a", "b"])
 
 
-def _verified(batches: Iterator[pa.RecordBatch], threshold) -> Iterator[pa.RecordBatch]:
-    """(a, b, members_a, members_b) -> pairs that reach the threshold."""
+def _verified(batches: Iterator[pa.RecordBatch], width: int, threshold) -> Iterator[pa.RecordBatch]:
+    """(a, b, text_a, text_b), sorted by b -> pairs that reach the threshold."""
     p, q = threshold
     for batch in batches:
-        ok = np.zeros(batch.num_rows, bool)
-        a, b = batch.column(2), batch.column(3)
-        for i in range(batch.num_rows):
-            x, y = (np.frombuffer(v[i].as_buffer(), np.uint64) for v in (a, b))
-            both = np.concatenate([x, y])
+        b = batch.column(1).to_numpy()
+        firsts = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]])) if len(b) else b
+        seconds = [hashing.shingles(w, width) for _, w in hashing.word_hashes(batch.column(3).take(pa.array(firsts)))]
+        at = np.searchsorted(firsts, np.arange(len(b)), "right") - 1
+        ok = np.zeros(len(b), bool)
+        for i, words in hashing.word_hashes(batch.column(2)):
+            x = hashing.shingles(words, width)
+            both = np.concatenate([x, seconds[at[i]]])
             both.sort()
             shared = int((both[1:] == both[:-1]).sum())
             ok[i] = q * shared >= p * (len(both) - shared)
@@ -305,33 +351,41 @@ def _pairs(x: DataFrame, y: DataFrame, threshold) -> DataFrame:
     )
 
 
-def _links(pairs: DataFrame, sets: DataFrame, threshold, name: str) -> DataFrame:
-    """Verified pairs; the whole sets move only for pairs that pass the suffix filter."""
+def _links(pairs: DataFrame, sets: DataFrame, width: int, threshold, name: str) -> tuple[DataFrame, int]:
+    """Verified pairs, and how many were tried; texts move only for pairs that pass the suffix filter."""
     facts = sets.select("c", "n", "hist")
-    pairs = checked_broadcast(stored(pairs, f"pairs-{name}"), NARROW)
     near = (
         pairs.join(facts.select(F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("hist").alias("hist_a")), "a")
         .join(facts.select(F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("hist").alias("hist_b")), "b")
         .select("a", "b", "n_a", "n_b", "hist_a", "hist_b")
-        .mapInArrow(lambda it: _passing(it, threshold), "a long, b long")
+        .mapInArrow(lambda it: _passing(it, threshold), "a long, b long").distinct()
     )
-    near = checked_broadcast(stored(near, f"near-{name}"), NARROW)
-    asked = stored(near.select(F.explode(F.array("a", "b")).alias("c")).distinct(), f"asked-{name}")
-    whole = sets.select("c", "members").join(checked_broadcast(asked, NARROW), "c", "left_semi")
+    near = stored(near, f"near-{name}")
+    texts = sets.select("c", "text")
     both = (
-        near.join(whole.select(F.col("c").alias("a"), F.col("members").alias("m_a")), "a")
-        .join(whole.select(F.col("c").alias("b"), F.col("members").alias("m_b")), "b")
-        .select("a", "b", "m_a", "m_b")
+        near.join(texts.select(F.col("c").alias("a"), F.col("text").alias("text_a")), "a")
+        .join(texts.select(F.col("c").alias("b"), F.col("text").alias("text_b")), "b")
+        .select("a", "b", "text_a", "text_b")
     )
-    return stored(both.mapInArrow(lambda it: _verified(it, threshold), "u long, v long"), name)
+    return stored(both.mapInArrow(lambda it: _verified(it, width, threshold), "u long, v long"), name), near.count()
 
 
-def _labelled(tokens: DataFrame, comps: DataFrame | None) -> DataFrame:
+def _joined(links: DataFrame, comps: DataFrame | None, name: str) -> DataFrame:
+    """(id, component) after more links; links inside a component are left out, and of two components one stays."""
     if comps is None:
-        return tokens.withColumn("comp", F.col("c"))
-    return tokens.join(checked_broadcast(comps, NARROW), tokens.c == comps.id, "left").select(
-        *tokens.columns, F.coalesce("component", "c").alias("comp")
-    )
+        return stored(connected_components(links), name)
+    for c in ("u", "v"):
+        own = comps.select(F.col("id").alias(c), F.col("component").alias(f"c_{c}"))
+        links = links.join(own, c, "left").withColumn(f"c_{c}", F.coalesce(f"c_{c}", c))
+    between = links.select(F.least("c_u", "c_v").alias("u"), F.greatest("c_u", "c_v").alias("v")).where("u <> v").distinct()
+    above = stored(connected_components(between), f"{name}-above").select(F.col("id").alias("component"), F.col("component").alias("root"))
+    moved = comps.join(above, "component", "left").select("id", F.coalesce("root", "component").alias("component"))
+    fresh = above.join(comps.select(F.col("id").alias("component")), "component", "left_anti").select(F.col("component").alias("id"), F.col("root").alias("component"))
+    return stored(moved.unionByName(fresh), name)
+
+
+def _labelled(tokens: DataFrame, comps: DataFrame) -> DataFrame:
+    return tokens.join(comps, tokens.c == comps.id, "left").select(*tokens.columns, F.coalesce("component", "c").alias("comp"))
 
 
 def _open_tokens(tokens: DataFrame) -> DataFrame:
@@ -345,21 +399,20 @@ def _open_tokens(tokens: DataFrame) -> DataFrame:
 
 
 def _first_pairs(tokens: DataFrame) -> DataFrame:
-    """Each class with the first partners that it shares most prefix n-grams with."""
+    """Each class with the first partner that it shares most prefix n-grams with."""
     both = tokens.select("c", F.explode(F.array_distinct(F.array("lead", "prev"))).alias("other"))
     return _best(both.where("other != c"))
 
 
 def _best(met: DataFrame) -> DataFrame:
-    """(c, other), a row for each n-gram -> the pairs to try, each once."""
+    """(c, other), a row for each n-gram -> the pairs to try: of each class the one with most n-grams, ``b`` being the partner."""
     shared = met.groupBy("c", "other").agg(F.count(F.lit(1)).alias("shared"))
-    order = Window.partitionBy("c").orderBy(F.desc("shared"), "other")
-    tried = shared.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= TRIED)
-    return tried.select(F.least("c", "other").alias("a"), F.greatest("c", "other").alias("b")).distinct()
+    best = shared.groupBy("c").agg(F.max_by("other", F.struct("shared", "other")).alias("other"))
+    return best.select(F.col("c").alias("a"), F.col("other").alias("b"))
 
 
 def _leader_pairs(tokens: DataFrame, threshold, number: int) -> DataFrame:
-    """For each class the leaders of other components that it shares most prefix n-grams with.
+    """For each class the leader of another component that it shares most prefix n-grams with.
 
     A leader is drawn, by a hash that is new in each round, from the component that has most rows of
     a prefix n-gram in a band of sizes. Bands are as wide as the threshold, so a class looks in its
@@ -428,31 +481,33 @@ def ngram_components(
     # a row that repeats id and text would bring its text more than once
     often = rows.groupBy(_plain(F.col("id")).alias("own"), "t").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     wanted = stored(wanted.join(often, ["own", "t"], "left"), "wanted")
+    key = F.xxhash64("own", "t").alias("key")
+    bloom = spark.sparkContext.broadcast(_bloom(wanted.where("rows IS NULL").select(key)))
     named = base.select(_plain(F.col("id")).alias("own"), "t", "text")
-    texts = named.join(checked_broadcast(wanted.where("rows IS NULL"), NARROW), ["own", "t"]).select("c", "text")
+    texts = named.select(key, "text").mapInArrow(lambda it: _passes(it, bloom), "key long, text string")
     again = wanted.where("rows > 1")
     if not again.isEmpty():
-        texts = texts.unionByName(named.join(checked_broadcast(again, NARROW), ["own", "t"]).dropDuplicates(["own", "t"]).select("c", "text"))
-    sets = stored(texts.mapInArrow(lambda it: _members(it, width), _SETS), "sets")
-
-    links, comps, left, number, complete = None, None, tokens.drop("lead", "prev"), 0, False
-    while not complete:
-        complete = number == ROUNDS
+        texts = texts.unionByName(named.join(again, ["own", "t"]).dropDuplicates(["own", "t"]).select(key, "text"))
+    sets = stored(texts.mapInArrow(lambda it: _texts(it, width), _SETS), "sets")
+
+    pairs, left, comps, number, complete = _first_pairs(tokens), tokens.drop("lead", "prev"), None, 0, False
+    while True:
+        links, tried = _links(pairs, sets, width, threshold, f"links{number}")
+        found = links.count()
+        if found:
+            comps = _joined(links, comps, f"comps{number}")
+        if complete:
+            break
+        if found or not number:
+            own = left.select("g", "c", "n", "pos")
+            own = _labelled(own, comps) if comps is not None else own.withColumn("comp", F.col("c"))
+            left = stored(_open_tokens(own), f"open{number}")
+        number, complete = number + 1, number > 0 and found * FAIR <= tried
         if complete:
-            full = _with_before(left).join(sets.select("c", "ranges"), "c")
+            full = _with_before(left).join(sets.select("c", "ranges").dropDuplicates(["c"]), "c")
             pairs = _pairs(full.where("comp != main"), full, threshold)
         else:
-            pairs = _leader_pairs(left, threshold, number) if number else _first_pairs(tokens)
-        found = _links(pairs, sets, threshold, f"links{number}")
-        if found.isEmpty():  # leaders have no more to give
-            number = ROUNDS if number else 1
-            left = left if "main" in left.columns else stored(_open_tokens(_labelled(left, comps)), "open")
-            continue
-        links = found if links is None else links.unionByName(found)
-        comps = stored(connected_components(links), f"comps{number}")
-        if not complete:
-            left = stored(_open_tokens(_labelled(left.select("g", "c", "n", "pos"), comps)), f"open{number}")
-        number += 1
+            pairs = _leader_pairs(left, threshold, number)
     labelled = classes.join(comps, classes.c == comps.id, "left") if comps is not None else classes.withColumn("component", F.lit(None).cast("long"))
     labelled = labelled.select("c", "k", "n", "low", F.coalesce("component", "c").alias("comp"))
     lows = labelled.groupBy("comp").agg(F.min("low").alias("component_id"))
