@@ -26,7 +26,7 @@ from sparcel.llm import hashing
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Bytes of text encoded at once, and the size from which a unit is solved by itself.
-RUN, LONG_UNIT = 1 << 20, 400
+RUN, LONG_UNIT = 1 << 17, 400
 #: Most bytes in the pieces of a vocabulary.
 MAX_VOCABULARY = 1 << 26
 
@@ -271,15 +271,18 @@ def _output(df: DataFrame, extra: str) -> tuple[T.StructType, pa.Schema, list[st
     return schema, to_arrow_schema(schema), [f.name for f in kept]
 
 
-def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
+def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", check: bool = False) -> DataFrame:
     """Add ``token_ids``, ``n_tokens``, ``n_byte_tokens`` and ``score``, the sum of the log scores of the best path.
 
+    ``check`` adds ``round_trip``: decoding the tokens, in the same task, gives the text back.
+
     * An empty text has no tokens, a null text null ids and no tokens; both have score 0.
     * Ties go to the path whose last piece starts first, at every position.
     * Invalid UTF-8 and characters outside the vocabulary become byte pieces.
     * Columns with the new names are replaced, others are kept. An empty table stays empty.
     """
-    schema, arrow, kept = _output(df, "token_ids array<int>, n_tokens long, n_byte_tokens long, score double")
+    extra = ", round_trip boolean" if check else ""
+    schema, arrow, kept = _output(df, "token_ids array<int>, n_tokens long, n_byte_tokens long, score double" + extra)
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,6 +297,9 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFra
                 tokens = pa.ListArray.from_arrays(pa.array(offsets, mask=np.append(gone, False)) if gone.any() else pa.array(offsets), pa.array(ids.astype(np.int32)))
                 sums = np.concatenate([[0], np.cumsum(v.is_byte[ids])])
                 columns = [*part.columns[:-1], tokens, pa.array(n), pa.array(sums[offsets[1:]] - sums[offsets[:-1]]), pa.array(score)]
+                if check:
+                    raw, start, end = hashing.flat_bytes(part.column(len(kept)))
+                    columns.append(pa.array([x == raw[a:b].tobytes() for x, a, b in zip(v.decode(ids, n), start, end, strict=True)]))
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
     return df.select(*kept, F.col(text).cast("string").alias("__text")).mapInArrow(run, schema)

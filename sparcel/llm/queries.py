@@ -6,10 +6,23 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sparcel import session
-from sparcel.llm import decontaminate, html_text, langid, line_dedup, ngram_join, pieces, sharding, token_counts, topk, treap_index, turn_repair, warc, weak_rules
+from sparcel.llm import (
+    decontaminate,
+    html_text,
+    langid,
+    line_dedup,
+    ngram_join,
+    pieces,
+    sharding,
+    token_counts,
+    topk,
+    treap_index,
+    turn_repair,
+    warc,
+    weak_rules,
+)
 from sparcel.llm.common import prepare, table
 
 #: Folder of the public vocabulary files.
@@ -60,10 +73,8 @@ def op7_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = pieces.Vocabulary.read(f"{TOKENIZERS}/piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    decoded = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
-    return decoded.select(
-        "doc_id", "token_ids", "n_tokens", "n_byte_tokens", "score", F.expr("decoded <=> text").alias("round_trip"),
-    )
+    encoded = pieces.encode(docs, vocabulary, check=True)
+    return encoded.select("doc_id", "token_ids", "n_tokens", "n_byte_tokens", "score", "round_trip")
 
 
 def op9_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,6 +94,9 @@ def test_public_vocabulary(spark):
     table = scores(v)
     assert abs(rows[0].score - brute(v, table, texts[0])) < 1e-6
     assert pieces.encode(df.limit(0), v).count() == 0
+    checked = pieces.encode(df, v, check=True)
+    assert checked.columns == ["id", "text", "decoded", "token_ids", "n_tokens", "n_byte_tokens", "score", "round_trip"]
+    assert all(r.round_trip and r.token_ids == rows[r.id].token_ids for r in checked.collect())
 
 
 def test_refused():
