@@ -5,10 +5,11 @@
    order gives the same result, this one keeps frequent n-grams out of the prefixes.
 2. Each class sends out the prefix of its ordered set: two sets that reach the threshold share an
    n-gram of their prefixes. Prefix n-grams that only one class has go no further.
-3. Rounds: every class is paired with one leader only, a class of another component that it shares prefix
-   n-grams with, in bands of sizes that can link. This is linear in the rows, and joins large groups of
-   near copies without looking at all their pairs. Each round draws other leaders; n-grams whose
-   classes are all in one component are done. Rounds go on while they join a fair share of what they try.
+3. Rounds: every class is paired with a few leaders only, classes of another component that it shares most
+   prefix n-grams with, in bands of sizes that can link. This is linear in the rows, and joins large groups
+   of near copies without looking at all their pairs, also where only a few of these link. Each round
+   draws other leaders; n-grams whose classes are all in one component are done. Rounds go on
+   while they join a fair share of what they try.
 4. What can still link two components is then paired completely: per prefix n-gram, the classes
    outside its largest component with all classes of other components, under the length, positional
    and suffix filters, each pair once.
@@ -41,8 +42,9 @@ THRESHOLD = (80, 100)
 SKETCH, PART = 1 << 22, 1 << 12
 #: Ranges of the hash space by which the suffix filter compares two sets.
 RANGES = 64
-#: Rounds with leaders go on while one of this many pairs links; then what is left is paired completely.
-FAIR = 8
+#: Leaders that a class tries in a round: twice as many as before, up to the last number. Rounds at that number go
+#: on while one of FAIR pairs links; then what is left is paired completely.
+TRIED, FAIR = (1, 2, 4, 8, 16), 64
 #: Bits of the Bloom filter, 64-bit words of one of its parts, and bits set for a key.
 BLOOM, BLOOM_PART, PROBES = 1 << 27, 1 << 12, 5
 #: First n-grams of a class that its rows know when they are paired.
@@ -364,7 +366,7 @@ def _links(pairs: DataFrame, sets: DataFrame, width: int, threshold, name: str)
     texts = sets.select("c", "text")
     both = (
         near.join(texts.select(F.col("c").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(texts.select(F.col("c").alias("b"), F.col("text").alias("text_b")), "b")
+        .join(texts.select(F.col("c").alias("b"), F.col("text").alias("text_b")).join(near.select("b"), "b", "left_semi"), "b")
         .select("a", "b", "text_a", "text_b")
     )
     return stored(both.mapInArrow(lambda it: _verified(it, width, threshold), "u long, v long"), name), near.count()
@@ -404,32 +406,37 @@ def _first_pairs(tokens: DataFrame) -> DataFrame:
     return _best(both.where("other != c"))
 
 
-def _best(met: DataFrame) -> DataFrame:
-    """(c, other), a row for each n-gram -> the pairs to try: of each class the one with most n-grams, ``b`` being the partner."""
+def _best(met: DataFrame, tried: int = 1) -> DataFrame:
+    """(c, other), a row for each n-gram -> the pairs to try: of each class those with most n-grams, ``b`` being the partner."""
     shared = met.groupBy("c", "other").agg(F.count(F.lit(1)).alias("shared"))
-    best = shared.groupBy("c").agg(F.max_by("other", F.struct("shared", "other")).alias("other"))
+    if tried == 1:
+        best = shared.groupBy("c").agg(F.max_by("other", F.struct("shared", "other")).alias("other"))
+    else:
+        order = Window.partitionBy("c").orderBy(F.desc("shared"), "other")
+        best = shared.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= tried)
     return best.select(F.col("c").alias("a"), F.col("other").alias("b"))
 
 
-def _leader_pairs(tokens: DataFrame, threshold, number: int) -> DataFrame:
-    """For each class the leader of another component that it shares most prefix n-grams with.
+def _leader_pairs(tokens: DataFrame, threshold, number: int, tried: int) -> DataFrame:
+    """For each class ``tried`` leaders of other components, those that it shares most prefix n-grams with.
 
-    A leader is drawn, by a hash that is new in each round, from the component that has most rows of
-    a prefix n-gram in a band of sizes. Bands are as wide as the threshold, so a class looks in its
-    own and the two next to it.
+    Leaders are drawn, by hashes that are new in each round, from the component that has most rows of
+    a prefix n-gram in a band of sizes, as many as are tried. Bands are as wide as the threshold, so a class
+    looks in its own and the two next to it.
     """
     p, q = threshold
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(q / p))).cast("int") if p < q else F.col("n")
     rows = tokens.withColumn("band", band)
-    draw = F.struct(F.xxhash64("c", F.lit(number)).alias("h"), "n", "c")
-    per = rows.groupBy("g", "band", "comp").agg(F.count(F.lit(1)).alias("rows"), F.min(draw).alias("one"))
-    leaders = per.groupBy("g", "band").agg(F.max_by(F.struct("one.n", "one.c", "comp"), F.struct("rows", "comp")).alias("lead"))
-    near = leaders.select("g", F.explode(F.array(*[F.col("band") + F.lit(d) for d in ((-1, 0, 1) if p < q else (0,))])).alias("band"), "lead")
+    draws = [F.min(F.struct(F.xxhash64("c", F.lit(number), F.lit(i)).alias("h"), "n", "c")).alias(f"d{i}") for i in range(tried)]
+    per = rows.groupBy("g", "band", "comp").agg(F.count(F.lit(1)).alias("rows"), *draws)
+    drawn = F.array(*[F.struct(F.col(f"d{i}.n").alias("n"), F.col(f"d{i}.c").alias("c"), "comp") for i in range(tried)])
+    leaders = per.groupBy("g", "band").agg(F.max_by(F.array_distinct(drawn), F.struct("rows", "comp")).alias("leads"))
+    near = leaders.select("g", F.explode(F.array(*[F.col("band") + F.lit(d) for d in ((-1, 0, 1) if p < q else (0,))])).alias("band"), "leads")
     met = (
-        rows.join(near, ["g", "band"]).where("lead.comp != comp")
+        rows.join(near, ["g", "band"]).select("c", "n", "comp", F.explode("leads").alias("lead")).where("lead.comp != comp")
         .where(F.least("n", "lead.n") * q >= F.greatest("n", "lead.n") * p)
     )
-    return _best(met.select("c", F.col("lead.c").alias("other")))
+    return _best(met.select("c", F.col("lead.c").alias("other")), tried)
 
 
 def _plain(key: Column) -> Column:
@@ -502,12 +509,12 @@ def ngram_components(
             own = left.select("g", "c", "n", "pos")
             own = _labelled(own, comps) if comps is not None else own.withColumn("comp", F.col("c"))
             left = stored(_open_tokens(own), f"open{number}")
-        number, complete = number + 1, number > 0 and found * FAIR <= tried
+        number, complete = number + 1, not tried or (number >= len(TRIED) and found * FAIR <= tried)
         if complete:
             full = _with_before(left).join(sets.select("c", "ranges").dropDuplicates(["c"]), "c")
             pairs = _pairs(full.where("comp != main"), full, threshold)
         else:
-            pairs = _leader_pairs(left, threshold, number)
+            pairs = _leader_pairs(left, threshold, number, TRIED[min(number, len(TRIED) - 1)])
     labelled = classes.join(comps, classes.c == comps.id, "left") if comps is not None else classes.withColumn("component", F.lit(None).cast("long"))
     labelled = labelled.select("c", "k", "n", "low", F.coalesce("component", "c").alias("comp"))
     lows = labelled.groupBy("comp").agg(F.min("low").alias("component_id"))
