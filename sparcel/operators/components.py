@@ -14,6 +14,10 @@ from . import kernel as K
 from .tiling import TilePlan, plan_tiles, split_to_tiles
 
 
+#: Chunks of a crowded tile whose outlines meet in one row.
+FAN_IN = 16
+
+
 def _point_to_min(links: DataFrame, keep_larger: bool) -> DataFrame:
     """Link every neighbour of u to the smallest of them; a join, so hot nodes can be split."""
     low = links.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
@@ -161,21 +165,31 @@ def touching_links(df: DataFrame, plan: TilePlan, node: str, geom: str = "geom")
     """Links between features that touch or overlap, thinned to what connects each tile.
 
     Tiles that cannot be cut further are taken in chunks: each chunk links its own features and
-    passes on the outlines of its clusters, which then meet those of the other chunks.
+    passes on the outlines of its clusters, which meet those of FAN_IN chunks at a time, round by
+    round, until one chunk is left.
     """
     ship(df.sparkSession)
     pieces = split_to_tiles(df, plan, [node], geom).select("tile", F.col(node).alias("n"), "dim", "edges")
     feature = F.collect_set(F.struct("n", "dim", "edges")).alias("f")
     if plan.crowded is None:
         return _tile_links(pieces.groupBy("tile").agg(feature), False).select("u", "v")
+    most = plan.crowded.agg(F.max("chunks")).first()[0] or 1
     marked = pieces.join(plan.crowded, "tile", "left")
-    calm = _tile_links(marked.where("chunks IS NULL").groupBy("tile").agg(feature), False).select("u", "v")
-    chunk = F.pmod(F.xxhash64("n"), F.col("chunks")).alias("chunk")
-    first = marked.where("chunks IS NOT NULL").groupBy("tile", chunk).agg(feature)
-    first = checkpoint(_tile_links(first, True))
-    again = first.where("v IS NULL").select("tile", F.col("u").alias("n"), "dim", "edges")
-    second = _tile_links(again.groupBy("tile").agg(feature), False).select("u", "v")
-    return calm.unionByName(first.where("v IS NOT NULL").select("u", "v")).unionByName(second)
+    links = _tile_links(marked.where("chunks IS NULL").groupBy("tile").agg(feature), False).select("u", "v")
+    pile, share = marked.where("chunks IS NOT NULL").select("tile", "n", "dim", "edges", "chunks"), 1
+    while most > 1:
+        chunk = F.pmod(F.xxhash64("n"), F.ceil(F.col("chunks") / share)).alias("chunk")
+        step = checkpoint(_tile_links(pile.groupBy("tile", chunk).agg(feature), True))
+        links = links.unionByName(step.where("v IS NOT NULL").select("u", "v"))
+        outlines = step.where("v IS NULL").select("tile", F.col("u").alias("n"), "dim", "edges")
+        pile, most, share = outlines.join(plan.crowded, "tile"), -(-most // FAN_IN) if most > FAN_IN else 1, share * FAN_IN
+    return links.unionByName(_tile_links(pile.groupBy("tile").agg(feature), False).select("u", "v"))
+
+
+def _shape(parts):
+    """Digest of a geometry's vertices: two hashes of the binary values with their nesting, no text is made."""
+    sizes = F.transform(parts, lambda part: F.transform(part, F.size))
+    return F.concat_ws("-", *[F.hex(F.xxhash64(F.lit(seed), sizes, parts)) for seed in (1, 2)], F.hex(F.hash(parts)))
 
 
 def cluster_touching(df: DataFrame, key: str, plan: TilePlan | None = None, geom: str = "geom") -> DataFrame:
@@ -184,7 +198,7 @@ def cluster_touching(df: DataFrame, key: str, plan: TilePlan | None = None, geom
     Equal geometries share one node, so a pile of copies costs a star of links, not all pairs.
     """
     plan = plan or plan_tiles([df.withColumnRenamed(geom, "geom")])
-    shape = F.concat(F.lit("g"), F.sha2(F.to_json(F.col(geom)["parts"]), 256))
+    shape = F.concat(F.lit("g"), _shape(F.col(geom)["parts"]))
     shaped = df.select(F.col(key).alias("_key"), shape.alias("_shape"), F.col(geom).alias("geom"))
     distinct = shaped.groupBy("_shape").agg(F.any_value("geom").alias("geom"))
     links = touching_links(distinct, plan, "_shape")

@@ -530,6 +530,61 @@ def _close_gaps(pts, vid, n):
     return move[vid]
 
 
+def _paths(follow):
+    """Edges in the order of ``follow``, an array for each cycle, by first edges, then whatever is not a cycle.
+
+    List ranking by pointer doubling: the number of numpy passes grows with the logarithm of the longest cycle.
+    """
+    n = len(follow)
+    into = np.bincount(follow[follow >= 0], minlength=n)
+    whole = (follow >= 0) & (into == 1)
+    # an edge is on a cycle if everything behind and before it is: other edges spread along their path
+    odd = np.flatnonzero(~whole)
+    if len(odd):
+        jump, loose = np.where(follow >= 0, follow, np.arange(n)), ~whole
+        for _ in range(max(1, int(n).bit_length())):
+            loose = loose | loose[jump]
+            jump = jump[jump]
+        back = np.full(n, -1)
+        back[follow[whole & (follow >= 0)]] = np.flatnonzero(whole & (follow >= 0))
+        jump = np.where(back >= 0, back, np.arange(n))
+        for _ in range(max(1, int(n).bit_length())):
+            loose = loose | loose[jump]
+            jump = jump[jump]
+        whole = ~loose
+    ring = np.flatnonzero(whole)
+    if len(ring):
+        place = np.full(n, -1)
+        place[ring] = np.arange(len(ring))
+        nxt = place[follow[ring]]
+        head, jump = np.arange(len(ring)), nxt
+        while True:
+            head = np.minimum(head, head[jump])
+            jump = jump[jump]
+            if (head == head[nxt]).all():
+                break
+        # cut each cycle before its head, then count the steps to its end
+        last = nxt == head
+        steps, jump = np.where(last, 0, 1), np.where(last, np.arange(len(ring)), nxt)
+        while (steps[jump] > 0).any():
+            steps = steps + steps[jump]
+            jump = jump[jump]
+        order = np.lexsort((-steps, head))
+        yield from np.split(ring[order], np.flatnonzero(head[order][1:] != head[order][:-1]) + 1)
+    rest = np.flatnonzero(~whole)
+    if len(rest):
+        seen = whole.copy()
+        onward = follow.tolist()
+        for s in rest.tolist():
+            path, k = [], s
+            while k >= 0 and not seen[k]:
+                seen[k] = True
+                path.append(k)
+                k = onward[k]
+            if path:
+                yield np.array(path)
+
+
 def chain(g, e, drop_lattice=True):
     """Directed edges -> list of (group, [shell, hole, ...]); rings are closed (k, 2) arrays."""
     n = len(e)
@@ -551,8 +606,6 @@ def chain(g, e, drop_lattice=True):
         turn[turn < 1e-12] = 2 * np.pi
         follow[k] = out[np.argmin(turn)]
     multi = np.bincount(start, minlength=vid.max() + 1) > 1
-    follow, start_l = follow.tolist(), start.tolist()
-    seen = np.zeros(n, dtype=bool)
     rings = []
 
     def close(path):
@@ -568,24 +621,24 @@ def chain(g, e, drop_lattice=True):
         if abs(a) > TOL * np.abs(np.diff(ring, axis=0)).sum():
             rings.append((int(g[path[0]]), ring, a))
 
-    for s in range(n):
-        if seen[s]:
+    for path in _paths(follow):
+        many = multi[start[path]]
+        if not many.any():
+            close(path)
             continue
-        path, at, k = [], {}, s
-        while k >= 0 and not seen[k]:
-            seen[k] = True
-            v = start_l[k]
-            if multi[v]:
+        # a vertex passed twice closes a ring of its own
+        kept, at = [], {}
+        for k, v, m in zip(path.tolist(), start[path].tolist(), many.tolist(), strict=True):
+            if m:
                 if v in at:
                     p = at[v]
-                    close(path[p:])
-                    del path[p:]
+                    close(np.array(kept[p:]))
+                    del kept[p:]
                     at = {u: i for u, i in at.items() if i < p}
-                at[v] = len(path)
-            path.append(k)
-            k = follow[k]
-        if path:
-            close(path)
+                at[v] = len(kept)
+            kept.append(k)
+        if kept:
+            close(np.array(kept))
     shells = [[grp, ring, a, []] for grp, ring, a in rings if a > 0]
     by_group: dict[int, list] = {}
     for s in shells:

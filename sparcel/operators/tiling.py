@@ -2,8 +2,9 @@
 
 Features are cut at the borders of square tiles, so that all later work is an equi-join or a
 grouping on the tile key, followed by row-wise batches. The tile size follows the data: a plan
-picks the size at which an average tile holds ``target`` vertices, and tiles that hold far more
-are cut in four, again and again, so one dense spot never becomes one huge task.
+counts edges where they lie, in cells of 64 m, and picks the size at which an average tile holds
+``target`` edges; tiles that hold far more are the inner nodes of a quadtree, so one dense spot never
+becomes one huge task. Pieces find the leaves below them with a lookup of the tile they are in.
 """
 
 from __future__ import annotations
@@ -26,6 +27,12 @@ from . import kernel as K
 MIN_LEVEL, MAX_LEVEL = 2, 20  # tiles of 4 m to 1049 km
 TARGET_VERTICES = 600
 HOT_FACTOR = 16
+#: Level at which edges are counted, and level of the cells whose counts one task rolls up (4**8 of them at most).
+COUNT_LEVEL, GROUP_LEVEL = 6, 14
+#: Levels that a lookup of hot tiles goes down: at most 1 + 4 + 16 + 64 keys in a row of the lookup table.
+LOOKUP_DEPTH = 4
+#: Pieces of edges that are counted at once.
+COUNT_PIECES = 1 << 20
 COMBINE_PIECES = 64
 
 TILE_FIELDS = [
@@ -40,14 +47,17 @@ TILE_FIELDS = [
 class TilePlan:
     """Base level (tile side 2**level), tiles to cut further, and tiles that cannot be cut.
 
-    ``crowded`` tiles are at the smallest size and still hold too much: unions take them in
-    ``chunks`` first.
+    ``hot`` has the inner nodes of the quadtree below the base level: for a tile on one of the levels
+    in ``steps``, the keys of the tiles to cut (itself included) down to the next step. ``finest`` is the
+    level of the smallest tiles. ``crowded`` tiles are at the smallest size and still hold too much: unions
+    take them in ``chunks`` first.
     """
 
     level: int
     hot: DataFrame | None = None
     finest: int | None = None
     crowded: DataFrame | None = None
+    steps: tuple[int, ...] = ()
 
 
 def tile_key(level, x, y):
@@ -63,55 +73,157 @@ def tile_key(level, x, y):
 GEOGRAPHIC = frozenset([4171, 4258, 4326])
 
 
+def _at_level(cell: Column, level: int, to: int) -> Column:
+    """Ancestor on level ``to`` of a cell key of ``level``."""
+    mask = F.lit((1 << B.IX_SHIFT) - 1)
+    by = to - level
+    ix = F.shiftright(F.shiftright(cell, B.IX_SHIFT).bitwiseAND(mask) - B.HALF_RANGE, by)
+    iy = F.shiftright(cell.bitwiseAND(mask) - B.HALF_RANGE, by)
+    zero = F.lit((to + B.LEVEL_ZERO) << B.LEVEL_SHIFT).cast("long")
+    return zero.bitwiseOR(F.shiftleft(ix + B.HALF_RANGE, B.IX_SHIFT)).bitwiseOR(iy + B.HALF_RANGE)
+
+
+def _edge_counts(df: DataFrame, weight: float, level: int) -> DataFrame:
+    """(cell, n, span) of a layer, summed up in each batch: edges that begin in a cell, and metres of edges in it.
+
+    In a tile of side s above the cells, edges make about ``n + span / s`` pieces.
+    """
+    size = 2.0**level
+
+    def run(batches):
+        for b in batches:
+            geom = B.one(b.column(0))
+            refuse_degrees(geom)
+            _, _, e, _ = B.decode(geom)
+            pieces = np.cumsum(2 + (np.abs(e[:, 2:] - e[:, :2]).sum(axis=1) / size).astype(np.int64))
+            at = 0
+            while at < len(e):
+                stop = max(at + 1, int(np.searchsorted(pieces, (pieces[at - 1] if at else 0) + COUNT_PIECES, "right")))
+                _, col, row, s, t0, _ = K.cut_to_tiles(e[at:stop], size)
+                at = stop
+                cell, where = np.unique(B.pack(level, col, row), return_inverse=True)
+                n = np.bincount(where.ravel(), t0 == 0, minlength=len(cell)) * weight
+                span = np.bincount(where.ravel(), np.hypot(s[:, 2] - s[:, 0], s[:, 3] - s[:, 1]), minlength=len(cell)) * weight
+                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n), pa.array(span)], names=["cell", "n", "span"])
+
+    return df.where(F.size("geom.parts") > 0).select("geom").mapInArrow(run, "cell long, n double, span double")
+
+
+def _counted(layers: Sequence[DataFrame], weights: Sequence[float], level: int, within: DataFrame | None = None) -> DataFrame:
+    """Counts of all layers by cell; ``within`` names the cells of COUNT_LEVEL that are looked into."""
+    cells = None
+    for df, w in zip(layers, weights, strict=True):
+        own = _edge_counts(df, float(w), level)
+        if within is not None:
+            own = own.withColumn("above", _at_level(F.col("cell"), level, COUNT_LEVEL)).join(within, "above", "left_semi").drop("above")
+        cells = own if cells is None else cells.unionByName(own)
+    return cells.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("span").alias("span"))
+
+
+def _levels(table: pa.Table, level: int, top: int):
+    """Cells of one group rolled up: (level, ix, iy, pieces) from ``level`` to ``top``."""
+    cell, n, span = (table.column(c).to_numpy() for c in ("cell", "n", "span"))
+    mask = (1 << B.IX_SHIFT) - 1
+    ix, iy = ((cell >> B.IX_SHIFT) & mask) - B.HALF_RANGE, (cell & mask) - B.HALF_RANGE
+    for lv in range(level, top + 1):
+        yield lv, ix, iy, n + span / 2.0**lv
+        key, where = np.unique(((ix >> 1) + B.HALF_RANGE << B.IX_SHIFT) | ((iy >> 1) + B.HALF_RANGE), return_inverse=True)
+        n, span = (np.bincount(where.ravel(), v, minlength=len(key)) for v in (n, span))
+        ix, iy = (key >> B.IX_SHIFT) - B.HALF_RANGE, (key & mask) - B.HALF_RANGE
+
+
+def _grouped(cells: DataFrame, level: int, top: int):
+    return cells.withColumn("above", _at_level(F.col("cell"), level, top)).groupBy("above")
+
+
+def _level_stats(cells: DataFrame, limit: float) -> DataFrame:
+    """(level, tiles, pieces, held, most) from COUNT_LEVEL up; ``held`` counts no tile for more than ``limit``, as the rest is cut."""
+    def run(key, table):
+        rows = [
+            (lv, len(ix), float(n.sum()), float(np.minimum(n, limit).sum()), float(n.max()))
+            for lv, ix, _, n in _levels(table, COUNT_LEVEL, GROUP_LEVEL)
+        ]
+        return pa.table([pa.array(x) for x in zip(*rows, strict=True)], names=["level", "tiles", "pieces", "held", "most"])
+
+    below = _grouped(cells, COUNT_LEVEL, GROUP_LEVEL).applyInArrow(run, "level long, tiles long, pieces double, held double, most double")
+    wide = _wide(cells).groupBy(F.col("level").cast("long").alias("level")).agg(
+        F.count("*").alias("tiles"), F.sum("n").alias("pieces"), F.sum(F.least("n", F.lit(limit))).alias("held"), F.max("n").alias("most")
+    )
+    sums = [F.sum(c).alias(c) for c in ("tiles", "pieces", "held")]
+    return below.unionByName(wide).groupBy("level").agg(*sums, F.max("most").alias("most"))
+
+
+def _wide(cells: DataFrame) -> DataFrame:
+    """(tile, level, n) of the levels above the groups; there are few groups (a row for 16 km of land), so each goes to all."""
+    groups = _grouped(cells, COUNT_LEVEL, GROUP_LEVEL).agg(F.sum("n").alias("n"), F.sum("span").alias("span"))
+    up = [
+        groups.select(_at_level(F.col("above"), GROUP_LEVEL, lv).alias("tile"), F.lit(lv).alias("level"), "n", (F.col("span") / 2.0**lv).alias("more"))
+        for lv in range(GROUP_LEVEL + 1, MAX_LEVEL + 1)
+    ]
+    rows = up[0]
+    for u in up[1:]:
+        rows = rows.unionByName(u)
+    return rows.groupBy("tile", "level").agg((F.sum("n") + F.sum("more")).alias("n"))
+
+
+def _hot_tiles(cells: DataFrame, level: int, top: int, limit: float) -> DataFrame:
+    """(tile, level, n) of the tiles from ``level`` to ``top`` that hold more than ``limit``, rolled up in groups."""
+    group = min(top, GROUP_LEVEL)
+
+    def run(key, table):
+        out = [
+            (B.pack(lv, ix[hot], iy[hot]), np.full(hot.sum(), lv, np.int32), n[hot])
+            for lv, ix, iy, n in _levels(table, level, group) for hot in (n > limit,)
+        ]
+        return pa.table([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["tile", "level", "n"])
+
+    return _grouped(cells, level, group).applyInArrow(run, "tile long, level int, n double")
+
+
 def plan_tiles(
     layers: Iterable[DataFrame], target: int = TARGET_VERTICES, weights: Sequence[float] | None = None
 ) -> TilePlan:
-    """Choose tile sizes from one pass over the layers (a feature counts where it starts).
+    """Choose tile sizes from one pass over the layers, which counts edges in the cells they lie in.
 
-    ``weights`` scale a layer's vertex count (a layer that will be buffered grows).
+    ``weights`` scale a layer's count (a layer that will be buffered grows). Only where a cell of 64 m holds too
+    much are its edges counted again, in cells of the smallest size.
     """
-    layers = list(layers)
+    layers = [df.select("geom") for df in layers]
     weights = list(weights or [1.0] * len(layers))
-    parts = []
-    for df, w in zip(layers, weights):
-        at = F.get(F.get(F.get("geom.parts", F.lit(0)), F.lit(0)), F.lit(0))
-        v = df.where(F.size("geom.parts") > 0).select(
-            at["x"].alias("cx"), at["y"].alias("cy"), (G.vertex_count("geom") * F.lit(float(w))).alias("n")
-        ).where("cx IS NOT NULL")
-        parts.append(v.groupBy(tile_key(F.lit(MIN_LEVEL), F.col("cx"), F.col("cy")).alias("fine")).agg(F.sum("n").alias("n")))
-    cells = parts[0]
-    for p in parts[1:]:
-        cells = cells.unionByName(p)
-    # every cell counts for its ancestors on all levels
-    mask = (1 << B.IX_SHIFT) - 1
-    ix = F.shiftright("fine", B.IX_SHIFT).bitwiseAND(F.lit(mask)) - B.HALF_RANGE
-    iy = F.col("fine").bitwiseAND(F.lit(mask)) - B.HALF_RANGE
-    levels = F.explode(F.sequence(F.lit(MIN_LEVEL), F.lit(MAX_LEVEL)))
-    up = cells.select("n", ix.alias("ix"), iy.alias("iy"), levels.alias("level")).select(
-        "n", "level",
-        F.expr(f"shiftright(ix, level - {MIN_LEVEL})").alias("ix"), F.expr(f"shiftright(iy, level - {MIN_LEVEL})").alias("iy"),
-    )
-    tiles = up.groupBy("level", "ix", "iy").agg(F.sum("n").alias("n"))
-    stats = {
-        r["level"]: r for r in tiles.groupBy("level").agg(F.avg("n").alias("mean"), F.max("n").alias("top")).collect()
-    }
+    ship(layers[0].sparkSession)
+    cells = checkpoint(_counted(layers, weights, COUNT_LEVEL))
+    limit = float(target * HOT_FACTOR)
+    stats = {r["level"]: r for r in _level_stats(cells, limit).collect()}
     if not stats:
         return TilePlan(MAX_LEVEL)
-    # where features sit on top of each other, smaller tiles stop helping: allow twice what is left
-    target = max(target, 2 * stats[MIN_LEVEL]["mean"])
-    level = max(lv for lv, r in stats.items() if r["mean"] <= target)
-    limit = target * HOT_FACTOR
-    if stats[level]["top"] <= limit:
+    fit = [lv for lv, r in stats.items() if r["held"] <= target * r["tiles"]]
+    level = max(fit, default=COUNT_LEVEL)
+    if stats[level]["most"] <= limit:
         return TilePlan(level)
-    lv = F.shiftleft((F.col("level") + B.LEVEL_ZERO).cast("long"), B.LEVEL_SHIFT)
-    key = lv.bitwiseOR(F.shiftleft(F.col("ix") + B.HALF_RANGE, B.IX_SHIFT)).bitwiseOR(F.col("iy") + B.HALF_RANGE)
-    hot = tiles.where((F.col("n") > limit) & (F.col("level") <= level))
-    chunks = F.ceil(F.col("n") / limit).cast("int").alias("chunks")
-    hot = checkpoint(hot.select(key.alias("tile"), F.col("level").cast("int").alias("hot_level"), chunks))
-    lowest = hot.agg(F.min("hot_level")).first()[0]
-    crowded = hot.where(F.col("hot_level") == MIN_LEVEL).select("tile", "chunks") if lowest == MIN_LEVEL else None
-    cut = hot.where(F.col("hot_level") > MIN_LEVEL).select("tile", "hot_level")
-    return TilePlan(level, cut, max(lowest - 1, MIN_LEVEL), crowded)
+    hot = _hot_tiles(cells, COUNT_LEVEL, level, limit)
+    if level > GROUP_LEVEL:
+        hot = hot.unionByName(_wide(cells).where(F.col("n") > limit))
+    hot = checkpoint(hot.where(F.col("level") <= level).select("tile", "level", "n"))
+    deep = hot.where(F.col("level") == COUNT_LEVEL).select(F.col("tile").alias("above"))
+    crowded = None
+    if stats[COUNT_LEVEL]["most"] > limit:
+        fine = _hot_tiles(_counted(layers, weights, MIN_LEVEL, deep), MIN_LEVEL, COUNT_LEVEL, limit)
+        fine = checkpoint(fine.where(F.col("level") < COUNT_LEVEL))
+        chunks = F.ceil(F.col("n") / limit).cast("int").alias("chunks")
+        piled = fine.where(F.col("level") == MIN_LEVEL)
+        crowded = None if piled.isEmpty() else piled.select("tile", chunks)
+        hot = hot.unionByName(fine.where(F.col("level") > MIN_LEVEL))
+    lowest = hot.agg(F.min("level")).first()[0]
+    steps = tuple(range(level, lowest - 1, -LOOKUP_DEPTH))
+    tables = []
+    for step in steps:
+        own = hot.where((F.col("level") <= step) & (F.col("level") > step - LOOKUP_DEPTH))
+        above = F.coalesce(*[F.when(F.col("level") == lv, _at_level(F.col("tile"), lv, step)) for lv in range(step, max(step - LOOKUP_DEPTH, MIN_LEVEL), -1)])
+        tables.append(own.groupBy(above.alias("tile")).agg(F.collect_list("tile").alias("cells")))
+    lookup = tables[0]
+    for t in tables[1:]:
+        lookup = lookup.unionByName(t)
+    return TilePlan(level, checkpoint(lookup), max(lowest - 1, MIN_LEVEL), crowded, steps)
 
 
 def _tile_batch(keep, owner, tile, dim, values):
@@ -226,10 +338,8 @@ def split_to_tiles(
     else:
         source = source.select(*keep, geom)
     out = source.mapInArrow(first, T.StructType(fields + TILE_FIELDS))
-    if plan.hot is None or plan.finest is None:
-        return out
-    for lv in range(plan.level, plan.finest, -1):
-        out = _refine(out, plan.hot.where(F.col("hot_level") == lv), lv - 1, keep, fields)
+    for step in plan.steps:
+        out = _refine(out, plan.hot, step, plan.finest, keep, fields)
     return out
 
 
@@ -269,33 +379,42 @@ def combine_pieces(batch: pa.RecordBatch, keep: Sequence[str]) -> pa.RecordBatch
     return batch
 
 
-def _refine(pieces: DataFrame, hot: DataFrame, level: int, keep, fields) -> DataFrame:
-    """Cut the pieces in hot tiles at the next level; the others pass unchanged."""
+def _refine(pieces: DataFrame, lookup: DataFrame, step: int, finest: int, keep, fields) -> DataFrame:
+    """Cut pieces in hot tiles of level ``step`` down to their leaves, LOOKUP_DEPTH levels at most; others pass unchanged."""
     names = keep + [f.name for f in TILE_FIELDS]
-    marked = pieces.join(hot, "tile", "left").select(*names, F.col("hot_level").isNotNull().alias("_hot"))
+    marked = pieces.join(lookup, "tile", "left").select(*names, "cells")
+
+    def lower(h: pa.RecordBatch, level: int) -> list[pa.RecordBatch]:
+        """The pieces of hot tiles cut at ``level``."""
+        out = []
+        dims = h.column("dim").to_numpy()
+        for group, width in ((dims == 2, 4), (dims != 2, 6)):
+            if not group.any():
+                continue
+            s = h.filter(pa.array(group))
+            row, v = B.read_edges(s.column("edges"), width)
+            d = s.column("dim").to_numpy()[row]
+            p = v[:, 4:6] if width == 6 else np.zeros((len(v), 2))
+            size, _, oy = B.unpack(s.column("tile").to_numpy())
+            floor = np.round(oy / size).astype(np.int64) * 2
+            r = _split(row, d, v[:, :4], p, level, floor)
+            cols = _tile_batch([s.column(i) for i in range(len(keep))], *r)
+            out.append(pa.RecordBatch.from_arrays(cols, names=names))
+        return out
 
     def cut(batches):
         for b in batches:
-            hot_mask = B.one(b.column(len(names)))
-            rest = b.filter(pc.invert(hot_mask)).select(names)
-            if rest.num_rows:
-                yield pa.RecordBatch.from_arrays(rest.columns, names=names)
-            h = b.filter(hot_mask)
-            if not h.num_rows:
-                continue
-            dims = h.column("dim").to_numpy()
-            for group, width in ((dims == 2, 4), (dims != 2, 6)):
-                if not group.any():
-                    continue
-                s = h.filter(pa.array(group))
-                row, v = B.read_edges(s.column("edges"), width)
-                d = s.column("dim").to_numpy()[row]
-                p = v[:, 4:6] if width == 6 else np.zeros((len(v), 2))
-                size, _, oy = B.unpack(s.column("tile").to_numpy())
-                floor = np.round(oy / size).astype(np.int64) * 2
-                r = _split(row, d, v[:, :4], p, level, floor)
-                cols = _tile_batch([s.column(i) for i in range(len(keep))], *r)
-                yield pa.RecordBatch.from_arrays(cols, names=names)
+            cells = np.unique(B.one(b.column(len(names))).flatten().to_numpy(zero_copy_only=False).astype(np.int64))
+            parts = [pa.RecordBatch.from_arrays(b.columns[: len(names)], names=names)]
+            for level in range(step - 1, max(finest, step - LOOKUP_DEPTH) - 1, -1):
+                below = []
+                for part in parts:
+                    hot = np.isin(part.column("tile").to_numpy(), cells)
+                    if not hot.all():
+                        yield part.filter(pa.array(~hot))
+                    if hot.any():
+                        below += lower(part.filter(pa.array(hot)), level)
+                parts = below
+            yield from parts
 
     return marked.mapInArrow(cut, T.StructType(fields + TILE_FIELDS))
-

@@ -24,6 +24,8 @@ from .components import connected_components
 from .tiling import TilePlan, plan_tiles, split_to_tiles
 
 BATCH_EDGES = 40_000
+#: Chunks of a crowded tile that are united in one row.
+FAN_IN = 16
 MEASURES = [T.StructField("area", T.DoubleType()), T.StructField("perimeter", T.DoubleType())]
 EDGES_FIELD = T.StructField("edges", T.ArrayType(T.DoubleType()))
 
@@ -96,13 +98,23 @@ def region(df: DataFrame, plan: TilePlan | None = None, by: Sequence[str] = (),
 
 
 def merge_pieces(pieces: DataFrame, plan: TilePlan, by: Sequence[str] = ()) -> DataFrame:
-    """Union pieces that are already cut to tiles (edges of several layers may be stacked)."""
-    if plan.crowded is not None:
-        # tiles that cannot be cut further: union in bounded chunks first, then the chunks
-        chunk = F.pmod(F.xxhash64("edges"), F.coalesce("chunks", F.lit(1))).cast("int")
-        salted = pieces.join(plan.crowded, "tile", "left").select(*by, "tile", "edges", chunk.alias("_chunk"))
-        pieces = _merge(salted, [*by, "_chunk"]).select(*by, "tile", "edges")
-    return _merge(pieces, by).where(F.size("edges") > 0)
+    """Union pieces that are already cut to tiles (edges of several layers may be stacked).
+
+    Tiles that cannot be cut further are united as a tree: in bounded chunks first, then FAN_IN
+    chunks at a time, with a checkpoint between the rounds, until one is left.
+    """
+    if plan.crowded is None:
+        return _merge(pieces, by).where(F.size("edges") > 0)
+    most = plan.crowded.agg(F.max("chunks")).first()[0] or 1
+    chunk = F.when(F.col("chunks").isNotNull(), F.pmod(F.xxhash64("edges"), F.col("chunks")).cast("int"))
+    salted = pieces.join(plan.crowded, "tile", "left").select(*by, "tile", "edges", chunk.alias("_chunk"))
+    first = checkpoint(_merge(salted, [*by, "_chunk"]))
+    calm, pile = first.where("_chunk IS NULL").drop("_chunk"), first.where("_chunk IS NOT NULL")
+    while most > FAN_IN:
+        most = -(-most // FAN_IN)
+        up = pile.select(*by, "tile", "edges", F.floor(F.col("_chunk") / FAN_IN).cast("int").alias("_chunk"))
+        pile = checkpoint(_merge(up, [*by, "_chunk"]))
+    return calm.unionByName(_merge(pile.select(*by, "tile", "edges"), by)).where(F.size("edges") > 0)
 
 
 def measure(reg: DataFrame, by: Sequence[str] = ()) -> DataFrame:

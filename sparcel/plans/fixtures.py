@@ -93,5 +93,27 @@ def roads(spark, sf_dir, chosen=False) -> DataFrame:
     return df.where(F.col("nature") != "5-LOW") if chosen else df
 
 
+# One polygon of two vertices for each column of a skyline, whose columns lie an eighth of a metre apart.
+SKYLINE = """
+SELECT a, coalesce(lead(a) OVER (ORDER BY a), a + 1) AS b, h FROM (
+  SELECT (o_orderkey*31 + o_custkey*7919) % 40000 AS a, max(100 + o_orderkey % 4801) AS h FROM orders GROUP BY 1) q"""
+
+
+def skyline(spark, sf_dir) -> DataFrame:
+    """A single polygon with up to 80,000 vertices, the outline of the columns of ``SKYLINE``."""
+    src = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    steps = spark.sql(SKYLINE.replace("FROM orders", "FROM {src}"), src=src)
+
+    def at(x, y):
+        return F.struct((F.col(x) / 8.0).alias("x"), F.col(y).cast("double").alias("y"))
+
+    tops = F.array_sort(F.collect_list(F.struct("a", F.array(at("a", "h"), at("b", "h")).alias("v"))))
+    row = steps.groupBy(F.lit(1).alias("id")).agg(tops.alias("t"), F.min("a").alias("a"), F.max("b").alias("b"))
+    low, high = F.struct((F.col("a") / 8.0).alias("x"), F.lit(0.0).alias("y")), F.struct((F.col("b") / 8.0).alias("x"), F.lit(0.0).alias("y"))
+    ring = F.concat(F.array(low), F.flatten(F.transform("t", lambda t: t["v"])), F.array(high, low))
+    geom = F.struct(F.lit(G.TARGET_SRID).alias("srid"), F.lit(2).cast("tinyint").alias("dim"), F.lit(False).alias("multi"), F.array(F.array(ring)).alias("parts"))
+    return row.select("id", geom.alias("geom"))
+
+
 def points(spark, sf_dir) -> DataFrame:
     return features(spark, sf_dir, "pt")

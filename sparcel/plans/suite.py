@@ -398,6 +398,15 @@ def overlay_polygon_dense(spark, d):
     return o.select("cleabs", "id", _r(G.area()).alias("area"), _r(G.perimeter()).alias("perimeter"))
 
 
+@query(f"""WITH {cte('equip')}, sky AS ({X.SKYLINE}),
+ q AS (SELECT cleabs, (least(x1*8, b) - greatest(x0*8, a)) * (least(y1, h) - y0) AS eighths FROM equip JOIN sky ON a < x1*8 AND x0*8 < b AND y0 < h)
+SELECT cleabs, CAST(sum(eighths) AS DOUBLE) / 8 AS area FROM q GROUP BY cleabs""")
+def overlay_large_polygon(spark, d):
+    """Plots under one polygon of very many vertices, which lies in many tiles."""
+    o = overlay_intersection(X.skyline(spark, d), X.equipment(spark, d), [], ["cleabs"])
+    return o.groupBy("cleabs").agg(_r(F.sum(G.area())).alias("area"))
+
+
 @query(f"""WITH {cte('zone', 'landcover')}, q AS (SELECT insee_com, id, {_BOX} FROM zone a, landcover b WHERE a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1)
 SELECT insee_com AS a_insee_com, id AS b_id, CAST(w*h AS DOUBLE) AS area, 'ST_MultiPolygon' AS type FROM q""")
 def overlay_pairs_multi(spark, d):

@@ -88,6 +88,41 @@ def test_hot_spot_is_cut_further(spark):
     assert w.keys() == g.keys() and all(w[k]["n"] == g[k]["n"] and w[k]["l"] == pytest.approx(g[k]["l"], rel=1e-6) for k in w)
 
 
+def test_large_polygon_lies_in_many_tiles(spark):
+    """One polygon of 60,000 vertices, and nothing else: no tile holds more than the budget."""
+    one = layer(spark, [(1, disc(0, 0, 900, 60_000))], 2)
+    plan = plan_tiles([one])
+    pieces = tiling.split_to_tiles(one, plan, ["id"]).select("tile", (F.size("edges") / 4).alias("n"))
+    r = pieces.agg(F.count("*").alias("tiles"), F.max("n").alias("most"), F.sum("n").alias("n")).first()
+    assert r["tiles"] > 100 and r["most"] <= tiling.TARGET_VERTICES * tiling.HOT_FACTOR and r["n"] >= 60_000
+    assert total(region(one, plan)) == pytest.approx((60_000 / 2 * 900**2 * math.sin(2 * math.pi / 60_000), 2 * 60_000 * 900 * math.sin(math.pi / 60_000)), rel=1e-6)
+
+
+def test_counts_are_those_of_the_pieces(spark, discs):
+    """The planner's estimate of pieces, against cutting; and one level of a quadtree sums up to the next."""
+    cells = tiling._counted([discs], [1.0], tiling.COUNT_LEVEL)
+    stats = {r["level"]: r for r in tiling._level_stats(cells, 1e9).collect()}
+    edges = 120 * 24
+    for level in (6, 8, 10, 14, 20):
+        pieces = tiling.split_to_tiles(discs, TilePlan(level), ["id"]).select(F.explode(F.sequence(F.lit(1), (F.size("edges") / 4).cast("int")))).count()
+        assert edges <= stats[level]["pieces"] <= 1.6 * pieces and stats[level]["most"] <= stats[level]["pieces"]
+    assert stats[20]["tiles"] <= 4 and stats[6]["tiles"] >= stats[7]["tiles"] >= stats[8]["tiles"]
+
+
+def test_hot_tiles_over_several_lookups(spark):
+    """A spot ten levels below the base: leaves are found whatever the depth, and hold no more than the budget."""
+    rnd = random.Random(8)
+    rows = [(k, disc(50 + rnd.gauss(0, 6), 50 + rnd.gauss(0, 6), 0.05, 6)) for k in range(600)]
+    rows += [(1000 + k, disc(rnd.uniform(0, 60_000), rnd.uniform(0, 60_000), 3, 6)) for k in range(600)]
+    df = layer(spark, rows, 2)
+    plan = plan_tiles([df], target=10)
+    assert len(plan.steps) > 1 and plan.finest == tiling.MIN_LEVEL
+    sizes = tiling.split_to_tiles(df, plan, ["id"]).groupBy("tile").agg(F.sum(F.size("edges") / 4).alias("n"))
+    level = F.shiftright("tile", 56) - 64
+    assert sizes.where((level > tiling.MIN_LEVEL) & (F.col("n") > 1.5 * 10 * tiling.HOT_FACTOR)).count() == 0
+    assert total(region(df, plan)) == pytest.approx(total(region(df, TilePlan(10))), rel=1e-6)
+
+
 def test_pile_that_no_tile_size_separates(spark):
     # a third of all rows are copies, a third are distinct shapes over one spot
     rnd = random.Random(7)
