@@ -199,7 +199,7 @@ def _runs(row, parent, sub, p0, p1, ox, oy):
     first = np.flatnonzero(new)
     run = np.cumsum(new) - 1
     ln = np.bincount(run, K._length(sub), minlength=len(first)) if len(first) else np.zeros(0)
-    last = np.append(first[1:], len(row)) - 1
+    last = np.append(first[1:], len(row))[: len(first)] - 1
     g = to_global(sub, row, ox, oy)
     # vertices of a run as p x y, then a separator
     count = np.diff(np.append(first, len(row))) + 2

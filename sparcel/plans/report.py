@@ -116,24 +116,33 @@ def _tile_measures(rows: DataFrame, keep: Sequence[str]) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def car_region(
+    deps: DataFrame, pieces: DataFrame, equipment: DataFrame, plan: TilePlan, radius: Column | str | None = None, style: str = "round",
+    dep: str = "insee_dep",
+) -> DataFrame:
+    """Car space of every département as a region: buffers of its road pieces, and equipment in every tile it has.
+
+    Cutting equipment at the département changes nothing, as zones lie inside theirs.
+    """
+    radius = f"largeur + {BUFFER_OFFSET}" if radius is None else radius
+    wide = A.median_fill(pieces, "largeur", [dep, "nature"])
+    strips = split_to_tiles(wide, plan, [dep], radius=radius, style=style, combine=True).select(dep, "tile", "edges")
+    plots = split_to_tiles(equipment.select("geom"), plan, [], combine=True).select("tile", "edges")
+    plots = plots.join(deps.select(dep, "tile"), "tile").select(dep, "tile", "edges")
+    return merge_pieces(strips.unionByName(plots), plan, [dep])
+
+
 def zone_sums(
     zones: DataFrame, equipment: DataFrame, roads: DataFrame, urban: DataFrame, radius: Column | str | None = None,
     style: str = "round", plan: TilePlan | None = None, road_key: Sequence[str] = ("cleabs",),
 ) -> DataFrame:
     """The five zonal aggregates of the analysis (square metres, metres), one row per zone."""
     ship(zones.sparkSession)
-    radius = f"largeur + {BUFFER_OFFSET}" if radius is None else radius
     plan = plan or report_plan(zones, equipment, roads, urban)
     dep = "insee_dep"
     deps = departements(zones, plan, dep)
     pieces = crop_roads(roads, deps, plan, road_key, dep)
-    wide = A.median_fill(pieces, "largeur", [dep, "nature"])
-    # car space: buffered roads of a département, and equipment in every département of the tile.
-    # Cutting equipment at the département changes nothing, as zones lie inside theirs.
-    strips = split_to_tiles(wide, plan, [dep], radius=radius, style=style, combine=True).select(dep, "tile", "edges")
-    plots = split_to_tiles(equipment.select("geom"), plan, [], combine=True).select("tile", "edges")
-    plots = plots.join(deps.select(dep, "tile"), "tile").select(dep, "tile", "edges")
-    car = merge_pieces(strips.unionByName(plots), plan, [dep]).select(dep, "tile", F.col("edges").alias("car"))
+    car = car_region(deps, pieces, equipment, plan, radius, style, dep).select(dep, "tile", F.col("edges").alias("car"))
     town = region(urban.select("geom"), plan).select("tile", F.col("edges").alias("urban"))
     lines = split_to_tiles(pieces.select(dep, "geom"), plan, [dep]).select(dep, "tile", "edges")
     chunk = F.lit(0)

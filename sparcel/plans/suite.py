@@ -504,12 +504,12 @@ def zonal_length(spark, d):
 @query(f"""WITH {cte('zone', 'equip', 'road')}, s AS (SELECT insee_com, sum(CAST(w*h AS DOUBLE)) AS v FROM (SELECT insee_com, {_BOX} FROM zone a, equip b) q WHERE w > 0 AND h > 0 GROUP BY insee_com),
  l AS (SELECT insee_com, sum(CAST(w+h AS DOUBLE)) AS v FROM (SELECT insee_com, {_BOX} FROM zone a JOIN road b ON b.x0 <= a.x1 AND b.x1 >= a.x0 AND b.y0 <= a.y1 AND b.y1 >= a.y0) q GROUP BY insee_com)
 SELECT z.insee_com, round({_RECT}*1e-6, 6) AS zone_area, round(s.v*1e-6, 6) AS plot_area, round(l.v*1e-3, 6) AS road_length
-FROM zone z FULL JOIN s USING (insee_com) FULL JOIN l USING (insee_com) WHERE insee_com LIKE '0%'""")
+FROM zone z FULL JOIN s USING (insee_com) FULL JOIN l USING (insee_com) WHERE insee_com LIKE '03%'""")
 def zonal_outer_join(spark, d):
     zones = X.zones(spark, d)
     plots = overlay_measures(zones, X.equipment(spark, d), ["insee_com"]).select("insee_com", _r(F.col("area") * Z.KM2).alias("plot_area"))
     roads = overlay_measures(zones, X.roads(spark, d), ["insee_com"]).select("insee_com", _r(F.col("length") * Z.KM).alias("road_length"))
-    out = Z.zonal_summary(zones, [plots, roads], "insee_com", "0")
+    out = Z.zonal_summary(zones, [plots, roads], "insee_com", "03")
     return out.select("insee_com", _r(F.col("zone_area")).alias("zone_area"), "plot_area", "road_length")
 
 
@@ -569,6 +569,32 @@ def union_buffer_square(spark, d):
     return _measured(union_buffer(X.roads(spark, d), "largeur + 2", style="square"))
 
 
+def _capsule(segment: str, point: str = "p") -> str:
+    """Whether a point lies in the buffer of an axis-parallel segment with caps of 16 chords, exactly.
+
+    In the box around the segment, that is in the strip, or no farther from an end than the chord of
+    the point's direction, which is that of 32 chords all round.
+    """
+    def cap(k):
+        dx, dy = f"({point}.x - {segment}.x{k})", f"({point}.y - {segment}.y{k})"
+        return f"sqrt({dx}*{dx} + {dy}*{dy}) * cos((atan2({dy}, {dx}) + 2*pi()) % (pi()/16) - pi()/32) <= {segment}.r * cos(pi()/32)"
+
+    x, y, s = f"{point}.x", f"{point}.y", segment
+    return f"""{x} BETWEEN {s}.x0 - {s}.r AND {s}.x1 + {s}.r AND {y} BETWEEN {s}.y0 - {s}.r AND {s}.y1 + {s}.r
+   AND (({s}.x1 > {s}.x0 AND {x} BETWEEN {s}.x0 AND {s}.x1) OR ({s}.y1 > {s}.y0 AND {y} BETWEEN {s}.y0 AND {s}.y1) OR {cap(0)} OR {cap(1)})"""
+
+
+@query(f"""WITH {cte('road', 'pt')}, w AS (SELECT x0, y0, x1, y1, largeur + 2 AS r FROM road WHERE largeur IS NOT NULL)
+SELECT DISTINCT p.id, p.x, p.y FROM pt p JOIN w ON {_capsule('w')}""")
+def union_buffer_round_points(spark, d):
+    """Points in the union of the round buffers of all roads."""
+    roads, pts = X.roads(spark, d), X.points(spark, d)
+    plan = plan_tiles([roads, pts], weights=[10.0, 1.0])
+    found = lines_in_region(union_buffer(roads, "largeur + 2", plan), pts, plan, [], ["id"], ["id"])
+    v = F.col("geom.parts")[0][0][0]
+    return found.select("id", v["x"].alias("x"), v["y"].alias("y"))
+
+
 @query()
 def union_buffer_round(spark, d):
     return _measured(union_buffer(X.roads(spark, d), "largeur + 2"))
@@ -730,6 +756,28 @@ def report_all_deps(spark, d):
     return _report(spark, d)
 
 
+_PIECES = _report_sql("")
+_PIECES = _PIECES[:_PIECES.index(" car AS (")].rstrip(", \n")
+
+
+@query(f"""{_PIECES},
+ pt AS ({X.SQL['pt']}),
+ inside AS (SELECT z.insee_com, z.insee_dep, p.id, p.x, p.y FROM zone z JOIN pt p ON p.x BETWEEN z.x0 AND z.x1 AND p.y BETWEEN z.y0 AND z.y1),
+ hit AS (SELECT DISTINCT p.insee_com, p.id FROM inside p JOIN wide w ON w.insee_dep = p.insee_dep AND w.r IS NOT NULL AND {_capsule('w')}
+   UNION SELECT p.insee_com, p.id FROM inside p JOIN equip e ON p.x BETWEEN e.x0 AND e.x1 AND p.y BETWEEN e.y0 AND e.y1)
+SELECT insee_com, count(*) AS points FROM hit GROUP BY insee_com""")
+def report_round_points(spark, d):
+    """Points of every zone in the car space of the analysis, buffers being round: the union as it is, not its measures."""
+    zones, equipment, roads, urban = (f(spark, d, chosen=True) for f in (X.zones, X.equipment, X.roads, X.landcover))
+    pts = X.points(spark, d).withColumnRenamed("id", "event")
+    plan = P.report_plan(zones, equipment, roads, urban)
+    deps = P.departements(zones, plan)
+    car = P.car_region(deps, P.crop_roads(roads, deps, plan), equipment, plan)
+    found = lines_in_region(car, pts, plan, ["insee_dep"], ["event"], ["event"]).select("insee_dep", "event")
+    placed = overlay_intersection(zones, pts, ["insee_com", "insee_dep"], ["event"]).select("insee_com", "insee_dep", "event")
+    return placed.join(found, ["insee_dep", "event"]).groupBy("insee_com").agg(F.count("*").alias("points"))
+
+
 @query()
 def report_all_deps_round(spark, d):
     """The analysis as specified, with round buffers."""
