@@ -242,7 +242,8 @@ def deleted_lines(own: np.ndarray, near: Sequence[np.ndarray]) -> list[int]:
     of AGREE of the first kind, or of MANY of both kinds; where no article is marked, also if the
     first of the first kind alone has it. If copies were met, what at least half of ENOUGH or more
     pages around have is template as well, unless nothing would be left. Lines that the markup leaves
-    out are not listed.
+    out are not listed. In a marked article only what stands at the same end of most articles around goes,
+    see ``_at_same_end``.
     """
     text, plain = _text(own), not (own["kind"] == ARTICLE).any()
     agree, alike, gone = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64), np.zeros(len(own), bool)
@@ -274,9 +275,32 @@ def deleted_lines(own: np.ndarray, near: Sequence[np.ndarray]) -> list[int]:
     if met_copy and len(near) >= ENOUGH:
         common = gone | (text & (2 * sum(np.isin(own["hash"], x["hash"]).astype(np.int64) for x in near) >= len(near)))
         gone = common if (text & ~common).any() else gone
+    if gone.any() and not plain:
+        gone = _at_same_end(own, near, gone)
     return np.flatnonzero(gone).tolist()
 
 
+def _at_same_end(own: np.ndarray, near: Sequence[np.ndarray], gone: np.ndarray) -> np.ndarray:
+    """Those of the lines of a marked article that most of the pages around have as many lines from its start, or from its end.
+
+    An article may quote what others say; a template stands in one place. Lines go only if no equal line stays.
+    """
+    places = np.flatnonzero(_text(own))
+    mine, votes, pages = own["hash"][places], np.zeros(len(places), np.int64), 0
+    for other in near:
+        if _copies(own, other):
+            continue
+        theirs, pages = other["hash"][_text(other)], pages + 1
+        n = min(len(mine), len(theirs))
+        same = np.zeros(len(mine), bool)
+        same[:n] = mine[:n] == theirs[:n]
+        same[len(mine) - n:] |= mine[len(mine) - n:] == theirs[len(theirs) - n:]
+        votes += same
+    out = np.zeros(len(own), bool)
+    out[places] = gone[places] & (2 * votes > pages)
+    return out & ~np.isin(own["hash"], own["hash"][_text(own) & ~out])
+
+
 def _copies(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether each of two pages has less than one part in OWN of its text to itself."""
 
