@@ -22,8 +22,9 @@ from sparcel.llm import hashing
 
 SEGMENT = 96
 HIDDEN = 8
-#: Bounds of the sample that the driver trains on: documents per language (about), segments of each, languages.
-DOCS, WINDOWS, LANGUAGES = 400, 4, 200
+#: Bounds of the sample that the driver trains on: documents per language (about), segments of each, and documents in all:
+#: with more than TOTAL / DOCS languages there are fewer documents of each.
+DOCS, WINDOWS, TOTAL = 400, 4, 80_000
 UPDATES, BATCH, RATE = 420, 128, 0.015
 #: Segments that are labelled at once.
 BLOCK = 2048
@@ -190,18 +191,19 @@ class Network:
 def sample(docs: DataFrame, doc_id: str, text: str, lang: str, per_language: int = DOCS) -> list[tuple[str, bytes]]:
     """About ``per_language`` documents of each language, picked by a hash of the id; WINDOWS spread segments of each."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}") & ~held_out(F.col(doc_id)))
-    counts = {r[0]: r[1] for r in known.groupBy(F.col(lang)).count().limit(LANGUAGES + 1).collect()}
-    if len(counts) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
-    if not counts:
+    counts = known.groupBy(F.col(lang).alias("__lang")).agg(F.count(F.lit(1)).alias("__n"))
+    labels = counts.count()
+    if not labels:
         return []
+    share = min(float(per_language), TOTAL / labels)
     draw = (F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30)))
-    chance = F.element_at(F.create_map(*[F.lit(v) for k, n in sorted(counts.items()) for v in (k, min(1.0, per_language / n))]), F.col(lang))
+    chance = F.least(F.lit(1.0), F.lit(share) / F.col("__n"))
     data = F.encode(F.col(text), "utf-8")
     step = F.greatest((F.octet_length(F.col(text)) / F.lit(float(WINDOWS))).cast("int"), F.lit(1))
     cuts = F.array(*[F.substring(data, step * i + 1, F.lit(SEGMENT)) for i in range(WINDOWS)])
-    rows = known.where(draw < chance).select(F.col(lang), F.explode(cuts).alias("cut"), F.xxhash64(F.col(doc_id).cast("string")).alias("h"))
-    bound = 4 * WINDOWS * per_language * len(counts)
+    drawn = known.join(counts, F.col(lang) == F.col("__lang")).where(draw < chance)
+    rows = drawn.select(F.col(lang), F.explode(cuts).alias("cut"), F.xxhash64(F.col(doc_id).cast("string")).alias("h"))
+    bound = 4 * WINDOWS * (int(share * labels) + 1)
     return [(r[0], bytes(r[1])) for r in sorted(rows.limit(bound).collect(), key=lambda r: (r[0], r[2], r[1])) if r[1]]
 
 

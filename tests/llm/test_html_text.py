@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -134,3 +135,19 @@ def test_classes_of_wrappers_keep_the_text():
     assert html_text.main_text(f"{story}<div class='comment-list'><article>{'reader ' * 50}</article></div>", None) == told
     assert html_text.main_text(f"{story}<div class='related-posts'><article>teaser</article></div>", None) == told
     assert html_text.main_text(f"<article>{story}</article><div class='related'><article>{'teaser ' * 50}</article></div>", None) == told
+
+
+def test_in_an_article_only_what_stands_at_one_end_goes():
+    def page(*texts):
+        return np.array([(xxhash.xxh64_intdigest(t.encode()), len(t), html_text.ARTICLE) for t in texts], html_text._LINE)
+
+    own = page("Share this", "Title", "One two three four.", "A quote that others have.", "What is new here today.", "All rights reserved")
+    near = [
+        page("Share this", f"Title {i}", f"Story number {i} has its own words.", *(["A quote that others have."] if i < 3 else []),
+             f"More words of story {i}.", f"Its end {i}.", "All rights reserved")
+        for i in range(8)
+    ]
+    assert html_text.deleted_lines(own, near) == [0, 5]
+    # a line that stands twice stays, if one of the two has to
+    twice = page("Share this", "Title", "One two three four.", "What is new here today.", "Share this", "Another line of it.")
+    assert html_text.deleted_lines(twice, near) == []

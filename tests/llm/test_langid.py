@@ -71,3 +71,60 @@ def test_odd_rows(spark):
     blank = docs.where("doc_id = 202")
     assert langid.identify(docs, langid.fit(blank)).where("lang_pred <> 'und'").count() == 0
     assert langid.identify(docs.limit(0), net).count() == 0
+
+
+def plain_gru(net, text):
+    """The network byte by byte, in plain Python numbers: (label, mean probability over the bytes of letters)."""
+    def sigmoid(x):
+        return 1 / (1 + np.exp(-x))
+
+    h, total, n = net.hidden, np.zeros(len(net.labels)), 0
+    data = text.encode()
+    for at in range(0, len(data), langid.SEGMENT):
+        cut = data[at:at + langid.SEGMENT]
+        cut += bytes([32]) * (langid.SEGMENT - len(cut))
+        states = {}
+        for d in "fb":
+            w = {k: net.w[d + k].astype(float) for k in "xuac"}
+            state = np.zeros(h)
+            places = range(len(cut)) if d == "f" else reversed(range(len(cut)))
+            for t in places:
+                a = w["x"][:, cut[t]] + w["a"][:, 0]
+                g = w["u"] @ state
+                z, r = sigmoid(a[:h] + g[:h]), sigmoid(a[h:2 * h] + g[h:2 * h])
+                new = np.tanh(a[2 * h:] + r * (g[2 * h:] + w["c"][:, 0]))
+                state = (1 - z) * new + z * state
+                states[d, t] = state
+        for t, byte in enumerate(cut[:len(data) - at]):
+            if chr(byte).isalpha() and byte < 128 or byte >= 128:
+                logits = net.w["fv"].astype(float) @ states["f", t] + net.w["bv"].astype(float) @ states["b", t] + net.w["o"][:, 0]
+                p = np.exp(logits - logits.max())
+                total += p / p.sum()
+                n += 1
+    return (int(total.argmax()), total.max() / n) if n else (-1, 0.0)
+
+
+def test_against_a_plain_network():
+    net = langid.Network(["a", "b", "c"], seed=7)
+    texts = ["some words, and more of them " * 9, "Größe und Maß", "x", "12 34", "", "été " * 60]
+    best, share = net.classify(pa.array(texts))
+    for text, b, s in zip(texts, best.tolist(), share.tolist(), strict=True):
+        want = plain_gru(net, text)
+        assert b == want[0] and abs(s - want[1]) < 1e-4
+
+
+def test_equal_probabilities_go_to_the_first_label():
+    net = langid.Network(["a", "b"])
+    for name in ("fv", "bv"):
+        net.w[name][1] = net.w[name][0]
+    best, share = net.classify(pa.array(["word"]))
+    assert best.tolist() == [0] and abs(share[0] - 0.5) < 1e-6
+
+
+def test_any_number_of_languages(spark, monkeypatch):
+    monkeypatch.setattr(langid, "TOTAL", 500)
+    rows = [(i, f"text of language number {i % 250} and so on", f"l{i % 250:03d}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    drawn = langid.sample(docs, "doc_id", "text", "lang")
+    labels = {r[0] for r in drawn}
+    assert 120 < len(labels) <= 250 and 200 < len(drawn) / langid.WINDOWS < 900
