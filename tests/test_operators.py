@@ -11,7 +11,7 @@ from sparcel.functions import geometry as G
 from sparcel.operators import attributes as A
 from sparcel.operators import checks as C
 from sparcel.operators import relations as R
-from sparcel.operators import tiling
+from sparcel.operators import tiling, union
 from sparcel.operators.components import cluster_touching, connected_components
 from sparcel.operators.overlay import lines_in_region, overlay_intersection, overlay_measures, overlay_pairs, spatial_join
 from sparcel.operators.tiling import TilePlan, plan_tiles
@@ -138,6 +138,24 @@ def test_pile_that_no_tile_size_separates(spark):
     assert c.count() == 900
 
 
+def test_crowded_tiles_are_united_as_a_tree(spark, monkeypatch):
+    """2,000 distinct shapes on one spot: no row has more than FAN_IN chunk outlines, and nothing is lost."""
+    rnd = random.Random(11)
+    df = layer(spark, [(k, disc(50 + rnd.uniform(-.3, .3), 50 + rnd.uniform(-.3, .3), rnd.uniform(0.3, 0.9), 9)) for k in range(2000)], 2)
+    plan = plan_tiles([df], target=20)
+    assert plan.crowded.agg(F.max("chunks")).first()[0] > union.FAN_IN
+    rows, old = [], union._merge
+
+    def merge(pieces, by):
+        rows.append(pieces.groupBy(*by, "tile").count().agg(F.max("count")).first()[0])
+        return old(pieces, by)
+
+    monkeypatch.setattr(union, "_merge", merge)
+    assert total(region(df, plan)) == pytest.approx(total(region(df, TilePlan(12))), rel=1e-6)
+    assert len(rows) >= 3 and all(n <= union.FAN_IN for n in rows[1:-1])
+    assert cluster_touching(df, "id", plan).select("cluster").distinct().collect() == [(0,)]
+
+
 def test_lines_come_back_whole(spark):
     zones = layer(spark, [(1, box(0, 0, 100, 100)), (2, box(100, 0, 200, 100))], 2)
     road = layer(spark, [(7, [[[(-10, 50), (30.3, 60.7), (90, 20), (150, 80), (220, 50)]]]), (8, [[[(100, 10), (100, 90)]]]), (9, [[[(0, 150), (0, 200)]]])], 1)
