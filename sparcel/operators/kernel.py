@@ -323,8 +323,10 @@ def _net(key, xa, xb, w):
     first = np.flatnonzero(new)
     if not len(first):
         return key, xa, xb, w
-    total = np.cumsum(np.add.reduceat(v, first))
-    k, x = k[first], x[first]
+    change = np.add.reduceat(v, first)
+    total = np.cumsum(change)
+    # where one interval ends and the next begins nothing changes
+    k, x, total = k[first][change != 0], x[first][change != 0], total[change != 0]
     ok = np.flatnonzero((k[1:] == k[:-1]) & (total[:-1] != 0))
     return k[ok], x[ok], x[ok + 1], total[ok]
 

@@ -21,7 +21,7 @@ from ..session import checkpoint, ship
 from . import batches as B
 from . import kernel as K
 from .checks import layer_facts, one_srid, one_type
-from .tiling import TilePlan, plan_tiles, split_to_tiles
+from .tiling import TilePlan, covers_below, plan_tiles, split_to_tiles
 from .union import chain_rows, slices, to_global, to_local
 
 DIMENSION = {"Point": 0, "LineString": 1, "Polygon": 2}
@@ -51,8 +51,20 @@ def _prefixed(df: DataFrame, side: str, fields: Sequence[str], key: Sequence[str
 
 
 def candidates(a: DataFrame, b: DataFrame, plan: TilePlan, keep_a, keep_b) -> DataFrame:
-    """Pairs of pieces in the same tile with overlapping boxes (columns of b suffixed ``_b``)."""
-    return pair_pieces(split_to_tiles(a, plan, keep_a), split_to_tiles(b, plan, keep_b), keep_a, keep_b)
+    """Pairs of pieces in the same tile with overlapping boxes (columns of b suffixed ``_b``).
+
+    Where features are wide, their inside lies in larger cells: pieces then also meet the cells above
+    them, in their own tile. Of two tiles that overlap one holds the other, so a pair meets once at every place.
+    """
+    if not plan.covers:
+        return pair_pieces(split_to_tiles(a, plan, keep_a), split_to_tiles(b, plan, keep_b), keep_a, keep_b)
+    pieces_a = checkpoint(split_to_tiles(a, plan, keep_a, cover=True))
+    pieces_b = checkpoint(split_to_tiles(b, plan, keep_b, cover=True))
+    return (
+        pair_pieces(pieces_a, pieces_b, keep_a, keep_b)
+        .unionByName(pair_pieces(pieces_a, covers_below(pieces_a, pieces_b, keep_b), keep_a, keep_b))
+        .unionByName(pair_pieces(covers_below(pieces_b, pieces_a, keep_a), pieces_b, keep_a, keep_b))
+    )
 
 
 def pair_pieces(pieces_a: DataFrame, pieces_b: DataFrame, keep_a, keep_b) -> DataFrame:

@@ -31,6 +31,8 @@ HOT_FACTOR = 16
 COUNT_LEVEL, GROUP_LEVEL = 6, 14
 #: Levels that a lookup of hot tiles goes down: at most 1 + 4 + 16 + 64 keys in a row of the lookup table.
 LOOKUP_DEPTH = 4
+#: Features more tiles wide than this have their inside in cells as large as it allows, instead of in tiles.
+WIDE_TILES = 16
 #: Pieces of edges that are counted at once.
 COUNT_PIECES = 1 << 20
 COMBINE_PIECES = 64
@@ -50,7 +52,8 @@ class TilePlan:
     ``hot`` has the inner nodes of the quadtree below the base level: for a tile on one of the levels
     in ``steps``, the keys of the tiles to cut (itself included) down to the next step. ``finest`` is the
     level of the smallest tiles. ``crowded`` tiles are at the smallest size and still hold too much: unions
-    take them in ``chunks`` first.
+    take them in ``chunks`` first. ``covers``: some feature is so wide that overlays keep its inside in
+    larger cells.
     """
 
     level: int
@@ -58,6 +61,7 @@ class TilePlan:
     finest: int | None = None
     crowded: DataFrame | None = None
     steps: tuple[int, ...] = ()
+    covers: bool = False
 
 
 def tile_key(level, x, y):
@@ -84,7 +88,8 @@ def _at_level(cell: Column, level: int, to: int) -> Column:
 
 
 def _edge_counts(df: DataFrame, weight: float, level: int) -> DataFrame:
-    """(cell, n, span) of a layer, summed up in each batch: edges that begin in a cell, and metres of edges in it.
+    """(cell, n, span, extent) of a layer, summed up in each batch: edges that begin in a cell, metres of edges
+    in it, and how wide the widest feature of the batch is.
 
     In a tile of side s above the cells, edges make about ``n + span / s`` pieces.
     """
@@ -94,7 +99,8 @@ def _edge_counts(df: DataFrame, weight: float, level: int) -> DataFrame:
         for b in batches:
             geom = B.one(b.column(0))
             refuse_degrees(geom)
-            _, _, e, _ = B.decode(geom)
+            owner, _, e, _ = B.decode(geom)
+            extent = float(_extents(owner, e, b.num_rows).max(initial=0))
             pieces = np.cumsum(2 + (np.abs(e[:, 2:] - e[:, :2]).sum(axis=1) / size).astype(np.int64))
             at = 0
             while at < len(e):
@@ -104,9 +110,10 @@ def _edge_counts(df: DataFrame, weight: float, level: int) -> DataFrame:
                 cell, where = np.unique(B.pack(level, col, row), return_inverse=True)
                 n = np.bincount(where.ravel(), t0 == 0, minlength=len(cell)) * weight
                 span = np.bincount(where.ravel(), np.hypot(s[:, 2] - s[:, 0], s[:, 3] - s[:, 1]), minlength=len(cell)) * weight
-                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n), pa.array(span)], names=["cell", "n", "span"])
+                wide = np.full(len(cell), extent)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (cell, n, span, wide)], names=["cell", "n", "span", "extent"])
 
-    return df.where(F.size("geom.parts") > 0).select("geom").mapInArrow(run, "cell long, n double, span double")
+    return df.where(F.size("geom.parts") > 0).select("geom").mapInArrow(run, "cell long, n double, span double, extent double")
 
 
 def _counted(layers: Sequence[DataFrame], weights: Sequence[float], level: int, within: DataFrame | None = None) -> DataFrame:
@@ -117,7 +124,16 @@ def _counted(layers: Sequence[DataFrame], weights: Sequence[float], level: int,
         if within is not None:
             own = own.withColumn("above", _at_level(F.col("cell"), level, COUNT_LEVEL)).join(within, "above", "left_semi").drop("above")
         cells = own if cells is None else cells.unionByName(own)
-    return cells.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("span").alias("span"))
+    return cells.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("span").alias("span"), F.max("extent").alias("extent"))
+
+
+def _extents(owner: np.ndarray, e: np.ndarray, n: int) -> np.ndarray:
+    """Width or height, whichever is more, of every feature."""
+    low, high = np.full((n, 2), np.inf), np.full((n, 2), -np.inf)
+    for k in (0, 2):
+        np.minimum.at(low, owner, e[:, k:k + 2])
+        np.maximum.at(high, owner, e[:, k:k + 2])
+    return np.where(np.isfinite(low[:, 0]), (high - low).max(axis=1), 0.0)
 
 
 def _levels(table: pa.Table, level: int, top: int):
@@ -198,8 +214,9 @@ def plan_tiles(
         return TilePlan(MAX_LEVEL)
     fit = [lv for lv, r in stats.items() if r["held"] <= target * r["tiles"]]
     level = max(fit, default=COUNT_LEVEL)
+    covers = cells.agg(F.max("extent")).first()[0] > WIDE_TILES * 2.0**level
     if stats[level]["most"] <= limit:
-        return TilePlan(level)
+        return TilePlan(level, covers=covers)
     hot = _hot_tiles(cells, COUNT_LEVEL, level, limit)
     if level > GROUP_LEVEL:
         hot = hot.unionByName(_wide(cells).where(F.col("n") > limit))
@@ -223,7 +240,7 @@ def plan_tiles(
     lookup = tables[0]
     for t in tables[1:]:
         lookup = lookup.unionByName(t)
-    return TilePlan(level, checkpoint(lookup), max(lowest - 1, MIN_LEVEL), crowded, steps)
+    return TilePlan(level, checkpoint(lookup), max(lowest - 1, MIN_LEVEL), crowded, steps, covers)
 
 
 def _tile_batch(keep, owner, tile, dim, values):
@@ -280,6 +297,39 @@ def _split(row, dim_of_edge, e, p, level, floor=None):
     return tuple(np.concatenate([o[i] for o in out]) for i in range(4))
 
 
+def _whole(tile, edges) -> np.ndarray:
+    """Which pieces (an edge each) are nothing but the top border of their tile: the tile lies inside the feature."""
+    size, ox, oy = B.unpack(tile)
+    x0, top = ox + K.OFFSET, oy + size + K.OFFSET
+    return (edges[:, 0] == x0 + size) & (edges[:, 2] == x0) & (edges[:, 1] == top) & (edges[:, 3] == top)
+
+
+def _split_wide(row, dim_of_edge, e, p, level, n_rows):
+    """``_split``, but wide polygons are cut level by level, and a cell that lies inside of one stays whole.
+
+    Rows of a polygon then grow with its boundary, not with its area.
+    """
+    extent = _extents(row, e, n_rows)
+    wide = (dim_of_edge == 2) & (extent > WIDE_TILES * 2.0**level)[row]
+    if not wide.any():
+        return _split(row, dim_of_edge, e, p, level)
+    out = [_split(row[~wide], dim_of_edge[~wide], e[~wide], p[~wide], level)]
+    at = min(MAX_LEVEL, int(np.ceil(np.log2(extent[row[wide]].max()))))
+    r, t, d, v = _split(row[wide], dim_of_edge[wide], e[wide], p[wide], at)
+    while at > level:
+        key, group, count = np.unique(np.column_stack([r, t]), axis=0, return_inverse=True, return_counts=True)
+        group = group.ravel()
+        whole = (count[group] == 1) & _whole(t, v)
+        out.append((r[whole], t[whole], d[whole], v[whole]))
+        size, _, oy = B.unpack(key[:, 1])
+        floor = np.round(oy / size).astype(np.int64) * 2
+        at -= 1
+        f, t, d, v = _split(group[~whole], d[~whole], v[~whole, :4], v[~whole, 4:6], at, floor)
+        r = key[f, 0]
+    out.append((r, t, d, v))
+    return tuple(np.concatenate([o[i] for o in out]) for i in range(4))
+
+
 def refuse_degrees(geometry: pa.StructArray) -> None:
     """Tiles and the grid are in metres; a layer in degrees has to be projected first."""
     systems = pc.unique(geometry.field("srid")).to_pylist()
@@ -289,7 +339,7 @@ def refuse_degrees(geometry: pa.StructArray) -> None:
 
 def split_to_tiles(
     df: DataFrame, plan: TilePlan, keep: Sequence[str], geom: str = "geom", radius: Column | str | None = None, style: str = "round",
-    combine: bool = False,
+    combine: bool = False, cover: bool = False,
 ) -> DataFrame:
     """Cut features at tile borders: one row per feature and tile.
 
@@ -303,6 +353,8 @@ def split_to_tiles(
 
     ``combine`` is for unions: pieces of one batch that pile up on a tile (with equal ``keep``
     values) are united before they are shuffled. Their bounding boxes are not kept.
+
+    With ``cover``, the inside of wide polygons comes in cells of any larger level (see ``is_cover``).
     """
     ship(df.sparkSession)
     keep = list(keep)
@@ -321,7 +373,8 @@ def split_to_tiles(
                 row, e = np.concatenate([row[solid], row[k]]), np.concatenate([e[solid], ring])
                 d, p = np.full(len(row), 2), np.zeros(len(row))
             step = np.where(d == 0, 0.0, 1.0)
-            r = _split(row, d, e, np.column_stack([p, p + step]), level)
+            position = np.column_stack([p, p + step])
+            r = _split_wide(row, d, e, position, level, b.num_rows) if cover else _split(row, d, e, position, level)
             cols = _tile_batch([b.column(i) for i in range(len(keep))], *r)
             out = pa.RecordBatch.from_arrays(cols, names=keep + [f.name for f in TILE_FIELDS])
             yield combine_pieces(out, keep) if combine else out
@@ -339,10 +392,44 @@ def split_to_tiles(
         source = source.select(*keep, geom)
     out = source.mapInArrow(first, T.StructType(fields + TILE_FIELDS))
     for step in plan.steps:
-        out = _refine(out, plan.hot, step, plan.finest, keep, fields)
+        out = _refine(out, plan.hot, step, plan.finest, keep, fields, cover)
     return out
 
 
+def is_cover() -> Column:
+    """Whether a piece is its whole tile."""
+    wide = F.get("edges", F.lit(0)) - F.get("edges", F.lit(2))
+    return (F.col("dim") == 2) & (F.size("edges") == 4) & (wide == _side("tile"))
+
+
+def _side(tile: str) -> Column:
+    return F.pow(F.lit(2.0), (F.shiftright(tile, B.LEVEL_SHIFT) - B.LEVEL_ZERO).cast("double"))
+
+
+def covers_below(pieces: DataFrame, covering: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Covers of ``covering``, a row for each tile of ``pieces`` that lies strictly inside of them, as pieces of that tile.
+
+    Tiles look for their ancestors on the levels that have covers; only keys are joined.
+    """
+    covers = covering.where(is_cover()).select(*keep, F.col("tile").alias("above"))
+    level = F.shiftright("above", B.LEVEL_SHIFT) - B.LEVEL_ZERO
+    levels = sorted(r[0] for r in covers.select(level.cast("int")).distinct().collect())
+    own = (F.shiftright("tile", B.LEVEL_SHIFT) - B.LEVEL_ZERO).cast("int")
+    mask = F.lit((1 << B.IX_SHIFT) - 1)
+    ix = F.shiftright("tile", B.IX_SHIFT).bitwiseAND(mask) - B.HALF_RANGE
+    iy = F.col("tile").bitwiseAND(mask) - B.HALF_RANGE
+    tiles = pieces.select("tile").distinct().select("tile", own.alias("own"), ix.alias("ix"), iy.alias("iy"))
+    tiles = tiles.withColumn("to", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>"))).where("to > own")
+    above = F.shiftleft((F.col("to") + B.LEVEL_ZERO).cast("long"), B.LEVEL_SHIFT)
+    for place, shift in (("ix", B.IX_SHIFT), ("iy", 0)):
+        above = above.bitwiseOR(F.shiftleft(F.expr(f"shiftright({place}, to - own)") + B.HALF_RANGE, shift))
+    side = _side("tile")
+    x0, y0 = F.col("ix") * side + K.OFFSET, F.col("iy") * side + K.OFFSET
+    box = [x0.alias("bx0"), y0.alias("by0"), (x0 + side).alias("bx1"), (y0 + side).alias("by1")]
+    edge = F.array(x0 + side, y0 + side, x0, y0 + side).alias("edges")
+    return tiles.withColumn("above", above).join(covers, "above").select(*keep, "tile", F.lit(2).cast("tinyint").alias("dim"), edge, *box)
+
+
 def combine_pieces(batch: pa.RecordBatch, keep: Sequence[str]) -> pa.RecordBatch:
     """Unite the pieces of a batch that share tile and ``keep``, a bounded number at a time."""
     while batch.num_rows >= COMBINE_PIECES:
@@ -379,7 +466,7 @@ def combine_pieces(batch: pa.RecordBatch, keep: Sequence[str]) -> pa.RecordBatch
     return batch
 
 
-def _refine(pieces: DataFrame, lookup: DataFrame, step: int, finest: int, keep, fields) -> DataFrame:
+def _refine(pieces: DataFrame, lookup: DataFrame, step: int, finest: int, keep, fields, cover: bool = False) -> DataFrame:
     """Cut pieces in hot tiles of level ``step`` down to their leaves, LOOKUP_DEPTH levels at most; others pass unchanged."""
     names = keep + [f.name for f in TILE_FIELDS]
     marked = pieces.join(lookup, "tile", "left").select(*names, "cells")
@@ -409,7 +496,13 @@ def _refine(pieces: DataFrame, lookup: DataFrame, step: int, finest: int, keep,
             for level in range(step - 1, max(finest, step - LOOKUP_DEPTH) - 1, -1):
                 below = []
                 for part in parts:
-                    hot = np.isin(part.column("tile").to_numpy(), cells)
+                    tile = part.column("tile").to_numpy()
+                    hot = np.isin(tile, cells)
+                    if cover:
+                        off = B.offsets(part.column("edges"))
+                        flat = part.column("edges").values.to_numpy(zero_copy_only=False)
+                        one = np.flatnonzero((np.diff(off) == 4) & (part.column("dim").to_numpy() == 2))
+                        hot[one[_whole(tile[one], flat[off[one][:, None] + np.arange(4)])]] = False
                     if not hot.all():
                         yield part.filter(pa.array(~hot))
                     if hot.any():

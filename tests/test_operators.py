@@ -138,6 +138,44 @@ def test_pile_that_no_tile_size_separates(spark):
     assert c.count() == 900
 
 
+def test_insides_of_wide_polygons(spark):
+    """Rows of a polygon grow with its boundary, and results are those of plain tiles."""
+    plan = TilePlan(3, covers=True)
+    counts = []
+    for r in (200, 400, 800):
+        one = layer(spark, [(1, disc(0, 0, r, 60))], 2)
+        counts.append(tiling.split_to_tiles(one, plan, ["id"], cover=True).count())
+        assert counts[-1] < tiling.split_to_tiles(one, plan, ["id"]).count() / (r / 100)
+    assert counts[2] < 2.4 * counts[1] < 6 * counts[0]
+    rnd = random.Random(12)
+    ring = [[disc(0, 0, 400, 50)[0][0], disc(30, 10, 150, 40)[0][0][::-1]]]
+    a = layer(spark, [(1, disc(100, 100, 900, 40)), (2, ring), (3, box(-300, -300, 500, 200))], 2).withColumnRenamed("id", "a")
+    b = layer(spark, [(k, disc(rnd.uniform(-500, 600), rnd.uniform(-500, 600), rnd.choice([3, 20, 300]), 16)) for k in range(60)]
+              + [(100 + k, disc(rnd.uniform(180, 200), rnd.uniform(90, 110), 0.4, 6)) for k in range(80)], 2)
+    hot = plan_tiles([a, b], target=8)
+    assert hot.covers and hot.hot is not None
+
+    def measured(plan):
+        o = overlay_intersection(a, b, ["a"], ["id"], key_a=["a"], key_b=["id"], plan=plan)
+        rows = o.groupBy("a", "id").agg(F.count("*").alias("n"), F.sum(G.area()).alias("s"), F.sum(G.perimeter()).alias("p")).collect()
+        sums = overlay_measures(a, b, ["a"], plan).orderBy("a").collect()
+        met = {tuple(r) for r in spatial_join(a, b, ["a"], ["id"], plan).collect()}
+        return {(r["a"], r["id"]): (r["n"], r["s"], r["p"]) for r in rows}, [x for r in sums for x in r], met
+
+    want = measured(TilePlan(12))
+    for other in (plan, TilePlan(4, covers=True), hot):
+        got = measured(other)
+        assert got[0].keys() == want[0].keys() and got[2] == want[2]
+        assert all(got[0][k] == pytest.approx(want[0][k], rel=1e-6) for k in want[0])
+        assert got[1] == pytest.approx(want[1], rel=1e-6)
+    road = layer(spark, [(1, [[[(-600, -20), (700, 90)]]]), (2, [[[(10, 10), (20, 30)]]])], 1)
+    for other in (plan, TilePlan(12)):
+        o = overlay_intersection(a, road, ["a"], ["id"], key_a=["a"], key_b=["id"], plan=other).groupBy("a", "id").agg(F.count("*").alias("n"), F.sum(G.length()).alias("l"))
+        found = sorted((r["a"], r["id"], r["n"], round(r["l"], 4)) for r in o.collect())
+        assert other is plan or found == before
+        before = found
+
+
 def test_crowded_tiles_are_united_as_a_tree(spark, monkeypatch):
     """2,000 distinct shapes on one spot: no row has more than FAN_IN chunk outlines, and nothing is lost."""
     rnd = random.Random(11)
