@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -473,6 +474,16 @@ def test_layers_in_degrees_are_refused(spark, discs):
         region(degrees, TilePlan(5)).count()
 
 
+@pytest.mark.parametrize("shape", ["id", "id * 0.5 - 250000", "exp(id / 20000)", "-exp((id % 777777) / 10000)", "CASE WHEN id % 3 = 0 THEN 7 ELSE id END"])
+def test_median_of_very_many_values(spark, shape):
+    """10^6 values in one group, beside a small one and one of ties: the rank search against sorting."""
+    big = spark.range(1_000_000).selectExpr("'big' AS g", f"CAST({shape} AS DOUBLE) AS v")
+    few = spark.createDataFrame([("few", float(v)) for v in (1, 2, 2, 9)] + [("tie", 5.0)] * 9 + [("none", None)], "g string, v double")
+    got = {r["g"]: r["median"] for r in A.median_by(big.unionByName(few), "v", "g").collect()}
+    values = np.sort(np.array([r[0] for r in big.select("v").toPandas().itertuples(index=False)]))
+    assert got == {"big": pytest.approx((values[499_999] + values[500_000]) / 2, rel=1e-15), "few": 2.0, "tie": 5.0, "none": None}
+
+
 def test_median_fill_by_broadcast_or_salt(spark, monkeypatch):
     rows = [(i, "ab"[i % 2] if i % 7 else None, None if i % 3 == 0 else float(i % 5)) for i in range(60)]
     df = spark.createDataFrame(rows, "id int, grp string, v double")
