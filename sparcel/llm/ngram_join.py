@@ -42,9 +42,9 @@ THRESHOLD = (80, 100)
 SKETCH, PART = 1 << 22, 1 << 12
 #: Ranges of the hash space by which the suffix filter compares two sets.
 RANGES = 64
-#: Leaders that a class tries in a round: twice as many as before, up to the last number. Rounds at that number go
-#: on while one of FAIR pairs links; then what is left is paired completely.
-TRIED, FAIR = (1, 2, 4, 8, 16), 64
+#: Leaders that a class tries in the first rounds. Rounds with the last number go on while one of FAIR pairs links;
+#: then what is left is paired completely. Leaders that each n-gram draws in these rounds.
+TRIED, FAIR, DRAWS = (1, 1, 8), 64, 4
 #: Bits of the Bloom filter, 64-bit words of one of its parts, and bits set for a key.
 BLOOM, BLOOM_PART, PROBES = 1 << 27, 1 << 12, 5
 #: First n-grams of a class that its rows know when they are paired.
@@ -420,21 +420,22 @@ def _best(met: DataFrame, tried: int = 1) -> DataFrame:
 def _leader_pairs(tokens: DataFrame, threshold, number: int, tried: int) -> DataFrame:
     """For each class ``tried`` leaders of other components, those that it shares most prefix n-grams with.
 
-    Leaders are drawn, by hashes that are new in each round, from the component that has most rows of
-    a prefix n-gram in a band of sizes, as many as are tried. Bands are as wide as the threshold, so a class
-    looks in its own and the two next to it.
+    A leader is drawn from the component that has most rows of a prefix n-gram in a band of sizes, by a
+    hash that is new in each round; where several are tried, each n-gram draws DRAWS for itself. Bands are as
+    wide as the threshold, so a class looks in its own and the two next to it.
     """
     p, q = threshold
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(q / p))).cast("int") if p < q else F.col("n")
     rows = tokens.withColumn("band", band)
-    draws = [F.min(F.struct(F.xxhash64("c", F.lit(number), F.lit(i)).alias("h"), "n", "c")).alias(f"d{i}") for i in range(tried)]
-    per = rows.groupBy("g", "band", "comp").agg(F.count(F.lit(1)).alias("rows"), *draws)
-    drawn = F.array(*[F.struct(F.col(f"d{i}.n").alias("n"), F.col(f"d{i}.c").alias("c"), "comp") for i in range(tried)])
-    leaders = per.groupBy("g", "band").agg(F.max_by(F.array_distinct(drawn), F.struct("rows", "comp")).alias("leads"))
+    hashes = [F.xxhash64("c", F.lit(number))] if tried == 1 else [F.xxhash64("c", "g", F.lit(number), F.lit(i)) for i in range(DRAWS)]
+    ones = [F.min(F.struct(h.alias("h"), "n", "c")).alias(f"d{i}") for i, h in enumerate(hashes)]
+    per = rows.groupBy("g", "band", "comp").agg(F.count(F.lit(1)).alias("rows"), *ones)
+    drawn = F.array(*[F.struct(F.col(f"d{i}.n").alias("n"), F.col(f"d{i}.c").alias("c"), "comp") for i in range(len(ones))])
+    leaders = per.groupBy("g", "band").agg(F.max_by(drawn, F.struct("rows", "comp")).alias("leads"))
     near = leaders.select("g", F.explode(F.array(*[F.col("band") + F.lit(d) for d in ((-1, 0, 1) if p < q else (0,))])).alias("band"), "leads")
     met = (
-        rows.join(near, ["g", "band"]).select("c", "n", "comp", F.explode("leads").alias("lead")).where("lead.comp != comp")
-        .where(F.least("n", "lead.n") * q >= F.greatest("n", "lead.n") * p)
+        rows.join(near, ["g", "band"]).select("c", "n", "comp", F.explode(F.array_distinct("leads")).alias("lead"))
+        .where("lead.comp != comp").where(F.least("n", "lead.n") * q >= F.greatest("n", "lead.n") * p)
     )
     return _best(met.select("c", F.col("lead.c").alias("other")), tried)
 
