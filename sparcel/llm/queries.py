@@ -199,6 +199,68 @@ ranked AS (
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
 """
 
+_OP12 = r"""
+WITH RECURSIVE crc AS (
+  WITH RECURSIVE r(k, step, v) AS (
+    SELECT k, 0, k FROM range(256) t(k)
+    UNION ALL
+    SELECT k, step + 1, CASE WHEN v & 1 = 1 THEN xor(3988292384, v >> 1) ELSE v >> 1 END FROM r WHERE step < 8)
+  SELECT list(v ORDER BY k) AS tab FROM r WHERE step = 8),
+raw AS (
+  SELECT conv_id, dense_rank() OVER (ORDER BY conv_id) AS cid, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(regexp_extract_all(hex(encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))), '..'),
+                        lambda x: CAST('0x' || x AS BIGINT)) AS bytes
+  FROM conversations),
+kinds AS (
+  SELECT cid, turn, role, text,
+         xor(4294967295, list_reduce(bytes, lambda c, d: xor(tab[(xor(c, d) & 255) + 1], c >> 8), CAST(4294967295 AS BIGINT))) % 20 AS kind
+  FROM raw, crc),
+rows AS (
+  SELECT cid, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY cid ORDER BY turn NULLS FIRST, role, md5(length(role) || ':' || role || text), copy) AS k,
+         substr(role, 1, 1) AS i FROM rows),
+seen AS (
+  SELECT *, row_number() OVER (PARTITION BY cid, role, text ORDER BY k) > 1 AS again, lag(i) OVER (PARTITION BY cid ORDER BY k) AS before,
+         NOT regexp_matches(text, '[^ 	-]') AS blank FROM placed),
+turns AS (
+  SELECT *, CASE WHEN blank THEN 'blank' WHEN again THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' END AS fault
+  FROM seen),
+ins(p, q, n, roles) AS (
+  VALUES (0, 0, 0, []), (1, 1, 0, []), (2, 2, 0, []), (3, 3, 0, []), (0, 2, 1, ['user:']), (1, 2, 1, ['user:']), (3, 2, 1, ['user:']),
+         (2, 3, 1, ['assistant:']), (0, 3, 2, ['user:', 'assistant:']), (1, 3, 2, ['user:', 'assistant:'])),
+step(p, i, q) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+best(cid, k, p, b) AS (
+  SELECT DISTINCT cid, CAST(0 AS BIGINT), 0, {'cost': CAST(0 AS BIGINT), 'audit': '', 'out': CAST([] AS VARCHAR[])} FROM raw
+  UNION ALL
+  SELECT cid, k, q, min({'cost': cost, 'audit': audit, 'out': out}) FROM (
+    SELECT t.cid, t.k, e.q, s.b.cost + 5 * ins.n + e.cost + CASE WHEN e.op <> 'D' AND t.fault = 'truncated' THEN 5 ELSE 0 END AS cost,
+           s.b.audit || repeat('I', ins.n) || e.op AS audit,
+           list_concat(list_concat(s.b.out, ins.roles), CASE e.op WHEN 'D' THEN [] WHEN 'K' THEN [t.role || ':' || t.text] ELSE [e.role || ':' || t.text] END) AS out
+    FROM best s JOIN ins ON ins.p = s.p JOIN turns t ON t.cid = s.cid AND t.k = s.k + 1
+    JOIN (
+      SELECT p, q, i, 'K' AS op, 0 AS cost, '' AS role FROM step
+      UNION ALL SELECT DISTINCT p, q, '*', 'R', 1, CASE q WHEN 3 THEN 'assistant' ELSE 'user' END FROM step WHERE i <> 's'
+      UNION ALL SELECT p, p, '*', 'D', 2, '' FROM range(4) r(p)) e
+    ON e.p = ins.q AND (e.i = '*' OR e.i = t.i) AND (e.op = 'D' OR t.fault IS NULL OR t.fault = 'truncated'))
+  GROUP BY cid, k, q),
+sums AS (
+  SELECT c.cid, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+         count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal, coalesce(max(k), 0) AS n
+  FROM (SELECT DISTINCT cid FROM raw) c LEFT JOIN turns USING (cid) GROUP BY c.cid),
+ends AS (
+  SELECT s.cid, min({'cost': b.cost + 5 * ins.n, 'audit': b.audit || repeat('I', ins.n), 'out': list_concat(b.out, ins.roles)}) AS b
+  FROM best s JOIN sums ON sums.cid = s.cid AND sums.n = s.k JOIN ins ON ins.p = s.p AND ins.q IN (0, 3) GROUP BY s.cid)
+SELECT any_value(conv_id) AS conv_id, any_value(gaps) AS gaps, any_value(blank) AS blank, any_value(duplicate) AS duplicate,
+       any_value(truncated) AS truncated, any_value(illegal) AS illegal, any_value(b.cost) AS cost, any_value(b.audit) AS audit,
+       sha256(array_to_string(any_value(b.out), chr(10))) AS repaired_sha256
+FROM raw JOIN sums USING (cid) JOIN ends USING (cid) GROUP BY cid
+"""
+
 _QUERIES = {
     "op1_section_tokens": op1_section_tokens,
     "op2_line_windows": op2_line_windows,
@@ -218,6 +280,7 @@ _QUERIES = {
 ORACLES: dict[str, str] = {
     "op2_line_windows": _OP2, "op4_warc_transactions": _OP4, "op7_bit_sliced_top_k": _OP7, "op9_rendezvous_shards": _OP9,
     "op11_treap_search": _OP11,
+    "op12_turn_repair": _OP12,
 }
 
 
