@@ -153,33 +153,31 @@ def _grouped(cells: DataFrame, level: int, top: int):
 
 
 def _level_stats(cells: DataFrame, limit: float) -> DataFrame:
-    """(level, tiles, pieces, held, most) from COUNT_LEVEL up; ``held`` counts no tile for more than ``limit``, as the rest is cut."""
+    """(level, tiles, pieces, held, most, extent) from COUNT_LEVEL up; ``held`` counts no tile for more than ``limit``, as the rest is cut."""
     def run(key, table):
         rows = [
-            (lv, len(ix), float(n.sum()), float(np.minimum(n, limit).sum()), float(n.max()))
+            (lv, len(ix), float(n.sum()), float(np.minimum(n, limit).sum()), float(n.max()), pc.max(table.column("extent")).as_py())
             for lv, ix, _, n in _levels(table, COUNT_LEVEL, GROUP_LEVEL)
         ]
-        return pa.table([pa.array(x) for x in zip(*rows, strict=True)], names=["level", "tiles", "pieces", "held", "most"])
+        return pa.table([pa.array(x) for x in zip(*rows, strict=True)], names=["level", "tiles", "pieces", "held", "most", "extent"])
 
-    below = _grouped(cells, COUNT_LEVEL, GROUP_LEVEL).applyInArrow(run, "level long, tiles long, pieces double, held double, most double")
+    below = _grouped(cells, COUNT_LEVEL, GROUP_LEVEL).applyInArrow(run, "level long, tiles long, pieces double, held double, most double, extent double")
     wide = _wide(cells).groupBy(F.col("level").cast("long").alias("level")).agg(
-        F.count("*").alias("tiles"), F.sum("n").alias("pieces"), F.sum(F.least("n", F.lit(limit))).alias("held"), F.max("n").alias("most")
+        F.count("*").alias("tiles"), F.sum("n").alias("pieces"), F.sum(F.least("n", F.lit(limit))).alias("held"), F.max("n").alias("most"),
+        F.lit(0.0).alias("extent"),
     )
     sums = [F.sum(c).alias(c) for c in ("tiles", "pieces", "held")]
-    return below.unionByName(wide).groupBy("level").agg(*sums, F.max("most").alias("most"))
+    return below.unionByName(wide).groupBy("level").agg(*sums, F.max("most").alias("most"), F.max("extent").alias("extent"))
 
 
 def _wide(cells: DataFrame) -> DataFrame:
     """(tile, level, n) of the levels above the groups; there are few groups (a row for 16 km of land), so each goes to all."""
     groups = _grouped(cells, COUNT_LEVEL, GROUP_LEVEL).agg(F.sum("n").alias("n"), F.sum("span").alias("span"))
-    up = [
-        groups.select(_at_level(F.col("above"), GROUP_LEVEL, lv).alias("tile"), F.lit(lv).alias("level"), "n", (F.col("span") / 2.0**lv).alias("more"))
+    up = F.array(*[
+        F.struct(_at_level(F.col("above"), GROUP_LEVEL, lv).alias("tile"), F.lit(lv).alias("level"), (F.col("n") + F.col("span") / 2.0**lv).alias("n"))
         for lv in range(GROUP_LEVEL + 1, MAX_LEVEL + 1)
-    ]
-    rows = up[0]
-    for u in up[1:]:
-        rows = rows.unionByName(u)
-    return rows.groupBy("tile", "level").agg((F.sum("n") + F.sum("more")).alias("n"))
+    ])
+    return groups.select(F.explode(up).alias("t")).select("t.*").groupBy("tile", "level").agg(F.sum("n").alias("n"))
 
 
 def _hot_tiles(cells: DataFrame, level: int, top: int, limit: float) -> DataFrame:
@@ -214,7 +212,7 @@ def plan_tiles(
         return TilePlan(MAX_LEVEL)
     fit = [lv for lv, r in stats.items() if r["held"] <= target * r["tiles"]]
     level = max(fit, default=COUNT_LEVEL)
-    covers = cells.agg(F.max("extent")).first()[0] > WIDE_TILES * 2.0**level
+    covers = max(r["extent"] for r in stats.values()) > WIDE_TILES * 2.0**level
     if stats[level]["most"] <= limit:
         return TilePlan(level, covers=covers)
     hot = _hot_tiles(cells, COUNT_LEVEL, level, limit)
