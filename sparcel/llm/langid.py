@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from sparcel.llm import hashing
+from sparcel.llm.common import stored
 
 SEGMENT = 96
 HIDDEN = 8
@@ -191,7 +192,7 @@ class Network:
 def sample(docs: DataFrame, doc_id: str, text: str, lang: str, per_language: int = DOCS) -> list[tuple[str, bytes]]:
     """About ``per_language`` documents of each language, picked by a hash of the id; WINDOWS spread segments of each."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}") & ~held_out(F.col(doc_id)))
-    counts = known.groupBy(F.col(lang).alias("__lang")).agg(F.count(F.lit(1)).alias("__n"))
+    counts = stored(known.groupBy(F.col(lang).alias("__lang")).agg(F.count(F.lit(1)).alias("__n")), "languages")
     labels = counts.count()
     if not labels:
         return []
@@ -201,7 +202,8 @@ def sample(docs: DataFrame, doc_id: str, text: str, lang: str, per_language: int
     data = F.encode(F.col(text), "utf-8")
     step = F.greatest((F.octet_length(F.col(text)) / F.lit(float(WINDOWS))).cast("int"), F.lit(1))
     cuts = F.array(*[F.substring(data, step * i + 1, F.lit(SEGMENT)) for i in range(WINDOWS)])
-    drawn = known.join(counts, F.col(lang) == F.col("__lang")).where(draw < chance)
+    # the documents stay where they are, whatever their languages
+    drawn = known.join(F.broadcast(counts) if labels <= TOTAL else counts, F.col(lang) == F.col("__lang")).where(draw < chance)
     rows = drawn.select(F.col(lang), F.explode(cuts).alias("cut"), F.xxhash64(F.col(doc_id).cast("string")).alias("h"))
     bound = 4 * WINDOWS * (int(share * labels) + 1)
     return [(r[0], bytes(r[1])) for r in sorted(rows.limit(bound).collect(), key=lambda r: (r[0], r[2], r[1])) if r[1]]
