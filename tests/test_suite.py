@@ -41,3 +41,10 @@ def test_keys():
 def test_entry(spark):
     out = entry.entry(spark)
     assert len(out.columns) == 17 and out.count() == 24
+
+
+def test_zonal_outer_join_has_all_zones_of_the_mainland(spark, data):
+    """As in the first rounds: every département, not one of them."""
+    out = entry.queries()["zonal_outer_join"](spark, data)
+    assert out.count() == 24
+    assert "LIKE '0%'" in entry.oracle_sql()["zonal_outer_join"]
