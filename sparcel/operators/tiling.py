@@ -357,14 +357,14 @@ def split_to_tiles(
     ship(df.sparkSession)
     keep = list(keep)
     fields = [df.schema[c] for c in keep]
-    level = plan.level
+    level, buffered = plan.level, radius is not None
 
     def first(batches):
         for b in batches:
             refuse_degrees(B.one(b.column(len(keep))))
             row, dims, e, p = B.decode(b.column(len(keep)))
             d = dims[row] if len(row) else np.zeros(0)
-            if radius is not None:
+            if buffered:
                 r = B.one(b.column(len(keep) + 1)).to_numpy(zero_copy_only=False)
                 k, ring = K.strips(e, r[row], style)
                 solid = d == 2
@@ -378,7 +378,7 @@ def split_to_tiles(
             yield combine_pieces(out, keep) if combine else out
 
     source = df.where(F.size(F.col(geom)["parts"]) > 0)
-    if radius is not None:
+    if buffered:
         if style not in ("round", "square"):
             raise ValueError(f"unknown buffer style: {style}")
         r = F.expr(radius) if isinstance(radius, str) else radius

@@ -26,6 +26,8 @@ from .tiling import TilePlan, plan_tiles, split_to_tiles
 BATCH_EDGES = 40_000
 #: Chunks of a crowded tile that are united in one row.
 FAN_IN = 16
+#: Pieces of a tile that are united at once.
+PILE = 32
 MEASURES = [T.StructField("area", T.DoubleType()), T.StructField("perimeter", T.DoubleType())]
 EDGES_FIELD = T.StructField("edges", T.ArrayType(T.DoubleType()))
 
@@ -62,11 +64,36 @@ def _covered(c):
     return c[:, 0] > 0
 
 
+def _unite(row: np.ndarray, n: int, piece: np.ndarray, e: np.ndarray):
+    """Boundary of the union of the pieces of each of ``n`` rows: (row, edges), sorted by row.
+
+    PILE pieces at a time, then their unions, and so on: an arrangement of many pieces at once has a node
+    for each of their crossings, most of which lie inside the union.
+    """
+    while True:
+        most = np.zeros(n, np.int64)
+        np.maximum.at(most, row, piece)
+        deep = (most >= PILE)[row]
+        if not deep.any():
+            break
+        width = int(most.max()) // PILE + 1
+        key, g = np.unique(row[deep] * width + piece[deep] // PILE, return_inverse=True)
+        g = g.ravel()
+        bg, be = K.Arrangement(g, len(key), e[deep], np.zeros(len(g), np.int64), 1).boundary(_covered)
+        row = np.concatenate([row[~deep], key[bg] // width])
+        piece = np.concatenate([piece[~deep], key[bg] % width])
+        e = np.concatenate([e[~deep], be])
+    g, out = K.Arrangement(row, n, e, np.zeros(len(row), np.int64), 1).boundary(_covered)
+    order = np.argsort(g, kind="stable")
+    return g[order], out[order]
+
+
 def _merge(pieces: DataFrame, by: Sequence[str]) -> DataFrame:
     """Union of all pieces with the same ``tile`` and ``by``."""
     keys = [*by, "tile"]
     # a set: copies of a piece collapse before the shuffle
-    grouped = pieces.groupBy(*keys).agg(F.flatten(F.collect_set("edges")).alias("edges"))
+    grouped = pieces.groupBy(*keys).agg(F.collect_set("edges").alias("pieces"))
+    grouped = grouped.select(*keys, F.flatten("pieces").alias("edges"), F.transform("pieces", F.size).alias("sizes"))
     schema = T.StructType([pieces.schema[k] for k in keys] + [EDGES_FIELD] + MEASURES)
 
     def run(batches):
@@ -74,11 +101,11 @@ def _merge(pieces: DataFrame, by: Sequence[str]) -> DataFrame:
             for s in slices(b, "edges"):
                 n = s.num_rows
                 row, e = B.read_edges(s.column("edges"), 4)
+                sizes = B.one(s.column("sizes"))
+                of_row = np.diff(B.offsets(sizes))
+                piece = np.repeat(K.ranges(of_row), sizes.flatten().to_numpy() // 4)
                 _, ox, oy = B.unpack(s.column("tile").to_numpy())
-                a = K.Arrangement(row, n, to_local(e, row, ox, oy), np.zeros(len(row), dtype=np.int64), 1)
-                g, out = a.boundary(_covered)
-                order = np.argsort(g, kind="stable")
-                g, out = g[order], out[order]
+                g, out = _unite(row, n, piece, to_local(e, row, ox, oy))
                 cols = [s.column(i) for i in range(len(keys))] + [
                     B.edge_lists(g, n, to_global(out, g, ox, oy)),
                     pa.array(K.area(g, n, out)), pa.array(K.perimeter(g, n, out)),
@@ -90,10 +117,11 @@ def _merge(pieces: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def region(df: DataFrame, plan: TilePlan | None = None, by: Sequence[str] = (), geom: str = "geom") -> DataFrame:
     """Union of the polygons of a layer, as a region; one union per value of ``by``."""
-    plan = plan or plan_tiles([df.withColumnRenamed(geom, "geom")])
+    # copies add nothing to a union: they go before anything is counted or cut
+    polygons = df.where(F.col(geom)["dim"] == 2).select(*by, F.col(geom).alias("geom")).distinct()
+    plan = plan or plan_tiles([polygons])
     ship(df.sparkSession)
-    polygons = df.where(F.col(geom)["dim"] == 2)
-    pieces = split_to_tiles(polygons, plan, by, geom, combine=True).select(*by, "tile", "edges")
+    pieces = split_to_tiles(polygons, plan, by, combine=True).select(*by, "tile", "edges")
     return merge_pieces(pieces, plan, by)
 
 
@@ -136,10 +164,12 @@ def union_buffer(df, radius: Column | str, plan=None, style="round", by=(), geom
     """Union of the buffers of all rows; ``radius`` may be any expression of the row.
 
     The buffer of a line is the union of the strips around its segments, so the strips go
-    straight into the union.
+    straight into the union. Rows alike in geometry and radius count once.
     """
-    plan = plan or plan_tiles([df.withColumnRenamed(geom, "geom")], weights=[10.0])
-    pieces = split_to_tiles(df, plan, by, geom, radius, style, combine=True).select(*by, "tile", "edges")
+    width = F.expr(radius) if isinstance(radius, str) else radius
+    shapes = df.select(*by, F.col(geom).alias("geom"), width.alias("_width")).distinct()
+    plan = plan or plan_tiles([shapes], weights=[10.0])
+    pieces = split_to_tiles(shapes, plan, by, "geom", "_width", style, combine=True).select(*by, "tile", "edges")
     return merge_pieces(pieces, plan, by)
 
 

@@ -491,3 +491,32 @@ def test_median_fill_by_broadcast_or_salt(spark, monkeypatch):
     monkeypatch.setattr(A, "BROADCAST_MEDIANS", 0)
     assert sorted(map(tuple, A.median_fill(df, "v", "grp").collect())) == one
     assert all(v is None for _, g, v in one if g is None and v == 0) and len(one) == 60
+
+
+def test_pieces_of_a_tile_are_united_as_a_tree(monkeypatch):
+    """Crossings of 400 boxes in one tile: few edges meet at once, and the union is that of one arrangement."""
+    from sparcel.operators import kernel as K
+
+    rnd = np.random.default_rng(5)
+    low = rnd.integers(1, 300, (400, 2)).astype(float)
+    high = low + rnd.integers(20, 200, (400, 2))
+    corner = [np.column_stack([a[:, 0], b[:, 1]]) for a, b in ((low, low), (high, low), (high, high), (low, high))]
+    e = np.concatenate([np.concatenate([corner[k], corner[(k + 1) % 4]], axis=1) for k in range(4)])
+    piece = np.tile(np.arange(400), 4)
+    plain, g = K.Arrangement(np.zeros(1600, np.int64), 1, e, np.zeros(1600, np.int64), 1).boundary(union._covered)[::-1]
+    sizes, made = [], K.Arrangement
+    monkeypatch.setattr(K, "Arrangement", lambda g, n, e, *rest: sizes.append(np.bincount(g, minlength=n).max()) or made(g, n, e, *rest))
+    row, out = union._unite(np.zeros(1600, np.int64), 1, piece, e)
+    assert K.area(row, 1, out) == pytest.approx(K.area(g, 1, plain)) and K.perimeter(row, 1, out) == pytest.approx(K.perimeter(g, 1, plain))
+    assert max(sizes) < 800
+
+
+def test_copies_go_before_a_union_is_planned(spark, monkeypatch):
+    """3000 copies of one road crowd no tile, as they are one strip of the union."""
+    road = layer(spark, [(0, [[[(10, 10), (60, 10)]]])], 1).drop("id")
+    roads = road.crossJoin(spark.range(3000))
+    plans, made = [], union.plan_tiles
+    monkeypatch.setattr(union, "plan_tiles", lambda *a, **k: plans.append(made(*a, **k)) or plans[-1])
+    area, perimeter = total(union_buffer(roads, F.lit(3.0), style="square"))
+    assert (area, perimeter) == pytest.approx((56 * 6, 2 * (56 + 6)))
+    assert plans[0].hot is None and plans[0].crowded is None
