@@ -66,15 +66,15 @@ def update(df: DataFrame, column: str, value: Column, where: Column | None = Non
 SMALL_GROUP, CELLS = 50_000, 1024
 
 
-def _medians(df: DataFrame, value: str, keys: Sequence[str], name: str) -> DataFrame:
-    """(keys, median) of the groups that have values.
+def _medians(df: DataFrame, value: str, keys: Sequence[str], name: str, copies: str | None = None) -> DataFrame:
+    """(keys, median) of the groups that have values; a row counts as often as ``copies`` says.
 
     Values are counted first. Where a group has more distinct values than one task should hold, the two
     middle ranks are searched: a histogram tells the cell that holds a rank, the values of that cell
     get a histogram of their own, until a cell holds few enough. No task sees all values of a group.
     """
     keys = list(keys)
-    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg((F.sum(copies) if copies else F.count("*")).alias("_n"))
     counted = checkpoint(counted.withColumn("_v", F.col(value).cast("double")).select(*keys, "_v", "_n"))
     facts = counted.groupBy(*keys).agg(
         F.sum("_n").alias("_total"), F.count("*").alias("_distinct"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
@@ -124,15 +124,17 @@ def median_by(df: DataFrame, value: str, group: Sequence[str] | str) -> DataFram
 BROADCAST_MEDIANS, SALTS = 100_000, 32
 
 
-def median_fill(df: DataFrame, value: str, group: Sequence[str] | str) -> DataFrame:
+def median_fill(df: DataFrame, value: str, group: Sequence[str] | str, copies: str | None = None) -> DataFrame:
     """Replace NULL and zero by the median of the rows with the same ``group`` (before the update).
 
+    ``copies`` names a column that tells how many rows a row stands for.
+
     A group without any value, or a NULL group, stays as it is (NULL becomes NULL). The medians are
     written first and counted: few of them are broadcast, so the rows, with whatever they carry, are
     not shuffled on a handful of groups; many of them are joined on a salted key.
     """
     keys = [group] if isinstance(group, str) else list(group)
-    med = checkpoint(_medians(df, value, keys, "_median"))
+    med = checkpoint(_medians(df, value, keys, "_median", copies))
     if med.count() <= BROADCAST_MEDIANS:
         joined = df.join(F.broadcast(med), keys, "left")
     else:

@@ -73,6 +73,23 @@ def crop_roads(roads: DataFrame, deps: DataFrame, plan: TilePlan, key: Sequence[
     return checkpoint(lines_in_region(deps, roads, plan, [dep], key, [*key, "nature", "largeur"]))
 
 
+def counted(df: DataFrame, *fields: str) -> DataFrame:
+    """Rows alike in geometry and fields as one, with their number as ``copies``."""
+    return df.groupBy(*fields, "geom").agg(F.count("*").alias("copies"))
+
+
+def counted_roads(roads: DataFrame) -> DataFrame:
+    """Roads that are alike as one, ``road`` being its key; what the medians and lengths need is kept."""
+    return checkpoint(counted(roads, "nature", "largeur").withColumn("road", F.monotonically_increasing_id()))
+
+
+def fill_widths(pieces: DataFrame, dep: str = "insee_dep") -> DataFrame:
+    """Median fill of the widths, a piece counting as often as it has ``copies``."""
+    if "copies" not in pieces.columns:
+        return A.median_fill(pieces, "largeur", [dep, "nature"])
+    return A.median_fill(pieces, "largeur", [dep, "nature"], "copies")
+
+
 MEASURES = ["car_area", "car_perimeter", "urban_area", "car_urban_area", "car_urban_perimeter", "road_length", "road_urban_length"]
 
 
@@ -104,12 +121,13 @@ def _tile_measures(rows: DataFrame, keep: Sequence[str]) -> DataFrame:
                 for m in MEASURES[:5]:
                     out[m] = out[m] * first
                 r, v = B.read_edges(s.column("lines"), 6)
+                copies = v[:, 5]
                 v = to_local(v, r, ox, oy)
                 p, sub, _, _ = K.line_in_region(row[0], n, e[0], r, v)
-                r = r[p]
-                out["road_length"] = np.bincount(r, K._length(sub), minlength=n)
+                r, copies = r[p], copies[p]
+                out["road_length"] = np.bincount(r, K._length(sub) * copies, minlength=n)
                 p, sub, _, _ = K.line_in_region(row[2], n, e[2], r, sub)
-                out["road_urban_length"] = np.bincount(r[p], K._length(sub), minlength=n)
+                out["road_urban_length"] = np.bincount(r[p], K._length(sub) * copies[p], minlength=n)
                 cols = [s.column(c) for c in keep] + [pa.array(out[m]) for m in MEASURES]
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
@@ -125,9 +143,10 @@ def car_region(
     Cutting equipment at the département changes nothing, as zones lie inside theirs.
     """
     radius = f"largeur + {BUFFER_OFFSET}" if radius is None else radius
-    wide = A.median_fill(pieces, "largeur", [dep, "nature"])
-    strips = split_to_tiles(wide, plan, [dep], radius=radius, style=style, combine=True).select(dep, "tile", "edges")
-    plots = split_to_tiles(equipment.select("geom"), plan, [], combine=True).select("tile", "edges")
+    width = F.expr(radius) if isinstance(radius, str) else radius
+    wide = fill_widths(pieces, dep).select(dep, "geom", width.alias("_width")).distinct()
+    strips = split_to_tiles(wide, plan, [dep], radius="_width", style=style, combine=True).select(dep, "tile", "edges")
+    plots = split_to_tiles(equipment.select("geom").distinct(), plan, [], combine=True).select("tile", "edges")
     plots = plots.join(deps.select(dep, "tile"), "tile").select(dep, "tile", "edges")
     return merge_pieces(strips.unionByName(plots), plan, [dep])
 
@@ -138,13 +157,22 @@ def zone_sums(
 ) -> DataFrame:
     """The five zonal aggregates of the analysis (square metres, metres), one row per zone."""
     ship(zones.sparkSession)
+    # land that is covered twice counts once, and roads that are alike count by their number
+    equipment, urban = (df.select("geom").distinct() for df in (equipment, urban))
+    if radius is None:
+        roads, road_key = counted_roads(roads), ("road",)
+    else:  # a radius may be an expression of any column
+        roads = roads.withColumn("copies", F.lit(1).cast("long"))
     plan = plan or report_plan(zones, equipment, roads, urban)
     dep = "insee_dep"
     deps = departements(zones, plan, dep)
-    pieces = crop_roads(roads, deps, plan, road_key, dep)
+    pieces = crop_roads(roads, deps, plan, (*road_key, "copies"), dep)
     car = car_region(deps, pieces, equipment, plan, radius, style, dep).select(dep, "tile", F.col("edges").alias("car"))
     town = region(urban.select("geom"), plan).select("tile", F.col("edges").alias("urban"))
-    lines = split_to_tiles(pieces.select(dep, "geom"), plan, [dep]).select(dep, "tile", "edges")
+    own = pieces.groupBy(dep, "geom").agg(F.sum("copies").alias("copies"))
+    # the last of the six numbers of an edge of a line, its position, gives way to the number of copies
+    weighted = F.transform("edges", lambda v, i: F.when(i % 6 == 5, F.col("copies").cast("double")).otherwise(v))
+    lines = split_to_tiles(own, plan, [dep, "copies"]).select(dep, "tile", weighted.alias("edges"))
     chunk = F.lit(0)
     if plan.crowded is not None:
         lines = lines.join(plan.crowded, "tile", "left")

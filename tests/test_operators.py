@@ -520,3 +520,24 @@ def test_copies_go_before_a_union_is_planned(spark, monkeypatch):
     area, perimeter = total(union_buffer(roads, F.lit(3.0), style="square"))
     assert (area, perimeter) == pytest.approx((56 * 6, 2 * (56 + 6)))
     assert plans[0].hot is None and plans[0].crowded is None
+
+
+def test_median_fill_counts_copies(spark):
+    """A row that stands for five outweighs four others."""
+    rows = [("a", 1.0, 5), ("a", 9.0, 1), ("a", 8.0, 1), ("a", 7.0, 1), ("a", 6.0, 1), ("a", None, 3)]
+    df = spark.createDataFrame(rows, "nature string, largeur double, copies long")
+    out = A.median_fill(df, "largeur", "nature", "copies").where("copies = 3").first()
+    assert out["largeur"] == 1.0
+
+
+def test_roads_that_are_alike_count_by_their_number(spark):
+    """Three copies of a road: one strip of car space, three times its length, and one row to cut."""
+    zones = layer(spark, [(1, box(0, 0, 100, 100))], 2).selectExpr("'01001' AS insee_com", "'01' AS insee_dep", "geom")
+    road = layer(spark, [(0, [[[(10, 10), (60, 10)]]])], 1).drop("id")
+    roads = road.crossJoin(spark.range(3)).selectExpr("id AS cleabs", "'x' AS nature", "2.0D AS largeur", "geom")
+    plots = layer(spark, [(1, box(70, 70, 80, 80))], 2).selectExpr("id AS cleabs", "'x' AS nature", "geom")
+    urban = layer(spark, [(1, box(0, 0, 35, 100))], 2).selectExpr("id", "'x' AS classe", "geom")
+    assert [r["copies"] for r in P.counted_roads(roads).collect()] == [3]
+    out = P.zone_sums(zones, plots, roads, urban, style="square").first()
+    assert out["road_length"] == pytest.approx(150) and out["road_urban_length"] == pytest.approx(75)
+    assert out["car_area"] == pytest.approx(58 * 8 + 100)
