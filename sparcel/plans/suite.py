@@ -443,13 +443,19 @@ def overlay_polygon_shared_field(spark, d):
  q AS (SELECT b.insee_com, {_BOX} FROM landcover a JOIN p b ON b.x0 <= a.x1 AND b.x1 >= a.x0 AND b.y0 <= a.y1 AND b.y1 >= a.y0 WHERE b.x1-b.x0+b.y1-b.y0 > 0)
 SELECT insee_com, CAST(sum(w+h) AS DOUBLE) AS length FROM q WHERE w + h > 0 GROUP BY insee_com""")
 def overlay_chain(spark, d):
-    """Zones with roads keeping the zone's code, then landcover with those pieces: length by zone."""
+    """Zones with roads keeping the zone's code, then landcover with those pieces: length by zone.
+
+    Roads and land cover of equal geometry go in once, with their number, which the lengths are multiplied by.
+    """
     catalog = LayerCatalog(spark)
-    for name, layer in (("chain_zone", X.zones), ("chain_road", X.roads), ("chain_cover", X.landcover)):
-        R.create_relation(layer(spark, d), name, as_view=True)
-    catalog.intersect_geometries("chain_zone", "chain_road", ["insee_com"], out_name="chain_piece", as_view=True)
-    catalog.intersect_geometries("chain_cover", "chain_piece", fields_b=["insee_com"], out_name="chain_end", as_view=True)
-    out = catalog.table("chain_end").groupBy("insee_com").agg(_r(F.sum(G.length())).alias("length"))
+    copies = lambda layer, name: layer(spark, d).groupBy("geom").agg(F.count("*").alias(name))
+    R.create_relation(X.zones(spark, d), "chain_zone", as_view=True)
+    R.create_relation(copies(X.roads, "roads"), "chain_road", as_view=True)
+    R.create_relation(copies(X.landcover, "covers"), "chain_cover", as_view=True)
+    catalog.intersect_geometries("chain_zone", "chain_road", ["insee_com"], ["roads"], out_name="chain_piece", as_view=True)
+    catalog.intersect_geometries("chain_cover", "chain_piece", ["covers"], ["insee_com", "roads"], out_name="chain_end", as_view=True)
+    total = F.sum(G.length() * F.col("covers") * F.col("roads"))
+    out = catalog.table("chain_end").groupBy("insee_com").agg(_r(total).alias("length"))
     return out.select("insee_com", "length")
 
 
@@ -769,13 +775,16 @@ SELECT insee_com, count(*) AS points FROM hit GROUP BY insee_com""")
 def report_round_points(spark, d):
     """Points of every zone in the car space of the analysis, buffers being round: the union as it is, not its measures."""
     zones, equipment, roads, urban = (f(spark, d, chosen=True) for f in (X.zones, X.equipment, X.roads, X.landcover))
-    pts = X.points(spark, d).withColumnRenamed("id", "event")
+    equipment, urban, roads = equipment.select("geom").distinct(), urban.select("geom").distinct(), P.counted_roads(roads)
+    # points at one place are in the same zones and in the same car space
+    pts = X.points(spark, d).groupBy("geom").agg(F.min("id").alias("event"), F.count("*").alias("copies"))
     plan = P.report_plan(zones, equipment, roads, urban)
     deps = P.departements(zones, plan)
-    car = P.car_region(deps, P.crop_roads(roads, deps, plan), equipment, plan)
+    car = P.car_region(deps, P.crop_roads(roads, deps, plan, ("road", "copies")), equipment, plan)
     found = lines_in_region(car, pts, plan, ["insee_dep"], ["event"], ["event"]).select("insee_dep", "event")
-    placed = overlay_intersection(zones, pts, ["insee_com", "insee_dep"], ["event"]).select("insee_com", "insee_dep", "event")
-    return placed.join(found, ["insee_dep", "event"]).groupBy("insee_com").agg(F.count("*").alias("points"))
+    placed = overlay_intersection(zones, pts, ["insee_com", "insee_dep"], ["event", "copies"], key_b=["event"])
+    placed = placed.select("insee_com", "insee_dep", "event", "copies")
+    return placed.join(found, ["insee_dep", "event"]).groupBy("insee_com").agg(F.sum("copies").alias("points"))
 
 
 @query()
