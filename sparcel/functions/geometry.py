@@ -208,15 +208,18 @@ def _capsule(a: Column, b: Column, r: Column) -> Column:
     n = 2 * QUARTER_SEGMENTS
     heading = F.when((a.x == b.x) & (a.y == b.y), F.lit(0.0)).otherwise(F.atan2(b.y - a.y, b.x - a.x))
 
-    def cap(c: Column, turn: float) -> Column:
-        def at(i: Column) -> Column:
-            angle = heading + F.lit(turn) + i * F.lit(math.pi / n)
+    def ring(h: Column) -> Column:
+        def at(c: Column, turn: float, i: Column) -> Column:
+            angle = h + F.lit(turn) + i * F.lit(math.pi / n)
             return vertex(c.x + r * F.cos(angle), c.y + r * F.sin(angle))
 
-        return F.transform(F.sequence(F.lit(0), F.lit(n)), at)
+        def cap(c: Column, turn: float) -> Column:
+            return F.transform(F.sequence(F.lit(0), F.lit(n)), lambda i: at(c, turn, i))
 
-    ring = F.concat(cap(b, -math.pi / 2), cap(a, math.pi / 2))
-    return F.concat(ring, F.array(F.get(ring, F.lit(0))))
+        # the first vertex again, by itself: a ring that is named twice is made twice
+        return F.concat(cap(b, -math.pi / 2), cap(a, math.pi / 2), F.array(at(b, -math.pi / 2, F.lit(0))))
+
+    return F.get(F.transform(F.array(heading), ring), F.lit(0))
 
 
 def _box(a: Column, b: Column, r: Column) -> Column:

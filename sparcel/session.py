@@ -11,6 +11,8 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: dict[str, str] = {}
+#: Bytes of a table's files that make a task; geometry takes far more time per byte than a plain scan.
+SPLIT = 2 << 20
 
 
 def local_session(cores: str = "8", memory: str = "12g") -> SparkSession:
@@ -58,17 +60,19 @@ def tune(spark: SparkSession) -> SparkSession:
     # a row may hold all edges of a tile: few rows a batch, and no more bytes than this
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(SPLIT))
     return ship(spark)
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """Use all cores for a scan that has fewer splits than the cluster has cores.
+    """Deal the rows of a scan evenly, in parts of about SPLIT bytes of its files and as many as there are cores at least.
 
-    Only for plain scans (looking at the partitions of a plan with shuffles would run them). A
-    table large enough to fill the cluster is left as it is.
+    Only for plain scans (looking at the partitions of a plan with shuffles would run them). The splits
+    of a scan tell its size, not where its rows are: all rows of a row group come with one of the splits it
+    lies in, so a large table may have all its work in a few tasks.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(max(cores, scan.rdd.getNumPartitions()))
 
 
 def shared_folder(spark: SparkSession) -> str:

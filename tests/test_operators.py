@@ -541,3 +541,12 @@ def test_roads_that_are_alike_count_by_their_number(spark):
     out = P.zone_sums(zones, plots, roads, urban, style="square").first()
     assert out["road_length"] == pytest.approx(150) and out["road_urban_length"] == pytest.approx(75)
     assert out["car_area"] == pytest.approx(58 * 8 + 100)
+
+
+def test_rows_of_one_row_group_are_dealt_evenly(spark, tmp_path):
+    """Small splits of a file with a single row group: every part gets its share of the rows."""
+    from sparcel.session import spread
+
+    spark.range(400_000).selectExpr("id", "uuid() AS u").coalesce(1).write.parquet(str(tmp_path / "t"))
+    sizes = spread(spark.read.parquet(str(tmp_path / "t"))).groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert sizes.sum() == 400_000 and len(sizes) >= 4 and sizes.max() < 2 * sizes.mean()
