@@ -594,11 +594,13 @@ def _capsule(segment: str, point: str = "p") -> str:
 SELECT DISTINCT p.id, p.x, p.y FROM pt p JOIN w ON {_capsule('w')}""")
 def union_buffer_round_points(spark, d):
     """Points in the union of the round buffers of all roads."""
-    roads, pts = X.roads(spark, d), X.points(spark, d)
-    plan = plan_tiles([roads, pts], weights=[10.0, 1.0])
-    found = lines_in_region(union_buffer(roads, "largeur + 2", plan), pts, plan, [], ["id"], ["id"])
-    v = F.col("geom.parts")[0][0][0]
-    return found.select("id", v["x"].alias("x"), v["y"].alias("y"))
+    roads, pts = X.roads(spark, d).select("geom", "largeur").distinct(), X.raw(spark, d, "pt")
+    # points at one place are looked up once
+    places = pts.groupBy("x", "y").agg(F.min("id").alias("place")).withColumn("geom", G.point("x", "y"))
+    plan = plan_tiles([roads, places], weights=[10.0, 1.0])
+    found = lines_in_region(union_buffer(roads, "largeur + 2", plan), places, plan, [], ["place"], ["place"])
+    hit = places.join(found.select("place"), "place").select("x", "y")
+    return pts.join(hit, ["x", "y"]).select("id", "x", "y")
 
 
 @query()
