@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Inside, Spark deletes the shuffle files of an action when it ends, not when the driver's memory is next cleaned.
+
+    For steps that write their results and start from files; iterate over rows only where no shuffle stands before.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def checked_broadcast(df: DataFrame, most: int) -> DataFrame:
     """Broadcast a stored table of narrow rows if it has at most ``most`` of them; else leave the join to Spark."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df

@@ -9,16 +9,18 @@
    prefix n-grams with, in bands of sizes that can link. This is linear in the rows, and joins large groups
    of near copies without looking at all their pairs, also where only a few of these link. Each round
    draws other leaders; n-grams whose classes are all in one component are done. Rounds go on
-   while they join a fair share of what they try.
+   while they join a fair share of what they try. After the first round only crowded n-grams take
+   part, as the complete pairs of the others are linear in the rows anyway.
 4. What can still link two components is then paired completely: per prefix n-gram, the classes
    outside its largest component with all classes of other components, under the length, positional
-   and suffix filters, each pair once.
+   and suffix filters, each pair once. Most such n-grams have two rows: an aggregate makes their pair.
 5. Pairs are verified on their whole sets. Pairs inside one component are never built: they cannot
    change the result. Links become pairs of components before components are joined.
 
 Texts of classes that share a prefix n-gram are found in the scan by a Bloom filter of fixed size, stored
-once, and move only for pairs that pass all filters (a text is shorter than its set). Joins on n-grams
-are plain equi-joins, so adaptive execution can split hot ones.
+once, and move only for pairs that pass all filters (a text is shorter than its set); a Bloom filter of
+these pairs stands before that shuffle too. Joins on n-grams are plain equi-joins, so adaptive execution can
+split hot ones. Every step starts from stored tables, and its shuffle files go when it ends.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from sparcel.llm import hashing
-from sparcel.llm.common import stored
+from sparcel.llm.common import shuffles_removed, stored
 from sparcel.operators.components import connected_components
 
 WIDTH = 5
@@ -45,7 +47,9 @@ RANGES = 64
 #: Leaders that a class tries in the first rounds. Rounds with the last number go on while one of FAIR pairs links;
 #: then what is left is paired completely. Leaders that each n-gram draws in these rounds.
 TRIED, FAIR, DRAWS = (1, 1, 8), 64, 4
-#: Bits of the Bloom filter, 64-bit words of one of its parts, and bits set for a key.
+#: An n-gram that more open rows have goes through the rounds; those of the others are all paired at the end.
+CROWDED = 8
+#: Most bits of a Bloom filter, 64-bit words of one of its parts, and bits set for a key.
 BLOOM, BLOOM_PART, PROBES = 1 << 27, 1 << 12, 5
 #: First n-grams of a class that its rows know when they are paired.
 FIRSTS = 16
@@ -115,7 +119,7 @@ def _sketch(first: DataFrame) -> np.ndarray:
     """Sum of the parts, a vector of fixed length on the driver."""
     parts = first.where("part IS NOT NULL").select("part", "counts").repartition("part")
     counts = np.zeros(SKETCH, np.int64)
-    for row in parts.mapInArrow(_sum_parts, "part int, counts binary").toLocalIterator():
+    for row in stored(parts.mapInArrow(_sum_parts, "part int, counts binary"), "sketch").toLocalIterator():
         counts[row["part"] * PART:(row["part"] + 1) * PART] = np.frombuffer(row["counts"], np.int64)
     return np.minimum(counts, 0xFFFFFFFF).astype(np.uint32)  # an order is all that is asked for
 
@@ -216,18 +220,18 @@ def _token_batch(g, c, n, pos, lead, prev) -> pa.RecordBatch:
     )
 
 
-def _bloom_bits(keys: np.ndarray) -> np.ndarray:
-    """(PROBES x keys) bit numbers."""
+def _bloom_bits(keys: np.ndarray, bits: int) -> np.ndarray:
+    """(PROBES x keys) bit numbers; ``bits`` is a power of two."""
     h = hashing.mix(keys.view(np.uint64))
     step = hashing.mix(h) | np.uint64(1)
-    return np.stack([(h + np.uint64(i) * step) >> np.uint64(64 - BLOOM.bit_length() + 1) for i in range(PROBES)]).astype(np.int64)
+    return np.stack([(h + np.uint64(i) * step) >> np.uint64(64 - bits.bit_length() + 1) for i in range(PROBES)]).astype(np.int64)
 
 
-def _bloom_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bloom_parts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """(key) -> the Bloom filter of the task, in the parts that are not empty."""
-    words = np.zeros(BLOOM // 64, np.uint64)
+    words = np.zeros(size // 64, np.uint64)
     for batch in batches:
-        bits = _bloom_bits(batch.column(0).to_numpy()).ravel()
+        bits = _bloom_bits(batch.column(0).to_numpy(), size).ravel()
         np.bitwise_or.at(words, bits >> 6, np.uint64(1) << (bits & 63).astype(np.uint64))
     parts = words.reshape(-1, BLOOM_PART)
     held = np.flatnonzero(parts.any(1))
@@ -244,20 +248,25 @@ def _united_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["part", "words"])
 
 
-def _bloom(keys: DataFrame) -> np.ndarray:
-    """Bloom filter of a column of longs, of fixed size on the driver."""
-    parts = keys.mapInArrow(_bloom_parts, "part int, words binary").repartition("part").mapInArrow(_united_parts, "part int, words binary")
-    words = np.zeros((BLOOM // 64 // BLOOM_PART, BLOOM_PART), np.uint64)
-    for row in parts.toLocalIterator():
+def _bloom(keys: DataFrame, size: int = BLOOM) -> np.ndarray:
+    """Bloom filter of a column of longs, of ``size`` bits on the driver."""
+    parts = keys.mapInArrow(lambda it: _bloom_parts(it, size), "part int, words binary").repartition("part")
+    words = np.zeros((size // 64 // BLOOM_PART, BLOOM_PART), np.uint64)
+    for row in stored(parts.mapInArrow(_united_parts, "part int, words binary"), "bloom").toLocalIterator():
         words[row["part"]] = np.frombuffer(row["words"], np.uint64)
     return words.ravel()
 
 
+def _bits(keys: int) -> int:
+    """Bits of a filter for so many keys: 16 each, a power of two, one part at least."""
+    return min(BLOOM, max(64 * BLOOM_PART, 1 << (16 * keys).bit_length()))
+
+
 def _passes(batches: Iterator[pa.RecordBatch], bloom) -> Iterator[pa.RecordBatch]:
     """(key, text) -> rows whose key the filter may hold."""
     words = bloom.value
     for batch in batches:
-        bits = _bloom_bits(batch.column(0).to_numpy())
+        bits = _bloom_bits(batch.column(0).to_numpy(), 64 * len(words))
         yield batch.filter(pa.array(((words[bits >> 6] >> (bits & 63).astype(np.uint64)) & np.uint64(1)).all(0)))
 
 
@@ -334,7 +343,7 @@ def _with_before(tokens: DataFrame) -> DataFrame:
 
 
 def _pairs(x: DataFrame, y: DataFrame, threshold) -> DataFrame:
-    """Pairs (a, b) of classes of other components that meet in a prefix n-gram, each once."""
+    """Pairs (a, b) of classes of other components that meet in a prefix n-gram, some more than once."""
     p, q = threshold
     low, high = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
     # positional filter, for the first n-gram that both have: the overlap starts there, so all of it has
@@ -349,10 +358,22 @@ def _pairs(x: DataFrame, y: DataFrame, threshold) -> DataFrame:
         # suffix filter; sets whose counts are too large for it here meet it before they move
         .where(F.coalesce(_most_shared("x.ranges", "y.ranges") * (p + q) >= (low + high) * p, F.lit(True)))
         .select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b"))
-        .distinct()
     )
 
 
+def _lone_pairs(rows: DataFrame, threshold) -> DataFrame:
+    """``_pairs`` for n-grams with two rows, which stand in two components: an aggregate, no row is joined.
+
+    The length and positional filters ask for the lesser and greater values only, whichever row has them.
+    """
+    p, q = threshold
+    both = rows.groupBy("g").agg(
+        F.min("c").alias("a"), F.max("c").alias("b"), F.min("n").alias("low"), F.max("n").alias("high"), F.min(F.col("n") - F.col("pos")).alias("ahead")
+    )
+    near = (F.col("low") * q >= F.col("high") * p) & (F.col("ahead") * (p + q) >= (F.col("low") + F.col("high")) * p)
+    return both.where(near).select("a", "b")
+
+
 def _links(pairs: DataFrame, sets: DataFrame, width: int, threshold, name: str) -> tuple[DataFrame, int]:
     """Verified pairs, and how many were tried; texts move only for pairs that pass the suffix filter."""
     facts = sets.select("c", "n", "hist")
@@ -363,13 +384,18 @@ def _links(pairs: DataFrame, sets: DataFrame, width: int, threshold, name: str)
         .mapInArrow(lambda it: _passing(it, threshold), "a long, b long").distinct()
     )
     near = stored(near, f"near-{name}")
-    texts = sets.select("c", "text")
+    tried = near.count()
+    keys = near.select(F.explode(F.array("a", "b")).alias("key"))
+    bloom = pairs.sparkSession.sparkContext.broadcast(_bloom(keys, _bits(2 * tried)))
+    texts = sets.select("c", "text").mapInArrow(lambda it: _passes(it, bloom), "c long, text string")
     both = (
         near.join(texts.select(F.col("c").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(texts.select(F.col("c").alias("b"), F.col("text").alias("text_b")).join(near.select("b"), "b", "left_semi"), "b")
+        .join(texts.select(F.col("c").alias("b"), F.col("text").alias("text_b")), "b")
         .select("a", "b", "text_a", "text_b")
     )
-    return stored(both.mapInArrow(lambda it: _verified(it, width, threshold), "u long, v long"), name), near.count()
+    links = stored(both.mapInArrow(lambda it: _verified(it, width, threshold), "u long, v long"), name)
+    bloom.unpersist()
+    return links, tried
 
 
 def _joined(links: DataFrame, comps: DataFrame | None, name: str) -> DataFrame:
@@ -390,14 +416,16 @@ def _labelled(tokens: DataFrame, comps: DataFrame) -> DataFrame:
     return tokens.join(comps, tokens.c == comps.id, "left").select(*tokens.columns, F.coalesce("component", "c").alias("comp"))
 
 
-def _open_tokens(tokens: DataFrame) -> DataFrame:
-    """Rows of prefix n-grams that two components have, with the component that has most rows as ``main``."""
-    share = tokens.groupBy("g", "comp").agg(F.count(F.lit(1)).alias("rows"))
+def _open_tokens(tokens: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """Rows of prefix n-grams that two components have, with how many they are and the component that has most as ``main``."""
+    own = tokens.select("g", "c", "n", "pos")
+    own = _labelled(own, comps) if comps is not None else own.withColumn("comp", F.col("c"))
+    share = own.groupBy("g", "comp").agg(F.count(F.lit(1)).alias("rows"))
     mains = (
-        share.groupBy("g").agg(F.max(F.struct("rows", "comp")).alias("most"), F.count(F.lit(1)).alias("k"))
-        .where("k > 1").select("g", F.col("most.comp").alias("main"))
+        share.groupBy("g").agg(F.max(F.struct("rows", "comp")).alias("most"), F.count(F.lit(1)).alias("k"), F.sum("rows").alias("rows"))
+        .where("k > 1").select("g", F.col("most.comp").alias("main"), "rows")
     )
-    return tokens.join(mains, "g")
+    return own.join(mains, "g")
 
 
 def _first_pairs(tokens: DataFrame) -> DataFrame:
@@ -461,10 +489,27 @@ def ngram_components(
     * Rows with the same id count as documents of their own. Other columns are ignored.
     * N-grams are compared by 64-bit hashes, equal sets by 128 bits.
     """
-    spark = docs.sparkSession
     a, b = threshold
     if not 0 < a <= b:
         raise ValueError("the threshold is a fraction in (0, 1]")
+    with shuffles_removed(docs.sparkSession):
+        rows, classes, comps = _components(docs, doc_id, text, width, threshold)
+    labelled = classes.join(comps, classes.c == comps.id, "left") if comps is not None else classes.withColumn("component", F.lit(None).cast("long"))
+    labelled = labelled.select("c", "k", "n", "low", F.coalesce("component", "c").alias("comp"))
+    lows = labelled.groupBy("comp").agg(F.min("low").alias("component_id"))
+    named = labelled.join(lows, "comp").select("c", "k", "n", "component_id")
+    return (
+        rows.join(named, ["c", "k", "n"], "left")
+        .select(
+            F.col("id").alias(doc_id), F.col("n").alias("n_shingles"),
+            F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+        )
+    )
+
+
+def _components(docs: DataFrame, doc_id: str, text: str, width: int, threshold: tuple[int, int]) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """The rows with their classes, the classes, and the component of each class that links."""
+    spark = docs.sparkSession
     base = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("t"), F.col(text).cast("string").alias("text"))
     schema = T.StructType([
         base.schema["id"], *T.StructType.fromDDL("t long, n long, c long, k long, part int, counts binary").fields,
@@ -479,6 +524,7 @@ def ngram_components(
         .mapInArrow(lambda it: _shared(it, threshold), "g long, c long, n int, pos int, lead long, prev long")
     )
     tokens = stored(tokens, "tokens")
+    counts.unpersist()
     classes = rows.where("n > 0").groupBy("c", "k", "n").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t")).alias("rep"), F.min("id").alias("low")
     )
@@ -497,36 +543,31 @@ def ngram_components(
     if not again.isEmpty():
         texts = texts.unionByName(named.join(again, ["own", "t"]).dropDuplicates(["own", "t"]).select(key, "text"))
     sets = stored(texts.mapInArrow(lambda it: _texts(it, width), _SETS), "sets")
-
-    pairs, left, comps, number, complete = _first_pairs(tokens), tokens.drop("lead", "prev"), None, 0, False
-    while True:
+    bloom.unpersist()
+
+    links, _ = _links(_first_pairs(tokens), sets, width, threshold, "links0")
+    comps = _joined(links, None, "comps0") if links.count() else None
+    left = stored(_open_tokens(tokens, comps), "open0")
+    crowd, number, stale = left.where(F.col("rows") > CROWDED), 0, False
+    while not crowd.isEmpty():
+        number += 1
+        pairs = _leader_pairs(crowd, threshold, number, TRIED[min(number, len(TRIED) - 1)])
         links, tried = _links(pairs, sets, width, threshold, f"links{number}")
         found = links.count()
         if found:
-            comps = _joined(links, comps, f"comps{number}")
-        if complete:
+            comps, stale = _joined(links, comps, f"comps{number}"), True
+        if not tried or (number >= len(TRIED) - 1 and found * FAIR <= tried):
             break
-        if found or not number:
-            own = left.select("g", "c", "n", "pos")
-            own = _labelled(own, comps) if comps is not None else own.withColumn("comp", F.col("c"))
-            left = stored(_open_tokens(own), f"open{number}")
-        number, complete = number + 1, not tried or (number >= len(TRIED) and found * FAIR <= tried)
-        if complete:
-            full = _with_before(left).join(sets.select("c", "ranges").dropDuplicates(["c"]), "c")
-            pairs = _pairs(full.where("comp != main"), full, threshold)
-        else:
-            pairs = _leader_pairs(left, threshold, number, TRIED[min(number, len(TRIED) - 1)])
-    labelled = classes.join(comps, classes.c == comps.id, "left") if comps is not None else classes.withColumn("component", F.lit(None).cast("long"))
-    labelled = labelled.select("c", "k", "n", "low", F.coalesce("component", "c").alias("comp"))
-    lows = labelled.groupBy("comp").agg(F.min("low").alias("component_id"))
-    named = labelled.join(lows, "comp").select("c", "k", "n", "component_id")
-    return (
-        rows.join(named, ["c", "k", "n"], "left")
-        .select(
-            F.col("id").alias(doc_id), F.col("n").alias("n_shingles"),
-            F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
-        )
-    )
+        if found:
+            crowd = stored(_open_tokens(crowd, comps), f"crowd{number}")
+    if stale:
+        left = stored(_open_tokens(left, comps), "open")
+    full = _with_before(left.where(F.col("rows") > 2)).join(sets.select("c", "ranges").dropDuplicates(["c"]), "c")
+    pairs = _pairs(full.where("comp != main"), full, threshold).unionByName(_lone_pairs(left.where(F.col("rows") == 2), threshold)).distinct()
+    links, _ = _links(pairs, sets, width, threshold, "links")
+    if links.count():
+        comps = _joined(links, comps, "comps")
+    return rows, classes, comps
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,12 +1,13 @@
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from sparcel.llm import hashing, ngram_join
+from sparcel.llm import common, hashing, ngram_join
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -108,3 +109,47 @@ def test_one_of_each(spark):
 @pytest.mark.parametrize("n", [1, 4, 5, 6, 10, 101])
 def test_need(n):
     assert ngram_join._need(n, (80, 100)) == int(np.ceil(n * 0.8 - 1e-9))
+
+
+def test_groups_around_the_crowded_limit(spark, monkeypatch):
+    # n-grams with 2 rows, a few, and just over the limit; only the last go through the rounds
+    seen = []
+    leaders = ngram_join._leader_pairs
+    monkeypatch.setattr(ngram_join, "_leader_pairs", lambda rows, *rest: seen.append(rows.agg({"rows": "min"}).first()[0]) or leaders(rows, *rest))
+    rng = random.Random(11)
+    rows = []
+    for size in [2, 2, 2, 3, 4, 7, 8, 9, 10, 30]:
+        base = [f"g{size}x{len(rows)}w{i}" for i in range(60)]
+        for _ in range(size):
+            w = list(base)
+            for _ in range(rng.randrange(1, 5)):
+                w[rng.randrange(len(w))] = f"edit{rng.random()}"
+            rows.append((len(rows), " ".join(w)))
+    rng.shuffle(rows)
+    assert run(spark, rows) == brute(rows)
+    assert all(low > ngram_join.CROWDED for low in seen)
+
+
+def test_shuffle_files_go_with_their_step(spark):
+    # what is written before a step ends is gone after it; outside nothing changes
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {f for f in blocks.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+    def step():
+        spark.range(1000, numPartitions=4).repartition(4, "id").write.format("noop").mode("overwrite").save()
+
+    with common.shuffles_removed(spark):
+        at = shuffles()
+        step()
+        for _ in range(50):  # files are deleted in the background
+            if shuffles() <= at:
+                break
+            time.sleep(0.1)
+        assert shuffles() <= at
+    assert spark.conf.get(key, None) == before
+    step()
+    assert shuffles() - at
