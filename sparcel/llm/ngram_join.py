@@ -17,7 +17,7 @@
 5. Pairs are verified on their whole sets. Pairs inside one component are never built: they cannot
    change the result. Links become pairs of components before components are joined.
 
-Texts of classes that share a prefix n-gram are found in the scan by a Bloom filter of fixed size, stored
+Texts of classes that share a prefix n-gram are found in the scan by a Bloom filter of bounded size, stored
 once, and move only for pairs that pass all filters (a text is shorter than its set); a Bloom filter of
 these pairs stands before that shuffle too. Joins on n-grams are plain equi-joins, so adaptive execution can
 split hot ones. Every step starts from stored tables, and its shuffle files go when it ends.
@@ -110,18 +110,21 @@ def _sum_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x = np.frombuffer(raw, f"<u{len(raw) // PART}").astype(np.int64)
             total[p] = total[p] + x if p in total else x
     if total:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(total, pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["part", "counts"]
-        )
+        sums = [np.minimum(x, 0xFFFFFFFF) for x in total.values()]  # an order is all that is asked for
+        packed = [x.astype(np.min_scalar_type(x.max())).tobytes() for x in sums]
+        yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array(packed, pa.binary())], names=["part", "counts"])
 
 
 def _sketch(first: DataFrame) -> np.ndarray:
-    """Sum of the parts, a vector of fixed length on the driver."""
+    """Sum of the parts, a vector of fixed length on the driver, in the narrowest type that holds it."""
     parts = first.where("part IS NOT NULL").select("part", "counts").repartition("part")
-    counts = np.zeros(SKETCH, np.int64)
+    counts = np.zeros(SKETCH, np.uint8)
     for row in stored(parts.mapInArrow(_sum_parts, "part int, counts binary"), "sketch").toLocalIterator():
-        counts[row["part"] * PART:(row["part"] + 1) * PART] = np.frombuffer(row["counts"], np.int64)
-    return np.minimum(counts, 0xFFFFFFFF).astype(np.uint32)  # an order is all that is asked for
+        part = np.frombuffer(row["counts"], f"<u{len(row['counts']) // PART}")
+        if part.itemsize > counts.itemsize:
+            counts = counts.astype(part.dtype)
+        counts[row["part"] * PART:(row["part"] + 1) * PART] = part
+    return counts
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], counts, width: int, threshold) -> Iterator[pa.RecordBatch]:
@@ -248,7 +251,7 @@ def _united_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["part", "words"])
 
 
-def _bloom(keys: DataFrame, size: int = BLOOM) -> np.ndarray:
+def _bloom(keys: DataFrame, size: int) -> np.ndarray:
     """Bloom filter of a column of longs, of ``size`` bits on the driver."""
     parts = keys.mapInArrow(lambda it: _bloom_parts(it, size), "part int, words binary").repartition("part")
     words = np.zeros((size // 64 // BLOOM_PART, BLOOM_PART), np.uint64)
@@ -536,7 +539,8 @@ def _components(docs: DataFrame, doc_id: str, text: str, width: int, threshold:
     often = rows.groupBy(_plain(F.col("id")).alias("own"), "t").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     wanted = stored(wanted.join(often, ["own", "t"], "left"), "wanted")
     key = F.xxhash64("own", "t").alias("key")
-    bloom = spark.sparkContext.broadcast(_bloom(wanted.where("rows IS NULL").select(key)))
+    once = wanted.where("rows IS NULL")
+    bloom = spark.sparkContext.broadcast(_bloom(once.select(key), _bits(once.count())))
     named = base.select(_plain(F.col("id")).alias("own"), "t", "text")
     texts = named.select(key, "text").mapInArrow(lambda it: _passes(it, bloom), "key long, text string")
     again = wanted.where("rows > 1")

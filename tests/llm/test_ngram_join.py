@@ -153,3 +153,25 @@ def test_shuffle_files_go_with_their_step(spark):
     assert spark.conf.get(key, None) == before
     step()
     assert shuffles() - at
+
+
+def test_sketch_and_filters_are_no_wider_than_needed(spark):
+    # on the driver: a byte a counter while no count is larger, two when one is; filters follow their keys
+    half = ngram_join.PART // 2
+
+    def sketch(parts):
+        rows = [(p, np.array([*x, *[0] * (ngram_join.PART - len(x))]).astype(kind).tobytes()) for p, x, kind in parts]
+        return ngram_join._sketch(spark.createDataFrame([(None, None), *rows], "part int, counts binary"))
+
+    small = sketch([(1, [3] * half, "u1"), (1, [200], "u1")])
+    assert small.dtype == np.uint8 and small[ngram_join.PART] == 203 and small.sum(dtype=int) == 3 * half + 200
+    wide = sketch([(0, [200], "u1"), (0, [200], "u1"), (1, [7], "u1")])
+    assert wide.dtype == np.uint16 and wide[0] == 400 and wide[ngram_join.PART] == 7
+    top = sketch([(2, [0xFFFFFFFF], "u4"), (2, [5], "u1")])
+    assert top.dtype == np.uint32 and top.max() == 0xFFFFFFFF
+    assert ngram_join._bits(0) == 64 * ngram_join.BLOOM_PART and ngram_join._bits(1 << 40) == ngram_join.BLOOM
+    assert ngram_join._bits(100_000) == 1 << 21
+    keys = spark.range(5000).selectExpr("xxhash64(id) AS key")
+    words = ngram_join._bloom(keys, ngram_join._bits(5000))
+    bits = ngram_join._bloom_bits(np.array([r.key for r in keys.collect()]), 64 * len(words))
+    assert ((words[bits >> 6] >> (bits & 63).astype(np.uint64)) & np.uint64(1)).all()
