@@ -12,7 +12,7 @@ from sparcel.functions import geometry as G
 from sparcel.operators import attributes as A
 from sparcel.operators import checks as C
 from sparcel.operators import relations as R
-from sparcel.operators import tiling, union
+from sparcel.operators import overlay, tiling, union
 from sparcel.operators.components import cluster_touching, connected_components
 from sparcel.operators.overlay import lines_in_region, overlay_intersection, overlay_measures, overlay_pairs, spatial_join
 from sparcel.operators.tiling import TilePlan, plan_tiles
@@ -550,3 +550,50 @@ def test_rows_of_one_row_group_are_dealt_evenly(spark, tmp_path):
     spark.range(400_000).selectExpr("id", "uuid() AS u").coalesce(1).write.parquet(str(tmp_path / "t"))
     sizes = spread(spark.read.parquet(str(tmp_path / "t"))).groupBy(F.spark_partition_id()).count().toPandas()["count"]
     assert sizes.sum() == 400_000 and len(sizes) >= 4 and sizes.max() < 2 * sizes.mean()
+
+
+def _rectangles(rnd, n, wide=60):
+    return [(x, y, x + rnd.randint(1, wide), y + rnd.randint(1, wide)) for x, y in ((rnd.randint(0, 200), rnd.randint(0, 200)) for _ in range(n))]
+
+
+@pytest.mark.parametrize("plan", [TilePlan(4), TilePlan(9), TilePlan(2, covers=True), "hot"])
+def test_overlay_of_rectangles_takes_their_corners(spark, monkeypatch, plan):
+    """Pieces and measures by the join alone, once for each pair, whatever the tiles."""
+    rnd = random.Random(11)
+    ra, rb = _rectangles(rnd, 60), _rectangles(rnd, 50)
+    # the ring may begin anywhere and turn either way
+    rings = [(box(*r)[0][0][:-1] * 2)[k % 4:k % 4 + 5] for k, r in enumerate(ra)]
+    a = layer(spark, [(k, [[ring[::1 if k % 3 else -1]]]) for k, ring in enumerate(rings)], 2).withColumnRenamed("id", "a")
+    b = layer(spark, [(k, box(*r)) for k, r in enumerate(rb)], 2)
+    if plan == "hot":
+        plan = plan_tiles([a, b], target=1)
+        assert plan.hot is not None
+    monkeypatch.setattr(overlay, "pair_pieces", lambda *_: pytest.fail("edges are compared"))
+    o = overlay_intersection(a, b, ["a"], ["id"], key_a=["a"], key_b=["id"], plan=plan, measured=True)
+    got = o.select("a", "id", "area", "perimeter", G.area(), G.perimeter(), "geom").collect()
+    want = {}
+    for i, (x0, y0, x1, y1) in enumerate(ra):
+        for j, (u0, v0, u1, v1) in enumerate(rb):
+            w, h = min(x1, u1) - max(x0, u0), min(y1, v1) - max(y0, v0)
+            if w > 0 and h > 0:
+                want[i, j] = (w * h, 2 * (w + h))
+    assert len(got) == len(want) and {(r[0], r[1]): (r[2], r[3]) for r in got} == want
+    assert {(r[0], r[1]): (r[4], r[5]) for r in got} == want
+    assert all(not r["geom"]["multi"] and r["geom"]["srid"] == 2154 for r in got)
+
+
+def test_rectangles_among_other_polygons(spark, discs, monkeypatch):
+    """Layers of both kinds: the same pairs, pieces and forms as by their edges."""
+    rnd = random.Random(12)
+    a = layer(spark, [(1000 + k, box(*r)) for k, r in enumerate(_rectangles(rnd, 40))], 2).unionByName(discs.where("id < 25"))
+    b = layer(spark, [(2000 + k, box(*r)) for k, r in enumerate(_rectangles(rnd, 40))], 2).unionByName(discs.where("id >= 95"))
+    a = a.withColumnRenamed("id", "a")
+
+    def both():
+        o = overlay_intersection(a, b, ["a"], ["id"], key_a=["a"], key_b=["id"], plan=TilePlan(5), measured=True)
+        rows = o.select("a", "id", "area", "perimeter", "geom").collect()
+        return sorted((r[0], r[1], round(r[2], 6), round(r[3], 6), r[4]["multi"], len(r[4]["parts"][0][0])) for r in rows)
+
+    got = both()
+    monkeypatch.setattr(overlay, "_boxes", lambda *_: (False, True))
+    assert got == both() and len(got) > 100
