@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,11 +12,13 @@ from pyspark.sql import types as T
 from ..session import checkpoint, ship
 from . import batches as B
 from . import kernel as K
-from .tiling import TilePlan, plan_tiles, split_to_tiles
+from .tiling import TilePlan, _whole, plan_tiles, split_to_tiles
 
 
 #: Chunks of a crowded tile whose outlines meet in one row.
 FAN_IN = 16
+#: Polygons of a tile that are compared at once; clusters go on with the outline of their union.
+CHUNK = 16
 
 
 def _point_to_min(links: DataFrame, keep_larger: bool) -> DataFrame:
@@ -73,10 +76,12 @@ def _spanning_links(group, n_groups, a, b):
     return nodes[m, 0], nodes[root[m], 1], nodes[m, 1]
 
 
-LINKS = T.StructType([
-    T.StructField("u", T.StringType()), T.StructField("v", T.StringType()), T.StructField("tile", T.LongType()),
-    T.StructField("dim", T.ByteType()), T.StructField("edges", T.ArrayType(T.DoubleType())),
-])
+LINKS = ("u", "v", "tile", "dim", "edges")
+
+
+def _links_of(node: T.DataType) -> T.StructType:
+    types = (node, node, T.LongType(), T.ByteType(), T.ArrayType(T.DoubleType()))
+    return T.StructType([T.StructField(name, t) for name, t in zip(LINKS, types, strict=True)])
 
 
 def _tile_links(rows: DataFrame, compress: bool) -> DataFrame:
@@ -93,17 +98,26 @@ def _tile_links(rows: DataFrame, compress: bool) -> DataFrame:
                 names, dims = f.field("n"), f.field("dim").to_numpy(zero_copy_only=False)
                 tile = b.column("tile").to_numpy()[i: i + 1]
                 _, ox, oy = B.unpack(tile)
-                lab, e = _edges_of(f.field("edges"), dims)
-                e[:, 0::2] -= ox[0]
-                e[:, 1::2] -= oy[0]
-                u, v = _touching(lab, e, dims)
+                hub = _hub(names, f.field("edges"), dims, tile)
+                if hub is None:
+                    lab, e = _edges_of(f.field("edges"), dims)
+                    e[:, 0::2] -= ox[0]
+                    e[:, 1::2] -= oy[0]
+                    u, v = _clusters(lab, e, dims)
+                else:
+                    v = np.delete(np.arange(len(f)), hub)
+                    u = np.full(len(v), hub)
                 n = len(u)
                 if n:
                     none = pa.nulls(n)
                     yield pa.RecordBatch.from_arrays(
                         [names.take(pa.array(u)), names.take(pa.array(v)), none.cast(pa.int64()), none.cast(pa.int8()), none.cast(B.EDGES)],
-                        names=LINKS.names,
+                        names=LINKS,
                     )
+                if compress and hub is not None:
+                    one = pa.array([hub])
+                    yield _piece_rows(names.take(one), tile[0], dims[[hub]], f.field("edges").take(one))
+                    continue
                 if not compress:
                     continue
                 root = np.arange(len(f))
@@ -120,13 +134,14 @@ def _tile_links(rows: DataFrame, compress: bool) -> DataFrame:
                 if len(rest):
                     yield _piece_rows(names.take(pa.array(root[rest])), tile[0], dims[rest], f.field("edges").take(pa.array(rest)))
 
-    return rows.select("tile", "f").mapInArrow(run, LINKS)
+    node = rows.schema["f"].dataType.elementType["n"].dataType
+    return rows.select("tile", "f").mapInArrow(run, _links_of(node))
 
 
 def _piece_rows(names, tile, dims, lists):
     n = len(names)
     return pa.RecordBatch.from_arrays(
-        [names, pa.nulls(n, pa.string()), pa.array(np.full(n, tile, np.int64)), pa.array(np.asarray(dims).astype(np.int8)), lists], names=LINKS.names
+        [names, pa.nulls(n, names.type), pa.array(np.full(n, tile, np.int64)), pa.array(np.asarray(dims).astype(np.int8)), lists], names=LINKS
     )
 
 
@@ -144,16 +159,64 @@ def _edges_of(lists, dims):
     return np.concatenate(lab), np.concatenate(e)
 
 
-def _touching(lab, e, dims):
-    """Spanning links (root, feature) of the features of one tile that touch or overlap."""
+def _hub(names, lists, dims, tile):
+    """Of the features that the whole tile lies in, the one with the smallest name; all others there touch it."""
+    off = B.offsets(lists)
+    one = np.flatnonzero((np.diff(off) == 4) & (dims == 2))
+    edges = lists.values.to_numpy(zero_copy_only=False)[off[one][:, None] + np.arange(4)]
+    over = one[_whole(np.repeat(tile, len(one)), edges)]
+    if not len(over):
+        return None
+    own = names.take(pa.array(over))
+    return int(over[pc.index(own, pc.min(own)).as_py()])
+
+
+def _clusters(lab, e, dims):
+    """Spanning links (root, feature) of the features of one tile that touch or overlap.
+
+    A few polygons at a time: what they make together goes on as one outline, without the crossings inside of it.
+    More at once where that does not halve their number: clusters that lie apart stay as many as they are.
+    """
+    links, width = [], CHUNK
+    while True:
+        poly = dims[lab] == 2
+        left, at = np.unique(lab[poly], return_inverse=True)
+        if len(left) <= width:
+            break
+        rest, lab, e = (lab[~poly], e[~poly]), lab[poly], e[poly]
+        u, v = _touching(lab, e, dims, at.ravel() // width)
+        links.append(np.column_stack([u, v]))
+        root = np.arange(len(dims))
+        root[v] = u
+        lab = root[lab]
+        joined = np.isin(lab, u)
+        who, group = np.unique(lab[joined], return_inverse=True)
+        arr = K.Arrangement(group.ravel(), len(who), e[joined], np.zeros(int(joined.sum()), np.int64), 1)
+        g, out = arr.boundary(lambda c: c[:, 0] > 0)
+        lab, e = np.concatenate([lab[~joined], who[g], rest[0]]), np.concatenate([e[~joined], out, rest[1]])
+        if 2 * (len(left) - len(v)) > len(left):
+            width *= 4
+    u, v = _touching(lab, e, dims)
+    if not links:
+        return u, v
+    pairs = np.concatenate([*links, np.column_stack([u, v])])
+    return _spanning_links(np.zeros(len(pairs), np.int64), 1, pairs[:, 0], pairs[:, 1])[1:]
+
+
+def _touching(lab, e, dims, chunk=None):
+    """Spanning links (root, feature) of the features of one tile that touch or overlap, if their edges are of one chunk.
+
+    A feature may come into the tile several times, so the place of each of its edges is looked up.
+    """
     none = np.zeros(0, np.int64)
     if not len(lab):
         return none, none
-    _, _, touch = K.node(np.zeros(len(e), np.int64), 1, e, lab)
-    first = np.unique(lab, return_index=True)[1]
+    chunk = np.zeros(len(e), np.int64) if chunk is None else chunk
+    n = int(chunk.max()) + 1
+    _, _, touch = K.node(chunk, n, e, lab)
     poly = dims[lab] == 2
-    q, owner = K.covering(e[poly], lab[poly], e[first, 0], e[first, 1])
-    pairs = np.concatenate([touch[:, 1:], np.column_stack([lab[first][q], owner])])
+    q, owner = K.covering(e[poly], lab[poly], e[:, 0], e[:, 1], chunk[poly], chunk, n)
+    pairs = np.concatenate([touch[:, 1:], np.column_stack([lab[q], owner])])
     pairs = pairs[pairs[:, 0] != pairs[:, 1]]
     if not len(pairs):
         return none, none
@@ -201,9 +264,12 @@ def cluster_touching(df: DataFrame, key: str, plan: TilePlan | None = None, geom
     shape = F.concat(F.lit("g"), _shape(F.col(geom)["parts"]))
     shaped = df.select(F.col(key).alias("_key"), shape.alias("_shape"), F.col(geom).alias("geom"))
     distinct = shaped.groupBy("_shape").agg(F.any_value("geom").alias("geom"))
-    links = touching_links(distinct, plan, "_shape")
+    # links hold a number for a shape; on a checkpoint, so that a task that runs again gives the same numbers
+    distinct = checkpoint(distinct.withColumn("_node", F.monotonically_increasing_id()))
+    links = touching_links(distinct, plan, "_node")
     label = connected_components(links)
-    placed = shaped.select("_key", "_shape").join(label, F.col("_shape") == F.col("id"), "left")
-    placed = placed.select("_key", F.coalesce("component", "_shape").alias("_component"))
+    placed = shaped.select("_key", "_shape").join(distinct.select("_shape", "_node"), "_shape")
+    placed = placed.join(label, F.col("_node") == F.col("id"), "left")
+    placed = placed.select("_key", F.coalesce("component", "_node").alias("_component"))
     names = placed.groupBy("_component").agg(F.min("_key").alias("cluster"))
     return placed.join(names, "_component").select(F.col("_key").alias(key), "cluster")

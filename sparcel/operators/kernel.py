@@ -661,16 +661,17 @@ def chain(g, e, drop_lattice=True):
 
 
 
-def covering(e, lab, qx, qy):
-    """(query, label) pairs where the label's polygon covers the query point; one tile."""
+def covering(e, lab, qx, qy, g=None, qg=None, n_groups=1):
+    """(query, label) pairs where the label's polygon covers the query point; one tile, or points and edges of its groups."""
+    g = np.zeros(len(e), np.int64) if g is None else g
+    qg = np.zeros(len(qx), np.int64) if qg is None else qg
     c, _, w = _canonical(e)
     flat = np.flatnonzero(c[:, 0] != c[:, 2])
     found = []
     if len(flat) and len(qx):
         f = c[flat]
-        zero = np.zeros(len(flat), np.int64)
         n = int(lab.max()) + 1
-        for q, k in Buckets(zero, 1, f[:, 0], f[:, 2]).query(np.zeros(len(qx), np.int64), qx):
+        for q, k in Buckets(g[flat], n_groups, f[:, 0], f[:, 2]).query(qg, qx):
             s = f[k]
             hit = (s[:, 0] <= qx[q]) & (qx[q] < s[:, 2])
             q, k, s = q[hit], k[hit], s[hit]

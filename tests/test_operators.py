@@ -12,7 +12,7 @@ from sparcel.functions import geometry as G
 from sparcel.operators import attributes as A
 from sparcel.operators import checks as C
 from sparcel.operators import relations as R
-from sparcel.operators import overlay, tiling, union
+from sparcel.operators import components, overlay, tiling, union
 from sparcel.operators.components import cluster_touching, connected_components
 from sparcel.operators.overlay import lines_in_region, overlay_intersection, overlay_measures, overlay_pairs, spatial_join
 from sparcel.operators.tiling import TilePlan, plan_tiles
@@ -610,3 +610,33 @@ def test_spatial_join_of_rectangles_takes_their_corners(spark, monkeypatch):
         assert sorted(tuple(r) for r in spatial_join(a, b, ["id"], ["id"], plan).collect()) == want
     twice = spatial_join(a.unionByName(a), b, ["id"], ["id"], TilePlan(6))
     assert sorted(tuple(r) for r in twice.collect()) == want
+
+
+def test_polygons_of_a_tile_are_clustered_a_few_at_a_time(monkeypatch):
+    """What is compared at once is bounded where polygons pile up, and clusters are those of comparing all."""
+    rnd = np.random.default_rng(5)
+    for n, spread, r in ((600, 0.5, 3.0), (300, 60.0, 1.2), (300, 40.0, 2.0)):
+        rings = [np.array(disc(*(30 + rnd.uniform(-spread, spread, 2)), rnd.uniform(0.5, 1) * r, 8)[0][0]) for _ in range(n)]
+        lines = [np.array([c, c + rnd.uniform(-2, 2, 2)]) for c in 30 + rnd.uniform(-spread, spread, (20, 2))]
+        e = [components.K.snap(np.concatenate([q[:-1], q[1:]], axis=1)) for q in [*rings, *lines]]
+        lab, dims = np.repeat(np.arange(n + 20), [len(x) for x in e]), np.repeat([2, 1], [n, 20])
+        whole, most, touching = components._touching(lab, np.concatenate(e), dims), [], components._touching
+        monkeypatch.setattr(components, "_touching", lambda lab, e, dims, chunk=None: most.append(
+            np.bincount(chunk).max() if chunk is not None else len(e)) or touching(lab, e, dims, chunk))
+        u, v = components._clusters(lab, np.concatenate(e), dims)
+        monkeypatch.undo()
+        root, want = np.arange(n + 20), np.arange(n + 20)
+        root[v], want[whole[1]] = u, whole[0]
+        assert (root == want).all() and len(np.unique(want)) < n
+        assert len(most) > 1 and (spread > 1 or max(most) < 0.2 * len(lab))
+
+
+def test_a_feature_over_the_whole_tile_links_all_others_there(spark):
+    a = layer(spark, [(5, box(0, 0, 64, 64)), *[(10 + k, disc(32 + k / 9, 32, 5)) for k in range(40)], (2, box(200, 0, 203, 3))], 2)
+    low = components.K.OFFSET
+    top = [low + 16, low + 16, low, low + 16]
+    tile, names = np.array([components.B.pack(4, 0, 0)]), components.pa.array([9, 7, 3])
+    assert components._hub(names, components.pa.array([[1.0, 1.0, 0.5, 1.0], top, top]), np.array([2, 2, 2]), tile) == 2
+    assert components._hub(names, components.pa.array([[1.0, 1.0, 0.5, 1.0]] * 3), np.array([2, 2, 2]), tile) is None
+    got = {r["id"]: r["cluster"] for r in cluster_touching(a, "id", TilePlan(4)).collect()}
+    assert got == {2: 2, 5: 5, **{10 + k: 5 for k in range(40)}}
