@@ -17,9 +17,9 @@
 5. Pairs are verified on their whole sets. Pairs inside one component are never built: they cannot
    change the result. Links become pairs of components before components are joined.
 
-Texts of classes that share a prefix n-gram are found in the scan by a Bloom filter of bounded size, stored
-once, and move only for pairs that pass all filters (a text is shorter than its set); a Bloom filter of
-these pairs stands before that shuffle too. Joins on n-grams are plain equi-joins, so adaptive execution can
+Texts of classes that share a prefix n-gram are found in the scan by their keys, if these are few, else by a Bloom
+filter of bounded size, stored once, and move only for pairs that pass all filters (a text is shorter than its set);
+a filter of these pairs stands before that shuffle too. Joins on n-grams are plain equi-joins, so adaptive execution can
 split hot ones. Every step starts from stored tables, and its shuffle files go when it ends.
 """
 
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +37,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from sparcel.llm import hashing
 from sparcel.llm.common import shuffles_removed, stored
-from sparcel.operators.components import connected_components
+from sparcel.operators.components import star_links
 
 WIDTH = 5
 THRESHOLD = (80, 100)
@@ -51,10 +52,14 @@ TRIED, FAIR, DRAWS = (1, 1, 8), 64, 4
 CROWDED = 8
 #: Most bits of a Bloom filter, 64-bit words of one of its parts, and bits set for a key.
 BLOOM, BLOOM_PART, PROBES = 1 << 27, 1 << 12, 5
+#: So many keys are broadcast as they are; a Bloom filter stands for more.
+FEW = 1 << 14
+#: Rows of a few numbers come from one of so many partitions, whose number is chosen for texts; pairs that a task verifies at least.
+NARROW, VERIFIED = 8, 256
 #: First n-grams of a class that its rows know when they are paired.
 FIRSTS = 16
 
-_SETS = "c long, n int, hist binary, ranges array<short>, text string"
+_SETS = "c long, n int, hist array<int>, ranges array<short>, text string"
 
 
 def _need(n, threshold) -> int:
@@ -67,6 +72,12 @@ def _bucket(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(np.int64)
 
 
+def _narrow(rows: DataFrame) -> DataFrame:
+    """Fewer partitions for rows of a few numbers, as each task that writes or starts Python has its own cost."""
+    spark = rows.sparkSession
+    return rows.coalesce(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // NARROW))
+
+
 def _add(counts: np.ndarray, seen: list[np.ndarray]) -> None:
     at, n = np.unique(np.concatenate(seen), return_counts=True)
     counts[at] = np.minimum(counts[at].astype(np.int64) + n, 0xFFFFFFFF)
@@ -253,7 +264,7 @@ def _united_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _bloom(keys: DataFrame, size: int) -> np.ndarray:
     """Bloom filter of a column of longs, of ``size`` bits on the driver."""
-    parts = keys.mapInArrow(lambda it: _bloom_parts(it, size), "part int, words binary").repartition("part")
+    parts = _narrow(keys.mapInArrow(lambda it: _bloom_parts(it, size), "part int, words binary").repartition("part"))
     words = np.zeros((size // 64 // BLOOM_PART, BLOOM_PART), np.uint64)
     for row in stored(parts.mapInArrow(_united_parts, "part int, words binary"), "bloom").toLocalIterator():
         words[row["part"]] = np.frombuffer(row["words"], np.uint64)
@@ -273,6 +284,14 @@ def _passes(batches: Iterator[pa.RecordBatch], bloom) -> Iterator[pa.RecordBatch
         yield batch.filter(pa.array(((words[bits >> 6] >> (bits & 63).astype(np.uint64)) & np.uint64(1)).all(0)))
 
 
+def _held(rows: DataFrame, keys: DataFrame, n: int) -> tuple[DataFrame, Broadcast | None]:
+    """Rows (key, text) whose key is one of the ``n`` keys, and maybe a few more, without moving them; and the filter, if one was made."""
+    if n <= FEW:
+        return rows.join(F.broadcast(keys), "key", "left_semi"), None
+    bloom = rows.sparkSession.sparkContext.broadcast(_bloom(keys, _bits(n)))
+    return rows.mapInArrow(lambda it: _passes(it, bloom), "key long, text string"), bloom
+
+
 def _texts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """(key, text) -> the class of each text that has words, and the counts of its set by range."""
     for batch in batches:
@@ -283,9 +302,9 @@ def _texts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordB
                 rows.append(row)
                 c.append(hashing.set_keys(m)[0])
                 n.append(len(m))
-                hists.append(np.bincount((m >> np.uint64(58)).astype(np.int64), minlength=RANGES).astype(np.uint32))
+                hists.append(np.bincount((m >> np.uint64(58)).astype(np.int64), minlength=RANGES))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()), pa.array(n, pa.int32()), pa.array([h.tobytes() for h in hists], pa.binary()),
+            [pa.array(c, pa.int64()), pa.array(n, pa.int32()), pa.array([h.tolist() for h in hists], pa.list_(pa.int32())),
              pa.array([_short(h) for h in hists], pa.list_(pa.int16())), batch.column(1).take(pa.array(rows, pa.int64()))],
             names=["c", "n", "hist", "ranges", "text"],
         )
@@ -298,21 +317,8 @@ def _short(hist: np.ndarray) -> list[int] | None:
 
 def _most_shared(x: str, y: str) -> Column:
     """Upper bound of the overlap of two sets: the sum of the lesser counts."""
-    both = F.zip_with(x, y, lambda a, b: F.least(a, b).cast("int"))
-    return F.aggregate(both, F.lit(0), lambda total, n: total + n)
-
-
-def _passing(batches: Iterator[pa.RecordBatch], threshold) -> Iterator[pa.RecordBatch]:
-    """(a, b, n_a, n_b, hist_a, hist_b): suffix filter, the overlap can be no more than that of the counts by range."""
-    p, q = threshold
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        ha, hb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, RANGES) for i in (4, 5))
-        most = np.minimum(ha, hb).sum(1, dtype=np.int64)
-        both = batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy()
-        ok = q * most >= p * (both - most)
-        yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(ok)) for i in (0, 1)], names=["a", "b"])
+    both = F.zip_with(x, y, lambda a, b: F.least(a, b).cast("long"))
+    return F.aggregate(both, F.lit(0).cast("long"), lambda total, n: total + n)
 
 
 def _verified(batches: Iterator[pa.RecordBatch], width: int, threshold) -> Iterator[pa.RecordBatch]:
@@ -379,40 +385,42 @@ def _lone_pairs(rows: DataFrame, threshold) -> DataFrame:
 
 def _links(pairs: DataFrame, sets: DataFrame, width: int, threshold, name: str) -> tuple[DataFrame, int]:
     """Verified pairs, and how many were tried; texts move only for pairs that pass the suffix filter."""
+    p, q = threshold
     facts = sets.select("c", "n", "hist")
+    # suffix filter: the overlap can be no more than that of the counts by range
+    enough = _most_shared("hist_a", "hist_b") * (p + q) >= (F.col("n_a").cast("long") + F.col("n_b")) * p
     near = (
         pairs.join(facts.select(F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("hist").alias("hist_a")), "a")
         .join(facts.select(F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("hist").alias("hist_b")), "b")
-        .select("a", "b", "n_a", "n_b", "hist_a", "hist_b")
-        .mapInArrow(lambda it: _passing(it, threshold), "a long, b long").distinct()
+        .where(enough).select("a", "b").distinct()
     )
-    near = stored(near, f"near-{name}")
+    near = stored(_narrow(near), f"near-{name}")
     tried = near.count()
     keys = near.select(F.explode(F.array("a", "b")).alias("key"))
-    bloom = pairs.sparkSession.sparkContext.broadcast(_bloom(keys, _bits(2 * tried)))
-    texts = sets.select("c", "text").mapInArrow(lambda it: _passes(it, bloom), "c long, text string")
+    texts, bloom = _held(sets.select(F.col("c").alias("key"), "text"), keys, 2 * tried)
     both = (
-        near.join(texts.select(F.col("c").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(texts.select(F.col("c").alias("b"), F.col("text").alias("text_b")), "b")
+        near.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
+        .join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
         .select("a", "b", "text_a", "text_b")
     )
+    both = both.coalesce(max(pairs.sparkSession.sparkContext.defaultParallelism, tried // VERIFIED))
     links = stored(both.mapInArrow(lambda it: _verified(it, width, threshold), "u long, v long"), name)
-    bloom.unpersist()
+    if bloom is not None:
+        bloom.unpersist()
     return links, tried
 
 
 def _joined(links: DataFrame, comps: DataFrame | None, name: str) -> DataFrame:
-    """(id, component) after more links; links inside a component are left out, and of two components one stays."""
+    """(id, component) after more links, for all ids but the smallest of a component; links inside a component are left out."""
+    for c in ("u", "v") if comps is not None else ():
+        own = comps.select(F.col("id").alias(c), F.col("component").alias("own"))
+        links = links.join(own, c, "left").withColumn(c, F.coalesce("own", c)).drop("own")
+    stars = star_links(links, lambda edges: stored(_narrow(edges), f"{name}-edges")).select(F.col("u").alias("id"), F.col("v").alias("component"))
     if comps is None:
-        return stored(connected_components(links), name)
-    for c in ("u", "v"):
-        own = comps.select(F.col("id").alias(c), F.col("component").alias(f"c_{c}"))
-        links = links.join(own, c, "left").withColumn(f"c_{c}", F.coalesce(f"c_{c}", c))
-    between = links.select(F.least("c_u", "c_v").alias("u"), F.greatest("c_u", "c_v").alias("v")).where("u <> v").distinct()
-    above = stored(connected_components(between), f"{name}-above").select(F.col("id").alias("component"), F.col("component").alias("root"))
+        return stars
+    above = stars.select(F.col("id").alias("component"), F.col("component").alias("root"))
     moved = comps.join(above, "component", "left").select("id", F.coalesce("root", "component").alias("component"))
-    fresh = above.join(comps.select(F.col("id").alias("component")), "component", "left_anti").select(F.col("component").alias("id"), F.col("root").alias("component"))
-    return stored(moved.unionByName(fresh), name)
+    return stored(moved.unionByName(stars), name)
 
 
 def _labelled(tokens: DataFrame, comps: DataFrame) -> DataFrame:
@@ -537,17 +545,17 @@ def _components(docs: DataFrame, doc_id: str, text: str, width: int, threshold:
     )
     # a row that repeats id and text would bring its text more than once
     often = rows.groupBy(_plain(F.col("id")).alias("own"), "t").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    wanted = stored(wanted.join(often, ["own", "t"], "left"), "wanted")
+    wanted = stored(_narrow(wanted.join(often, ["own", "t"], "left")), "wanted")
     key = F.xxhash64("own", "t").alias("key")
     once = wanted.where("rows IS NULL")
-    bloom = spark.sparkContext.broadcast(_bloom(once.select(key), _bits(once.count())))
     named = base.select(_plain(F.col("id")).alias("own"), "t", "text")
-    texts = named.select(key, "text").mapInArrow(lambda it: _passes(it, bloom), "key long, text string")
+    texts, bloom = _held(named.select(key, "text"), once.select(key), once.count())
     again = wanted.where("rows > 1")
     if not again.isEmpty():
         texts = texts.unionByName(named.join(again, ["own", "t"]).dropDuplicates(["own", "t"]).select(key, "text"))
     sets = stored(texts.mapInArrow(lambda it: _texts(it, width), _SETS), "sets")
-    bloom.unpersist()
+    if bloom is not None:
+        bloom.unpersist()
 
     links, _ = _links(_first_pairs(tokens), sets, width, threshold, "links0")
     comps = _joined(links, None, "comps0") if links.count() else None

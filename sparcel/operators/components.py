@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -27,30 +29,40 @@ def _point_to_min(links: DataFrame, keep_larger: bool) -> DataFrame:
     out = links.join(low, "u")
     if keep_larger:
         return out.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    own = low.select("u", F.col("m").alias("v"))
-    return out.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(own)
+    return _both(out, ("v", "m"), ("u", "m"))
 
 
-def connected_components(links: DataFrame) -> DataFrame:
-    """(id, component = smallest id) for all ids in the links ``u, v``.
+def _both(rows: DataFrame, *ends: tuple[str, str]) -> DataFrame:
+    """(u, v) for each of the pairs of columns: one scan of the rows, a union would take one for each."""
+    pairs = [F.struct(F.col(u).alias("u"), F.col(v).alias("v")) for u, v in ends]
+    return rows.select(F.explode(F.array(*pairs)).alias("e")).select("e.u", "e.v")
+
+
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether every u has one link, and to a node that is no u itself."""
+    ends = _both(edges.withColumn("up", F.lit(True)).withColumn("down", F.lit(False)), ("u", "up"), ("v", "down"))
+    met = ends.groupBy("u").agg(F.count_if("v").alias("ups"), F.count_if(~F.col("v")).alias("downs"))
+    return not met.agg(F.max((F.col("ups") > 1) | ((F.col("ups") > 0) & (F.col("downs") > 0)))).first()[0]
+
+
+def star_links(links: DataFrame, keep: Callable[[DataFrame], DataFrame] = checkpoint) -> DataFrame:
+    """(u, v = smallest id of its component) for all ids in the links ``u, v`` but these smallest ones.
 
-    Alternating large-star and small-star (Kiveris et al., SoCC 2014). Every round is written to
-    the reliable checkpoint folder, so a lost executor costs one round at most. Rounds go on until
-    one changes nothing; their number grows with the logarithm of the largest component.
+    Alternating large-star and small-star (Kiveris et al., SoCC 2014). Every round goes through ``keep``, the
+    reliable checkpoint folder, so a lost executor costs one round at most. Rounds go on until only
+    stars are left; their number grows with the logarithm of the largest component.
     """
-    edges = links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    edges = checkpoint(edges)
-    seen = None
-    while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _point_to_min(both, True)
-        large = large.where("u != v").distinct()
+    edges = keep(links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    while not _only_stars(edges):
+        large = _point_to_min(_both(edges, ("u", "v"), ("v", "u")), True)
         small = _point_to_min(large, False)
-        edges = checkpoint(small.where("u != v").distinct())
-        mark = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if tuple(mark) == seen:
-            break
-        seen = tuple(mark)
+        edges = keep(small.where("u != v").distinct())
+    return edges
+
+
+def connected_components(links: DataFrame) -> DataFrame:
+    """(id, component = smallest id) for all ids in the links ``u, v``."""
+    edges = star_links(links)
     roots = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
 

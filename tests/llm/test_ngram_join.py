@@ -175,3 +175,44 @@ def test_sketch_and_filters_are_no_wider_than_needed(spark):
     words = ngram_join._bloom(keys, ngram_join._bits(5000))
     bits = ngram_join._bloom_bits(np.array([r.key for r in keys.collect()]), 64 * len(words))
     assert ((words[bits >> 6] >> (bits & 63).astype(np.uint64)) & np.uint64(1)).all()
+
+
+def test_many_partitions_take_few_tasks(spark):
+    # steps on rows of a few numbers, and the rounds of components, do not start a task for each shuffle partition
+    rng = random.Random(5)
+    rows = []
+    for size in [2, 3, 40]:
+        base = [f"p{size}w{i}" for i in range(60)]
+        for _ in range(size):
+            w = list(base)
+            for _ in range(rng.randrange(1, 5)):
+                w[rng.randrange(len(w))] = f"edit{rng.random()}"
+            rows.append((len(rows), " ".join(w)))
+    sc, n = spark.sparkContext, 60
+    conf = {"spark.sql.shuffle.partitions": str(n), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key, None) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        sc.setJobGroup("few-tasks", "")
+        assert run(spark, rows) == brute(rows)
+        tracker = sc.statusTracker()
+        stages = {s for j in tracker.getJobIdsForGroup("few-tasks") for s in tracker.getJobInfo(j).stageIds}
+        tasks = sum(i.numCompletedTasks for s in stages if (i := tracker.getStageInfo(s)))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert 0 < tasks < 60 * n
+
+
+@pytest.mark.parametrize("few", [0, 1 << 14])
+def test_texts_are_found_by_keys_or_by_a_filter(spark, monkeypatch, few):
+    monkeypatch.setattr(ngram_join, "FEW", few)
+    rng = random.Random(6)
+    base = [f"k{i}" for i in range(50)]
+    rows = []
+    for i in range(25):
+        w = [*base[: 20 + i], *(f"own{i}x{j}" for j in range(rng.randrange(4)))]
+        rows.append((i, " ".join(w)))
+    assert run(spark, rows) == brute(rows)

@@ -13,12 +13,13 @@ from sparcel.operators import attributes as A
 from sparcel.operators import checks as C
 from sparcel.operators import relations as R
 from sparcel.operators import components, overlay, tiling, union
-from sparcel.operators.components import cluster_touching, connected_components
+from sparcel.operators.components import cluster_touching, connected_components, star_links
 from sparcel.operators.overlay import lines_in_region, overlay_intersection, overlay_measures, overlay_pairs, spatial_join
 from sparcel.operators.tiling import TilePlan, plan_tiles
 from sparcel.operators.union import assemble, dissolve, dissolve_polygons, measure, region, union_buffer
 from sparcel.plans import report as P
 from sparcel.plans import zonal as Z
+from sparcel.session import checkpoint
 from sparcel.sources import features as S
 from sparcel.sources import tables as TB
 
@@ -265,6 +266,22 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert sorted((r[0], r[1]) for r in out) == [("n0000", 201), ("s000", 300)]
 
 
+def test_star_links_end_when_only_stars_are_left(spark):
+    def stars(pairs):
+        kept = []
+        links = spark.createDataFrame(pairs, "u long, v long")
+        out = star_links(links, lambda edges: kept.append(1) or checkpoint(edges))
+        return sorted(tuple(r) for r in out.collect()), len(kept)
+
+    # stars need no round, whichever way their links point
+    assert stars([(1, 5), (6, 1), (7, 1), (1, 7), (9, 8), (3, 3)]) == ([(5, 1), (6, 1), (7, 1), (9, 8)], 1)
+    assert stars([]) == ([], 1)
+    assert stars([(i, i + 1) for i in range(40)])[0] == [(i, 0) for i in range(1, 41)]
+    # a node with two smaller neighbours, and one that is both a child and a root
+    assert stars([(9, 2), (9, 4)])[0] == [(4, 2), (9, 2)]
+    assert stars([(9, 4), (4, 2)])[0] == [(4, 2), (9, 2)]
+
+
 def test_medians(spark):
     df = spark.createDataFrame(
         [(1, "a", 4.0), (2, "a", 0.0), (3, "a", None), (4, "a", 7.0), (5, "b", None), (6, None, 0.0), (7, "b", None)],
