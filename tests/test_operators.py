@@ -12,7 +12,7 @@ from sparcel.functions import geometry as G
 from sparcel.operators import attributes as A
 from sparcel.operators import checks as C
 from sparcel.operators import relations as R
-from sparcel.operators import components, overlay, tiling, union
+from sparcel.operators import boxes, components, overlay, tiling, union
 from sparcel.operators.components import cluster_touching, connected_components, star_links
 from sparcel.operators.overlay import lines_in_region, overlay_intersection, overlay_measures, overlay_pairs, spatial_join
 from sparcel.operators.tiling import TilePlan, plan_tiles
@@ -629,6 +629,87 @@ def test_spatial_join_of_rectangles_takes_their_corners(spark, monkeypatch):
     assert sorted(tuple(r) for r in twice.collect()) == want
 
 
+def _plain(spark, rects):
+    return spark.createDataFrame([(k, *map(float, r)) for k, r in enumerate(rects)], "id long, x0 double, y0 double, x1 double, y1 double").select(
+        "id", G.rectangle("x0", "y0", "x1", "y1").alias("geom")
+    )
+
+
+def _shuffled(df):
+    """Rows that the shuffles of a query that has run wrote."""
+    def walk(node):
+        metrics, name = node.metrics(), node.nodeName()
+        if name == "AdaptiveSparkPlan" or name.endswith("QueryStage"):
+            return walk(node.executedPlan() if name == "AdaptiveSparkPlan" else node.plan())
+        below = node.children()
+        own = metrics.apply("shuffleRecordsWritten").value() if metrics.contains("shuffleRecordsWritten") else 0
+        return own + sum(walk(below.apply(k)) for k in range(below.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_dense_rectangles_are_shuffled_about_once(spark, monkeypatch):
+    """However dense rectangles lie, no edges are cut, no ids are stored, and few rows are made of each."""
+    rnd = random.Random(14)
+    ra, rb = ([(x, y, x + rnd.randint(20, 140), y + rnd.randint(20, 140)) for x, y in ((rnd.randint(0, 300), rnd.randint(0, 300)) for _ in range(1500))] for _ in "ab")
+    monkeypatch.setattr(overlay, "split_to_tiles", lambda *_: pytest.fail("edges are cut"))
+    monkeypatch.setattr(overlay, "identified", lambda *_: pytest.fail("ids are stored"))
+    o = overlay_intersection(_plain(spark, ra).withColumnRenamed("id", "a"), _plain(spark, rb), ["a"], ["id"], measured=True)
+    sums = o.agg(F.count("*").alias("n"), F.sum("area").alias("area"), F.sum("perimeter").alias("perimeter"))
+    got = sums.collect()[0]
+    u, v = (np.array(r)[:, None] if k == 0 else np.array(r)[None] for k, r in enumerate((ra, rb)))
+    w, h = (np.minimum(u[..., k + 2], v[..., k + 2]) - np.maximum(u[..., k], v[..., k]) for k in (0, 1))
+    hit = (w > 0) & (h > 0)
+    assert got["n"] == hit.sum() > 100_000
+    assert (got["area"], got["perimeter"]) == ((w * h)[hit].sum(), 2 * (w + h)[hit].sum())
+    # and a row of each task of the sum
+    assert 3000 <= _shuffled(sums) < 2 * 3000 + 100
+
+
+def test_rectangles_of_all_sizes_and_crowded_cells(spark, monkeypatch):
+    """Sizes of cells that differ, and cells dealt to several tasks: each pair once, also of rows that are alike."""
+    rnd = random.Random(15)
+    def some(n, *wide):
+        at = ((rnd.randint(-3000, 9000), rnd.randint(-3000, 9000)) for _ in range(n))
+        return [(x, y, x + rnd.randint(1, wide[k % len(wide)]), y + rnd.randint(1, wide[k % len(wide)])) for k, (x, y) in enumerate(at)]
+    pile = [(100, 100, 110, 110)] * 40
+    monkeypatch.setattr(boxes, "CHUNK_ROWS", 30)
+    for ra, rb in ((some(150, 40, 500, 4000), some(150, 300, 20000)), (some(60, 6000) + pile, some(200, 30) + pile), (some(60, 100) + pile, some(60, 100) + pile)):
+        a, b = _plain(spark, ra), _plain(spark, rb)
+        plan, others = boxes.plan_boxes(a, b)
+        assert plan.hot is not None and not others
+        rows = boxes._in_cells(a.withColumnRenamed("id", "a_id"), plan, 0, ["a_id"])
+        most = rows.where("chunk > 0").groupBy("tile", "chunk").count().agg(F.max("count")).first()[0]
+        assert most is None or most < 60
+        want = sorted((i, j) for i, r in enumerate(ra) for j, q in enumerate(rb) if r[0] <= q[2] and q[0] <= r[2] and r[1] <= q[3] and q[1] <= r[3])
+        assert sorted(tuple(r) for r in spatial_join(a, b, ["id"], ["id"]).collect()) == want
+        o = overlay_intersection(a.withColumn("kind", F.lit("k")), b.withColumn("sort", F.lit("s")), ["kind"], ["sort"], measured=True)
+        areas = [(min(r[2], q[2]) - max(r[0], q[0])) * (min(r[3], q[3]) - max(r[1], q[1])) for i, j in want for r, q in ((ra[i], rb[j]),)]
+        assert sorted(r[0] for r in o.select("area").collect()) == sorted(x for x in areas if x > 0)
+
+
+def test_rectangles_of_a_cell_meet_a_bounded_number_at_a_time(monkeypatch):
+    rnd = np.random.default_rng(16)
+    n = 400
+    for few in (0, 1 << 30):
+        monkeypatch.setattr(boxes, "FEW_PAIRS", few)
+        monkeypatch.setattr(boxes, "PAIRS", 500)
+        tile, chunk = boxes.B.pack(9, rnd.integers(0, 2, n), 0), rnd.integers(0, 2, n)
+        side, own = rnd.integers(0, 2, n).astype(np.int8), rnd.random(n) < 0.7
+        low = [rnd.integers(-100, 1000, n).astype(float), rnd.integers(-100, 500, n).astype(float)]
+        at = [*low, *(v + rnd.integers(1, 300, n) for v in low)]
+        found = list(boxes._met(tile, chunk, side, own, at))
+        got = sorted((i, j) for x, y in found for i, j in zip(x.tolist(), y.tolist(), strict=True))
+        corner = boxes.B.unpack(tile)[1] + boxes.K.OFFSET, boxes.B.unpack(tile)[2] + boxes.K.OFFSET
+        want = sorted(
+            (i, j) for i in np.flatnonzero(side == 0).tolist() for j in np.flatnonzero(side == 1).tolist()
+            if tile[i] == tile[j] and chunk[i] == chunk[j] and (own[i] or own[j]) and all(
+                at[k][i] <= at[k + 2][j] and at[k][j] <= at[k + 2][i] and max(at[k][i], at[k][j]) >= corner[k][i] for k in (0, 1))
+        )
+        assert got == want and len(got) > 500
+        assert few or max(len(x) for x, _ in found) <= 500
+
+
 def test_polygons_of_a_tile_are_clustered_a_few_at_a_time(monkeypatch):
     """What is compared at once is bounded where polygons pile up, and clusters are those of comparing all."""
     rnd = np.random.default_rng(5)
